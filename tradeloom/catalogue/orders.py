@@ -10,8 +10,9 @@ from tradeloom.functions.labels import status_label, status_tone
 from tradeloom.operators.ordered import running_total
 from tradeloom.plans import orders as plans
 
-FIRST_DAY = F.lit("1990-01-01").cast("date")
-LAST_DAY = F.lit("2030-12-31").cast("date")
+
+def _all_days():
+    return F.lit("1990-01-01").cast("date"), F.lit("2030-12-31").cast("date")
 
 
 @query(
@@ -25,7 +26,7 @@ LAST_DAY = F.lit("2030-12-31").cast("date")
     """,
 )
 def daily_order_export(spark, sf_dir):
-    daily = plans.piece_orders_daily(piece_orders(spark, sf_dir), FIRST_DAY, LAST_DAY)
+    daily = plans.piece_orders_daily(piece_orders(spark, sf_dir), *_all_days())
     return plans.export_order(daily).select("order_date", "article", "quantity", F.col("amount").cast("double").alias("amount"))
 
 
@@ -42,7 +43,7 @@ def daily_order_export(spark, sf_dir):
     """,
 )
 def daily_order_export_items(spark, sf_dir):
-    daily = plans.item_orders_daily(order_lines(spark, sf_dir), FIRST_DAY, LAST_DAY)
+    daily = plans.item_orders_daily(order_lines(spark, sf_dir), *_all_days())
     return daily.select("order_date", "article", "quantity", F.col("amount").cast("double").alias("amount"))
 
 

@@ -1 +1,140 @@
-"""Queries."""
+"""Publish queries: the feed published up to a day, and the whole feed as its target."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tradeloom.bindings import FEED_ARRIVAL, FEED_KEYS, feed, load, text
+from tradeloom.catalogue import query
+from tradeloom.operators import publish, quality
+from tradeloom.operators.keyed import dedupe_latest
+
+CELLS = ["c1", "c2", "c3", "c4"]
+CUT = "2000-01-01"
+
+
+def _cells(df, price):
+    return df.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("position"),
+        F.concat(F.lit(" "), text("l_orderkey")).alias("c1"), text("l_linenumber").alias("c2"), text("l_partkey").alias("c3"), price.alias("c4"),
+    )
+
+
+def _sides(spark, sf_dir):
+    rows = feed(spark, sf_dir)
+    target = _cells(dedupe_latest(rows, FEED_KEYS, "l_shipdate", FEED_ARRIVAL), F.col("price").cast("string"))
+    before = rows.where(F.col("l_shipdate") < F.lit(CUT).cast("timestamp_ntz"))
+    # published with a decimal comma and a group space
+    shown = F.regexp_replace(F.regexp_replace(F.col("price").cast("string"), r"\.", ","), "^([0-9])", "$1 ")
+    existing = _cells(dedupe_latest(before, FEED_KEYS, "l_shipdate", FEED_ARRIVAL), shown)
+    return existing, target
+
+
+SQL_SIDES = """
+    f AS (SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity::BIGINT AS qty, l_extendedprice::DECIMAL(12,2) AS price FROM lineitem),
+    tgt AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey, l_suppkey, qty, price) AS rn FROM f) WHERE rn = 1),
+    ext AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey, l_suppkey, qty, price) AS rn FROM f
+                           WHERE l_shipdate < TIMESTAMP '2000-01-01') WHERE rn = 1),
+    acts AS (SELECT COALESCE(t.l_orderkey, e.l_orderkey) AS l_orderkey, COALESCE(t.l_linenumber, e.l_linenumber) AS l_linenumber,
+                    CASE WHEN e.l_orderkey IS NULL THEN 'appended' WHEN t.l_partkey = e.l_partkey AND t.price = e.price THEN 'unchanged' ELSE 'changed' END AS action
+             FROM tgt t LEFT JOIN ext e ON t.l_orderkey = e.l_orderkey AND t.l_linenumber = e.l_linenumber),
+    n AS (SELECT COUNT(*) FILTER (WHERE action = 'unchanged') AS u, COUNT(*) FILTER (WHERE action = 'changed') AS c,
+                 COUNT(*) FILTER (WHERE action = 'appended') AS a, (SELECT COUNT(*) FROM ext) AS e, (SELECT COUNT(*) FROM tgt) AS t FROM acts)
+"""
+
+
+@query(
+    "table_diff_plan",
+    f"""
+    WITH {SQL_SIDES}
+    SELECT 'forward' AS side, 'upsert' AS mode, t AS prepared_rows, e AS existing_rows, u AS unchanged_rows, c AS changed_rows, a AS appended_rows, 0 AS stale_rows,
+           TRUE AS header_updated, FALSE AS cleared, (c + a) * 4 + 4 AS updated_cells FROM n
+    UNION ALL SELECT 'back', 'replace-stale', e, t, 0, e, e, a, TRUE, TRUE, (e + 1) * 4 FROM n
+    UNION ALL SELECT 'replace', 'replace', t, e, 0, t, t, 0, TRUE, TRUE, (t + 1) * 4 FROM n
+    """,
+)
+def table_diff_plan(spark, sf_dir):
+    existing, target = _sides(spark, sf_dir)
+    forward = publish.plan_summary(existing, target, CELLS, 2, header_matches=False)
+    back = publish.plan_summary(target, existing, CELLS, 2)
+    replace = publish.plan_summary(existing, target, CELLS, 2, mode="replace")
+    named = [df.withColumn("side", F.lit(n)) for df, n in ((forward, "forward"), (back, "back"), (replace, "replace"))]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+@query(
+    "table_diff_rows",
+    f"WITH {SQL_SIDES} SELECT action, l_orderkey * 10 + l_linenumber AS position, CASE WHEN action <> 'appended' THEN l_orderkey * 10 + l_linenumber END AS row_number FROM acts",
+)
+def table_diff_rows(spark, sf_dir):
+    return publish.classify_rows(*_sides(spark, sf_dir), CELLS, 2).select("action", "position", "row_number")
+
+
+@query(
+    "publish_update_ranges",
+    f"""
+    WITH {SQL_SIDES}
+    SELECT action, l_orderkey * 10 + l_linenumber + 1 AS sheet_row FROM acts WHERE action = 'changed'
+    UNION ALL SELECT action, ROW_NUMBER() OVER (ORDER BY l_orderkey * 10 + l_linenumber) + 1 + 1000 FROM acts WHERE action = 'appended'
+    """,
+)
+def publish_update_ranges(spark, sf_dir):
+    actions = publish.classify_rows(*_sides(spark, sf_dir), CELLS, 2)
+    return publish.update_ranges(actions, existing_rows=1000).select("action", "sheet_row")
+
+
+@query(
+    "publish_order_check",
+    """
+    WITH e AS (SELECT p_partkey, ROW_NUMBER() OVER (ORDER BY p_partkey) AS o FROM part),
+    t AS (SELECT p_partkey, ROW_NUMBER() OVER (ORDER BY p_size * 1000000 + p_partkey) AS o FROM part)
+    SELECT o AS ordinal, e.p_partkey::VARCHAR AS old_key, t.p_partkey::VARCHAR AS new_key FROM e JOIN t USING (o) WHERE e.p_partkey <> t.p_partkey
+    """,
+)
+def publish_order_check(spark, sf_dir):
+    part = load(spark, sf_dir, "part")
+    existing = part.select((F.col("p_partkey") + 1).alias("position"), text("p_partkey").alias("c1"))
+    target = part.select((F.col("p_size") * 1000000 + F.col("p_partkey")).alias("position"), text("p_partkey").alias("c1"))
+    moved = publish.order_mismatches(existing, target, ["c1"])
+    return moved.select("ordinal", F.col("old_key.c1").alias("old_key"), F.col("new_key.c1").alias("new_key"))
+
+
+@query(
+    "publish_apply",
+    f"""
+    WITH {SQL_SIDES}, last AS (SELECT MAX(l_orderkey * 10 + l_linenumber) AS m FROM ext),
+    kept AS (SELECT e.l_orderkey * 10 + e.l_linenumber AS position, t.l_partkey AS p FROM ext e JOIN tgt t USING (l_orderkey, l_linenumber)),
+    added AS (SELECT m + ROW_NUMBER() OVER (ORDER BY a.l_orderkey * 10 + a.l_linenumber) AS position, t.l_partkey AS p
+              FROM acts a JOIN tgt t USING (l_orderkey, l_linenumber), last WHERE action = 'appended')
+    SELECT position, p::VARCHAR AS c3 FROM kept UNION ALL SELECT position, p::VARCHAR FROM added
+    """,
+)
+def publish_apply(spark, sf_dir):
+    return publish.apply_plan(*_sides(spark, sf_dir), CELLS, 2, replace=False).select("position", "c3")
+
+
+@query(
+    "publish_shape",
+    """
+    SELECT l_orderkey, l_linenumber, l_suppkey, strftime(l_shipdate, '%d.%m.%Y') AS c1, l_partkey::VARCHAR AS c2, l_quantity::BIGINT::VARCHAR AS c3,
+           CASE WHEN (l_extendedprice::DECIMAL(12,2) * 100)::BIGINT % 100 = 0 THEN (l_extendedprice::BIGINT)::VARCHAR
+                ELSE rtrim(l_extendedprice::DECIMAL(12,2)::VARCHAR, '0') END AS c4 FROM lineitem
+    """,
+)
+def publish_shape(spark, sf_dir):
+    rows = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", F.to_date("l_shipdate").alias("d"), "l_partkey", F.col("l_quantity").cast("bigint").alias("q"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("amount"),
+    )
+    return publish.shape_for_publish(rows, ["d", "l_partkey", "q", "amount"], publish.BLOCKS["orders"])
+
+
+@query(
+    "export_warnings",
+    f"WITH {SQL_SIDES} SELECT a AS appended_rows, a > 0 AS rows_added, FALSE AS rows_stale, (SELECT MAX(l_shipdate)::DATE < DATE '2002-01-01' FROM lineitem) AS report_outdated FROM n",
+)
+def export_warnings(spark, sf_dir):
+    summary = publish.plan_summary(*_sides(spark, sf_dir), CELLS, 2)
+    newest = feed(spark, sf_dir).agg(F.to_date(F.max("l_shipdate"))).scalar()
+    warned = quality.export_warnings(summary, newest, F.lit("2002-01-01").cast("date"))
+    return warned.select("appended_rows", "rows_added", "rows_stale", "report_outdated")
