@@ -1 +1,175 @@
-"""Queries."""
+"""File reading queries: tables written as text exports or read as rows of cells."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tradeloom.bindings import load, text
+from tradeloom.catalogue import query
+from tradeloom.operators import merge, normalize
+from tradeloom.session import scratch_path
+from tradeloom.sources import sheets
+from tradeloom.sources.delimited import read_delimited
+
+# Words looked for as header names in the conversations.
+WORDS = ("user", "the", "a")
+
+
+def _conversation_rows(spark, sf_dir):
+    """Conversations as files: a row per turn, a cell per word."""
+    return load(spark, sf_dir, "conversations").select(
+        text("conv_id").alias("file"), (F.col("turn") + 1).alias("row_number"), F.split("text", " ").alias("cells")
+    )
+
+
+SQL_HEADER = """
+    r AS (SELECT conv_id::VARCHAR AS file, turn + 1 AS row_number, string_split(text, ' ') AS cells FROM conversations),
+    w AS (SELECT file, row_number, lower(trim(UNNEST(cells))) AS word FROM r),
+    h AS (SELECT file, COALESCE(MIN(row_number) FILTER (WHERE word IN ('user', 'the', 'a')), MIN(row_number)) AS header_row FROM w
+          WHERE row_number <= 30 GROUP BY 1)
+"""
+
+
+@query("header_detect", f"WITH {SQL_HEADER} SELECT file, header_row FROM h")
+def header_detect(spark, sf_dir):
+    return sheets.detect_header(_conversation_rows(spark, sf_dir), WORDS)
+
+
+@query(
+    "header_promote",
+    f"""
+    WITH {SQL_HEADER},
+    names AS (SELECT file, header_row, UNNEST(range(1, len(cells) + 1)) AS pos, trim(UNNEST(cells)) AS name FROM r JOIN h USING (file) WHERE row_number = header_row),
+    last_pos AS (SELECT file, header_row, name, MAX(pos) AS pos FROM names GROUP BY 1, 2, 3),
+    vals AS (SELECT r.file, r.row_number, l.name, r.cells[l.pos] AS value FROM r JOIN last_pos l ON l.file = r.file AND r.row_number > l.header_row)
+    SELECT file, row_number, name, value FROM vals
+    WHERE (file, row_number) IN (SELECT (file, row_number) FROM vals WHERE value <> '')
+    """,
+)
+def header_promote(spark, sf_dir):
+    rows = _conversation_rows(spark, sf_dir)
+    promoted = sheets.promote_header(rows, sheets.detect_header(rows, WORDS))
+    return promoted.select("file", "row_number", F.explode("row").alias("name", "value"))
+
+
+@query(
+    "fixed_header",
+    """
+    WITH r AS (SELECT conv_id::VARCHAR AS file, turn + 1 AS row_number, string_split(text, ' ') AS cells FROM conversations),
+    names AS (SELECT file, UNNEST(range(1, len(cells) + 1)) AS pos, trim(UNNEST(cells)) AS name FROM r WHERE row_number = 1),
+    last_pos AS (SELECT file, name, MAX(pos) AS pos FROM names GROUP BY 1, 2),
+    vals AS (SELECT r.file, r.row_number, l.name, r.cells[l.pos] AS value FROM r JOIN last_pos l USING (file) WHERE r.row_number > 1),
+    filled AS (SELECT DISTINCT file, row_number FROM vals WHERE value <> '' AND row_number > 2),
+    last_row AS (SELECT file, MAX(row_number) AS m FROM filled GROUP BY 1)
+    SELECT f.file, f.row_number FROM filled f JOIN last_row l USING (file) WHERE f.row_number < l.m
+    """,
+)
+def fixed_header(spark, sf_dir):
+    return sheets.promote_fixed(_conversation_rows(spark, sf_dir), offset=0, skip=1).select("file", "row_number")
+
+
+@query(
+    "spec_sheets",
+    """
+    SELECT p_brand AS file, p_partkey + 2 AS row_number, p_partkey::VARCHAR AS article, 'AB' || p_size AS lot, p_name AS manager,
+           CASE WHEN p_size % 2 = 0 THEN 'Заполнение-1' ELSE 'Пришло  old' END AS sheet FROM part
+    """,
+)
+def spec_sheets(spark, sf_dir):
+    """Parts as specification sheets of a workbook per brand; a third sheet must not be read."""
+    part = load(spark, sf_dir, "part")
+    sheet = F.when(F.col("p_size") % 2 == 0, "Заполнение-1").otherwise("Пришло  old")
+    cells = F.array(text("p_partkey"), F.lit(""), F.concat(F.lit("АВ-"), text("p_size")), F.col("p_name"), F.lit("2026-01-02"))
+    rows = part.select(F.col("p_brand").alias("file"), sheet.alias("sheet"), (F.col("p_partkey") + 2).alias("row_number"), cells.alias("cells"))
+    other = rows.withColumn("sheet", F.lit("Прочее"))
+    header = F.array(*[F.lit(h) for h in ("Ваш SKU", "LOT", "Спец-ия", "Менеджеры", "Месяц производства")])
+    heads = rows.select("file", "sheet").distinct().select("file", "sheet", F.lit(1).cast("bigint").alias("row_number"), header.alias("cells"))
+    read = sheets.read_spec_sheets(rows.unionByName(other).unionByName(heads))
+    specs = normalize.file_specs(read.withColumn("sheet_row", F.col("row")))
+    located = read.select("file", "sheet", "row_number", F.col("row")["Артикул"].alias("article"))
+    return located.join(specs.select("article", F.col("specification").alias("lot"), F.col("manager_name").alias("manager")), "article")
+
+
+def _cost_file(spark, sf_dir):
+    """Line items as wide cost rows, one file per ship mode flag, with a two-level header."""
+    blank = F.lit("")
+    top = [blank] * 7 + [F.lit("основной"), blank, blank, F.lit("ДЛЯ МАРКЕТПЛЕЙСОВ"), blank, blank]
+    sub = [blank] * 7 + [F.lit("Кол-во"), F.lit("Себест. единицы"), F.lit("Себестоимость")] * 2
+    lines = load(spark, sf_dir, "lineitem")
+    price = F.regexp_replace(F.format_string("%.2f", F.col("l_extendedprice")), r"\.", ",")
+    cells = [
+        text("l_orderkey"), F.lit("name"), F.concat(F.lit("00"), text("l_partkey")), text("l_suppkey"), blank, blank, blank,
+        text("l_quantity"), blank, price,
+        F.when(F.col("l_linestatus") == "O", text("l_linenumber")).otherwise(""), blank, blank,
+    ]
+    data = lines.select(
+        F.col("l_returnflag").alias("file"),
+        (F.abs(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice") / 4).cast("bigint") + 6).alias("row_number"),
+        F.array(*cells).alias("cells"),
+    )
+    files = lines.select(F.col("l_returnflag").alias("file")).distinct()
+    heads = files.select("file", F.lit(4).cast("bigint").alias("row_number"), F.array(*top).alias("cells"))
+    subs = files.select("file", F.lit(5).cast("bigint").alias("row_number"), F.array(*sub).alias("cells"))
+    return data.unionByName(heads).unionByName(subs)
+
+
+@query(
+    "two_level_unpivot",
+    """
+    SELECT l_returnflag AS file, l_partkey::VARCHAR AS article, l_suppkey::VARCHAR AS tnved_code, 'основной' AS warehouse_name, l_quantity::DOUBLE AS quantity,
+           l_extendedprice::DECIMAL(14,2)::DOUBLE AS total_cost_byn FROM lineitem
+    UNION ALL SELECT l_returnflag, l_partkey::VARCHAR, l_suppkey::VARCHAR, 'ДЛЯ МАРКЕТПЛЕЙСОВ', l_linenumber::DOUBLE, 0 FROM lineitem WHERE l_linestatus = 'O'
+    """,
+)
+def two_level_unpivot(spark, sf_dir):
+    costs = normalize.file_costs(sheets.unpivot_two_level(_cost_file(spark, sf_dir)))
+    return costs.select(
+        "file", "article", "tnved_code", "warehouse_name", F.col("quantity").cast("double").alias("quantity"),
+        F.col("total_cost_byn").cast("double").alias("total_cost_byn"),
+    )
+
+
+@query(
+    "inventory_from_costs",
+    """
+    SELECT l_partkey::VARCHAR AS article, SUM(CASE WHEN l_linestatus = 'O' THEN l_linenumber ELSE 0 END)::DOUBLE AS smp_qty, SUM(l_quantity::BIGINT)::DOUBLE AS osn_qty
+    FROM lineitem GROUP BY 1
+    """,
+)
+def inventory_from_costs(spark, sf_dir):
+    """The cost file read, merged by warehouse and turned into inventory columns."""
+    costs = normalize.file_costs(sheets.unpivot_two_level(_cost_file(spark, sf_dir)))
+    pivot = merge.pivot_inventory(merge.merge_costs(costs))
+    return pivot.select("article", F.col("smp_qty").cast("double").alias("smp_qty"), F.col("osn_qty").cast("double").alias("osn_qty"))
+
+
+@query(
+    "inventory_file",
+    """
+    SELECT l_partkey::VARCHAR AS article, SUM(l_quantity::BIGINT)::DOUBLE AS smp_qty, SUM(l_linenumber)::DOUBLE AS osn_qty FROM lineitem GROUP BY 1
+    """,
+)
+def inventory_file(spark, sf_dir):
+    """Promoted rows under either name of a warehouse."""
+    long_name = F.create_map(F.lit("Артикул"), text("l_partkey"), F.lit("ДЛЯ МАРКЕТПЛЕЙСОВ"), text("l_quantity"), F.lit("ОСН"), text("l_linenumber"))
+    rows = sheets.inventory_rows(load(spark, sf_dir, "lineitem").select(long_name.alias("row")))
+    total = merge.sum_inventory(rows)
+    return total.select("article", F.col("smp_qty").cast("double").alias("smp_qty"), F.col("osn_qty").cast("double").alias("osn_qty"))
+
+
+@query(
+    "delimited_text",
+    """
+    SELECT doc_id, 'товар;' || lang AS label, sha256(regexp_replace(text, '[\\t\\r\\n"]', ' ', 'g')) AS text_sha FROM documents
+    """,
+)
+def delimited_text(spark, sf_dir):
+    """Whole documents written as tab-separated text with quoted cells, and read back."""
+    body = F.regexp_replace("text", '[\t\r\n"]', " ")
+    line = F.concat_ws("\t", text("doc_id"), F.concat(F.lit('"товар;'), "lang", F.lit('"')), F.concat(F.lit('"'), body, F.lit('"')))
+    path = scratch_path(spark, "delimited")
+    load(spark, sf_dir, "documents").select(line).write.text(path)
+    rows = read_delimited(spark, path)
+    return rows.select(
+        F.col("cells")[0].cast("bigint").alias("doc_id"), F.col("cells")[1].alias("label"), F.sha2(F.col("cells")[2], 256).alias("text_sha")
+    )

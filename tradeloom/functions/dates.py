@@ -12,6 +12,7 @@ ISO_TEXT = (
     r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?"
     r"(Z|[+-][0-9]{2}:[0-9]{2})?$"
 )
+WITHOUT_SECONDS = r"^([0-9-]{10}[T ][0-9]{2}:[0-9]{2})(Z|[+-][0-9]{2}:[0-9]{2})?$"
 OFFSET_TEXT = r"(Z|[+-][0-9]{2}:[0-9]{2})$"
 
 # Russian month names, nominative and genitive.
@@ -34,6 +35,7 @@ def parse_ts(value: Column | str, naive_offset: str = "Z") -> Column:
     """ISO 8601 text to TIMESTAMP; text without an offset is read at ``naive_offset``."""
     text = F.trim(as_column(value).cast("string"))
     clock = F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
+    clock = F.regexp_replace(clock, WITHOUT_SECONDS, "$1:00$2")
     full = ensure_offset(clock, naive_offset)
     return F.when(text.rlike(ISO_TEXT), full.try_cast("timestamp"))
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INTEGER_TEXT = r"^[+-]?[0-9]+$"
-NUMBER_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PLAIN_NUMBER_TEXT = r"^-?[0-9]+(\.[0-9]+)?$"
 NBSP = "\u00a0"
 
@@ -17,21 +15,18 @@ def as_column(value: Column | str) -> Column:
 
 def clean_number_text(value: Column | str, nbsp: bool = False) -> Column:
     """Drop spaces (and U+00A0 when asked) and turn a decimal comma into a dot."""
-    text = as_column(value).cast("string")
-    text = F.regexp_replace(text, f"[ {NBSP}]" if nbsp else " ", "")
-    return F.trim(F.regexp_replace(text, ",", "."))
+    dropped = f" {NBSP}" if nbsp else " "
+    return F.translate(as_column(value).cast("string"), f",{dropped}", ".")
 
 
 def parse_int_strict(value: Column | str) -> Column:
     """Whole-number text to BIGINT; anything else is null."""
-    text = F.trim(as_column(value).cast("string"))
-    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
+    return as_column(value).cast("string").try_cast("bigint")
 
 
 def parse_int_lenient_null(value: Column | str) -> Column:
     """Number text truncated towards zero; bad text is null."""
-    text = clean_number_text(value)
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double").try_cast("bigint"))
+    return clean_number_text(value).try_cast("decimal(38,10)").try_cast("bigint")
 
 
 def parse_int_lenient(value: Column | str) -> Column:
@@ -47,8 +42,7 @@ def parse_number(
     nbsp: bool = False,
 ) -> Column:
     """Number text with spaces and a decimal comma to DECIMAL(precision, scale)."""
-    text = clean_number_text(value, nbsp=nbsp)
-    number = F.when(text.rlike(NUMBER_TEXT), text.try_cast(f"decimal({precision},{scale})"))
+    number = clean_number_text(value, nbsp=nbsp).try_cast(f"decimal({precision},{scale})")
     if default is None:
         return number
     return F.coalesce(number, F.lit(default).cast(f"decimal({precision},{scale})"))
@@ -57,15 +51,14 @@ def parse_number(
 def numeric_cell(value: Column | str, strict: bool = False) -> Column:
     """Cell text to DECIMAL(18,4); ``strict`` accepts plain digits and one dot only."""
     if strict:
-        text = F.regexp_replace(as_column(value).cast("string"), ",", ".")
+        text = F.translate(as_column(value).cast("string"), ",", ".")
         return F.when(text.rlike(PLAIN_NUMBER_TEXT), text.try_cast("decimal(18,4)"))
     return parse_number(value, 18, 4)
 
 
 def report_number(value: Column | str, scale: int = 2) -> Column:
     """Report text without any white space to DECIMAL; unreadable text counts as 0."""
-    text = F.regexp_replace(F.coalesce(as_column(value), F.lit("")), ",", ".")
-    text = F.regexp_replace(text, r"\s+", "")
+    text = F.translate(as_column(value), ", \t\n\u000b\f\r", ".")
     number = F.when(text.rlike(PLAIN_NUMBER_TEXT), text.try_cast(f"decimal(18,{scale})"))
     return F.coalesce(number, F.lit(0).cast(f"decimal(18,{scale})"))
 

@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tradeloom.functions.numbers import NBSP, as_column
+from tradeloom.functions.numbers import NBSP, PLAIN_NUMBER_TEXT, as_column
 
 # Cyrillic letters that look like Latin ones in lot codes.
 LOT_CYRILLIC = "АВЕКМНОРСТУХавекмнорстух"
 LOT_LATIN = "ABEKMHOPCTYXABEKMHOPCTYX"
 
+# sign, digits without leading zeros, fraction without trailing zeros
+CELL_NUMBER_PARTS = r"^(-?)0*([0-9]+)(?:\.0*|(\.[0-9]*[1-9])0*)?$"
+
 TRUE_WORDS = ("true", "1", "yes")
 FALSE_WORDS = ("false", "0", "no")
 
@@ -77,25 +80,15 @@ def article_or_sku(article: Column | str, sku: Column | str) -> Column:
 def norm_header(value: Column | str, fold_yo: bool = False) -> Column:
     """Header text for comparison: trimmed, lower case, U+00A0 as space."""
     text = F.lower(F.trim(F.coalesce(as_column(value).cast("string"), F.lit(""))))
-    text = F.regexp_replace(text, NBSP, " ")
-    return F.regexp_replace(text, "ё", "е") if fold_yo else text
+    return F.translate(text, f"{NBSP}ё", " е") if fold_yo else F.translate(text, NBSP, " ")
 
 
 def normalize_cell(value: Column | str) -> Column:
     """Cell text for comparison: numbers by value, everything else trimmed."""
     text = F.trim(F.coalesce(as_column(value).cast("string"), F.lit("")))
-    compact = F.regexp_replace(F.regexp_replace(text, f"[ {NBSP}]", ""), ",", ".")
-    is_number = compact.rlike(r"^-?[0-9]+(\.[0-9]+)?$")
-    sign = F.when(compact.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_replace(compact, "^-", "")
-    whole = F.regexp_replace(F.substring_index(digits, ".", 1), r"^0+(?=[0-9])", "")
-    fraction = F.when(
-        F.instr(digits, ".") > 0,
-        F.regexp_replace(F.substring_index(digits, ".", -1), "0+$", ""),
-    ).otherwise(F.lit(""))
-    plain = F.when(fraction == "", whole).otherwise(F.concat(whole, F.lit("."), fraction))
-    signed = F.when(plain == "0", F.lit("0")).otherwise(F.concat(sign, plain))
-    return F.when(is_number, signed).otherwise(text)
+    compact = F.translate(text, f", {NBSP}", ".")
+    plain = F.regexp_replace(compact, CELL_NUMBER_PARTS, "$1$2$3")
+    return F.when(compact.rlike(PLAIN_NUMBER_TEXT), F.when(plain == "-0", "0").otherwise(plain)).otherwise(text)
 
 
 def lookup_label(value: Column | str, labels: dict[str, str], missing: str = "-") -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.functions import dates, images, jsonpath, numbers, text
+from tradeloom.functions import dates, images, numbers, text
 
 Parser = Callable[[Column], Column]
 Field = tuple[str, str, Parser]
@@ -35,40 +35,48 @@ trimmed = text.blank_to_null
 price = numbers.price_amount
 
 
-def _schema(paths: list[str]) -> T.StructType:
-    """All-text struct holding every dotted path."""
+def _schema(paths: list[str], arrays: tuple[str, ...] = ()) -> T.StructType:
+    """Struct holding every dotted path as text, the ``arrays`` among them as arrays of JSON text."""
     tree: dict = {}
-    for path in paths:
+    for path in (*paths, *arrays):
         node = tree
         for part in path.split("."):
             node = node.setdefault(part, {})
 
-    def build(node: dict) -> T.DataType:
+    def build(node: dict, prefix: str) -> T.DataType:
         if not node:
-            return T.StringType()
-        return T.StructType([T.StructField(name, build(child)) for name, child in node.items()])
+            return T.ArrayType(T.StringType()) if prefix in arrays else T.StringType()
+        return T.StructType(
+            [T.StructField(name, build(child, f"{prefix}.{name}" if prefix else name)) for name, child in node.items()]
+        )
 
-    return build(tree)
+    return build(tree, "")
 
 
-def read_record(df: DataFrame, paths: list[str], payload: str = "payload") -> DataFrame:
-    """Add ``__r``, the record with all listed paths as text."""
-    return df.withColumn("__r", F.from_json(payload, _schema(paths)))
+def elements(path: str, record: str = "__r") -> Column:
+    """Array of a record, empty when absent."""
+    return F.coalesce(F.col(f"{record}.{path}"), F.array().cast("array<string>"))
 
 
 def apply_fields(
     df: DataFrame,
     fields: list[Field],
     required: list[str],
-    extra: list[str] | None = None,
-    keep_columns: list[str] | None = None,
+    arrays: tuple[str, ...] = (),
+    derived: dict[str, Column] | None = None,
+    texts: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Typed columns of a record; rows lacking a required column are dropped."""
-    paths = [path for _, path, _ in fields] + list(extra or [])
-    record = read_record(df, paths)
+    """Typed columns of a record, read in one pass; rows lacking a required column are dropped.
+
+    ``derived`` columns are built on the record ``__r``, which also holds the paths in
+    ``arrays`` and ``texts``.
+    """
+    schema = _schema([path for _, path, _ in fields] + list(texts), arrays)
+    record = df.withColumn("__r", F.from_json("payload", schema))
     typed = {name: parse(F.col(f"__r.{path}")) for name, path, parse in fields}
-    kept = [c for c in (keep_columns or df.columns) if c not in typed]
-    result = record.select(*kept, *[c.alias(n) for n, c in typed.items()], *(["__r"] if extra else []))
+    typed |= derived or {}
+    kept = [c for c in df.columns if c not in typed]
+    result = record.select(*kept, *[c.alias(n) for n, c in typed.items()])
     for name in required:
         result = result.where(F.col(name).isNotNull() & (F.col(name).cast("string") != ""))
     return result
@@ -215,54 +223,56 @@ def wb_feed_orders(df: DataFrame) -> DataFrame:
     return apply_fields(df, WB_FEED_ORDER, ["srid"])
 
 
+POSTING_ARRAYS = ("products", "financial_data.products", "additional_data")
+
+
+def _posting_fields(keep_arrays: bool) -> dict[str, Column]:
+    sizes = {
+        "products_count": F.size(elements("products")),
+        "financial_products_count": F.size(elements("financial_data.products")),
+        "additional_data_count": F.size(elements("additional_data")),
+        "additional_data": elements("additional_data"),
+    }
+    if keep_arrays:
+        sizes |= {"__products": elements("products"), "__finance": elements("financial_data.products")}
+    return sizes
+
+
 def postings(df: DataFrame) -> DataFrame:
     """Posting headers with the sizes of their arrays."""
-    rows = apply_fields(df, POSTING, ["posting_number"])
-    return rows.withColumns(
-        {
-            "products_count": jsonpath.json_array_size("payload", "$.products"),
-            "financial_products_count": jsonpath.json_array_size("payload", "$.financial_data.products"),
-            "additional_data_count": jsonpath.json_array_size("payload", "$.additional_data"),
-            "additional_data": jsonpath.json_array("payload", "$.additional_data"),
-        }
-    )
+    return apply_fields(df, POSTING, ["posting_number"], POSTING_ARRAYS, _posting_fields(False))
 
 
 def order_items(df: DataFrame) -> DataFrame:
     """One row per product of a posting, paired by position with its financial record."""
-    headers = postings(df)
-    lines = headers.withColumn(
-        "__finance", jsonpath.json_array("payload", "$.financial_data.products")
-    ).select("*", F.posexplode(jsonpath.json_array("payload", "$.products")).alias("__pos", "product_payload"))
+    headers = apply_fields(df, POSTING, ["posting_number"], POSTING_ARRAYS, _posting_fields(True))
+    lines = headers.select("*", F.posexplode("__products").alias("__pos", "__product"))
+    paired = F.get("__finance", F.col("__pos"))
     empty = F.lit("{}")
     lines = lines.withColumns(
         {
             "line_number": F.col("__pos") + 1,
-            "product_payload": F.when(F.col("product_payload").startswith("{"), F.col("product_payload")).otherwise(empty),
-            "financial_product_payload": F.coalesce(
-                F.when(F.get("__finance", F.col("__pos")).startswith("{"), F.get("__finance", F.col("__pos"))), empty
-            ),
+            "product_payload": F.when(F.col("__product").startswith("{"), F.col("__product")).otherwise(empty),
+            "financial_product_payload": F.when(paired.startswith("{"), paired).otherwise(empty),
         }
+    ).drop("__products", "__finance", "__pos", "__product")
+    product = _schema([p for _, p, _ in ORDER_PRODUCT] + ["offer_id", "price", "currency_code"], ("digital_codes",))
+    finance = _schema([p for _, p, _ in ORDER_FINANCE], ("actions",))
+    lines = lines.withColumns(
+        {"__p": F.from_json("product_payload", product), "__f": F.from_json("financial_product_payload", finance)}
     )
-    product = F.from_json(
-        "product_payload", _schema([p for _, p, _ in ORDER_PRODUCT] + ["offer_id", "price", "currency_code"])
-    )
-    finance = F.from_json("financial_product_payload", _schema([p for _, p, _ in ORDER_FINANCE]))
-    lines = lines.withColumns({"__p": product, "__f": finance})
-    codes = jsonpath.json_array("product_payload", "$.digital_codes")
-    actions = jsonpath.json_array("financial_product_payload", "$.actions")
     typed = {
         **{name: parse(F.col(f"__p.{path}")) for name, path, parse in ORDER_PRODUCT},
         **{name: parse(F.col(f"__f.{path}")) for name, path, parse in ORDER_FINANCE},
         "product_offer_id": F.coalesce(F.trim("__p.offer_id"), F.lit("")),
         "product_price_amount": price(F.col("__p.price")),
         "product_price_currency": numbers.price_currency("__p.price", "__p.currency_code"),
-        "product_digital_codes": codes,
-        "product_digital_codes_count": F.size(codes),
-        "financial_actions": actions,
-        "financial_actions_count": F.size(actions),
+        "product_digital_codes": elements("digital_codes", "__p"),
+        "product_digital_codes_count": F.size(elements("digital_codes", "__p")),
+        "financial_actions": elements("actions", "__f"),
+        "financial_actions_count": F.size(elements("actions", "__f")),
     }
-    return lines.withColumns(typed).drop("__p", "__f", "__pos", "__finance")
+    return lines.withColumns(typed).drop("__p", "__f")
 
 
 def wb_stocks(df: DataFrame) -> DataFrame:
@@ -274,39 +284,39 @@ def wb_stocks(df: DataFrame) -> DataFrame:
 
 
 def product_list(df: DataFrame) -> DataFrame:
-    rows = apply_fields(df, PRODUCT_LIST_ITEM, ["product_id"])
-    return rows.withColumn("quants_count", jsonpath.json_array_size("payload", "$.quants"))
+    return apply_fields(
+        df, PRODUCT_LIST_ITEM, ["product_id"], ("quants",), {"quants_count": F.size(elements("quants"))}
+    )
+
+
+PRODUCT_ARRAYS = ("images", "barcodes", "commissions")
+
+
+def _product_fields() -> dict[str, Column]:
+    raw_image = F.col("__r.primary_image")
+    first_image = F.when(raw_image.startswith("["), F.get(F.from_json(raw_image, "array<string>"), F.lit(0)))
+    return {
+        "product_id": integer(F.coalesce(some_text(F.col("__r.id")), F.col("__r.product_id"))),
+        "primary_image": some_text(F.coalesce(first_image, F.when(~raw_image.startswith("["), raw_image))),
+        "images_count": F.size(elements("images")),
+        "barcodes_count": F.size(elements("barcodes")),
+        "commissions_count": F.size(elements("commissions")),
+    }
+
+
+PRODUCT_TEXTS = ("id", "product_id", "primary_image")
 
 
 def product_info(df: DataFrame) -> DataFrame:
     """Product details; the id is ``id``, else ``product_id``."""
-    rows = apply_fields(df, PRODUCT_INFO_ITEM, [])
-    raw_id = F.coalesce(
-        F.nullif(F.get_json_object("payload", "$.id"), F.lit("")), F.get_json_object("payload", "$.product_id")
-    )
-    raw_image = F.get_json_object("payload", "$.primary_image")
-    first_image = F.when(raw_image.startswith("["), F.get(F.from_json(raw_image, "array<string>"), F.lit(0)))
-    return rows.withColumns(
-        {
-            "product_id": integer(raw_id),
-            "primary_image": some_text(F.when(raw_image.startswith("["), first_image).otherwise(raw_image)),
-            "images_count": jsonpath.json_array_size("payload", "$.images"),
-            "barcodes_count": jsonpath.json_array_size("payload", "$.barcodes"),
-            "commissions_count": jsonpath.json_array_size("payload", "$.commissions"),
-        }
-    ).where(F.col("product_id").isNotNull())
+    return apply_fields(df, PRODUCT_INFO_ITEM, ["product_id"], PRODUCT_ARRAYS, _product_fields(), PRODUCT_TEXTS)
 
 
 def cluster_stocks(df: DataFrame) -> DataFrame:
     """Cluster stock rows with the derived in-way total."""
-    rows = apply_fields(df, CLUSTER_STOCK, ["sku"])
+    rows = apply_fields(df, CLUSTER_STOCK, ["sku"], ("item_tags",), {"item_tags_count": F.size(elements("item_tags"))})
     in_way = F.col("requested_stock_count") + F.col("transit_stock_count") + F.col("return_from_customer_stock_count")
-    return rows.withColumns(
-        {
-            "in_way_to_warehouse_count": in_way,
-            "item_tags_count": jsonpath.json_array_size("payload", "$.item_tags"),
-        }
-    )
+    return rows.withColumn("in_way_to_warehouse_count", in_way)
 
 
 AD_METRICS = "nmId string, sum string, views string, clicks string, atbs string, orders string, shks string, sum_price string"
@@ -317,10 +327,9 @@ AD_DAYS = (
 
 def ad_statistics(df: DataFrame) -> DataFrame:
     """Campaign statistics flattened to one row per (advert, day, app, item)."""
-    record = df.select(
-        integer(F.get_json_object("payload", "$.advertId")).alias("advert_id"),
-        F.from_json(F.get_json_object("payload", "$.days"), AD_DAYS).alias("days"),
-    ).where(F.col("advert_id").isNotNull() & (F.col("advert_id") != 0))
+    record = df.select(F.from_json("payload", f"struct<advertId string, days {AD_DAYS}>").alias("__r"))
+    record = record.select(integer(F.col("__r.advertId")).alias("advert_id"), F.col("__r.days").alias("days"))
+    record = record.where(F.col("advert_id").isNotNull() & (F.col("advert_id") != 0))
     day_rows = record.select("advert_id", F.explode("days").alias("d"))
     app_rows = day_rows.select(
         "advert_id", F.substring("d.date", 1, 10).alias("stat_date"), F.explode("d.apps").alias("app")
@@ -338,48 +347,59 @@ def ad_statistics(df: DataFrame) -> DataFrame:
     ).where(F.col("nm_id").isNotNull() & (F.col("nm_id") != 0))
 
 
-PHOTOS = "array<struct<big string, c516x688 string, c246x328 string, tm string, square string>>"
-
-
-def _first_present(*paths: str) -> Column:
-    return F.coalesce(*[F.nullif(F.get_json_object("payload", p), F.lit("")) for p in paths])
+CARD_SCHEMA = (
+    "struct<nmID string, nm_id string, vendorCode string, vendor_code string, title string, name string, "
+    "brand string, imtID string, subjectID string, subjectName string, "
+    "photos array<struct<big string, c516x688 string, c246x328 string, tm string, square string>>, sizes array<string>>"
+)
 
 
 def wb_cards(df: DataFrame) -> DataFrame:
     """Content cards as product cards; the article is the vendor code, else the id."""
-    photos = F.from_json(F.get_json_object("payload", "$.photos"), PHOTOS)
-    rows = df.withColumns({"nm_id": integer(_first_present("$.nmID", "$.nmId", "$.nm_id")), "images": images.photo_urls(photos)})
-    rows = rows.where(F.col("nm_id").isNotNull())
-    vendor = F.coalesce(trimmed(_first_present("$.vendorCode", "$.vendor_code")), F.col("nm_id").cast("string"))
-    title = trimmed(_first_present("$.title", "$.name"))
-    return rows.withColumns(
+
+    def either(*names: str) -> Column:
+        return F.coalesce(*[some_text(F.col(f"__r.{n}")) for n in names])
+
+    def other_case(name: str) -> Column:
+        return some_text(F.get_json_object("payload", f"$.{name}"))
+
+    photos = F.coalesce("__r.photos", F.array().cast("array<struct<big string, c516x688 string, c246x328 string, tm string, square string>>"))
+    rows = df.withColumn("__r", F.from_json("payload", CARD_SCHEMA)).withColumns(
+        {
+            "nm_id": integer(F.coalesce(either("nmID"), other_case("nmId"), either("nm_id"))),
+            "images": images.photo_urls(photos),
+            "product_name": trimmed(either("title", "name")),
+            "brand": trimmed(F.col("__r.brand")),
+            "photos_count": F.size(photos),
+            "sizes_count": F.size(elements("sizes")),
+            "imt_id": integer(F.coalesce(either("imtID"), other_case("imtId"))),
+            "subject_id": integer(F.coalesce(either("subjectID"), other_case("subjectId"))),
+            "subject_name": trimmed(F.col("__r.subjectName")),
+            "vendor_code": trimmed(either("vendorCode", "vendor_code")),
+        }
+    )
+    return rows.where(F.col("nm_id").isNotNull()).drop("__r").withColumns(
         {
             "marketplace": F.lit("wb"),
-            "article": vendor,
+            "article": F.coalesce("vendor_code", F.col("nm_id").cast("string")),
             "product_id": F.col("nm_id").cast("string"),
             "marketplace_sku": F.col("nm_id"),
-            "product_name": title,
-            "brand": trimmed(F.get_json_object("payload", "$.brand")),
             "primary_image": F.get("images", F.lit(0)),
             "images_count": F.size("images"),
-            "photos_count": jsonpath.json_array_size("payload", "$.photos"),
-            "sizes_count": jsonpath.json_array_size("payload", "$.sizes"),
-            "imt_id": integer(_first_present("$.imtID", "$.imtId")),
-            "subject_id": integer(_first_present("$.subjectID", "$.subjectId")),
-            "subject_name": trimmed(F.get_json_object("payload", "$.subjectName")),
         }
     )
 
 
 def ozon_cards(df: DataFrame) -> DataFrame:
     """Product details as product cards; the primary image leads the list when missing from it."""
-    rows = product_info(df)
-    listed = images.image_url_list(F.get_json_object("payload", "$.images"))
-    listed = F.array_distinct(F.coalesce(listed, F.array().cast("array<string>")))
-    primary = F.coalesce(trimmed(F.col("primary_image")), F.get(listed, F.lit(0)))
-    ordered = F.when(primary.isNull() | F.array_contains(listed, F.coalesce(primary, F.lit(""))), listed).otherwise(
-        F.concat(F.array(primary), listed)
-    )
+    derived = _product_fields() | {
+        "__images": F.array_distinct(F.filter(elements("images"), lambda u: u.isNotNull() & (F.trim(u) != "")))
+    }
+    rows = apply_fields(df, PRODUCT_INFO_ITEM, ["product_id"], PRODUCT_ARRAYS, derived, PRODUCT_TEXTS)
+    rows = rows.withColumn("primary_image", F.coalesce(trimmed(F.col("primary_image")), F.get("__images", F.lit(0))))
+    primary = F.col("primary_image")
+    listed = primary.isNull() | F.array_contains("__images", F.coalesce(primary, F.lit("")))
+    ordered = F.when(listed, F.col("__images")).otherwise(F.concat(F.array(primary), F.col("__images")))
     return rows.withColumns(
         {
             "marketplace": F.lit("ozon"),
@@ -388,11 +408,10 @@ def ozon_cards(df: DataFrame) -> DataFrame:
             "marketplace_sku": F.col("sku"),
             "product_name": F.col("name"),
             "brand": F.lit(None).cast("string"),
-            "primary_image": primary,
             "images": ordered,
             "images_count": F.size(ordered),
         }
-    )
+    ).drop("__images")
 
 
 def erp_products(df: DataFrame) -> DataFrame:

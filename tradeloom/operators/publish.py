@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.text import normalize_cell
 from tradeloom.operators.keyed import first_per_key
 from tradeloom.operators.ordered import dense_ordinal
+from tradeloom.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -90,16 +91,12 @@ def shape_for_publish(df: DataFrame, columns: Sequence[str], block: BlockSpec) -
 
 
 def _normal(df: DataFrame, cells: Sequence[str], key_columns: int) -> DataFrame:
-    keys = [normalize_cell(F.col(c)) for c in cells[:key_columns]]
+    normal = df.select("position", F.struct(*cells).alias("cells"), *[normalize_cell(F.col(c)).alias(c) for c in cells])
     valid = F.lit(True)
-    for k in keys:
-        valid = valid & (k != "")
-    return df.select(
-        "position",
-        F.struct(*cells).alias("cells"),
-        F.struct(*[k.alias(c) for k, c in zip(keys, cells, strict=False)]).alias("key"),
-        F.struct(*[normalize_cell(F.col(c)).alias(c) for c in cells]).alias("normal"),
-        valid.alias("valid"),
+    for c in cells[:key_columns]:
+        valid = valid & (F.col(c) != "")
+    return normal.select(
+        "position", "cells", F.struct(*cells[:key_columns]).alias("key"), F.struct(*cells).alias("normal"), valid.alias("valid")
     )
 
 
@@ -214,7 +211,8 @@ def apply_plan(
     """
     if replace:
         return target.select("position", *cells)
-    actions = classify_rows(existing, target, cells, key_columns)
+    ensure_checkpoint_dir(existing.sparkSession)
+    actions = classify_rows(existing, target, cells, key_columns).checkpoint()  # read three times below
     # the last target row of a key is written last and stays
     writes = first_per_key(
         actions.where(F.col("action") == "changed").select("position", "row_number", F.col("cells").alias("new")),
