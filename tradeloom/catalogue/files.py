@@ -32,7 +32,7 @@ SQL_HEADER = """
 
 @query("header_detect", f"WITH {SQL_HEADER} SELECT file, header_row FROM h")
 def header_detect(spark, sf_dir):
-    return sheets.detect_header(_conversation_rows(spark, sf_dir), WORDS)
+    return sheets.detect_header(_conversation_rows(spark, sf_dir), WORDS).select("file", "header_row")
 
 
 @query(

@@ -371,7 +371,8 @@ def file_pipeline(spark, sf_dir):
         "Ваш SKU": text("l_partkey"), "согласование заказа": text("l_quantity"), "в производстве": F.lit("-"), "готов": text("l_linenumber"),
         "Дата Минск": F.concat_ws(" ", month, F.year("l_shipdate")),
     }
-    rows = normalize.pipeline_columns(load(spark, sf_dir, "lineitem").select(named_row(fields).alias("row")))
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", named_row(fields).alias("row"))
+    rows = normalize.pipeline_columns(lines, ("l_orderkey", "l_linenumber"))
     return normalize.file_pipeline(rows)
 
 

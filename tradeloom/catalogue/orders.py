@@ -172,7 +172,7 @@ def order_feed_page(spark, sf_dir):
     lines = order_lines(spark, sf_dir).withColumns(
         {"order_group_key": F.coalesce("order_number", "posting_number"), "sort_date": F.coalesce("in_process_at", "created_at")}
     )
-    return plans.feed_page(lines, limit=50, offset=10).select(
+    return plans.feed_page(lines, limit=50, offset=10, ties=("order_key", "l_linenumber", "l_partkey")).select(
         "order_group_key", F.to_date("group_date").alias("group_date"), "order_key", "l_linenumber", "l_partkey", "l_extendedprice"
     )
 

@@ -133,15 +133,19 @@ def period_join(spark, sf_dir):
 @query(
     "placement_flat",
     """
-    SELECT l_orderkey::VARCHAR AS report_code, l_linenumber AS row_number, l_partkey AS sku, o_orderdate::DATE AS date_from, o_orderdate::DATE AS date_to
-    FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey
+    SELECT l_shipdate::DATE::VARCHAR AS report_code, l_orderkey, l_linenumber AS row_number, l_partkey AS sku, d AS date_from, d AS date_to
+    FROM lineitem LEFT JOIN (SELECT DISTINCT o_orderdate::DATE AS d FROM orders) ON d = l_shipdate::DATE
     """,
 )
 def placement_flat(spark, sf_dir):
+    """One report per order date; line items are rows of the report of their ship date."""
+    day = F.to_date("o_orderdate")
+    reports = load(spark, sf_dir, "orders").select(day.cast("string").alias("code"), day.alias("date_from"), day.alias("date_to")).distinct()
     rows = load(spark, sf_dir, "lineitem").select(
-        text("l_orderkey").alias("report_code"), F.col("l_linenumber").alias("row_number"), F.col("l_partkey").alias("sku")
+        F.to_date("l_shipdate").cast("string").alias("report_code"), "l_orderkey", F.col("l_linenumber").alias("row_number"),
+        F.col("l_partkey").alias("sku"),
     )
-    return plans.placement_flat(rows, _reports(spark, sf_dir))
+    return plans.placement_flat(rows, reports)
 
 
 def _product_payload(spark, sf_dir):

@@ -76,9 +76,13 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 def append_new(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str], arrival: Sequence[str]
 ) -> DataFrame:
-    """Incoming rows whose key the target lacks, first arrival of each key."""
-    fresh = incoming.join(target.select(*keys), list(keys), "left_anti")
-    return first_per_key(fresh, keys, [F.col(a).asc_nulls_last() for a in arrival]).select(*incoming.columns)
+    """Incoming rows whose key the target lacks, first arrival of each key.
+
+    Both sides are reduced to one row per key before they meet.
+    """
+    first = first_per_key(incoming, keys, [F.col(a).asc_nulls_last() for a in arrival])
+    known = target.select(*keys).distinct()
+    return first.join(known, list(keys), "left_anti").select(*incoming.columns)
 
 
 def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -151,7 +155,7 @@ def rebuild_versions(log: DataFrame, replay: DataFrame, run_id: str, run_column:
 
 def seed_versions(log: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A first version for every current key that has none."""
-    return current.join(log.select(*keys), list(keys), "left_anti").select(*current.columns)
+    return current.join(log.select(*keys).distinct(), list(keys), "left_anti").select(*current.columns)
 
 
 def replace_slice(table: DataFrame, rows: DataFrame, column: str, value: object) -> DataFrame:

@@ -543,8 +543,8 @@ def placement_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_columns(df: DataFrame) -> DataFrame:
-    """Supply pipeline sheet to the published column names, ordered by article text."""
+def pipeline_columns(df: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Supply pipeline sheet to the published column names, ordered by article text, then ``ties``."""
     from tradeloom.sources.sheets import is_article_header, pick_by_header
 
     article = F.coalesce(F.nullif(_cell("Артикул"), F.lit("")), pick_by_header("row", is_article_header))
@@ -558,7 +558,7 @@ def pipeline_columns(df: DataFrame) -> DataFrame:
     return (
         df.withColumn("row", F.create_map(*pairs))
         .where(F.coalesce(_cell("Артикул"), F.lit("")) != "")
-        .orderBy(_cell("Артикул"))
+        .orderBy(_cell("Артикул"), *ties)
     )
 
 

@@ -1,9 +1,12 @@
 """Ordered calculations within a key that may hold a large share of all rows.
 
 A window over the whole key would put that key on one task. Here every key is cut
-into buckets of its leading order column. The window runs inside a bucket, one
-small row per (key, bucket) carries the total of the buckets before it, and the
-two are joined. The bucket size is the caller's choice and bounds a task.
+into buckets that follow its order. The window runs inside a bucket, one small row
+per (key, bucket) carries the total of the buckets before it, and the two are joined.
+
+Buckets come from an expression over the leading order column, usually a calendar
+unit. Their size is measured first; when one holds more rows than a task should sort,
+the rows are range-partitioned by key and order instead, which splits any group.
 """
 
 from __future__ import annotations
@@ -16,6 +19,36 @@ from pyspark.sql import functions as F
 from tradeloom.session import ensure_checkpoint_dir
 
 BUCKET = "__bucket"
+LARGEST_BUCKET = 20_000_000
+
+
+def _ranged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in evenly filled partitions sorted by ``columns``: ``__part`` and ``__pos`` give the place.
+
+    The result is kept in the checkpoint folder, so the sampled partition bounds are the
+    same for everything read from it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return (
+        df.repartitionByRange(*_sort(columns))
+        .sortWithinPartitions(*_sort(columns))
+        .withColumn("__at", F.monotonically_increasing_id())
+        .checkpoint()
+        .withColumn("__part", F.shiftright("__at", 33))
+        .withColumn("__pos", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
+        .drop("__at")
+    )
+
+
+def _bucketed(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, largest: int = LARGEST_BUCKET
+) -> DataFrame:
+    """The rows with their bucket, by expression or, if that leaves too large a one, by range."""
+    rows = df.withColumn(BUCKET, bucket)
+    sizes = rows.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("rows"))
+    if (sizes.agg(F.max("rows")).first()[0] or 0) <= largest:
+        return rows
+    return _ranged(df, [*keys, *order]).withColumnRenamed("__part", BUCKET).drop("__pos")
 
 
 def _sort(order: Sequence[str]) -> list[Column]:
@@ -38,6 +71,7 @@ def version_numbers(
     bucket: Column,
     previous: dict[str, str] | None = None,
     number: str = "version_no",
+    largest: int = LARGEST_BUCKET,
 ) -> DataFrame:
     """Number the rows of each key by ``order`` and add previous values.
 
@@ -46,7 +80,7 @@ def version_numbers(
     first order column rises.
     """
     previous = previous or {}
-    rows = df.withColumn(BUCKET, bucket)
+    rows = _bucketed(df, keys, order, bucket, largest)
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*_sort(order))
     sources = sorted(set(previous.values()))
 
@@ -83,9 +117,10 @@ def running_total(
     bucket: Column,
     value: str,
     name: str,
+    largest: int = LARGEST_BUCKET,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the key to this row, inclusive."""
-    rows = df.withColumn(BUCKET, bucket)
+    rows = _bucketed(df, keys, order, bucket, largest)
     inside = (
         Window.partitionBy(*keys, BUCKET)
         .orderBy(*_sort(order))
@@ -104,42 +139,19 @@ def running_total(
     return joined.withColumn(name, total).drop(BUCKET, "__offset")
 
 
-def dense_ordinal(df: DataFrame, position: str, name: str, width: int = 1_000_000) -> DataFrame:
-    """Number the rows 1..n by ``position``, a unique whole number that may have gaps.
-
-    A task sorts at most ``width`` rows; the carried totals are one row per bucket.
-    """
-    return version_numbers(
-        df.withColumn("__all", F.lit(0)),
-        ["__all"],
-        [position],
-        F.floor(F.col(position) / F.lit(width)),
-        number=name,
-    ).drop("__all")
-
-
-def id_chunks(df: DataFrame, column: str, size: int) -> DataFrame:
-    """Distinct sorted ids cut into chunks of ``size``: (id, ordinal, chunk).
-
-    Ids are range-partitioned and sorted once, then kept in the checkpoint folder so
-    that the partition bounds cannot change between the two reads below.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    ids = df.select(column).where(F.col(column).isNotNull()).distinct()
-    ranged = (
-        ids.repartitionByRange(F.col(column))
-        .sortWithinPartitions(column)
-        .withColumn("__at", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("__part", F.shiftright("__at", 33))
-        .withColumn("__pos", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
-    )
+def dense_ordinal(df: DataFrame, columns: Sequence[str], name: str = "ordinal") -> DataFrame:
+    """Number all rows 1..n by ``columns``, whatever their number and gaps."""
+    ranged = _ranged(df, columns)
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     # one row per partition of the range exchange
     before = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
-    return ranged.join(offsets, "__part").select(
-        column,
-        (F.col("__offset") + F.col("__pos") + 1).alias("ordinal"),
-        F.floor((F.col("__offset") + F.col("__pos")) / F.lit(size)).cast("bigint").alias("chunk"),
-    )
+    numbered = ranged.join(F.broadcast(offsets), "__part")
+    return numbered.withColumn(name, F.col("__offset") + F.col("__pos") + 1).drop("__part", "__pos", "__offset")
+
+
+def id_chunks(df: DataFrame, column: str, size: int) -> DataFrame:
+    """Distinct sorted ids cut into chunks of ``size``: (id, ordinal, chunk)."""
+    ids = df.select(column).where(F.col(column).isNotNull()).distinct()
+    chunk = F.floor((F.col("ordinal") - 1) / F.lit(size)).cast("bigint")
+    return dense_ordinal(ids, [column]).withColumn("chunk", chunk)

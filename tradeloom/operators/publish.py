@@ -123,7 +123,7 @@ def classify_rows(
     unkeyed = new.where(~F.col("valid")).select(
         F.lit("appended").alias("action"), "position", F.lit(None).cast("bigint").alias("row_number"), "cells"
     )
-    stale = old.join(new.where("valid").select("key"), "key", "left_anti").select(
+    stale = old.join(new.where("valid").select("key").distinct(), "key", "left_anti").select(
         F.lit("stale").alias("action"), F.lit(None).cast("bigint").alias("position"), "row_number",
         F.col("old_cells").alias("cells"),
     )
@@ -136,7 +136,7 @@ def order_mismatches(
     """Ordinals at which the two key sequences differ."""
     def ranked(df: DataFrame, name: str) -> DataFrame:
         keyed = _normal(df, cells, key_columns).where("valid").select("position", F.col("key").alias(name))
-        return dense_ordinal(keyed, "position", "ordinal").select("ordinal", name)
+        return dense_ordinal(keyed, ["position"]).select("ordinal", name)
 
     both = ranked(existing, "old_key").join(ranked(target, "new_key"), "ordinal", "full")
     return both.where(~F.col("old_key").eqNullSafe(F.col("new_key")))
@@ -194,7 +194,7 @@ def update_ranges(actions: DataFrame, existing_rows: int, header_row: int = 1) -
     changed = actions.where(F.col("action") == "changed").select(
         "action", (F.col("row_number") + header_row).alias("sheet_row"), "cells"
     )
-    added = dense_ordinal(actions.where(F.col("action") == "appended"), "position", "ordinal")
+    added = dense_ordinal(actions.where(F.col("action") == "appended"), ["position"])
     added = added.select(
         "action", (F.col("ordinal") + header_row + existing_rows).alias("sheet_row"), "cells"
     )
@@ -223,6 +223,6 @@ def apply_plan(
         writes, F.col("position") == F.col("row_number"), "left"
     ).select("position", F.coalesce("new", "cells").alias("cells"))
     last = existing.agg(F.coalesce(F.max("position"), F.lit(0)).alias("last")).scalar()
-    added = dense_ordinal(actions.where(F.col("action") == "appended"), "position", "ordinal")
+    added = dense_ordinal(actions.where(F.col("action") == "appended"), ["position"])
     added = added.select((F.col("ordinal") + last).alias("position"), "cells")
     return kept.unionByName(added).select("position", "cells.*")

@@ -81,7 +81,11 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Per column: values, nulls, distinct values, shortest and longest text."""
+    """Per column: values, nulls, distinct values, shortest and longest text.
+
+    Distinct values are counted in two steps, so a common value is one row per task, and
+    long texts travel as their digest.
+    """
     texts = df.select(
         F.explode(
             F.array(
@@ -92,14 +96,17 @@ def column_profile(df: DataFrame) -> DataFrame:
             )
         ).alias("cell")
     ).select("cell.*")
-    # distinct values are counted in two steps, so a common value is one row per task
-    per_value = texts.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    length = F.length("value")
+    short = F.when(length > 64, F.sha2("value", 256)).otherwise(F.col("value"))
+    per_value = texts.groupBy("column_name", short.alias("value"), length.alias("length")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
     return per_value.groupBy("column_name").agg(
         F.sum("n").cast("bigint").alias("row_count"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("null_count"),
         F.count("value").alias("distinct_count"),
-        F.min(F.length("value")).alias("min_length"),
-        F.max(F.length("value")).alias("max_length"),
+        F.min("length").alias("min_length"),
+        F.max("length").alias("max_length"),
     )
 
 

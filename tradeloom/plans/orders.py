@@ -171,10 +171,11 @@ def newest_card(lines: DataFrame, cards: DataFrame, article: str = "article", sk
     return joined.withColumn("card", card).drop("__article", "__sku", "__a", "__s")
 
 
-def feed_page(lines: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:
+def feed_page(lines: DataFrame, limit: int = 50, offset: int = 0, ties: Sequence[str] = ("order_key",)) -> DataFrame:
     """All lines of the newest order groups; a page holds at most 100 groups.
 
-    Lines carry order_group_key and sort_date; the group key breaks ties of the date.
+    Lines carry order_group_key and sort_date; the group key breaks ties of the date, and
+    ``ties`` order the lines of a group, so that the sort can split a very large one.
     """
     page = (
         lines.groupBy("order_group_key")
@@ -183,7 +184,8 @@ def feed_page(lines: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:
         .offset(max(0, offset))
         .limit(_clamp(limit, 1, 100))
     )
-    return lines.join(F.broadcast(page), "order_group_key").orderBy(F.col("sort_date").desc_nulls_last())
+    on_page = lines.join(F.broadcast(page), "order_group_key")
+    return on_page.orderBy(F.col("sort_date").desc_nulls_last(), "order_group_key", *ties)
 
 
 def decorate(lines: DataFrame, marketplace: str) -> DataFrame:

@@ -33,7 +33,7 @@ def latest_report(reports: DataFrame, rows: DataFrame | None = None) -> DataFram
     """Newest successful report, only among those with rows when ``rows`` is given."""
     done = reports.where(F.col("status") == "success")
     if rows is not None:
-        done = done.join(rows.select(F.col("report_code").alias("code")), "code", "left_semi")
+        done = done.join(rows.select(F.col("report_code").alias("code")).distinct(), "code", "left_semi")
     return done.orderBy(F.col("date_to").desc_nulls_first(), F.col("updated_at").desc_nulls_first(), "code").limit(1)
 
 
@@ -73,7 +73,7 @@ def report_cells(rows: DataFrame) -> DataFrame:
 def placement_flat(rows: DataFrame, reports: DataFrame) -> DataFrame:
     """Report rows with the period of their report."""
     periods = reports.select(F.col("code").alias("report_code"), "date_from", "date_to")
-    return salted_join(rows, periods, ["report_code"], F.col("row_number"))
+    return salted_join(rows, periods, ["report_code"], F.struct("sku", "row_number"))
 
 
 def _at(position: int, value: str = "value_numeric") -> Column:

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradeloom.operators.ordered import version_numbers
-from tradeloom.operators.skew import salted_join
-
 UPPER_LATIN1 = bytes(range(128, 256)).decode("latin-1")
 
 
@@ -17,20 +14,35 @@ def single_byte_text(raw: Column, codec: str = "cp1251") -> Column:
     return F.translate(F.decode(raw, "ISO-8859-1"), UPPER_LATIN1, table)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Numbered raw lines: (file, row_number, raw). Files are split, not read whole.
-
-    A line is numbered by its block and its place in it; each block is counted
-    separately, so one large file spreads over many tasks.
-    """
-    lines = spark.read.text(path).select(
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         F.col("value").cast("binary").alias("raw"),
     )
-    numbered = version_numbers(lines, ["file"], ["block", "line"], F.col("block"), number="row_number")
-    return numbered.select("file", "row_number", "raw")
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Numbered raw lines: (file, row_number, raw, valid_utf8). Files are split, not read whole.
+
+    Lines are numbered inside their block of the file and one row per block carries the
+    lines before it, so one large file spreads over many tasks. The same row per block
+    tells whether the whole file is valid UTF-8.
+    """
+    lines = _raw_lines(spark, path)
+    blocks = lines.groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("lines"), F.bool_and(F.is_valid_utf8(F.col("raw").cast("string"))).alias("valid")
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        "file", "block",
+        F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("offset"),
+        F.min("valid").over(Window.partitionBy("file")).alias("valid_utf8"),
+    )
+    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("line"))
+    numbered = lines.withColumn("inside", inside).join(blocks, ["file", "block"])
+    return numbered.select("file", (F.col("offset") + F.col("inside")).alias("row_number"), "raw", "valid_utf8")
 
 
 def read_delimited(
@@ -43,21 +55,19 @@ def read_delimited(
     lines = read_lines(spark, path)
     utf8 = F.col("raw").cast("string")
     if encoding is None:
-        valid = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8(utf8)).alias("valid_utf8"))
-        lines = salted_join(lines, valid, ["file"], F.col("row_number"))
         line = F.when(F.col("valid_utf8"), utf8).otherwise(single_byte_text(F.col("raw")))
     elif encoding.lower().replace("-", "") in ("utf8", "utf8sig"):
         line = utf8
     else:
         line = single_byte_text(F.col("raw"), encoding)
-    line = F.regexp_replace(F.regexp_replace(line, "^﻿", ""), "\r$", "")
+    line = F.regexp_replace(F.regexp_replace(line, "^\ufeff", ""), "\r$", "")
     lines = lines.withColumn("line", line)
-    # quotes can only join cells, so splitting gives an upper bound of the width
-    bound = F.size(F.split("line", "\\Q" + sep + "\\E"))
-    width = int(lines.agg(F.max(bound)).first()[0] or 1)
+    # quotes can only join cells, so splitting gives an upper bound of the width; the
+    # separator is one byte in every supported encoding
+    parts = F.size(F.split(F.col("value"), "\\Q" + sep + "\\E"))
+    width = int(spark.read.text(path).agg(F.max(parts)).first()[0] or 1)
     schema = ", ".join(f"c{i} string" for i in range(width))
     parsed = F.from_csv("line", F.lit(schema), {"sep": sep, "maxColumns": str(width + 1)})
-    cells = F.slice(
-        F.array(*[parsed[f"c{i}"] for i in range(width)]), F.lit(1), bound
-    )
-    return lines.select("file", "row_number", cells.alias("cells"))
+    here = F.size(F.split("line", "\\Q" + sep + "\\E"))
+    cells = F.slice(F.array(*[F.col(f"parsed.c{i}") for i in range(width)]), F.lit(1), here)
+    return lines.withColumn("parsed", parsed).select("file", "row_number", cells.alias("cells"))

@@ -51,12 +51,12 @@ def pick_by_header(row: str | Column, predicate: Callable[[Column], Column]) ->
 def detect_header(
     rows: DataFrame, names: Sequence[str] = ARTICLE_HEADERS, top: int = 30, by: Sequence[str] = ("file",)
 ) -> DataFrame:
-    """Header row number per file: first of the top rows with a known name, else the first row."""
+    """Header row and its cells per file: first of the top rows with a known name, else the first row."""
     head = rows.where(F.col("row_number") <= top)
     known = F.exists("cells", lambda c: norm_header(c).isin(*names))
-    return head.groupBy(*by).agg(
-        F.coalesce(F.min(F.when(known, F.col("row_number"))), F.min("row_number")).alias("header_row")
-    )
+    place = F.struct("row_number", "cells")
+    found = head.groupBy(*by).agg(F.coalesce(F.min(F.when(known, place)), F.min(place)).alias("h"))
+    return found.select(*by, F.col("h.row_number").alias("header_row"), F.col("h.cells").alias("header_cells"))
 
 
 def header_names(cells: Column) -> Column:
@@ -80,8 +80,7 @@ def promote_header(rows: DataFrame, header: DataFrame, by: Sequence[str] = ("fil
     ``header`` has one row per file, so it is spread over salted copies rather than
     sending one large file to one task.
     """
-    numbered = rows.join(header, [*by], "inner").where(F.col("row_number") == F.col("header_row"))
-    names = numbered.select(*by, "header_row", header_names(F.col("cells")).alias("names"))
+    names = header.select(*by, "header_row", header_names(F.col("header_cells")).alias("names"))
     data = salted_join(rows, names, by, F.col("row_number"), how="inner")
     data = data.where(F.col("row_number") > F.col("header_row"))
     data = data.withColumn("row", row_map(F.col("names"), F.col("cells")))
@@ -93,7 +92,9 @@ def promote_fixed(
     rows: DataFrame, offset: int = 3, skip: int = 1, drop_last: bool = True, by: Sequence[str] = ("file",)
 ) -> DataFrame:
     """Header at a fixed offset, ``skip`` rows under it ignored, the last data row dropped."""
-    header = rows.where(F.col("row_number") == offset + 1).select(*by, F.col("row_number").alias("header_row"))
+    header = rows.where(F.col("row_number") == offset + 1).select(
+        *by, F.col("row_number").alias("header_row"), F.col("cells").alias("header_cells")
+    )
     data = promote_header(rows, header, by).where(F.col("row_number") > offset + 1 + skip)
     if not drop_last:
         return data

@@ -66,6 +66,29 @@ def bucket_of(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def _touched(
+    path: str, incoming: DataFrame, keys: Sequence[str], schema: T.StructType, buckets: int
+) -> tuple[DataFrame, DataFrame]:
+    """The batch with its buckets, kept in the checkpoint folder, and the state of those buckets."""
+    spark = incoming.sparkSession
+    ensure_checkpoint_dir(spark)
+    batch = incoming.select(*schema.fieldNames()).withColumn(BUCKET, bucket_of(keys, buckets)).checkpoint()
+    # at most ``buckets`` values
+    touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
+    stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    return batch, read_table(spark, path, stored).where(F.col(BUCKET).isin(touched))
+
+
+def _merge(
+    path: str, batch: DataFrame, state: DataFrame, keys: Sequence[str], compare: Sequence[str] | None
+) -> None:
+    if compare is None:
+        merged = keyed.upsert(state, batch, keys)
+    else:
+        merged = keyed.upsert_changed(state, batch, keys, compare)
+    write_slice(merged.checkpoint(), path, BUCKET)
+
+
 def upsert_table(
     path: str,
     incoming: DataFrame,
@@ -76,29 +99,11 @@ def upsert_table(
 ) -> None:
     """Upsert unique-keyed rows into a bucketed table, rewriting touched buckets only.
 
-    Repeating a batch gives the same table, so a failed write is simply run again.
+    Repeating a batch gives the same table, so a failed write is simply run again. Choose
+    ``buckets`` so that one bucket of the table stays a few hundred megabytes.
     """
-    ensure_checkpoint_dir(incoming.sparkSession)
-    batch = incoming.select(*schema.fieldNames()).checkpoint()
-    _write_touched(path, batch, keys, schema, buckets, compare)
-
-
-def _write_touched(
-    path: str, batch: DataFrame, keys: Sequence[str], schema: T.StructType, buckets: int, compare: Sequence[str] | None
-) -> None:
-    spark = batch.sparkSession
-    stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    batch = batch.withColumn(BUCKET, bucket_of(keys, buckets))
-    # at most ``buckets`` values
-    touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
-    if not touched:
-        return
-    current = read_table(spark, path, stored).where(F.col(BUCKET).isin(touched))
-    if compare is None:
-        merged = keyed.upsert(current, batch, keys)
-    else:
-        merged = keyed.upsert_changed(current, batch, keys, compare)
-    write_slice(merged.checkpoint(), path, BUCKET)
+    batch, state = _touched(path, incoming, keys, schema, buckets)
+    _merge(path, batch, state, keys, compare)
 
 
 def versioned_upsert(
@@ -117,16 +122,13 @@ def versioned_upsert(
     finds its log partition and keeps it, because part of the state may already hold
     the new rows.
     """
-    spark = incoming.sparkSession
-    ensure_checkpoint_dir(spark)
-    batch = incoming.select(*schema.fieldNames()).checkpoint()
+    batch, state = _touched(state_path, incoming, keys, schema, buckets)
     logged = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
-    done = read_table(spark, log_path, logged).where(F.col("run_id") == run_id)
+    done = read_table(incoming.sparkSession, log_path, logged).where(F.col("run_id") == run_id)
     if done.isEmpty():
-        state = read_table(spark, state_path, T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]))
-        versions = keyed.append_versions(state, batch, keys, compare)
+        versions = keyed.append_versions(state, batch, keys, compare).drop(BUCKET)
         write_slice(versions.withColumn("run_id", F.lit(run_id)), log_path, "run_id")
-    _write_touched(state_path, batch, keys, schema, buckets, compare)
+    _merge(state_path, batch, state, keys, compare)
 
 
 def drop_old_partitions(spark: SparkSession, path: str, column: str, keep_from: str) -> int:
