@@ -33,7 +33,7 @@ def piece_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("srid"),
         text("l_partkey").alias("supplier_article"),
         F.col("l_partkey").alias("nm_id"),
-        F.col("l_shipdate").cast("timestamp").alias("date_ts"),
+        F.col("l_shipdate").alias("date_ts"),
         (F.col("l_returnflag") == "R").alias("is_cancel"),
         F.when(F.col("l_linestatus") == "O", price).alias("price_with_disc"),
         F.when(F.col("l_returnflag") == "N", price + 1).cast("decimal(12,2)").alias("finished_price"),
@@ -51,8 +51,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("order_key"),
         F.when(F.col("o_orderpriority") != "5-LOW", text("o_custkey")).alias("order_number"),
         F.when(F.col("o_orderstatus") == "P", "cancelled").otherwise(F.col("o_orderstatus")).alias("status"),
-        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate").cast("timestamp")).alias("created_at"),
-        F.col("o_orderdate").cast("timestamp").alias("in_process_at"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate")).alias("created_at"),
+        F.col("o_orderdate").alias("in_process_at"),
         F.when(F.col("l_returnflag") == "R", "").otherwise(text("l_partkey")).alias("product_offer_id"),
         F.col("l_suppkey").alias("product_sku"),
         whole("l_quantity").alias("product_quantity"),

@@ -82,10 +82,27 @@ def report_date(value: Column | str) -> Column:
 
 
 def local_date(ts: Column | str, zone: str = "UTC") -> Column:
-    """Calendar date of an instant in ``zone``."""
+    """Calendar date of an instant in ``zone``; the session works in UTC."""
+    if zone == "UTC":
+        return F.to_date(as_column(ts))
     return F.to_date(F.from_utc_timestamp(as_column(ts), zone))
 
 
+def on_local_days(times: list[str], zone: str, first: Column, last: Column) -> Column:
+    """The first filled time column falls on a day of ``zone`` from ``first`` to ``last``.
+
+    The exact test on the shifted date is preceded by a wider range on the bare columns,
+    which reaches the scan.
+    """
+    wide = F.lit(False)
+    earlier_empty = F.lit(True)
+    for name in times:
+        inside = (F.col(name) >= F.date_sub(first, 1)) & (F.col(name) < F.date_add(last, 2))
+        wide = wide | (earlier_empty & inside)
+        earlier_empty = earlier_empty & F.col(name).isNull()
+    return wide & local_date(F.coalesce(*times), zone).between(first, last)
+
+
 def utc(ts: Column | str) -> Column:
     """TIMESTAMP_NTZ holding UTC wall time to TIMESTAMP, whatever the session zone is."""
     return F.from_utc_timestamp(as_column(ts).cast("timestamp"), F.current_timezone())

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.dates import local_date
+from tradeloom.functions.dates import local_date, on_local_days
 from tradeloom.functions.images import image_url_candidates, ordered_image_urls
 from tradeloom.functions.jsonpath import json_text
 from tradeloom.functions.labels import status_label
@@ -28,9 +28,9 @@ def item_orders_daily(items: DataFrame, date_from: Column, date_to: Column, zone
     """Quantity and amount per order date and article from order lines, not cancelled."""
     placed = F.coalesce("created_at", "in_process_at")
     return (
-        items.where((F.coalesce("status", F.lit("")) != "cancelled"))
+        items.where(F.col("status").isNull() | (F.col("status") != "cancelled"))
+        .where(on_local_days(["created_at", "in_process_at"], zone, date_from, date_to))
         .withColumn("order_date", local_date(placed, zone))
-        .where(F.col("order_date").between(date_from, date_to))
         .groupBy("order_date", article_or_sku("product_offer_id", "product_sku").alias("article"))
         .agg(
             F.sum("product_quantity").cast("bigint").alias("quantity"),
@@ -44,9 +44,9 @@ def piece_orders_daily(orders: DataFrame, date_from: Column, date_to: Column, zo
     """Count and amount per order date and article from one-piece orders, not cancelled."""
     price = F.coalesce("price_with_disc", "finished_price", "total_price", F.lit(0).cast("decimal(12,2)"))
     return (
-        orders.where(~F.coalesce("is_cancel", F.lit(False)))
+        orders.where(F.col("is_cancel").isNull() | ~F.col("is_cancel"))
+        .where(on_local_days(["date_ts"], zone, date_from, date_to))
         .withColumn("order_date", local_date("date_ts", zone))
-        .where(F.col("order_date").between(date_from, date_to))
         .groupBy("order_date", article_or_sku("supplier_article", "nm_id").alias("article"))
         .agg(
             F.count(F.lit(1)).alias("quantity"),
@@ -69,9 +69,11 @@ def day_summary(lines: DataFrame, zone: str = "Europe/Moscow", as_of: Column | N
     Orders and articles are each reduced to one row per day first, so that nothing
     depends on how many lines a single order or article has.
     """
-    rows = lines.withColumn("order_date", local_date("placed_at", zone))
+    rows = lines
     if as_of is not None:
-        rows = rows.where(F.col("order_date") == local_date(as_of, zone))
+        today = local_date(as_of, zone)
+        rows = rows.where(on_local_days(["placed_at"], zone, today, today))
+    rows = rows.withColumn("order_date", local_date("placed_at", zone))
     per_order = rows.groupBy("order_date", "order_group_key").agg(
         F.max("cancelled").alias("cancelled"),
         F.sum("quantity").alias("quantity"),
