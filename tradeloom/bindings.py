@@ -14,6 +14,17 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def load_spread(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table whose rows need much CPU each.
+
+    A table of fewer files than cores is read by too few tasks and is spread first; a
+    table of many files is taken as it comes, without an exchange.
+    """
+    df = load(spark, sf_dir, table)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def money(column: str) -> Column:
     return F.col(column).cast("decimal(12,2)")
 

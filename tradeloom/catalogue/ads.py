@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradeloom.bindings import load, money, text, whole
+from tradeloom.bindings import load, load_spread, money, text, whole
 from tradeloom.catalogue import query
 from tradeloom.operators.normalize import ad_statistics
 from tradeloom.plans import ads as plans
@@ -33,7 +33,7 @@ def _statistics(spark, sf_dir):
         F.lit('{"advertId":'), text("l_suppkey"), F.lit(',"days":[{"date":"'), day, F.lit('","apps":['), app,
         F.lit(']},{"date":"","apps":['), app, F.lit("]}]}"),
     )
-    return load(spark, sf_dir, "lineitem").select(payload.alias("payload"))
+    return load_spread(spark, sf_dir, "lineitem").select(payload.alias("payload"))
 
 
 SQL_DAILY = """

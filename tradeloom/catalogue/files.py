@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradeloom.bindings import load, text
+from tradeloom.bindings import load, load_spread, text
 from tradeloom.catalogue import query
 from tradeloom.operators import merge, normalize
 from tradeloom.session import scratch_path
@@ -95,7 +95,7 @@ def _cost_file(spark, sf_dir):
     blank = F.lit("")
     top = [blank] * 7 + [F.lit("основной"), blank, blank, F.lit("ДЛЯ МАРКЕТПЛЕЙСОВ"), blank, blank]
     sub = [blank] * 7 + [F.lit("Кол-во"), F.lit("Себест. единицы"), F.lit("Себестоимость")] * 2
-    lines = load(spark, sf_dir, "lineitem")
+    lines = load_spread(spark, sf_dir, "lineitem")
     price = F.regexp_replace(F.format_string("%.2f", F.col("l_extendedprice")), r"\.", ",")
     cells = [
         text("l_orderkey"), F.lit("name"), F.concat(F.lit("00"), text("l_partkey")), text("l_suppkey"), blank, blank, blank,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tradeloom.bindings import load, text, whole
+from tradeloom.bindings import load_spread, text, whole
 from tradeloom.catalogue import query
 from tradeloom.operators import normalize
 from tradeloom.sources.landing import explode_pages
@@ -59,7 +59,7 @@ def normalize_wb_order(spark, sf_dir):
         cancelDate=F.when(F.col("l_linestatus") == "F", F.concat(local, F.lit("Z"))).otherwise("soon"),
         warehouseName=text("l_suppkey"),
     )
-    orders = normalize.wb_orders(load(spark, sf_dir, "lineitem").select(payload.alias("payload")))
+    orders = normalize.wb_orders(load_spread(spark, sf_dir, "lineitem").select(payload.alias("payload")))
     return orders.select(
         "srid", "nm_id", "is_cancel", seconds("date_ts"), seconds("last_change_ts"), F.col("total_price").cast("double").alias("total_price"),
         "discount_percent", "cancel_date", "warehouse_name",
@@ -81,7 +81,7 @@ def normalize_feed_order(spark, sf_dir):
         updatedAt=F.concat(at, F.lit("+03:00")), status=F.col("event_type"), cancelType=F.lit(""), isMp=F.col("event_type") == "view",
         sellerPrice=F.when(F.col("event_type") == "error", "free").otherwise(F.regexp_replace(F.format_string("%.2f", "value"), r"\.", ",")),
     )
-    rows = normalize.wb_feed_orders(load(spark, sf_dir, "events").select(payload.alias("payload")))
+    rows = normalize.wb_feed_orders(load_spread(spark, sf_dir, "events").select(payload.alias("payload")))
     return rows.select(
         "srid", "nm_id", seconds("created_at"), seconds("status_updated_at"), "status", "cancel_type",
         F.col("seller_price").cast("double").alias("seller_price"), "is_mp",
@@ -115,7 +115,7 @@ def _posting(spark, sf_dir):
         F.to_json(finance), F.lit("]}}"),
     )
     payload = F.concat(F.expr("substring(head, 1, length(head) - 1)"), F.col("tail"))
-    rows = load(spark, sf_dir, "lineitem").select(head.alias("head"), arrays.alias("tail"))
+    rows = load_spread(spark, sf_dir, "lineitem").select(head.alias("head"), arrays.alias("tail"))
     return rows.select(payload.alias("payload"))
 
 
@@ -172,7 +172,7 @@ def normalize_stock(spark, sf_dir):
         inWayToClient=F.when(F.col("l_linestatus") == "O", text("l_linenumber")).otherwise("none"),
     )
     payload = F.regexp_replace(payload, r"\.0", "")
-    rows = normalize.wb_stocks(load(spark, sf_dir, "lineitem").select(payload.alias("payload")))
+    rows = normalize.wb_stocks(load_spread(spark, sf_dir, "lineitem").select(payload.alias("payload")))
     return rows.select("nm_id", "chrt_id", "warehouse_id", "quantity", "in_way_to_client")
 
 
@@ -185,7 +185,7 @@ def normalize_product_list(spark, sf_dir):
         product_id=text("p_partkey"), offer_id=F.concat(F.col("p_brand"), F.lit("  ")), archived=F.col("p_size") % 2 == 0,
         quants=F.array("p_type", "p_name"),
     )
-    rows = normalize.product_list(load(spark, sf_dir, "part").select(payload.alias("payload")))
+    rows = normalize.product_list(load_spread(spark, sf_dir, "part").select(payload.alias("payload")))
     return rows.select("product_id", "offer_id", "archived", "quants_count")
 
 
@@ -199,7 +199,7 @@ def _product(spark, sf_dir):
         primary_image=F.when(size > 25, F.array("p_brand", "p_type")).otherwise(F.array("p_type")),
         barcodes=F.array("p_type"),
     )
-    return load(spark, sf_dir, "part").select(payload.alias("payload"))
+    return load_spread(spark, sf_dir, "part").select(payload.alias("payload"))
 
 
 @query(
@@ -247,7 +247,7 @@ def normalize_content_card(spark, sf_dir):
         nmID=F.col("p_partkey"), vendorCode=F.when(size > 25, F.col("p_brand")), title=F.concat(F.lit(" "), "p_name"),
         photos=F.array(photo, small, photo), sizes=F.array(F.struct(size.alias("s")), F.struct(size.alias("s"))),
     )
-    cards = normalize.wb_cards(load(spark, sf_dir, "part").select(payload.alias("payload")))
+    cards = normalize.wb_cards(load_spread(spark, sf_dir, "part").select(payload.alias("payload")))
     return cards.select(
         "nm_id", "article", "product_name", "primary_image", F.array_join("images", "|").alias("images"), "photos_count", "sizes_count"
     )
@@ -267,7 +267,7 @@ def normalize_cluster_stock(spark, sf_dir):
         ads=F.regexp_replace(text("l_tax"), r"\.", ","), days_without_sales=F.when(F.col("l_linestatus") == "O", F.col("l_linenumber")),
         item_tags=F.array("l_returnflag"),
     )
-    rows = normalize.cluster_stocks(load(spark, sf_dir, "lineitem").select(payload.alias("payload")))
+    rows = normalize.cluster_stocks(load_spread(spark, sf_dir, "lineitem").select(payload.alias("payload")))
     return rows.select(
         "sku", "cluster_id", "available_stock_count", "in_way_to_warehouse_count", F.col("ads").cast("double").alias("ads"), "days_without_sales",
         "item_tags_count",
@@ -286,7 +286,7 @@ def normalize_erp_product(spark, sf_dir):
         id=F.col("l_orderkey"), article=F.concat(F.lit(" "), text("l_partkey")), sales_count=whole("l_quantity"), sales_sum=comma_text("l_extendedprice"),
         brand_name=F.lit("  "), warehouse_count=F.lit("many"),
     )
-    rows = normalize.erp_products(load(spark, sf_dir, "lineitem").select(payload.alias("payload")))
+    rows = normalize.erp_products(load_spread(spark, sf_dir, "lineitem").select(payload.alias("payload")))
     return rows.select("article", "external_id", "sales_count", F.col("sales_sum").cast("double").alias("sales_sum"), "brand_name", "warehouse_count")
 
 
@@ -301,7 +301,7 @@ def explode_pages_query(spark, sf_dir):
     payload = F.concat(
         F.lit('{"data":{"currency":"RUB","orders":[{"id":'), text("o_custkey"), F.lit('},"text",{"id":"'), text("o_orderkey"), F.lit('"},null]}}')
     )
-    pages = load(spark, sf_dir, "orders").select(F.lit("r").alias("run_id"), F.col("o_orderkey").alias("page_no"), payload.alias("payload"))
+    pages = load_spread(spark, sf_dir, "orders").select(F.lit("r").alias("run_id"), F.col("o_orderkey").alias("page_no"), payload.alias("payload"))
     records = explode_pages(pages, "$.data.orders", {"currency": "$.data.currency"})
     return records.select("page_no", "position", "currency", F.get_json_object("payload", "$.id").alias("id"))
 
@@ -321,7 +321,7 @@ def file_orders(spark, sf_dir):
         "Дата": shape, "Артикул": F.concat(F.lit("00"), text("l_partkey")), "Кол-во": F.concat(text("l_quantity"), F.lit(" ")),
         "Сумма": comma_text("l_extendedprice"), "Статус": F.concat(F.lit(" "), "l_returnflag"),
     }
-    rows = normalize.file_orders(load(spark, sf_dir, "lineitem").select(named_row(fields).alias("row")), "shop")
+    rows = normalize.file_orders(load_spread(spark, sf_dir, "lineitem").select(named_row(fields).alias("row")), "shop")
     return rows.withColumn("revenue", F.col("revenue").cast("double"))
 
 
@@ -336,7 +336,7 @@ def file_stocks(spark, sf_dir):
     article = {"Артикул": text("l_partkey"), "В пути, шт": F.lit("")}
     both = named_row({**article, "Остаток, шт": F.when(F.col("l_returnflag") == "A", text("l_quantity")), "Остаток": F.lit("77")})
     only = named_row({**article, "Остаток": text("l_linenumber")})
-    rows = load(spark, sf_dir, "lineitem").select(F.when(F.col("l_returnflag") == "R", only).otherwise(both).alias("row"))
+    rows = load_spread(spark, sf_dir, "lineitem").select(F.when(F.col("l_returnflag") == "R", only).otherwise(both).alias("row"))
     return normalize.file_stocks(rows, "shop")
 
 
@@ -352,7 +352,7 @@ def file_storage(spark, sf_dir):
         "Артикул": text("l_partkey"), "Платно, шт": text("l_quantity"), "Платно, л": F.regexp_replace(text("l_tax"), r"\.", ","),
         "Списано в день, RUB": comma_text("l_extendedprice"), "Дней до первой платности": F.when(F.col("l_linestatus") == "O", text("l_linenumber")).otherwise(""),
     }
-    rows = normalize.file_storage(load(spark, sf_dir, "lineitem").select(named_row(fields).alias("row")))
+    rows = normalize.file_storage(load_spread(spark, sf_dir, "lineitem").select(named_row(fields).alias("row")))
     return rows.withColumns({c: F.col(c).cast("double") for c in ("paid_liters", "daily_writeoff_rub")})
 
 
@@ -371,7 +371,7 @@ def file_pipeline(spark, sf_dir):
         "Ваш SKU": text("l_partkey"), "согласование заказа": text("l_quantity"), "в производстве": F.lit("-"), "готов": text("l_linenumber"),
         "Дата Минск": F.concat_ws(" ", month, F.year("l_shipdate")),
     }
-    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", named_row(fields).alias("row"))
+    lines = load_spread(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", named_row(fields).alias("row"))
     rows = normalize.pipeline_columns(lines, ("l_orderkey", "l_linenumber"))
     return normalize.file_pipeline(rows)
 
@@ -388,7 +388,7 @@ def file_specs(spark, sf_dir):
         "Лист": F.lit("Пришло "), "Номер строки": text("l_orderkey"), "Артикул": text("l_partkey"), "LOT": F.lit(""),
         "Спецификация": F.concat(F.lit("а-В "), text("l_suppkey")), "Дата производсвта": F.date_format("l_shipdate", "d/M/yyyy"),
     }
-    rows = normalize.file_specs(load(spark, sf_dir, "lineitem").select(named_row(fields).alias("row")))
+    rows = normalize.file_specs(load_spread(spark, sf_dir, "lineitem").select(named_row(fields).alias("row")))
     return rows.select(
         "article", "source_sheet", "source_row_number", "specification", F.col("row")["LOT"].alias("lot"), "production_date"
     )
@@ -404,7 +404,7 @@ def file_specs(spark, sf_dir):
 )
 def file_costs(spark, sf_dir):
     """Returned lines have no quantity; those without a total either are dropped."""
-    rows = load(spark, sf_dir, "lineitem").select(
+    rows = load_spread(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("0"), text("l_partkey")).alias("article"), F.concat(F.lit("W"), text("l_suppkey")).alias("warehouse_name"),
         F.when(F.col("l_returnflag") == "R", "0").otherwise(text("l_quantity")).alias("quantity"), F.lit("").alias("unit_cost_byn"),
         F.when(F.col("l_linestatus") == "O", F.regexp_replace(comma_text("l_extendedprice"), " ", " ")).alias("total_cost_byn"),
@@ -427,7 +427,7 @@ def placement_rows(spark, sf_dir):
         "Ozon SKU ": text("l_partkey"), "Артикул продавца": F.when(F.col("l_returnflag") == "A", text("l_suppkey")).otherwise(""), "Название": F.lit(" Name"),
         "Срок хранения": F.lit("долго"), "Стоимость размещения": comma_text("l_extendedprice"), "Итого": F.lit("1"),
     }
-    rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", named_row(fields).alias("row"))
+    rows = load_spread(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", named_row(fields).alias("row"))
     placed = normalize.placement_rows(rows)
     return placed.select(
         "l_orderkey", "l_linenumber", "sku", "offer_id", "product_name", F.col("placement_cost").cast("double").alias("placement_cost")

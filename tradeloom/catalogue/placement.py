@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradeloom.bindings import load, text, whole
+from tradeloom.bindings import load, load_spread, text, whole
 from tradeloom.catalogue import query
 from tradeloom.operators.merge import pivot_cells, unpivot_payload
 from tradeloom.plans import placement as plans
@@ -162,7 +162,7 @@ def _supply_payload(spark, sf_dir):
         cells = [sku, F.lit("a"), F.lit("b"), F.lit("c"), F.lit("d"), number, F.lit("Склад"), days, period_end, free]
         return F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cells, start=1)]))
 
-    supplies = load(spark, sf_dir, "lineitem").select(
+    supplies = load_spread(spark, sf_dir, "lineitem").select(
         F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice").alias("row_number"),
         row(
             text("l_partkey"), F.concat(F.lit("S"), text("l_orderkey")),
@@ -236,7 +236,7 @@ def _cost_payload(spark, sf_dir):
             cost.alias(plans.COST_COLUMN),
         )
     )
-    return load(spark, sf_dir, "lineitem").select(payload.alias("payload"))
+    return load_spread(spark, sf_dir, "lineitem").select(payload.alias("payload"))
 
 
 SQL_COST = """

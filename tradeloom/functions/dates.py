@@ -12,7 +12,6 @@ ISO_TEXT = (
     r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?"
     r"(Z|[+-][0-9]{2}:[0-9]{2})?$"
 )
-WITHOUT_SECONDS = r"^([0-9-]{10}[T ][0-9]{2}:[0-9]{2})(Z|[+-][0-9]{2}:[0-9]{2})?$"
 OFFSET_TEXT = r"(Z|[+-][0-9]{2}:[0-9]{2})$"
 
 # Russian month names, nominative and genitive.
@@ -34,9 +33,13 @@ def ensure_offset(value: Column | str, naive_offset: str = "+03:00") -> Column:
 def parse_ts(value: Column | str, naive_offset: str = "Z") -> Column:
     """ISO 8601 text to TIMESTAMP; text without an offset is read at ``naive_offset``."""
     text = F.trim(as_column(value).cast("string"))
-    clock = F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
-    clock = F.regexp_replace(clock, WITHOUT_SECONDS, "$1:00$2")
-    full = ensure_offset(clock, naive_offset)
+    tail = F.substring(text, 17, 40)
+    clock = F.when(F.length(text) == 10, "00:00").otherwise(F.substring(text, 12, 5))
+    seconds = F.when(tail.startswith(":"), F.lit("")).otherwise(":00")
+    sign = F.substring(text, -6, 1)
+    has_offset = (F.length(text) > 16) & (text.endswith("Z") | (sign == "+") | (sign == "-"))
+    offset = F.when(has_offset, F.lit("")).otherwise(naive_offset)
+    full = F.concat(F.substring(text, 1, 10), F.lit("T"), clock, seconds, tail, offset)
     return F.when(text.rlike(ISO_TEXT), full.try_cast("timestamp"))
 
 

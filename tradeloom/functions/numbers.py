@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A failed try_cast costs an exception per row, so text is tested by pattern first.
+INTEGER_TEXT = r"^[+-]?[0-9]+$"
+NUMBER_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PLAIN_NUMBER_TEXT = r"^-?[0-9]+(\.[0-9]+)?$"
 NBSP = "\u00a0"
 
@@ -16,17 +19,19 @@ def as_column(value: Column | str) -> Column:
 def clean_number_text(value: Column | str, nbsp: bool = False) -> Column:
     """Drop spaces (and U+00A0 when asked) and turn a decimal comma into a dot."""
     dropped = f" {NBSP}" if nbsp else " "
-    return F.translate(as_column(value).cast("string"), f",{dropped}", ".")
+    return F.trim(F.translate(as_column(value).cast("string"), f",{dropped}", "."))
 
 
 def parse_int_strict(value: Column | str) -> Column:
     """Whole-number text to BIGINT; anything else is null."""
-    return as_column(value).cast("string").try_cast("bigint")
+    text = F.trim(as_column(value).cast("string"))
+    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
 
 
 def parse_int_lenient_null(value: Column | str) -> Column:
     """Number text truncated towards zero; bad text is null."""
-    return clean_number_text(value).try_cast("decimal(38,10)").try_cast("bigint")
+    text = clean_number_text(value)
+    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("decimal(38,10)").try_cast("bigint"))
 
 
 def parse_int_lenient(value: Column | str) -> Column:
@@ -42,7 +47,8 @@ def parse_number(
     nbsp: bool = False,
 ) -> Column:
     """Number text with spaces and a decimal comma to DECIMAL(precision, scale)."""
-    number = clean_number_text(value, nbsp=nbsp).try_cast(f"decimal({precision},{scale})")
+    text = clean_number_text(value, nbsp=nbsp)
+    number = F.when(text.rlike(NUMBER_TEXT), text.try_cast(f"decimal({precision},{scale})"))
     if default is None:
         return number
     return F.coalesce(number, F.lit(default).cast(f"decimal({precision},{scale})"))

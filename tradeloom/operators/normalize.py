@@ -53,6 +53,15 @@ def _schema(paths: list[str], arrays: tuple[str, ...] = ()) -> T.StructType:
     return build(tree, "")
 
 
+def with_record(df: DataFrame, schema: T.StructType | str, payload: str = "payload") -> DataFrame:
+    """Add the parsed record ``__r``.
+
+    The record is the output of a generator. A later filter on one of its fields would
+    otherwise move below the projection and read the JSON a second time.
+    """
+    return df.select("*", F.explode(F.array(F.from_json(payload, schema))).alias("__r"))
+
+
 def elements(path: str, record: str = "__r") -> Column:
     """Array of a record, empty when absent."""
     return F.coalesce(F.col(f"{record}.{path}"), F.array().cast("array<string>"))
@@ -72,7 +81,7 @@ def apply_fields(
     ``arrays`` and ``texts``.
     """
     schema = _schema([path for _, path, _ in fields] + list(texts), arrays)
-    record = df.withColumn("__r", F.from_json("payload", schema))
+    record = with_record(df, schema)
     typed = {name: parse(F.col(f"__r.{path}")) for name, path, parse in fields}
     typed |= derived or {}
     kept = [c for c in df.columns if c not in typed]
@@ -327,7 +336,7 @@ AD_DAYS = (
 
 def ad_statistics(df: DataFrame) -> DataFrame:
     """Campaign statistics flattened to one row per (advert, day, app, item)."""
-    record = df.select(F.from_json("payload", f"struct<advertId string, days {AD_DAYS}>").alias("__r"))
+    record = with_record(df, f"struct<advertId string, days {AD_DAYS}>")
     record = record.select(integer(F.col("__r.advertId")).alias("advert_id"), F.col("__r.days").alias("days"))
     record = record.where(F.col("advert_id").isNotNull() & (F.col("advert_id") != 0))
     day_rows = record.select("advert_id", F.explode("days").alias("d"))
@@ -364,7 +373,7 @@ def wb_cards(df: DataFrame) -> DataFrame:
         return some_text(F.get_json_object("payload", f"$.{name}"))
 
     photos = F.coalesce("__r.photos", F.array().cast("array<struct<big string, c516x688 string, c246x328 string, tm string, square string>>"))
-    rows = df.withColumn("__r", F.from_json("payload", CARD_SCHEMA)).withColumns(
+    rows = with_record(df, CARD_SCHEMA).withColumns(
         {
             "nm_id": integer(F.coalesce(either("nmID"), other_case("nmId"), either("nm_id"))),
             "images": images.photo_urls(photos),

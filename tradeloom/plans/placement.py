@@ -9,17 +9,17 @@ from tradeloom.functions.dates import report_date
 from tradeloom.functions.numbers import half_up_int, report_number
 from tradeloom.functions.text import blank_to_null, empty_to_null
 from tradeloom.operators.merge import pivot_cells, unpivot_payload
+from tradeloom.operators.normalize import with_record
 from tradeloom.operators.skew import salted_join
 
 # Column positions of the two reports.
 PRODUCT_SKU, PRODUCT_ARTICLE, PRODUCT_QTY = 2, 3, 9
-SUPPLY_SKU, SUPPLY_NUMBER, SUPPLY_WAREHOUSE, SUPPLY_DAYS, SUPPLY_PERIOD_END = 1, 6, 7, 8, 9
+SUPPLY_SKU, SUPPLY_NUMBER, SUPPLY_DAYS, SUPPLY_PERIOD_END = 1, 6, 8, 9
 
 # Column names of the reports.
 SUPPLY_COLUMN_NAMES = {
     "sku": "SKU",
     "supply_number": "Номер поставки",
-    "supply_warehouse": "Склад поставки",
     "days": "Дней до конца периода",
     "period_end": "Дата окончания периода по поставкам",
 }
@@ -76,54 +76,70 @@ def placement_flat(rows: DataFrame, reports: DataFrame) -> DataFrame:
     return salted_join(rows, periods, ["report_code"], F.struct("sku", "row_number"))
 
 
-def _at(position: int, value: str = "value_numeric") -> Column:
-    return F.when(F.col("column_number") == position, F.col(value))
+def _at(position: int) -> Column:
+    return F.when(F.col("column_number") == position, F.col("value_numeric"))
 
 
-def _named(name: str, value: str = "value_numeric") -> Column:
-    return F.when(F.col("column_name") == name, F.col(value))
+def _filled(condition: Column) -> Column:
+    """True for a cell under the condition with text in it."""
+    return F.when(condition, blank_to_null("value_text").isNotNull())
 
 
 def product_totals(cells: DataFrame) -> DataFrame:
     """Pieces per sku of the product report; rows need a sku and an article."""
     wide = pivot_cells(
         cells, ["report_code", "row_number"],
-        {"sku": _at(PRODUCT_SKU), "article": _at(PRODUCT_ARTICLE, "value_text"), "product_qty": _at(PRODUCT_QTY)},
+        {
+            "sku": _at(PRODUCT_SKU),
+            "has_article": _filled(F.col("column_number") == PRODUCT_ARTICLE),
+            "product_qty": _at(PRODUCT_QTY),
+        },
     )
     return (
-        wide.where(F.col("sku").isNotNull() & blank_to_null("article").isNotNull())
+        wide.where(F.col("sku").isNotNull() & F.col("has_article"))
         .groupBy(F.round("sku").cast("bigint").alias("sku"))
         .agg(F.sum(F.coalesce("product_qty", F.lit(0))).alias("product_qty"))
     )
 
 
-def supply_rows_wide(cells: DataFrame, by_name: bool = False) -> DataFrame:
-    """Supplies report as rows; free pieces stand in its last column."""
+def supply_rows_wide(cells: DataFrame, by_name: bool = False, with_text: bool = False) -> DataFrame:
+    """Supplies report as rows; free pieces stand in its last column.
+
+    Texts are reduced to what is asked of them (is there a supply number, which date)
+    before the aggregation, so that it hashes fixed-width values instead of sorting.
+    ``with_text`` keeps the period end as printed.
+    """
     last = cells.agg(F.max("column_number")).scalar()
     marked = cells.withColumn("is_last", F.col("column_number") == last)
-    names = SUPPLY_COLUMN_NAMES
+
+    def place(name: str, position: int) -> Column:
+        if by_name:
+            return F.col("column_name") == SUPPLY_COLUMN_NAMES[name]
+        return F.col("column_number") == position
+
+    period_end = place("period_end", SUPPLY_PERIOD_END)
     columns = {
-        "sku": _named(names["sku"]) if by_name else _at(SUPPLY_SKU),
-        "supply_number": _named(names["supply_number"], "value_text") if by_name else _at(SUPPLY_NUMBER, "value_text"),
-        "supply_warehouse": _named(names["supply_warehouse"], "value_text") if by_name else _at(SUPPLY_WAREHOUSE, "value_text"),
-        "days": _named(names["days"]) if by_name else _at(SUPPLY_DAYS),
-        "period_end_text": _named(names["period_end"], "value_text") if by_name else _at(SUPPLY_PERIOD_END, "value_text"),
+        "sku": F.when(place("sku", SUPPLY_SKU), F.col("value_numeric")),
+        "has_number": _filled(place("supply_number", SUPPLY_NUMBER)),
+        "days": F.when(place("days", SUPPLY_DAYS), F.col("value_numeric")),
+        "period_end": F.when(period_end, report_date("value_text")),
         "report_stock_qty": F.when(F.col("column_name").startswith(STOCK_COLUMN_PREFIX), F.col("value_numeric")),
         "free_qty": F.when(F.col("is_last"), F.col("value_numeric")),
     }
-    return pivot_cells(marked, ["report_code", "row_number"], columns).withColumn("sku", F.round("sku").cast("bigint"))
+    if with_text:
+        columns["period_end_text"] = F.when(period_end, F.col("value_text"))
+    wide = pivot_cells(marked, ["report_code", "row_number"], columns)
+    return wide.withColumns(
+        {"sku": F.round("sku").cast("bigint"), "has_number": F.coalesce("has_number", F.lit(False))}
+    )
 
 
 def supplies_split(wide: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Summary rows (no supply number) and supply rows with free pieces."""
-    has_number = blank_to_null("supply_number").isNotNull()
-    summary = wide.where(F.col("sku").isNotNull() & ~has_number & F.col("free_qty").isNotNull())
+    summary = wide.where(F.col("sku").isNotNull() & ~F.col("has_number") & F.col("free_qty").isNotNull())
     supplies = wide.where(
-        F.col("sku").isNotNull() & has_number & F.col("days").isNotNull() & (F.coalesce("free_qty", F.lit(0)) > 0)
-    ).select(
-        "sku", half_up_int("days").alias("days"), report_date("period_end_text").alias("period_end"),
-        F.col("free_qty").alias("qty"),
-    )
+        F.col("sku").isNotNull() & F.col("has_number") & F.col("days").isNotNull() & (F.coalesce("free_qty", F.lit(0)) > 0)
+    ).select("sku", half_up_int("days").alias("days"), "period_end", F.col("free_qty").alias("qty"))
     return summary, supplies
 
 
@@ -177,10 +193,10 @@ def first_paid_report(
     column of the supplies report (``report_column``), the stock layer (``stock``, one
     row per sku and cluster), or ``summary``, which takes the days printed in the report.
     """
-    wide = supply_rows_wide(supply_cells, by_name=stock_source == "report_column")
+    wide = supply_rows_wide(supply_cells, stock_source == "report_column", stock_source == "summary")
     summary, supplies = supplies_split(wide)
     if stock_source == "summary":
-        days = wide.where(F.col("sku").isNotNull() & blank_to_null("supply_number").isNull() & F.col("days").isNotNull())
+        days = wide.where(F.col("sku").isNotNull() & ~F.col("has_number") & F.col("days").isNotNull())
         return days.groupBy("sku").agg(
             F.lit(None).cast("int").alias("stock_qty"),
             half_up_int(F.max("free_qty")).alias("free_qty"),
@@ -228,8 +244,8 @@ def storage_cost(rows: DataFrame) -> DataFrame:
 
 def report_text_columns(rows: DataFrame) -> DataFrame:
     """Text columns of report rows held as JSON."""
-    record = F.from_json("payload", "map<string,string>")
-    value = lambda name: F.try_element_at(record, F.lit(name))
+    rows = with_record(rows, "map<string,string>")
+    value = lambda name: F.try_element_at("__r", F.lit(name))
     return rows.select(
         value("SKU").alias("sku_text"), value("Артикул").alias("article_text"),
         value(PAID_QTY_COLUMN).alias("paid_qty_text"), value(PAID_ML_COLUMN).alias("paid_ml_text"),
