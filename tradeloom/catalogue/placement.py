@@ -208,7 +208,7 @@ def first_paid_report(spark, sf_dir):
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS expired FROM sup),
     st AS (SELECT l_partkey AS sku, COUNT(*) AS stock_qty FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1),
     base AS (SELECT p_partkey AS sku, stock_qty, p_partkey % 60 + 20 AS free_qty FROM part LEFT JOIN st ON st.sku = p_partkey)
-    SELECT b.sku, b.stock_qty::INT AS stock_qty, b.free_qty::INT AS free_qty,
+    SELECT b.sku, COALESCE(b.stock_qty, 0)::INT AS stock_qty, b.free_qty::INT AS free_qty,
            CASE WHEN COALESCE(stock_qty, 0) <= 0 THEN NULL WHEN stock_qty > free_qty THEN 0
                 ELSE MIN(d) FILTER (WHERE free_qty - expired < stock_qty) END::INT AS days_until_first_paid,
            MIN(pe) FILTER (WHERE stock_qty > 0 AND free_qty - expired < stock_qty) AS first_paid_period_end

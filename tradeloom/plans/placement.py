@@ -134,51 +134,77 @@ def supply_rows_wide(cells: DataFrame, by_name: bool = False, with_text: bool =
     )
 
 
-def supplies_split(wide: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Summary rows (no supply number) and supply rows with free pieces."""
-    summary = wide.where(F.col("sku").isNotNull() & ~F.col("has_number") & F.col("free_qty").isNotNull())
-    supplies = wide.where(
-        F.col("sku").isNotNull() & F.col("has_number") & F.col("days").isNotNull() & (F.coalesce("free_qty", F.lit(0)) > 0)
-    ).select("sku", half_up_int("days").alias("days"), "period_end", F.col("free_qty").alias("qty"))
-    return summary, supplies
+def _paid_rows(wide: DataFrame) -> DataFrame:
+    """Summary and supply rows of the supplies report in one frame, told apart by is_supply."""
+    is_supply = F.col("has_number")
+    usable = F.when(
+        is_supply, F.col("days").isNotNull() & (F.coalesce("free_qty", F.lit(0)) > 0)
+    ).otherwise(F.col("free_qty").isNotNull())
+    return wide.where(F.col("sku").isNotNull() & usable).select(
+        "sku",
+        is_supply.alias("is_supply"),
+        F.when(is_supply, half_up_int("days")).alias("days"),
+        F.when(is_supply, F.col("period_end")).alias("period_end"),
+        F.when(is_supply, F.col("free_qty")).alias("qty"),
+        F.when(~is_supply, F.col("free_qty")).alias("free_qty"),
+        F.when(~is_supply, F.col("report_stock_qty")).alias("stock_qty"),
+    )
 
 
-def first_paid(summary: DataFrame, supplies: DataFrame) -> DataFrame:
-    """Days until storage of a sku becomes payable.
+def _first_paid(rows: DataFrame, stock: DataFrame | None = None) -> DataFrame:
+    """Days until storage of a sku becomes payable, from summary and supply rows.
 
-    ``summary`` is one row per sku (sku, stock_qty, free_qty); ``supplies`` holds the
-    free pieces (sku, days, period_end, qty > 0). Supplies expire in order of days; the
-    first day on which the free pieces left no longer cover the stock is the answer.
+    Supplies expire in order of days; the first day on which the free pieces left no
+    longer cover the stock is the answer. ``stock`` (sku, stock_qty) replaces the stock
+    of the summary rows.
 
     Supplies of one sku, day and period end are added up first. Their pieces are
     positive, so the test holds for some of them exactly when it holds after the last,
-    and the window sees one row per calendar day at most, however many supplies a sku
-    has.
+    and the window sees at most a row per day and period end, however many supplies a
+    sku has.
     """
-    daily = supplies.groupBy("sku", "days", "period_end").agg(F.sum("qty").alias("qty"))
-    order = (
-        Window.partitionBy("sku")
-        .orderBy(F.col("days"), F.col("period_end").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    daily = rows.groupBy("sku", "is_supply", "days", "period_end").agg(
+        F.sum("qty").alias("qty"), F.max("free_qty").alias("free_qty"), F.max("stock_qty").alias("stock_qty")
+    )
+    if stock is not None:
+        daily = daily.drop("stock_qty").join(stock, "sku", "left")
+    whole = Window.partitionBy("sku")
+    order = whole.orderBy(F.col("is_supply"), F.col("days"), F.col("period_end").asc_nulls_last())
+    marked = daily.select(
+        "sku", "is_supply", "days", "period_end",
+        F.sum("qty").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("expired"),
+        F.max("free_qty").over(whole).alias("free_qty"),
+        F.max("stock_qty").over(whole).alias("stock_qty"),
     )
-    expired = daily.withColumn("expired", F.sum("qty").over(order))
-    short = F.col("free_qty") - F.col("expired") < F.col("stock_qty")
+    short = F.col("is_supply") & (F.col("free_qty") - F.col("expired") < F.col("stock_qty"))
     positive = F.coalesce("stock_qty", F.lit(0)) > 0
     return (
-        summary.join(expired, "sku", "left")
-        .groupBy("sku")
+        marked.groupBy("sku")
         .agg(
-            F.first("stock_qty").alias("stock_qty"),
-            F.first("free_qty").alias("free_qty"),
+            F.bool_or(~F.col("is_supply")).alias("has_summary"),
+            F.max("stock_qty").alias("stock_qty"),
+            F.max("free_qty").alias("free_qty"),
             F.min(F.when(short, F.col("days"))).alias("short_day"),
             F.min(F.when(positive & short, F.col("period_end"))).alias("first_paid_period_end"),
         )
+        .where("has_summary")
         .withColumn(
             "days_until_first_paid",
             F.when(~positive, F.lit(None)).when(F.col("stock_qty") > F.col("free_qty"), 0).otherwise(F.col("short_day")),
         )
-        .drop("short_day")
+        .drop("short_day", "has_summary")
+    )
+
+
+def first_paid(summary: DataFrame, supplies: DataFrame) -> DataFrame:
+    """First paid day from a row per sku (sku, stock_qty, free_qty) and its supplies.
+
+    ``supplies`` holds free pieces: sku, days, period_end, qty > 0.
+    """
+    rows = supplies.withColumn("is_supply", F.lit(True)).unionByName(
+        summary.withColumn("is_supply", F.lit(False)), allowMissingColumns=True
     )
+    return _first_paid(rows)
 
 
 def first_paid_report(
@@ -194,7 +220,6 @@ def first_paid_report(
     row per sku and cluster), or ``summary``, which takes the days printed in the report.
     """
     wide = supply_rows_wide(supply_cells, stock_source == "report_column", stock_source == "summary")
-    summary, supplies = supplies_split(wide)
     if stock_source == "summary":
         days = wide.where(F.col("sku").isNotNull() & ~F.col("has_number") & F.col("days").isNotNull())
         return days.groupBy("sku").agg(
@@ -203,18 +228,14 @@ def first_paid_report(
             half_up_int(F.max("days")).alias("days_until_first_paid"),
             report_date(F.max("period_end_text")).alias("first_paid_period_end"),
         )
+    rows = _paid_rows(wide)
     if stock_source == "report_column":
-        base = summary.where(F.col("report_stock_qty").isNotNull()).groupBy("sku").agg(
-            F.max("report_stock_qty").alias("stock_qty"), F.max("free_qty").alias("free_qty")
-        )
+        result = _first_paid(rows.where(F.col("is_supply") | F.col("stock_qty").isNotNull()))
+    elif stock_source == "stock_layer":
+        result = _first_paid(rows, stock.groupBy("sku").agg(F.sum("available_stock_count").alias("stock_qty")))
+        result = result.withColumn("stock_qty", F.coalesce("stock_qty", F.lit(0)))
     else:
-        if stock_source == "stock_layer":
-            totals = stock.groupBy("sku").agg(F.sum("available_stock_count").alias("product_qty"))
-        else:
-            totals = product_totals(product_cells)
-        base = summary.groupBy("sku").agg(F.max("free_qty").alias("free_qty")).join(totals, "sku", "left")
-        base = base.withColumnRenamed("product_qty", "stock_qty")
-    result = first_paid(base.select("sku", "stock_qty", "free_qty"), supplies)
+        result = _first_paid(rows, product_totals(product_cells).withColumnRenamed("product_qty", "stock_qty"))
     return result.withColumns({"stock_qty": half_up_int("stock_qty"), "free_qty": half_up_int("free_qty")})
 
 
