@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tradeloom.operators import publish, quality
+from tradeloom.sources import tables
 
 SLOW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -81,6 +82,21 @@ def test_applied_plan_holds_the_target(spark, old, extra):
     assert [r.c1 for r in sorted(after, key=lambda r: r.position)][: len(old)] == list(old)
 
 
+def test_publish_writes_the_next_generation(spark, tmp_path):
+    path = str(tmp_path / "block")
+    first = block(spark, [("a", "1"), ("b", "1")])
+    done = publish.publish(first.limit(0), first, ["c1", "c2"], path, 1)
+    assert (done["mode"], done["appended_rows"], done["updated_cells"]) == ("upsert", 2, 4)
+    second = block(spark, [("a", "1"), ("b", "2"), ("c", "3")])
+    publish.publish(tables.read_newest(spark, path), second, ["c1", "c2"], path, 2)
+    same = publish.publish(tables.read_newest(spark, path), second, ["c1", "c2"], path, 3)
+    assert same["updated_cells"] == 0
+    third = block(spark, [("c", "3"), ("b", "2")])
+    gone = publish.publish(tables.read_newest(spark, path), third, ["c1", "c2"], path, 4)
+    assert gone["mode"] == "replace-stale" and gone["stale_rows"] == 1
+    assert [(r.c1, r.c2) for r in tables.read_newest(spark, path).orderBy("position").collect()] == [("c", "3"), ("b", "2")]
+
+
 def test_shape(spark):
     df = spark.sql("SELECT DATE '2026-07-01' AS d, 'a' AS article, 3 AS q, CAST('10.50' AS DECIMAL(14,2)) AS m")
     row = publish.shape_for_publish(df, ["d", "article", "q", "m"], publish.BLOCKS["orders"]).first()

@@ -432,3 +432,31 @@ def placement_rows(spark, sf_dir):
     return placed.select(
         "l_orderkey", "l_linenumber", "sku", "offer_id", "product_name", F.col("placement_cost").cast("double").alias("placement_cost")
     )
+
+
+@query(
+    "file_inventory",
+    """
+    SELECT l_partkey::VARCHAR AS article, l_extendedprice::DECIMAL(14,3)::DOUBLE AS smp_qty, l_quantity::DOUBLE AS osn_qty, 0::DOUBLE AS soh_qty,
+           l_linenumber::DOUBLE AS svh_qty, 0::DOUBLE AS ts_qty FROM lineitem
+    """,
+)
+def file_inventory(spark, sf_dir):
+    fields = {
+        "Артикул": F.concat(F.lit("0"), text("l_partkey")), "СМП": comma_text("l_extendedprice"), "ОСН": text("l_quantity"), "СОХ": F.lit("-"),
+        "СВХ": text("l_linenumber"),
+    }
+    rows = normalize.file_inventory(load_spread(spark, sf_dir, "lineitem").select(named_row(fields).alias("row")))
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("smp_qty", "osn_qty", "soh_qty", "svh_qty", "ts_qty")})
+
+
+@query(
+    "flat_view",
+    """
+    SELECT p_partkey::VARCHAR AS product_id, p_retailprice::DECIMAL(14,2)::DOUBLE AS price, p_type AS status FROM part
+    """,
+)
+def flat_view(spark, sf_dir):
+    """Typed columns of the product details without their payload."""
+    rows = normalize.flat(normalize.product_info(_product(spark, sf_dir)))
+    return rows.select(F.col("product_id").cast("string").alias("product_id"), F.col("price").cast("double").alias("price"), "status")

@@ -220,3 +220,29 @@ def versions_per_run(spark, sf_dir):
     return status_log(spark, sf_dir).groupBy(F.col("status").alias("run_id")).agg(
         F.count(F.lit(1)).alias("versions"), F.count_distinct("user_id").alias("keys")
     )
+
+
+@query(
+    "card_metrics",
+    """
+    SELECT COUNT(*)::BIGINT AS cards, COUNT(*) FILTER (WHERE l_returnflag = 'A')::BIGINT AS with_photo, COUNT(DISTINCT l_partkey)::BIGINT AS articles FROM lineitem
+    """,
+)
+def card_metrics(spark, sf_dir):
+    cards = load(spark, sf_dir, "lineitem").select(
+        text("l_partkey").alias("article"), F.when(F.col("l_returnflag") == "A", F.col("l_linenumber")).otherwise(0).alias("images_count")
+    )
+    return quality.card_metrics(cards)
+
+
+@query(
+    "source_snapshots",
+    """
+    SELECT source AS source_name, lang AS table_name, COUNT(*)::BIGINT AS row_count, MAX(sha256(text)) AS file_sha256 FROM documents GROUP BY 1, 2
+    """,
+)
+def source_snapshots(spark, sf_dir):
+    rows = load(spark, sf_dir, "documents").select(
+        F.col("source").alias("source_name"), F.col("lang").alias("table_name"), F.sha2("text", 256).alias("file_sha256")
+    )
+    return quality.source_snapshots(rows)

@@ -254,3 +254,18 @@ def supply_pipeline(spark, sf_dir):
         F.to_date(F.max("l_shipdate")).alias("minsk_date"),
     )
     return plans.supply_pipeline(rows)
+
+
+@query(
+    "supply_specs",
+    """
+    SELECT p_partkey::VARCHAR AS article, p_brand AS specification, CASE WHEN p_size > 25 THEN DATE '2026-01-01' + p_size END AS production_date FROM part
+    """,
+)
+def supply_specs(spark, sf_dir):
+    rows = load(spark, sf_dir, "part").select(
+        text("p_partkey").alias("article"), F.col("p_brand").alias("specification"), F.col("p_type").alias("source_sheet"),
+        F.col("p_partkey").alias("source_row_number"),
+        F.when(F.col("p_size") > 25, F.date_add(F.lit("2026-01-01").cast("date"), F.col("p_size"))).alias("production_date"),
+    )
+    return plans.supply_specs(rows)

@@ -17,6 +17,7 @@ from tradeloom.functions.text import normalize_cell
 from tradeloom.operators.keyed import first_per_key
 from tradeloom.operators.ordered import dense_ordinal
 from tradeloom.session import ensure_checkpoint_dir
+from tradeloom.sources.tables import replace_all
 
 
 @dataclass(frozen=True)
@@ -226,3 +227,26 @@ def apply_plan(
     added = dense_ordinal(actions.where(F.col("action") == "appended"), ["position"])
     added = added.select((F.col("ordinal") + last).alias("position"), "cells")
     return kept.unionByName(added).select("position", "cells.*")
+
+
+def publish(
+    existing: DataFrame,
+    target: DataFrame,
+    cells: Sequence[str],
+    path: str,
+    generation: int,
+    key_columns: int = 1,
+    mode: str = "upsert",
+    replace_on_order_change: bool = False,
+    header_matches: bool = True,
+) -> dict:
+    """Carry out the plan on a published table and return its summary.
+
+    The new content is written as the next generation of the table, so readers see
+    either the old or the new one. Nothing is written when nothing changes.
+    """
+    plan = plan_summary(existing, target, cells, key_columns, mode, replace_on_order_change, header_matches)
+    summary = plan.first().asDict()
+    if summary["updated_cells"]:
+        replace_all(apply_plan(existing, target, cells, key_columns, summary["cleared"]), path, generation)
+    return summary

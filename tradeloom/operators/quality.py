@@ -176,3 +176,22 @@ def export_warnings(summary: DataFrame, report_date: Column | None = None, expec
 
 def newest_sources(snapshots: DataFrame, keys: Sequence[str]) -> DataFrame:
     return first_per_key(snapshots, keys, [F.col("loaded_at").desc(), F.col("id").desc()])
+
+
+def card_metrics(cards: DataFrame) -> DataFrame:
+    """Cards, cards with a photo, and distinct articles."""
+    per_article = cards.groupBy("article").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("images_count") > 0).alias("with_photo")
+    )
+    return per_article.agg(
+        F.sum("n").cast("bigint").alias("cards"),
+        F.sum("with_photo").cast("bigint").alias("with_photo"),
+        F.count("article").alias("articles"),
+    )
+
+
+def source_snapshots(rows: DataFrame, digest: str = "file_sha256") -> DataFrame:
+    """Row count and digest per source table; the rows themselves stay rows of their table."""
+    return rows.groupBy("source_name", "table_name").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max(digest).alias("file_sha256")
+    )
