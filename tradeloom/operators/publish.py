@@ -111,24 +111,24 @@ def classify_rows(
     """
     old = _normal(existing, cells, key_columns).where("valid")
     old = first_per_key(old, ["key"], [F.col("position")]).select(
-        "key", F.col("position").alias("row_number"), F.col("normal").alias("old_normal"), F.col("cells").alias("old_cells")
+        "key", F.lit(0).cast("bigint").alias("alone"), F.col("position").alias("row_number"),
+        F.col("normal").alias("old_normal"), F.col("cells").alias("old_cells"),
     )
     new = _normal(target, cells, key_columns)
-    keyed = new.where("valid").join(old, "key", "left")
+    # a row with an empty key part stands alone: it meets no existing row and no other one
+    alone = F.when(F.col("valid"), F.lit(0)).otherwise(F.abs("position") + 1).cast("bigint")
+    joined = new.withColumn("alone", alone).join(old, ["key", "alone"], "left")
     action = (
         F.when(F.col("row_number").isNull(), "appended")
         .when(F.col("old_normal") == F.col("normal"), "unchanged")
         .otherwise("changed")
     )
-    matched = keyed.select(action.alias("action"), "position", "row_number", "cells")
-    unkeyed = new.where(~F.col("valid")).select(
-        F.lit("appended").alias("action"), "position", F.lit(None).cast("bigint").alias("row_number"), "cells"
-    )
+    matched = joined.select(action.alias("action"), "position", "row_number", "cells")
     stale = old.join(new.where("valid").select("key").distinct(), "key", "left_anti").select(
         F.lit("stale").alias("action"), F.lit(None).cast("bigint").alias("position"), "row_number",
         F.col("old_cells").alias("cells"),
     )
-    return matched.unionByName(unkeyed).unionByName(stale)
+    return matched.unionByName(stale)
 
 
 def order_mismatches(
