@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.operators import keyed
 from tradeloom.operators.ordered import dense_ordinal, id_chunks, running_total, version_numbers
+from tradeloom.operators.skew import salted_join
 from tradeloom.plans.orders import change_history
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -37,6 +38,24 @@ def test_dedupe_keeps_newest_and_first_arrival(spark):
     assert (metrics.received, metrics.unique_rows, metrics.duplicates, metrics.dup_pct) == (5, 3, 2, 40.0)
 
 
+def test_time_is_the_first_filled_column(spark):
+    rows = spark.createDataFrame(
+        [("a", None, at(9), 1), ("a", at(5), at(1), 2), ("b", None, None, 3)], "k string, changed timestamp, placed timestamp, v int"
+    )
+    assert pairs(keyed.dedupe_latest(rows, ["k"], ["changed", "placed"], ["v"])) == {"a": 1}
+
+
+def test_salted_join_matches_a_plain_join(spark):
+    rows = spark.createDataFrame([("hot" if i % 3 else f"k{i % 5}", i) for i in range(300)] + [(None, 999)], "f string, n int")
+    lookup = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3)], "f string, h int")
+    for how in ("left", "inner"):
+        got = salted_join(rows, lookup, ["f"], F.col("n"), how, salts=7)
+        plain = rows.join(lookup, "f", how)
+        assert sorted(map(tuple, got.select("n", "h").collect()), key=str) == sorted(map(tuple, plain.select("n", "h").collect()), key=str)
+    spread = salted_join(rows.where("f = 'hot'"), lookup, ["f"], F.col("n"), "left", salts=7)
+    assert "__salt" not in spread.columns and spread.count() == 200
+
+
 def test_version_log_over_runs(spark):
     current = frame(spark, [])
     appended = []

@@ -165,8 +165,8 @@ def test_file_blocks(spark):
     assert (inventory["article"], inventory["smp_qty"], inventory["ts_qty"]) == ("21549", D("3.500"), D("0.000"))
     storage = normalize.file_storage(maps(spark, {"Артикул": "a", "Платно, л": "1,25", "Дней до первой платности": ""}, {"Артикул": "b", "Дней до первой платности": "3"}))
     assert {r.article: (r.paid_liters, r.days_until_first_paid) for r in storage.collect()} == {"a": (D("1.250"), None), "b": (D("0.000"), 3)}
-    pipeline = first(normalize.file_pipeline(maps(spark, {"Артикул": "a", "МИНСК": "01.07.2026", "В ПУТИ": "4"})))
-    assert (pipeline["minsk_date"], pipeline["in_way_qty"]) == (date(2026, 7, 1), 4)
+    stages = first(normalize.file_supply_stages(maps(spark, {"Артикул": "a", "МИНСК": "01.07.2026", "В ПУТИ": "4"})))
+    assert (stages["minsk_date"], stages["in_way_qty"]) == (date(2026, 7, 1), 4)
     specs = normalize.file_specs(
         maps(spark, {"Артикул": "a", "LOT": "А-7", "Дата производства": "апрель 2025", "Номер строки": "12"}, {"Артикул": "b", "Спец-ия": "В 8"})
     )

@@ -357,13 +357,13 @@ def file_storage(spark, sf_dir):
 
 
 @query(
-    "file_pipeline",
+    "file_supply_stages",
     """
     SELECT l_partkey::VARCHAR AS article, l_quantity::BIGINT AS approved_order_qty, 0::BIGINT AS in_production_qty, l_linenumber::BIGINT AS ready_qty,
            0::BIGINT AS in_way_qty, date_trunc('month', l_shipdate)::DATE AS minsk_date FROM lineitem
     """,
 )
-def file_pipeline(spark, sf_dir):
+def file_supply_stages(spark, sf_dir):
     """Sheet columns renamed to the published ones, then typed; the date is a month name and year."""
     names = ("январь", "февраля", "Март", "апреля", "май,", "июнь.", "июль", "август", "сентябрь", "октября", "ноябрь", "декабря")
     month = F.element_at(F.array(*[F.lit(n) for n in names]), F.month("l_shipdate"))
@@ -372,8 +372,8 @@ def file_pipeline(spark, sf_dir):
         "Дата Минск": F.concat_ws(" ", month, F.year("l_shipdate")),
     }
     lines = load_spread(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", named_row(fields).alias("row"))
-    rows = normalize.pipeline_columns(lines, ("l_orderkey", "l_linenumber"))
-    return normalize.file_pipeline(rows)
+    rows = normalize.supply_columns(lines, ("l_orderkey", "l_linenumber"))
+    return normalize.file_supply_stages(rows)
 
 
 @query(

@@ -235,7 +235,7 @@ def stock_summary(spark, sf_dir):
 
 
 @query(
-    "supply_pipeline",
+    "supply_stages",
     """
     SELECT l_partkey::VARCHAR AS article, SUM(CASE WHEN l_returnflag = 'A' THEN l_quantity::BIGINT ELSE 0 END)::BIGINT AS approved_order_qty,
            SUM(CASE WHEN l_returnflag = 'N' THEN l_quantity::BIGINT ELSE 0 END)::BIGINT AS in_production_qty,
@@ -244,7 +244,7 @@ def stock_summary(spark, sf_dir):
     FROM lineitem GROUP BY 1
     """,
 )
-def supply_pipeline(spark, sf_dir):
+def supply_stages(spark, sf_dir):
     def part(column, value):
         return F.sum(F.when(F.col(column) == value, whole("l_quantity")).otherwise(0))
 
@@ -253,7 +253,7 @@ def supply_pipeline(spark, sf_dir):
         part("l_returnflag", "R").alias("ready_qty"), part("l_linestatus", "F").alias("in_way_qty"),
         F.to_date(F.max("l_shipdate")).alias("minsk_date"),
     )
-    return plans.supply_pipeline(rows)
+    return plans.supply_stages(rows)
 
 
 @query(

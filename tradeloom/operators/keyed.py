@@ -36,19 +36,20 @@ def has_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def dedupe_latest(
     df: DataFrame,
     keys: Sequence[str],
-    time: str,
+    time: str | Sequence[str],
     arrival: Sequence[str],
     null_time: str = "drop",
 ) -> DataFrame:
     """Newest row per key; equal times keep the first arrival.
 
-    ``null_time="drop"`` ignores rows without a time, ``"oldest"`` keeps them as
-    the oldest.
+    The time of a row is its first filled ``time`` column. ``null_time="drop"`` ignores
+    rows without a time, ``"oldest"`` keeps them as the oldest.
     """
+    at = F.col(time) if isinstance(time, str) else F.coalesce(*time)
     rows = has_keys(df, keys)
     if null_time == "drop":
-        rows = rows.where(F.col(time).isNotNull())
-    order = [F.col(time).desc_nulls_last(), *[F.col(a).asc_nulls_last() for a in arrival]]
+        rows = rows.where(at.isNotNull())
+    order = [at.desc_nulls_last(), *[F.col(a).asc_nulls_last() for a in arrival]]
     return first_per_key(rows, keys, order)
 
 

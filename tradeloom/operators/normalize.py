@@ -477,7 +477,7 @@ def file_inventory(df: DataFrame) -> DataFrame:
     ).where(F.col("article") != "")
 
 
-def file_pipeline(df: DataFrame) -> DataFrame:
+def file_supply_stages(df: DataFrame) -> DataFrame:
     counts = {
         "СОГЛ Заказа": "approved_order_qty", "В ПРОИЗВ": "in_production_qty", "ГОТОВ": "ready_qty", "В ПУТИ": "in_way_qty",
     }
@@ -552,7 +552,7 @@ def placement_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_columns(df: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
+def supply_columns(df: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
     """Supply pipeline sheet to the published column names, ordered by article text, then ``ties``."""
     from tradeloom.sources.sheets import is_article_header, pick_by_header
 

@@ -63,7 +63,7 @@ def latest_run_rows(rows: DataFrame, time: str, run: str) -> DataFrame:
     return rows.where(F.col(run) == newest.scalar())
 
 
-def supply_pipeline(rows: DataFrame) -> DataFrame:
+def supply_stages(rows: DataFrame) -> DataFrame:
     return rows.select(
         "article", "approved_order_qty", "in_production_qty", "ready_qty", "in_way_qty", "minsk_date"
     ).orderBy("article")
