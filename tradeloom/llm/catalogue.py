@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.catalogue import Query
-from tradeloom.llm import decontaminate, segment, simhash, token_counts, token_files, toxicity, winnow
+from tradeloom.llm import decontaminate, extract, segment, simhash, suffix_dedup, token_counts, token_files, toxicity, warc, winnow
 from tradeloom.llm.common import load
 
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"))
 
 
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as archives, read back through the merged index; a page's time is made of its id."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = pages.withColumn("captured", F.timestamp_seconds(F.lit(1_577_836_800) + F.col("page_id")))
+    return warc.archive(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edit_likeness(load(spark, sf_dir, "documents"))
@@ -47,6 +55,18 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages")
+    return extract.extract(pages, extract.train(pages))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.without_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two best segmentations of every text, the best one decoded again."""

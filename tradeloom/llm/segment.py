@@ -19,8 +19,9 @@ from struct import pack
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, narrow, texts_of
+from tradeloom.llm.common import blocks, texts_of
 from tradeloom.llm.pieces import CACHE_ENTRIES, MARK, PieceTable, default_model, piece_table
 
 Candidate = tuple[float, bytes]
@@ -154,12 +155,14 @@ def segmenter(path: str, n: int) -> Segmenter:
     return Segmenter(path, n)
 
 
-def segment(documents: DataFrame, n_best: int = 4, model_path: str | None = None) -> DataFrame:
-    """doc_id and ``candidates``: up to ``n_best`` segmentations, best first, of each row's whole text.
+def segment(
+    documents: DataFrame, n_best: int = 4, keep: tuple[str, ...] = ("doc_id",), model_path: str | None = None
+) -> DataFrame:
+    """The columns of ``keep`` and ``candidates``: up to ``n_best`` segmentations, best first, of each row's whole text.
 
     A candidate has ``score`` and ``ids``, little-endian 32-bit integers. Null and empty
     texts have one candidate, without ids and of score 0. Repeated rows and null ids are
-    kept; only ``doc_id`` and ``text`` are read. Candidates of equal score come in the
+    kept; other columns are not read. Candidates of equal score come in the
     order in which the agenda took them, the same in every run. No shuffle.
     """
     path = model_path or default_model()
@@ -172,12 +175,12 @@ def segment(documents: DataFrame, n_best: int = 4, model_path: str | None = None
             for a, b in blocks([len(t) for t in texts]):
                 rows = [[{"score": s, "ids": ids} for s, ids in x] for x in tool.encode(texts[a:b])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(rows, kind)], ["doc_id", "candidates"]
+                    [*(batch.column(c).slice(a, b - a) for c in keep), pa.array(rows, kind)], [*keep, "candidates"]
                 )
 
-    rows = narrow(documents, "doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, candidates array<struct<score:double,ids:binary>>")
+    rows = documents.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "text"))])
+    kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(run, f"{kept}, candidates array<struct<score:double,ids:binary>>")
 
 
 class Decoder:

@@ -24,9 +24,8 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tradeloom.llm.common import blocks, narrow, stored, texts_of
 
@@ -61,19 +60,21 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and ``bits``, the fingerprint as a signed 64-bit integer, of every row.
+    """All columns and ``bits``, the fingerprint as a signed 64-bit integer, of every row.
 
-    Null texts are empty and have the fingerprint zero, like texts without words. Only
-    doc_id and text are read.
+    Null texts are empty and have the fingerprint zero, like texts without words.
     """
+    kept = [f for f in documents.schema.fields if f.name != "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = np.array([fingerprint(t, shingle) for t in texts_of(batch)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits)], ["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(f.name) for f in kept] + [pa.array(bits)], [f.name for f in kept] + ["bits"]
+            )
 
-    rows = narrow(documents, "doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, bits bigint")
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["bits bigint"])
+    return documents.mapInArrow(run, schema)
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -260,7 +261,14 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, distance: int = 3) -
     component of null ids only has a null id. Repeated rows each get their row. An empty
     table gives no row.
     """
-    prints = stored(fingerprints(documents, shingle), "prints")
+    prints = stored(fingerprints(narrow(documents, "doc_id", "text"), shingle).select("doc_id", "bits"), "prints")
+    out = prints.join(groups(prints, distance), "bits")
+    text = F.lpad(F.lower(F.hex("bits")), 16, "0")
+    return out.select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+def groups(prints: DataFrame, distance: int) -> DataFrame:
+    """bits, root (one fingerprint of its group) and component_id of every distinct fingerprint."""
     codes = stored(prints.groupBy("bits").agg(F.min("doc_id").alias("least")), "codes")
     roots = components(links(codes, distance))
     known = codes.join(roots, codes["bits"] == roots["node"], "left").select(
@@ -268,7 +276,21 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, distance: int = 3) -
     )
     known = stored(known, "roots")
     lowest = stored(known.groupBy("root").agg(F.min("least").alias("component_id")), "lowest")
-    named = stored(known.join(lowest, "root").select("bits", "component_id"), "named")
-    out = prints.join(named, "bits")
-    text = F.lpad(F.lower(F.hex("bits")), 16, "0")
-    return out.select("doc_id", text.alias("fingerprint"), "component_id")
+    return stored(known.join(lowest, "root").select("bits", "root", "component_id"), "named")
+
+
+def one_of_each(documents: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """The row with the smallest doc_id of every group of near-duplicates, with all its columns.
+
+    Rows without an id stay only if their group has no id at all; of rows with the same
+    id that with the smallest text stays. The other rows of a group leave before the
+    exchange that brings its candidates together.
+    """
+    columns = [c for c in documents.columns if c != "bits"]
+    prints = stored(fingerprints(narrow(documents, "doc_id", "text"), shingle).select("doc_id", "bits"), "prints")
+    named = groups(prints, distance).select(F.col("bits").alias("own_bits"), F.col("root").alias("group_root"))
+    wide = fingerprints(documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text"), shingle)
+    wide = wide.drop("text").join(named, F.col("bits") == F.col("own_bits"))
+    order = Window.partitionBy("group_root").orderBy(F.col("row.doc_id").asc_nulls_last(), F.col("row.text").asc_nulls_last())
+    first = wide.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return first.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])

@@ -156,7 +156,9 @@ def write_token_files(
         if docs:
             write_whole(f"{name}.off", lambda out: out.write(np.array(ends, "<i8").tobytes()))
             write_whole(f"{name}.doc", lambda out: out.write(np.array(docs, "<i8").tobytes()))
-            yield pa.RecordBatch.from_pydict({"number": [number], "documents": [len(docs)], "tokens": [ends[-1]]})
+            yield pa.RecordBatch.from_pydict({
+                "number": pa.array([number], pa.int32()), "documents": [len(docs)], "tokens": [int(ends[-1])]
+            })
 
     rows = narrow(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     dealt = rows.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
