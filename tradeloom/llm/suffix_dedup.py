@@ -24,8 +24,8 @@ that the first and the last suffix of a bucket know theirs.
 What is left. Starts whose match ends between their string's end and ``LENGTH`` after the
 anchor are not decided by prefixes of ``LENGTH`` bytes. They are known from the common
 prefixes: the longest one with a suffix of another class is g, and offsets b from
-``LENGTH - g`` on are open. Strings of open starts are counted by a 128-bit hash, once
-for each distinct string of a bucket.
+``LENGTH - g`` on are open. Strings of open starts are counted by a 128-bit hash, in the
+bucket where all that could equal them are neighbours, else over all buckets.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tradeloom.llm.common import blocks, narrow, stored
 
 LENGTH = 400
-WINDOW = 192
+WINDOW = 256
 GRAM = 32
 RUN_BYTES = 24 << 20
 BUCKET_BYTES = 16 << 20
@@ -94,7 +94,7 @@ def anchors(texts: list[bytes], length: int, window: int) -> dict[str, np.ndarra
 def texts_by_key(documents: DataFrame) -> DataFrame:
     """id0, code (key of a row) and text; a null text is empty."""
     rows = narrow(documents, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    return rows.select(F.coalesce("doc_id", F.lit(0)).alias("id0"), F.xxhash64("doc_id", "text").alias("code"), "text")
+    return rows.select(F.coalesce("doc_id", F.xxhash64("text")).cast("bigint").alias("id0"), F.xxhash64("doc_id", "text").alias("code"), "text")
 
 
 def compressed(frame: DataFrame) -> DataFrame:
@@ -119,25 +119,26 @@ def unpacked(z: bytes) -> bytes:
 
 
 def repeated_anchors(texts: DataFrame, length: int, window: int) -> DataFrame:
-    """id0, code and ``places`` (anchors whose gram occurs more than once) of every text that has any."""
+    """id0 and ``places``: anchors whose gram occurs more than once, of every text that has any.
+
+    Rows of one id share their places; a place that is none of a row's anchors is nothing to it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = bytes_of(batch)
-            id0, code = batch.column("id0").to_numpy(), batch.column("code").to_numpy()
+            data, id0 = bytes_of(batch), batch.column("id0").to_numpy()
             for a, b in blocks([len(x) for x in data]):
                 found = anchors(data[a:b], length, window)
-                at = found["text"] + a
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(id0[at]), pa.array(code[at]), pa.array(found["place"]), pa.array(found["gram"].view(np.int64))],
-                    ["id0", "code", "place", "gram"],
+                    [pa.array(id0[found["text"] + a]), pa.array(found["place"].astype(np.int32)), pa.array(found["gram"].view(np.int64))],
+                    ["id0", "place", "gram"],
                 )
 
-    rows = texts.where(F.octet_length("text") >= length).mapInArrow(run, "id0 bigint, code bigint, place bigint, gram bigint")
+    rows = texts.where(F.octet_length("text") >= length).select("id0", "text").mapInArrow(run, "id0 bigint, place int, gram bigint")
     rows = stored(rows, "anchors")
     twice = stored(rows.groupBy("gram").count().where("count > 1").select("gram"), "grams")
     kept = rows.join(twice, "gram", "left_semi")
-    return stored(kept.groupBy("id0", "code").agg(F.sort_array(F.collect_set("place")).alias("places")), "places")
+    return stored(kept.groupBy("id0").agg(F.sort_array(F.collect_set("place")).alias("places")), "places")
 
 
 def common_prefix(a: bytes, b: bytes, start: int) -> int:
@@ -261,38 +262,64 @@ class PrefixLoserTree:
             self.play(i)
 
 
-def judged(order: list[tuple[int, Suffix]], length: int) -> Iterator[tuple]:
+def judged(order: list[tuple[int, Suffix]], length: int, window: int) -> Iterator[tuple]:
     """Decided starts and open strings of a merged bucket.
 
     Gives (None, id0, code, first, last, True) for starts that are repeated for sure, and
-    (hash, id0, code, start, start, open) for strings to be counted; those that are not
-    open are evidence for others.
+    (hash, id0, code, start, start, open) for strings to be counted over buckets; those
+    that are not open are evidence for others. Only bundles, neighbours that share enough
+    for open strings, that reach beyond the bucket need that; others are counted here.
     """
     n = len(order)
+    if not n:
+        return
     shared = np.array([c for c, _ in order] + [0], np.int64)
-    if n:
-        shared[0] = 0
+    shared[0] = 0
+    ghost = np.array([s.ghost for _, s in order], bool)
     whole = np.array([len(s.key) >= length for _, s in order], bool)
     # class: neighbours that share all of the first ``length`` bytes
     number = np.cumsum(shared[:n] < length)
     first = np.flatnonzero(np.diff(number, prepend=0))
     last = np.append(first[1:], n) - 1
     outside = np.maximum(shared[first], shared[last + 1])
-    ends = np.array([order[a][1].ghost or order[b][1].ghost for a, b in zip(first, last)], bool)
-    outside[ends & (first != last)] = length - 1  # goes on in the next bucket, so nothing is known
-    outside = np.minimum(outside, length - 1)[number - 1] if n else outside
-    for i, (before, s) in enumerate(order):
-        if s.ghost:
-            continue
-        best, high = max(before, int(shared[i + 1])), len(s.back)
-        sure = -1
-        if whole[i] and best >= length:
-            sure = min(best - length, high)
-            yield None, s.id0, s.code, s.place - sure, s.place, True
-        told = before - length if i and not order[i - 1][1].ghost else -1  # the one before has given these
-        for b in range(max(s.low, length - int(outside[i]), told + 1, 1), high + 1):
-            string = s.back[:b][::-1] + s.key[: length - b]
-            yield xxhash.xxh3_128_digest(string), s.id0, s.code, s.place - b, s.place - b, b > sure
+    outside[(ghost[first] | ghost[last]) & (first != last)] = length - 1  # goes on elsewhere, so nothing is known
+    outside = np.minimum(outside, length - 1)[number - 1]
+    edges = np.append(np.flatnonzero(shared[:n] <= length - window), n)
+    for a, b in zip(edges.tolist(), edges[1:].tolist()):
+        alone = not ghost[a:b].any()
+        strings: list[tuple] = []
+        count: dict[bytes, int] = {}
+        for i in range(a, b):
+            before, s = order[i]
+            if s.ghost:
+                continue
+            best, high = max(before, int(shared[i + 1])), len(s.back)
+            sure = -1
+            if whole[i] and best >= length:
+                sure = min(best - length, high)
+                yield None, s.id0, s.code, s.place - sure, s.place, True
+            told = before - length if i and not order[i - 1][1].ghost else -1  # the one before has given these
+            for back in range(max(s.low, length - int(outside[i]), told + 1, 1), high + 1):
+                digest = xxhash.xxh3_128_digest(s.back[:back][::-1] + s.key[: length - back])
+                if not alone:
+                    yield digest, s.id0, s.code, s.place - back, s.place - back, back > sure
+                    continue
+                count[digest] = count.get(digest, 0) + 1
+                if back > sure:
+                    strings.append((digest, s, back))
+        # offsets of one suffix follow each other; runs of repeated ones are one range
+        held: tuple | None = None
+        for digest, s, back in strings:
+            if count[digest] < 2:
+                continue
+            if held and held[0] is s and held[2] + 1 == back:
+                held = (s, held[1], back)
+                continue
+            if held:
+                yield None, held[0].id0, held[0].code, held[0].place - held[2], held[0].place - held[1], True
+            held = (s, back, back)
+        if held:
+            yield None, held[0].id0, held[0].code, held[0].place - held[2], held[0].place - held[1], True
 
 
 def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
@@ -339,7 +366,7 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WI
         def decide(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
             order = list(PrefixLoserTree([decoded_run(b, length) for b in blobs]))
             rows: list[tuple] = []
-            for row in judged(order, length):
+            for row in judged(order, length, window):
                 rows.append(row)
                 if len(rows) == 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows), kinds)], schema=kinds)
@@ -359,7 +386,7 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WI
             yield from decide(blobs)
 
     packed = compressed(texts.where(F.octet_length("text") >= length))
-    made = packed.join(places, ["id0", "code"]).mapInArrow(runs, "bucket int, run binary")
+    made = packed.join(places, "id0").mapInArrow(runs, "bucket int, run binary")
     dealt = made.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     found = stored(dealt.mapInArrow(merge, "hash binary, id0 bigint, code bigint, first bigint, last bigint, open boolean"), "starts")
     counted = found.where("hash is not null").groupBy("hash").agg(
@@ -375,9 +402,9 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WI
 def splitters(texts: DataFrame, places: DataFrame, total: int, buckets: int, length: int, window: int) -> list[bytes]:
     """Keys that cut the order into about equal buckets, from ``OVERSAMPLE`` sampled suffixes a bucket."""
     every = max(1, total // (buckets * OVERSAMPLE))
-    picked = places.select("id0", "code", F.explode("places").alias("place")).where(
-        F.pmod(F.xxhash64("id0", "code", "place"), F.lit(every)) == 0
-    ).groupBy("id0", "code").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    picked = places.select("id0", F.explode("places").alias("place")).where(
+        F.pmod(F.xxhash64("id0", "place"), F.lit(every)) == 0
+    ).groupBy("id0").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,7 +415,7 @@ def splitters(texts: DataFrame, places: DataFrame, total: int, buckets: int, len
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["key"])
 
     # about OVERSAMPLE * buckets rows, whatever the table's size
-    sample = texts.join(F.broadcast(picked), ["id0", "code"]).mapInArrow(keys, "key binary").collect()
+    sample = texts.join(F.broadcast(picked), "id0").mapInArrow(keys, "key binary").collect()
     ordered = sorted(bytes(r["key"]) for r in sample)
     return sorted({ordered[len(ordered) * i // buckets] for i in range(1, buckets)}) if ordered else []
 
@@ -414,7 +441,8 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, window: int = WI
     columns = [c for c in plain.columns if c != "text"]
     rows = plain.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").isNull().alias("none"),
-        F.coalesce("doc_id", F.lit(0)).alias("id0"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("code"),
+        F.coalesce("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).cast("bigint").alias("id0"),
+        F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("code"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     joined = compressed(rows).join(spans, ["id0", "code"], "left").select("row", "none", "z", "spans")
