@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,14 @@ def blocks(sizes: Sequence[int], limit: int = BLOCK_BYTES) -> Iterator[tuple[int
         yield start, len(sizes)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut by the bytes of a column, so that only so much is held as Python objects at once."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for a, b in blocks(sizes, limit):
+            yield batch.slice(a, b - a)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts of a batch; null is the empty text."""
     return [x or "" for x in batch.column(column).to_pylist()]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import narrow, texts_of
+from tradeloom.llm.common import narrow, slices, texts_of
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 # one byte for each byte: A-Z to a-z, all other ASCII that is in no word to the space
@@ -135,7 +135,7 @@ def scanned(documents: DataFrame, patterns: dict[bytes, set], more: bool) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = scanner(key, sent.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch)
             columns = {n: [] for n in ("n_words", "n_hit", "items", "word_spans", "char_spans")}
             before = [batch.column(c).to_pylist() for c in earlier]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import narrow
+from tradeloom.llm.common import narrow, slices
 from tradeloom.llm.html_blocks import Block, leaf_blocks
 
 MAX_TRAIN_PAGES = 200
@@ -217,7 +217,7 @@ def extract(pages: DataFrame, weights: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Chain(sent.value)
-        for batch in batches:
+        for batch in slices(batches, "html"):
             texts = [main_text(p, model) for p in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, texts_of
+from tradeloom.llm.common import slices, texts_of
 from tradeloom.llm.pieces import CACHE_ENTRIES, MARK, PieceTable, default_model, piece_table
 
 Candidate = tuple[float, bytes]
@@ -142,7 +142,7 @@ class Segmenter:
         fresh = {u: None for x, y in zip(units, got) for u, g in zip(x, y) if g is None}
         for u in fresh:
             fresh[u] = self.unit(u)
-        if len(self.known) < CACHE_ENTRIES // 3:  # only the first units met are remembered
+        if len(self.known) < CACHE_ENTRIES // 5:  # only the first units met are remembered
             self.known.update(fresh)
         return [
             self.joined([fresh[u] if g is None else g for u, g in zip(x, y)]) if x else [(0.0, b"")]
@@ -170,13 +170,9 @@ def segment(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = segmenter(path, n_best)
         kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.binary())]))
-        for batch in batches:
-            texts = texts_of(batch)
-            for a, b in blocks([len(t) for t in texts]):
-                rows = [[{"score": s, "ids": ids} for s, ids in x] for x in tool.encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(a, b - a) for c in keep), pa.array(rows, kind)], [*keep, "candidates"]
-                )
+        for batch in slices(batches, limit=1 << 20):
+            rows = [[{"score": s, "ids": ids} for s, ids in x] for x in tool.encode(texts_of(batch))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, kind)], [*keep, "candidates"])
 
     rows = documents.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "text"))])
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
@@ -215,7 +211,7 @@ def decoded(frame: DataFrame, ids: str = "ids", text: str = "decoded", model_pat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = decoder(path)
-        for batch in batches:
+        for batch in slices(batches, ids):
             column = pa.array([tool.decode(x) for x in batch.column(ids).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(f.name) for f in kept] + [column], [f.name for f in kept] + [text]

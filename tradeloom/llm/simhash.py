@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, narrow, stored, texts_of
+from tradeloom.llm.common import narrow, slices, stored, texts_of
 
 BUCKET = 4096
 FAN = 8
@@ -67,7 +67,7 @@ def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
     kept = [f for f in documents.schema.fields if f.name != "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             bits = np.array([fingerprint(t, shingle) for t in texts_of(batch)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(f.name) for f in kept] + [pa.array(bits)], [f.name for f in kept] + ["bits"]

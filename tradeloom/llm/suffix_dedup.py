@@ -40,12 +40,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, narrow, stored
+from tradeloom.llm.common import narrow, slices, stored
 
 LENGTH = 400
 WINDOW = 256
 GRAM = 32
-RUN_BYTES = 24 << 20
+RUN_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
 OVERSAMPLE = 24
 PLACE = np.uint64((1 << 31) - 1)
@@ -102,7 +102,7 @@ def compressed(frame: DataFrame) -> DataFrame:
     kept = [f for f in frame.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             z = [len(x).to_bytes(8, "little") + pa.compress(x, codec="zstd", asbytes=True) for x in bytes_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [pa.array(z, pa.binary())], [f.name for f in kept] + ["z"])
 
@@ -125,14 +125,12 @@ def repeated_anchors(texts: DataFrame, length: int, window: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, id0 = bytes_of(batch), batch.column("id0").to_numpy()
-            for a, b in blocks([len(x) for x in data]):
-                found = anchors(data[a:b], length, window)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(id0[found["text"] + a]), pa.array(found["place"].astype(np.int32)), pa.array(found["gram"].view(np.int64))],
-                    ["id0", "place", "gram"],
-                )
+        for batch in slices(batches):
+            found, id0 = anchors(bytes_of(batch), length, window), batch.column("id0").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(id0[found["text"]]), pa.array(found["place"].astype(np.int32)), pa.array(found["gram"].view(np.int64))],
+                ["id0", "place", "gram"],
+            )
 
     rows = texts.where(F.octet_length("text") >= length).select("id0", "text").mapInArrow(run, "id0 bigint, place int, gram bigint")
     rows = stored(rows, "anchors")
@@ -346,7 +344,7 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WI
                 [pa.array([i for i, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], ["bucket", "run"]
             )
 
-        for batch in batches:
+        for batch in slices(batches, "z", 1 << 20):
             for id0, code, z, list_ in zip(*[batch.column(c).to_pylist() for c in ("id0", "code", "z", "places")]):
                 data = unpacked(z)
                 found = anchors([data], length, window)
@@ -407,7 +405,7 @@ def splitters(texts: DataFrame, places: DataFrame, total: int, buckets: int, len
     ).groupBy("id0").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for id0, code, text, list_ in zip(*[batch.column(c).to_pylist() for c in ("id0", "code", "text", "places")]):
                 data = text.encode()
                 found = anchors([data], length, window)
@@ -449,7 +447,7 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, window: int = WI
     kind = joined.schema["row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "z", 1 << 20):
             out = []
             for z, spans in zip(batch.column("z").to_pylist(), batch.column("spans").to_pylist()):
                 data, kept, at, count = unpacked(z), [], 0, 0

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, narrow, texts_of
+from tradeloom.llm.common import blocks, narrow, slices, texts_of
 from tradeloom.llm.pieces import CACHE_ENTRIES, PieceTable, code_points, default_model, piece_table
 
 NONE = np.iinfo(np.int32).max
@@ -139,11 +139,8 @@ def token_counts(documents: DataFrame, model_path: str | None = None, limit: int
     path = model_path or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = texts_of(batch)
-            counts: list[int] = []
-            for a, b in blocks([len(t) for t in texts]):
-                counts += count_texts(texts[a:b], path)
+        for batch in slices(batches):
+            counts = count_texts(texts_of(batch), path)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],

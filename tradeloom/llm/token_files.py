@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, narrow, texts_of
+from tradeloom.llm.common import blocks, narrow, slices, texts_of
 from tradeloom.llm.files import mapped, write_whole
 from tradeloom.session import scratch_path
 
 NO_ID = -(2**63)
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000
 # Unicode's White_Space, which the pre-tokenizer's pattern uses; Python's \s has four more
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -143,13 +143,11 @@ def write_token_files(
         ends, docs, end = [0], [], np.array([end_id], width).tobytes()
 
         def write(out) -> None:
-            for batch in batches:
-                texts = texts_of(batch)
+            for batch in slices(batches, limit=1 << 20):
                 docs.extend(NO_ID if d is None else d for d in batch.column("doc_id").to_pylist())
-                for a, b in blocks([len(t) for t in texts], 1 << 20):
-                    for ids in tool.encode(texts[a:b]):
-                        out.write(np.frombuffer(ids, "<u4").astype(width).tobytes() + end)
-                        ends.append(ends[-1] + len(ids) // 4 + 1)
+                for ids in tool.encode(texts_of(batch)):
+                    out.write(np.frombuffer(ids, "<u4").astype(width).tobytes() + end)
+                    ends.append(ends[-1] + len(ids) // 4 + 1)
 
         name = f"{folder}/{number:06d}"
         write_whole(f"{name}.ids", write)

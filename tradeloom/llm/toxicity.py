@@ -18,14 +18,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, narrow, texts_of
+from tradeloom.llm.common import narrow, slices, texts_of
 
 BITS = 20
 MAX_TRAIN_ROWS = 8_000
 WORD = re.compile(r"\w+")
 GAPS = (1, 2, 3)
 KNOWN: dict[str, int] = {}
-KNOWN_ENTRIES = 400_000
+KNOWN_ENTRIES = 100_000
 
 
 def word_hash(word: str) -> int:
@@ -90,19 +90,16 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = MAX_TRAIN_ROWS, p
     )
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = texts_of(batch)
-            for a, b in blocks([len(t) for t in texts]):
-                owner, at = coordinates(texts[a:b])
-                keys = np.unique((owner << 32) | at)
-                counts = np.bincount(keys >> 32, minlength=b - a)
-                at32 = (keys & 0xFFFFFFFF).astype("<u4")
-                cuts = np.concatenate([[0], np.cumsum(counts)])
-                data = [at32[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("place").slice(a, b - a), batch.column("toxic").slice(a, b - a), pa.array(data, pa.binary())],
-                    ["place", "toxic", "at"],
-                )
+        for batch in slices(batches, limit=1 << 20):
+            owner, at = coordinates(texts_of(batch))
+            keys = np.unique((owner << 32) | at)
+            counts = np.bincount(keys >> 32, minlength=batch.num_rows)
+            at32 = (keys & 0xFFFFFFFF).astype("<u4")
+            cuts = np.concatenate([[0], np.cumsum(counts)])
+            data = [at32[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("place"), batch.column("toxic"), pa.array(data, pa.binary())], ["place", "toxic", "at"]
+            )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = [x for batch in batches for x in zip(*[c.to_pylist() for c in batch.columns])]
@@ -140,15 +137,12 @@ def score(documents: DataFrame, model: tuple[list[int], list[float]], threshold:
         weight = np.zeros((1 << BITS) + 1)
         weight[sent.value[0]] = sent.value[1]
         used = weight != 0
-        for batch in batches:
-            texts, scores = texts_of(batch), []
-            for a, b in blocks([len(t) for t in texts]):
-                owner, at = coordinates(texts[a:b])
-                live = used[at]
-                keys = np.unique((owner[live] << 32) | at[live])
-                total = np.bincount(keys >> 32, weight[keys & 0xFFFFFFFF], b - a) + weight[-1]
-                scores.append(1 / (1 + np.exp(-np.clip(total, -500, 500))))
-            column = pa.array(np.concatenate(scores) if scores else [], pa.float64())
+        for batch in slices(batches, limit=1 << 20):
+            owner, at = coordinates(texts_of(batch))
+            live = used[at]
+            keys = np.unique((owner[live] << 32) | at[live])
+            total = np.bincount(keys >> 32, weight[keys & 0xFFFFFFFF], batch.num_rows) + weight[-1]
+            column = pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))), pa.float64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(f.name) for f in kept] + [column], [f.name for f in kept] + ["score"]
             )
