@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from tradeloom.llm.common import narrow, slices, texts_of
 
 BITS = 20
-MAX_TRAIN_ROWS = 8_000
+MAX_TRAIN_ROWS = 12_000
+MIN_SEEN = 4
 WORD = re.compile(r"\w+")
 GAPS = (1, 2, 3)
 KNOWN: dict[str, int] = {}
@@ -55,7 +56,7 @@ def coordinates(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Ftrl:
     """Per-coordinate follow-the-regularised-leader, one example at a time."""
 
-    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0) -> None:
+    def __init__(self, alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0, l2: float = 1.0) -> None:
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z = np.zeros((1 << BITS) + 1)
         self.n = np.zeros((1 << BITS) + 1)
@@ -75,13 +76,14 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def train(documents: DataFrame, labels: DataFrame, rows: int = MAX_TRAIN_ROWS, passes: int = 3) -> tuple[list[int], list[float]]:
+def train(documents: DataFrame, labels: DataFrame, rows: int = MAX_TRAIN_ROWS, passes: int = 4) -> tuple[list[int], list[float]]:
     """Coordinates and weights of the model.
 
     ``labels`` has doc_id and toxic (0 or 1); rows with a null in either are left out, and
     the largest label of an id counts. The examples are a bounded sample: the ``rows``
     labelled ids with the smallest hash. Their features are made where the texts are; only
     they go to one task, which learns one example after another in the order of the hash.
+    Coordinates of fewer than ``MIN_SEEN`` examples are left out.
     Without any example the model has no weight at all.
     """
     sample = (
@@ -104,10 +106,16 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = MAX_TRAIN_ROWS, p
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = [x for batch in batches for x in zip(*[c.to_pylist() for c in batch.columns])]
         examples = sorted(examples)[:rows]
-        model = Ftrl()
+        seen = np.zeros(1 << BITS, np.int64)
+        for _, _, at in examples:
+            seen[np.frombuffer(at, "<u4")] += 1
+        often, model = seen >= MIN_SEEN, Ftrl()
+        for i, (place, label, at) in enumerate(examples):
+            own = np.frombuffer(at, "<u4")
+            examples[i] = (place, label, own[often[own]])
         for _ in range(passes):
             for _, label, at in examples:
-                model.learn(np.frombuffer(at, "<u4").astype(np.int64), label)
+                model.learn(at.astype(np.int64), label)
         weights = model.weights(np.arange((1 << BITS) + 1))
         kept = np.flatnonzero(weights)
         yield pa.RecordBatch.from_pydict({
