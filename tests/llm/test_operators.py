@@ -263,7 +263,7 @@ def test_winnowing(spark):
     rng = random.Random(8)
     texts = [words(rng, rng.randint(1, 90), "ab") for _ in range(40)] + ["la " * 60, "中文字" * 20]
     docs = frame(spark, texts)
-    rows = winnow.fingerprints(docs.withColumn("codes", F.transform(F.filter(F.split("text", " "), lambda w: w != ""), F.xxhash64)))
+    rows = winnow.fingerprints(docs.withColumn("codes", F.transform(F.filter(F.split("text", " "), lambda w: w != ""), lambda w: F.xxhash64(w))))
     for r in rows.where("length(text) > 0 and not text like '中%'").select(
         "text", "chosen", winnow.grams(F.col("codes")).alias("grams")
     ).collect():
