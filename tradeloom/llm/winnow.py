@@ -112,7 +112,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
 
 
 def following(keys: DataFrame) -> DataFrame:
-    """``id0, code, n_chars`` of the next key for each key in ascending order; after the last comes the first.
+    """doc_id, id0, code, n_chars and ``next`` (id0 and code of the next key) for each key in ascending order; after the last comes the first.
 
     Keys are dealt by ranges; each range looks ahead in itself, and the first key of the
     next range, one small row a range, completes its last row.
@@ -126,7 +126,7 @@ def following(keys: DataFrame) -> DataFrame:
     parts = Window.orderBy("part")  # one row a range
     starts = firsts.select("part", F.coalesce(F.lead("start").over(parts), F.first("start").over(parts)).alias("start"))
     ahead = ranges.withColumn("next", F.lead(own).over(inside)).join(F.broadcast(starts), "part")
-    return ahead.select("id0", "code", "n_chars", F.coalesce("next", "start").alias("next"))
+    return ahead.select("doc_id", "id0", "code", "n_chars", F.coalesce("next", "start").alias("next"))
 
 
 def edit_likeness(documents: DataFrame) -> DataFrame:
@@ -146,13 +146,14 @@ def edit_likeness(documents: DataFrame) -> DataFrame:
     texts = narrow(documents, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     texts = texts.withColumn("id0", F.coalesce("doc_id", F.lit(0))).withColumn("code", F.xxhash64("doc_id", "text"))
     keys = texts.select("doc_id", "id0", "code", F.length("text").alias("n_chars")).distinct()
+    texts = texts.select("id0", "code", "text")  # both joins below read one exchange of it
     order = following(keys)
     gives = stored(order.select(
         F.col("next.id0").alias("id0"), F.col("next.code").alias("code"),
-        F.col("id0").alias("to_id0"), F.col("code").alias("to_code"), F.floor(F.col("n_chars") / 4).cast("int").alias("need"),
+        F.col("id0").alias("to_id0"), F.col("code").alias("to_code"), "doc_id", F.floor(F.col("n_chars") / 4).cast("int").alias("need"),
     ), "gives")
     donors = texts.join(gives, ["id0", "code"]).select(
-        "to_id0", "to_code", F.expr("substring(text, 1, need)").alias("gift"), hashes(winnowed(F.col("text"))).alias("next_set")
+        "to_id0", "to_code", "doc_id", F.expr("substring(text, 1, need)").alias("gift"), hashes(winnowed(F.col("text"))).alias("next_set")
     ).dropDuplicates(["to_id0", "to_code"])
     both = texts.join(donors, (texts["id0"] == donors["to_id0"]) & (texts["code"] == donors["to_code"]))
     kept = F.length("text") - F.floor(F.length("text") / 4).cast("int")
