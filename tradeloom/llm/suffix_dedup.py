@@ -18,8 +18,9 @@ it, and the rest. A loser tree merges the runs of a bucket. It holds for each wa
 suffix the length of the prefix that it shares with the last winner; two suffixes whose
 lengths differ are ordered by them alone, and equal lengths are compared from there on,
 so no known prefix is compared again. The winner's length is its common prefix with the
-one before it in the whole order. Each run also sends its neighbours beyond the cuts, so
-that the first and the last suffix of a bucket know theirs.
+one before it in the whole order. Each run also sends its neighbours beyond the cuts, and
+those of a class of equal prefixes that goes over a cut, so that the first and the last
+suffix and class of a bucket know theirs.
 
 What is left. Starts whose match ends between their string's end and ``LENGTH`` after the
 anchor are not decided by prefixes of ``LENGTH`` bytes. They are known from the common
@@ -175,9 +176,10 @@ def suffixes(id0: int, code: int, data: bytes, places: set, found: dict, rows: r
             yield Suffix(key, back, id0, code, m, int(found["low"][r]))
 
 
-def front_coded(run: list[Suffix], first: int, last: int, length: int) -> bytes:
-    """The suffixes first..last-1 of a sorted run and its neighbours on both sides, as one packed string."""
-    part = [(run[i], i < first or i >= last) for i in range(max(first - 1, 0), min(last + 1, len(run)))]
+def front_coded(run: list[Suffix], first: int, last: int, length: int, beside: tuple[int, ...] = ()) -> bytes:
+    """The suffixes first..last-1 of a sorted run, and as ghosts those at the places ``beside``, packed."""
+    ghosts = {i for i in beside if 0 <= i < len(run) and not first <= i < last}
+    part = [(run[i], i in ghosts) for i in sorted({*range(first, last), *ghosts})]
     shared, rest, back, before = [], [], [], b""
     for s, _ in part:
         n = common_prefix(before, s.key, 0)
@@ -280,7 +282,6 @@ def judged(order: list[tuple[int, Suffix]], length: int, window: int) -> Iterato
     first = np.flatnonzero(np.diff(number, prepend=0))
     last = np.append(first[1:], n) - 1
     outside = np.maximum(shared[first], shared[last + 1])
-    outside[(ghost[first] | ghost[last]) & (first != last)] = length - 1  # goes on elsewhere, so nothing is known
     outside = np.minimum(outside, length - 1)[number - 1]
     edges = np.append(np.flatnonzero(shared[:n] <= length - window), n)
     for a, b in zip(edges.tolist(), edges[1:].tolist()):
@@ -337,9 +338,16 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WI
         def flush() -> pa.RecordBatch:
             held.sort(key=lambda s: s.key)
             keys = [s.key for s in held]
-            edges = [0, *(bisect_left(keys, c) for c in sent.value), len(held)]
-            # a bucket without suffixes of this run still gets the two beside it
-            parts = [(i, front_coded(held, a, b, length)) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+            cuts = sent.value
+            edges = [0, *(bisect_left(keys, c) for c in cuts), len(held)]
+            # a class that goes over a cut has its neighbours further away: the last key before
+            # the class of the lower cut, and the first after that of the upper one (no text holds 0xff)
+            before = [-1, *(bisect_left(keys, c[:length]) - 1 for c in cuts)]
+            after = [*(bisect_left(keys, c[:length] + b"\xff") for c in cuts), -1]
+            parts = [
+                (i, front_coded(held, a, b, length, (before[i], a - 1, b, after[i])))
+                for i, (a, b) in enumerate(zip(edges, edges[1:]))
+            ]
             return pa.RecordBatch.from_arrays(
                 [pa.array([i for i, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], ["bucket", "run"]
             )
