@@ -116,16 +116,23 @@ class Segmenter:
     def __init__(self, path: str, n: int) -> None:
         self.table, self.n = piece_table(path), n
         self.lattice = Lattice(self.table)
-        self.known: dict[str, list[Candidate]] = {}
-
-    def unit(self, unit: str) -> list[Candidate]:
-        """Candidates of a unit. A long one is cut between characters that no piece joins."""
-        if len(unit) > 64:
-            codes = np.frombuffer(unit.encode("utf-32-le"), np.uint32)
-            at = [*np.flatnonzero(self.table.breaks(codes)).tolist(), len(unit)]
-            if len(at) > 2:
-                return self.joined([self.unit(unit[a:b]) for a, b in zip(at, at[1:])])
-        return [(s, pack(f"<{len(ids)}I", *ids)) for s, ids in self.lattice.search(unit, self.n)]
+        self.pairs = {p[i : i + 2] for p in self.table.ids for i in range(len(p) - 1)}
+        self.known: dict[str, list[list[Candidate]]] = {}
+        self.parts: dict[str, list[Candidate]] = {}
+
+    def unit(self, unit: str) -> list[list[Candidate]]:
+        """Candidates of the parts of a unit, cut between characters that no piece joins."""
+        pairs = self.pairs
+        cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in pairs]
+        out = []
+        for a, b in zip([0, *cuts], [*cuts, len(unit)]):
+            part = unit[a:b]
+            if (held := self.parts.get(part)) is None:
+                held = [(s, pack(f"<{len(ids)}I", *ids)) for s, ids in self.lattice.search(part, self.n)]
+                if len(self.parts) < CACHE_ENTRIES // 2:  # only the first parts met are remembered
+                    self.parts[part] = held
+            out.append(held)
+        return out
 
     def joined(self, lists: list[list[Candidate]]) -> list[Candidate]:
         score = sum(x[0][0] for x in lists)
@@ -142,10 +149,10 @@ class Segmenter:
         fresh = {u: None for x, y in zip(units, got) for u, g in zip(x, y) if g is None}
         for u in fresh:
             fresh[u] = self.unit(u)
-        if len(self.known) < CACHE_ENTRIES // 5:  # only the first units met are remembered
+        if len(self.known) < CACHE_ENTRIES // 2:  # only the first units met are remembered
             self.known.update(fresh)
         return [
-            self.joined([fresh[u] if g is None else g for u, g in zip(x, y)]) if x else [(0.0, b"")]
+            self.joined([c for u, g in zip(x, y) for c in (fresh[u] if g is None else g)]) if x else [(0.0, b"")]
             for x, y in zip(units, got)
         ]
 
