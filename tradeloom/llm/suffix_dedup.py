@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import narrow, slices, stored
@@ -395,14 +395,11 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WI
     made = packed.join(places, "id0").mapInArrow(runs, "bucket int, run binary")
     dealt = made.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     found = stored(dealt.mapInArrow(merge, "hash binary, id0 bigint, code bigint, first bigint, last bigint, open boolean"), "starts")
-    counted = found.where("hash is not null").groupBy("hash").agg(
-        F.count("*").alias("n"),
-        # open starts of one string: one for each bucket and class at most
-        F.collect_list(F.when(F.col("open"), F.struct("id0", "code", "first", "last"))).alias("starts"),
-    ).where("n > 1")
-    return found.where("hash is null").select("id0", "code", "first", "last").unionAll(
-        counted.select(F.explode("starts").alias("s")).select("s.*")
-    )
+    # rows of one string: one for each bucket and class at most
+    times = F.count("*").over(Window.partitionBy("hash"))
+    counted = found.where("hash is not null").withColumn("n", times).where("n > 1 and open")
+    columns = ["id0", "code", "first", "last"]
+    return found.where("hash is null").select(*columns).unionAll(counted.select(*columns))
 
 
 def splitters(texts: DataFrame, places: DataFrame, total: int, buckets: int, length: int, window: int) -> list[bytes]:
