@@ -129,7 +129,7 @@ class Segmenter:
             part = unit[a:b]
             if (held := self.parts.get(part)) is None:
                 held = [(s, pack(f"<{len(ids)}I", *ids)) for s, ids in self.lattice.search(part, self.n)]
-                if len(self.parts) < CACHE_ENTRIES // 2:  # only the first parts met are remembered
+                if len(self.parts) < CACHE_ENTRIES // 6:  # only the first parts met are remembered
                     self.parts[part] = held
             out.append(held)
         return out
@@ -149,7 +149,7 @@ class Segmenter:
         fresh = {u: None for x, y in zip(units, got) for u, g in zip(x, y) if g is None}
         for u in fresh:
             fresh[u] = self.unit(u)
-        if len(self.known) < CACHE_ENTRIES // 2:  # only the first units met are remembered
+        if len(self.known) < CACHE_ENTRIES // 6:  # only the first units met are remembered
             self.known.update(fresh)
         return [
             self.joined([c for u, g in zip(x, y) for c in (fresh[u] if g is None else g)]) if x else [(0.0, b"")]
