@@ -171,3 +171,17 @@ def test_ordinals_and_chunks(spark):
     pairs_df = spark.createDataFrame([(i % 7, i) for i in range(100)], "a int, b int")
     ranks = dense_ordinal(pairs_df, ["a", "b"]).orderBy("ordinal").collect()
     assert [(r.a, r.b) for r in ranks] == sorted((i % 7, i) for i in range(100)) and [r.ordinal for r in ranks] == list(range(1, 101))
+
+
+def test_null_order_values_come_last_however_rows_are_cut(spark):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    times = [datetime(2026, 1, 1), datetime(2026, 1, 2), None, datetime(2026, 1, 25)]
+    df = spark.createDataFrame([("a", t, i, 10**i) for i, t in enumerate(times)], "k string, t timestamp, n int, q bigint")
+    for largest in (20_000_000, 1):
+        numbered = version_numbers(df, ["k"], ["t", "n"], F.date_trunc("day", "t"), {"p": "n"}, largest=largest).collect()
+        assert {r["n"]: (r["version_no"], r["p"]) for r in numbered} == {0: (1, None), 1: (2, 0), 3: (3, 1), 2: (4, 3)}
+        total = running_total(df, ["k"], ["t", "n"], F.date_trunc("day", "t"), "q", "r", largest=largest).collect()
+        assert {r["n"]: r["r"] for r in total} == {0: 1, 1: 11, 3: 1011, 2: 1111}

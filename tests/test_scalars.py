@@ -122,3 +122,15 @@ def test_audit(values):
     assert "Аналитика WB" in got["e"]
     assert [got[k] for k in "ghij"] == ["product_identity", "daily_time_series", "lookup_enrichment", "advertising_metrics"]
     assert (got["k"], got["m"], got["n"], got["o"]) == ("ozon", "orders", "other", "daily_time_series")
+
+
+def test_white_space_of_any_kind_is_stripped(values):
+    from pyspark.sql import functions as F
+
+    from tradeloom.functions import numbers, text
+
+    got = values(
+        a=text.clean_article(F.lit("00123 ")), b=text.blank_to_null(F.lit("\t \n")), c=numbers.parse_int_strict(F.lit("\t12\n")),
+        d=text.parse_bool_null(F.lit(" Yes\r\n")), e=text.norm_header(F.lit("Артикул ")), f=text.normalize_cell(F.lit("\t1,50 ")),
+    )
+    assert got == {"a": "123", "b": None, "c": 12, "d": True, "e": "артикул", "f": "1.5"}

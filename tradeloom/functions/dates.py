@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tradeloom.functions.numbers import as_column
+from tradeloom.functions.numbers import as_column, strip
 
 ISO_TEXT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
@@ -25,14 +25,14 @@ RU_MONTHS = {
 
 def ensure_offset(value: Column | str, naive_offset: str = "+03:00") -> Column:
     """Append an offset to ISO text that has none."""
-    text = F.trim(as_column(value).cast("string"))
+    text = strip(as_column(value).cast("string"))
     has_offset = (F.length(text) > 10) & F.substring(text, 11, 40).rlike(OFFSET_TEXT)
     return F.when((text == "") | has_offset, text).otherwise(F.concat(text, F.lit(naive_offset)))
 
 
 def parse_ts(value: Column | str, naive_offset: str = "Z") -> Column:
     """ISO 8601 text to TIMESTAMP; text without an offset is read at ``naive_offset``."""
-    text = F.trim(as_column(value).cast("string"))
+    text = strip(as_column(value).cast("string"))
     tail = F.substring(text, 17, 40)
     clock = F.when(F.length(text) == 10, "00:00").otherwise(F.substring(text, 12, 5))
     seconds = F.when(tail.startswith(":"), F.lit("")).otherwise(":00")
@@ -45,13 +45,13 @@ def parse_ts(value: Column | str, naive_offset: str = "Z") -> Column:
 
 def parse_date_iso(value: Column | str) -> Column:
     """Calendar date of ISO text, in the text's own offset."""
-    text = F.trim(as_column(value).cast("string"))
+    text = strip(as_column(value).cast("string"))
     return F.when(text.rlike(ISO_TEXT), F.substring(text, 1, 10).try_cast("date"))
 
 
 def parse_ru_month_year(value: Column | str) -> Column:
     """Month name and four-digit year in any order to the first of that month."""
-    text = F.trim(F.regexp_replace(F.lower(as_column(value).cast("string")), r"[,\s]+", " "))
+    text = strip(F.regexp_replace(F.lower(as_column(value).cast("string")), r"[,\s]+", " "))
     words = F.transform(F.split(text, " "), lambda w: F.regexp_replace(w, r"^[.]+|[.]+$", ""))
     pairs: list[Column] = []
     for name, number in RU_MONTHS.items():
@@ -66,8 +66,8 @@ def parse_ru_month_year(value: Column | str) -> Column:
 
 def parse_date_multi(value: Column | str) -> Column:
     """yyyy-MM-dd, dd.MM.yyyy, dd/MM/yyyy on the first ten characters, then ISO, then month name."""
-    text = F.trim(as_column(value).cast("string"))
-    head = F.trim(F.substring(text, 1, 10))
+    text = strip(as_column(value).cast("string"))
+    head = strip(F.substring(text, 1, 10))
     iso = F.when(head.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), head.try_cast("date"))
     turned = F.regexp_replace(head, r"^([0-9]{1,2})[./]([0-9]{1,2})[./]([0-9]{4})$", "$3-$2-$1")
     dotted = F.when(

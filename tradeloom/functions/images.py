@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tradeloom.functions.numbers import as_column
+from tradeloom.functions.numbers import as_column, strip
 
 # Last volume of each of the first fifteen shards, the number of
 # shards to try, the sizes, and the address form.
@@ -17,7 +17,7 @@ IMAGE_ADDRESS = "https://basket-%s.wbbasket.ru/vol%d/part%d/%d/images/%s/1.webp"
 
 def image_url_list(value: Column | str) -> Column:
     """JSON list, a list printed with single quotes, or one address, as an array of text."""
-    text = F.trim(as_column(value).cast("string"))
+    text = strip(as_column(value).cast("string"))
     listed = text.startswith("[") & text.endswith("]")
     as_json = F.from_json(text, "array<string>")
     swapped = F.from_json(F.translate(text, "'", '"'), "array<string>")
@@ -69,7 +69,7 @@ def photo_urls(photos: Column) -> Column:
         photos,
         lambda p: F.coalesce(
             *[
-                F.when(F.trim(p[size]) != "", F.trim(p[size]))
+                F.when(strip(p[size]) != "", strip(p[size]))
                 for size in ("big", "c516x688", "c246x328", "tm", "square")
             ]
         ),

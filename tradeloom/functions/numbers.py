@@ -10,6 +10,13 @@ INTEGER_TEXT = r"^[+-]?[0-9]+$"
 NUMBER_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PLAIN_NUMBER_TEXT = r"^-?[0-9]+(\.[0-9]+)?$"
 NBSP = "\u00a0"
+# What counts as white space at the ends of a text.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(text: Column) -> Column:
+    """Text without white space at its ends: the ASCII kinds, U+0085, U+00A0 and the wide spaces."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def as_column(value: Column | str) -> Column:
@@ -19,12 +26,12 @@ def as_column(value: Column | str) -> Column:
 def clean_number_text(value: Column | str, nbsp: bool = False) -> Column:
     """Drop spaces (and U+00A0 when asked) and turn a decimal comma into a dot."""
     dropped = f" {NBSP}" if nbsp else " "
-    return F.trim(F.translate(as_column(value).cast("string"), f",{dropped}", "."))
+    return strip(F.translate(as_column(value).cast("string"), f",{dropped}", "."))
 
 
 def parse_int_strict(value: Column | str) -> Column:
     """Whole-number text to BIGINT; anything else is null."""
-    text = F.trim(as_column(value).cast("string"))
+    text = strip(as_column(value).cast("string"))
     return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tradeloom.functions.numbers import NBSP, PLAIN_NUMBER_TEXT, as_column
+from tradeloom.functions.numbers import NBSP, PLAIN_NUMBER_TEXT, as_column, strip
 
 # Cyrillic letters that look like Latin ones in lot codes.
 LOT_CYRILLIC = "АВЕКМНОРСТУХавекмнорстух"
@@ -22,18 +22,18 @@ FALSE_WORDS = ("false", "0", "no")
 
 def parse_bool_null(value: Column | str) -> Column:
     """true/1/yes, false/0/no, anything else null."""
-    text = F.lower(F.trim(as_column(value).cast("string")))
+    text = F.lower(strip(as_column(value).cast("string")))
     return F.when(text.isin(*TRUE_WORDS), F.lit(True)).when(text.isin(*FALSE_WORDS), F.lit(False))
 
 
 def parse_bool_false(value: Column | str) -> Column:
     """true/1/yes/да are true; everything else, null included, is false."""
-    text = F.lower(F.trim(as_column(value).cast("string")))
+    text = F.lower(strip(as_column(value).cast("string")))
     return F.coalesce(text.isin(*TRUE_WORDS, "да"), F.lit(False))
 
 
 def blank_to_null(value: Column | str) -> Column:
-    text = F.trim(as_column(value).cast("string"))
+    text = strip(as_column(value).cast("string"))
     return F.when(text != "", text)
 
 
@@ -45,13 +45,13 @@ def empty_to_null(value: Column | str) -> Column:
 
 def text_or_null(values: Column) -> Column:
     """First non-blank element of an array of text, trimmed."""
-    trimmed = F.transform(values, lambda v: F.trim(v))
+    trimmed = F.transform(values, lambda v: strip(v))
     return F.get(F.filter(trimmed, lambda v: v.isNotNull() & (v != "")), F.lit(0))
 
 
 def clean_article(value: Column | str) -> Column:
     """Trim; digits lose leading zeros; a float without fraction becomes its integer text."""
-    text = F.trim(F.coalesce(as_column(value).cast("string"), F.lit("")))
+    text = strip(F.coalesce(as_column(value).cast("string"), F.lit("")))
     digits = F.regexp_replace(text, r"^0+(?=[0-9])", "")
     return F.when(text.rlike(r"^[0-9]+$"), digits).otherwise(text)
 
@@ -79,13 +79,13 @@ def article_or_sku(article: Column | str, sku: Column | str) -> Column:
 
 def norm_header(value: Column | str, fold_yo: bool = False) -> Column:
     """Header text for comparison: trimmed, lower case, U+00A0 as space."""
-    text = F.lower(F.trim(F.coalesce(as_column(value).cast("string"), F.lit(""))))
+    text = F.lower(strip(F.coalesce(as_column(value).cast("string"), F.lit(""))))
     return F.translate(text, f"{NBSP}ё", " е") if fold_yo else F.translate(text, NBSP, " ")
 
 
 def normalize_cell(value: Column | str) -> Column:
     """Cell text for comparison: numbers by value, everything else trimmed."""
-    text = F.trim(F.coalesce(as_column(value).cast("string"), F.lit("")))
+    text = strip(F.coalesce(as_column(value).cast("string"), F.lit("")))
     compact = F.translate(text, f", {NBSP}", ".")
     plain = F.regexp_replace(compact, CELL_NUMBER_PARTS, "$1$2$3")
     return F.when(compact.rlike(PLAIN_NUMBER_TEXT), F.when(plain == "-0", "0").otherwise(plain)).otherwise(text)
@@ -94,7 +94,7 @@ def normalize_cell(value: Column | str) -> Column:
 def lookup_label(value: Column | str, labels: dict[str, str], missing: str = "-") -> Column:
     """Dictionary label; an unknown value stays as it is, empty becomes ``missing``."""
     raw = as_column(value).cast("string")
-    key = F.lower(F.trim(F.coalesce(raw, F.lit(""))))
+    key = F.lower(strip(F.coalesce(raw, F.lit(""))))
     pairs: list[Column] = []
     for code, label in labels.items():
         pairs += [F.lit(code), F.lit(label)]
@@ -104,7 +104,7 @@ def lookup_label(value: Column | str, labels: dict[str, str], missing: str = "-"
 
 def lookup_key(value: Column | str, names: dict[str, str]) -> Column:
     """Case-insensitive dictionary lookup; unknown gives null."""
-    key = F.lower(F.trim(F.coalesce(as_column(value).cast("string"), F.lit(""))))
+    key = F.lower(strip(F.coalesce(as_column(value).cast("string"), F.lit(""))))
     pairs: list[Column] = []
     for name, target in names.items():
         pairs += [F.lit(name), F.lit(target)]

@@ -93,7 +93,7 @@ def version_numbers(
         F.max_by(F.struct(*sources), F.struct(*nulls_last)).alias("__last")
     ] if sources else []
     summary = rows.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__rows"), *last_row)
-    across = Window.partitionBy(*keys).orderBy(BUCKET)
+    across = Window.partitionBy(*keys).orderBy(F.col(BUCKET).asc_nulls_last())
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
     carried = ["__offset"]
@@ -129,7 +129,7 @@ def running_total(
     summed = rows.withColumn(name, F.sum(value).over(inside))
     summary = rows.groupBy(*keys, BUCKET).agg(F.sum(value).alias("__sum"))
     before = (
-        Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys).orderBy(F.col(BUCKET).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     )
     summary = summary.withColumn("__offset", F.sum("__sum").over(before))
     joined = _rejoin(summed, summary, keys, ["__offset"])
