@@ -10,10 +10,12 @@ n best of a text are the n best choices among the lists of its units.
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
-from itertools import chain
+from itertools import chain, islice
+from operator import itemgetter
 from struct import pack
 
 import numpy as np
@@ -22,9 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import slices, texts_of
-from tradeloom.llm.pieces import CACHE_ENTRIES, MARK, PieceTable, default_model, piece_table
+from tradeloom.llm.pieces import CACHE_ENTRIES, MARK, PieceTable, code_points, default_model, piece_table
 
 Candidate = tuple[float, bytes]
+SCORE, IDS, LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
+# above the rounding of sums of scores
+SLACK = 1e-6
 
 
 class Lattice:
@@ -41,7 +46,7 @@ class Lattice:
             self.arcs[piece] = (table.scores[piece], (number,))
 
     def forward(self, unit: str) -> tuple[list[float], list[list]]:
-        """Best score up to each place, and the arcs that end there: start, score, ids."""
+        """Best score up to each place, and the arcs that end there: start, (score, ids)."""
         arc_of, size = self.arcs.get, len(unit)
         best = [0.0] + [float("-inf")] * size
         ends: list[list] = [[] for _ in range(size + 1)]
@@ -51,10 +56,10 @@ class Lattice:
             j = i + 1
             while arc is not None:
                 if arc:
-                    score = arc[0]
-                    ends[j].append((i, score, arc[1]))
-                    if here + score > best[j]:
-                        best[j] = here + score
+                    ends[j].append((i, arc))
+                    score = here + arc[0]
+                    if score > best[j]:
+                        best[j] = score
                 j += 1
                 if j > size:
                     break
@@ -62,9 +67,14 @@ class Lattice:
         return best, ends
 
     def search(self, unit: str, n: int) -> list[tuple[float, list[int]]]:
-        """The n best segmentations of a unit, best first; those of equal score in a fixed order."""
+        """The n best segmentations of a unit, best first; those of equal score in a fixed order.
+
+        As the heuristic is exact, each hypothesis is the cost of a whole path: the one of its
+        parent goes on, every other is a new path. What costs more than n paths met can't be found.
+        """
         best, ends = self.forward(unit)
         agenda: list[tuple] = [(-best[-1], 0, len(unit), 0.0, None)]
+        costs, limit = [-best[-1]], -best[-1] + SLACK if n == 1 else float("inf")
         order, found = 0, []
         while agenda:
             cost, _, at, after, tail = heappop(agenda)
@@ -77,21 +87,31 @@ class Lattice:
                 if len(found) == n:
                     break
                 continue
-            for i, score, more in ends[at]:
+            goes_on = False
+            for i, arc in ends[at]:
                 order += 1
-                total = after + score
-                heappush(agenda, (-(best[i] + total), order, i, total, (more, tail)))
+                total = after + arc[0]
+                new = -(best[i] + total)
+                if new > limit:
+                    continue
+                heappush(agenda, (new, order, i, total, (arc[1], tail)))
+                if not goes_on and new <= cost + SLACK:
+                    goes_on = True
+                    continue
+                insort(costs, new)
+                if len(costs) >= n:
+                    del costs[n:]
+                    limit = costs[-1] + SLACK
         return found
 
 
-def join_lists(lists: list[list[Candidate]], n: int) -> list[tuple[float, dict[int, int]]]:
-    """The n best choices of one candidate from each list: lost score and the choices that are not the first.
+def join_lists(entries: list[tuple], second: np.ndarray, n: int) -> list[tuple[float, dict[int, int]]]:
+    """The n best choices of one candidate from each entry: lost score and the choices that are not the first.
 
-    Only the n - 1 lists whose second candidates lose least can take part.
+    ``second`` is what the second candidates lose; only the n - 1 entries that lose least can take part.
     """
-    second = np.array([x[0][0] - x[1][0] if len(x) > 1 else np.inf for x in lists])
     near = np.argsort(second, kind="stable")[: n - 1] if len(second) < 4 * n else smallest(second, n - 1)
-    chosen = [(k, [lists[k][0][0] - s for s, _ in lists[k]]) for k in near.tolist()]
+    chosen = [(k, [entries[k][0] - s for s, _ in entries[k][3]]) for k in near.tolist()]
     agenda, out = [(0.0, (), 0)], []
     while agenda and len(out) < n:
         lost, picks, at = heappop(agenda)
@@ -116,45 +136,57 @@ class Segmenter:
     def __init__(self, path: str, n: int) -> None:
         self.table, self.n = piece_table(path), n
         self.lattice = Lattice(self.table)
-        self.pairs = {p[i : i + 2] for p in self.table.ids for i in range(len(p) - 1)}
-        self.known: dict[str, list[list[Candidate]]] = {}
-        self.parts: dict[str, list[Candidate]] = {}
-
-    def unit(self, unit: str) -> list[list[Candidate]]:
-        """Candidates of the parts of a unit, cut between characters that no piece joins."""
-        pairs = self.pairs
-        cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in pairs]
-        out = []
-        for a, b in zip([0, *cuts], [*cuts, len(unit)]):
-            part = unit[a:b]
-            if (held := self.parts.get(part)) is None:
-                held = [(s, pack(f"<{len(ids)}I", *ids)) for s, ids in self.lattice.search(part, self.n)]
-                if len(self.parts) < CACHE_ENTRIES // 6:  # only the first parts met are remembered
-                    self.parts[part] = held
-            out.append(held)
+        self.known: dict[str, list[tuple]] = {}
+        self.parts: dict[str, tuple] = {}
+
+    def part(self, part: str) -> tuple:
+        """Best score of a part, its ids, what the second best loses, and the candidates."""
+        if (held := self.parts.get(part)) is None:
+            found = [(s, pack(f"<{len(ids)}I", *ids)) for s, ids in self.lattice.search(part, self.n)]
+            held = (*found[0], found[0][0] - found[1][0] if len(found) > 1 else float("inf"), found)
+            if len(self.parts) < CACHE_ENTRIES // 6:  # only the first parts met are remembered
+                self.parts[part] = held
+        return held
+
+    def searched(self, units: list[str]) -> dict[str, list[tuple]]:
+        """The parts of each unit, cut between characters that no piece joins."""
+        codes, sizes = code_points(units)
+        ends = np.cumsum(sizes)
+        breaks = self.table.breaks(codes)
+        breaks[ends - sizes] = False
+        cuts = np.flatnonzero(breaks)
+        counts = np.diff(np.searchsorted(cuts, ends), prepend=0).tolist()
+        places = (cuts - np.repeat(ends - sizes, counts)).tolist()
+        out, at = {}, 0
+        for unit, count in zip(units, counts):
+            if count:
+                own = [0, *places[at : at + count], len(unit)]
+                at += count
+                out[unit] = [self.part(unit[a:b]) for a, b in zip(own, own[1:])]
+            else:
+                out[unit] = [self.part(unit)]
         return out
 
-    def joined(self, lists: list[list[Candidate]]) -> list[Candidate]:
-        score = sum(x[0][0] for x in lists)
-        first = [x[0][1] for x in lists]
-        out = []
-        for lost, picks in join_lists(lists, self.n):
-            ids = first if not picks else [lists[k][picks[k]][1] if k in picks else b for k, b in enumerate(first)]
+    def joined(self, entries: list[tuple]) -> list[Candidate]:
+        """The n best of a row of parts."""
+        score, first = sum(map(SCORE, entries)), list(map(IDS, entries))
+        losses = np.fromiter(map(LOSS, entries), float, len(entries))
+        out = [(score, b"".join(first))]
+        for lost, picks in islice(join_lists(entries, losses, self.n), 1, None):
+            ids = first.copy()
+            for k, c in picks.items():
+                ids[k] = entries[k][3][c][1]
             out.append((score - lost, b"".join(ids)))
         return out
 
     def encode(self, texts: list[str]) -> list[list[Candidate]]:
         units = [self.table.units(t) for t in texts]
-        got = [list(map(self.known.get, x)) for x in units]
-        fresh = {u: None for x, y in zip(units, got) for u, g in zip(x, y) if g is None}
-        for u in fresh:
-            fresh[u] = self.unit(u)
-        if len(self.known) < CACHE_ENTRIES // 6:  # only the first units met are remembered
-            self.known.update(fresh)
-        return [
-            self.joined([c for u, g in zip(x, y) for c in (fresh[u] if g is None else g)]) if x else [(0.0, b"")]
-            for x, y in zip(units, got)
-        ]
+        known = self.known
+        fresh = self.searched(list({u: None for x in units for u in x if u not in known}))
+        rows = [list(chain.from_iterable([known.get(u) or fresh[u] for u in x])) for x in units]
+        if len(known) < CACHE_ENTRIES // 6:  # only the first units met are remembered
+            known.update(fresh)
+        return [self.joined(x) if x else [(0.0, b"")] for x in rows]
 
 
 @lru_cache(maxsize=4)
