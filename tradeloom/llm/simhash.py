@@ -31,7 +31,7 @@ from tradeloom.llm.common import narrow, slices, stored, texts_of
 
 BUCKET = 4096
 FAN = 8
-FRONTIER = 1 << 20
+FRONTIER = 1 << 16
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
