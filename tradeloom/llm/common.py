@@ -12,9 +12,21 @@ from pyspark.sql import functions as F
 from tradeloom.session import ensure_checkpoint_dir, scratch_path
 
 BLOCK_BYTES = 2 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BLOCK_BYTES`` from Spark to the workers, unless the session says otherwise.
+
+    The default counts records only up to a large size, so batches of long texts would
+    take much memory on both sides.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BLOCK_BYTES))
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -63,6 +75,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     Unlike a checkpoint it keeps no partitioning, so a join with it exchanges both sides
     and the adaptive skew rule can split a hot key.
     """
+    bound_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
