@@ -341,6 +341,56 @@ def test_repeats_edges(spark):
     assert [r["kept_text"] for r in suffix_dedup.without_repeats(twice).collect()] == ["", ""]
 
 
+def test_equal_keys_go_over_buckets(spark):
+    text = words(random.Random(5), 300)
+    docs = frame(spark, [text] * 80)
+    texts = suffix_dedup.texts_by_key(docs)
+    places = suffix_dedup.repeated_anchors(texts, 60, 20)
+    total = places.agg(F.sum(F.size("places"))).first()[0]
+    buckets = 4 * total // 80  # a quarter of the copies each
+    cuts = suffix_dedup.splitters(texts, places, total, buckets, 60, 20)
+    assert len(cuts) == buckets - 1
+    found = suffix_dedup.anchors([text.encode()], 60, 20)
+    own = texts.select("id0", "code").collect()
+    sizes = Counter(
+        sum(c <= s.order() for c in cuts) for r in own
+        for s in suffix_dedup.suffixes(r["id0"], r["code"], text.encode(), set(found["place"].tolist()), found, range(len(found["place"])), 60)
+    )
+    assert max(sizes.values()) <= 60
+
+
+@pytest.mark.parametrize("strings", [200_000, 50])
+def test_classes_over_buckets_give_all_repeats(monkeypatch, strings):
+    monkeypatch.setattr(suffix_dedup, "STRINGS", strings)
+    rng, length, window = random.Random(6), 60, 20
+    shared = [words(rng, n) for n in (60, 60, 40)]
+    texts = [(shared[0] + words(rng, 12) + shared[1][: rng.randint(20, 300)]).encode() for _ in range(60)]
+    texts += [shared[2].encode()] * 30 + [(shared[2] + words(rng, 9)).encode() for _ in range(30)]
+    found = [suffix_dedup.anchors([t], length, window) for t in texts]
+    made = [list(suffix_dedup.suffixes(i, i, t, set(f["place"].tolist()), f, range(len(f["place"])), length)) for i, (t, f) in enumerate(zip(texts, found))]
+    order = sorted(s.order() for x in made for s in x)
+    cuts = order[25::25]
+    runs = [suffix_dedup.bucket_runs([s for x in made[i::5] for s in x], cuts, length) for i in range(5)]
+    rows, most = [], 0
+    for blobs in zip(*runs):
+        merged = list(suffix_dedup.PrefixLoserTree([suffix_dedup.decoded_run(b, length) for b in blobs]))
+        most = max(most, sum(not s.ghost for _, s in merged))
+        rows += suffix_dedup.judged(merged, length, window)
+    assert most <= 25
+    times = Counter(r[0] for r in rows if r[0])
+    got = {(r[2], p) for r in rows if r[0] is None or (r[5] and times[r[0]] > 1) for p in range(r[3], r[4] + 1)}
+    count = Counter(t[p : p + length] for t in texts for p in range(len(t) - length + 1))
+    assert got == {(i, p) for i, t in enumerate(texts) for p in range(len(t) - length + 1) if count[t[p : p + length]] > 1}
+    # one row of a string a bucket, not one for each text that holds it
+    assert strings == 50 or max(times.values()) <= len(cuts) + 1
+
+
+def test_repeated_rows_are_sorted_once(spark):
+    text = words(random.Random(7), 200)
+    texts, copies = suffix_dedup.one_of_each(suffix_dedup.texts_by_key(frame(spark, [text] * 50 + [text + "s"], [3] * 50 + [4])), 400)
+    assert texts.count() == 2 and [(r["id0"], r["first"], r["last"]) for r in copies.collect()] == [(3, 0, len(text) - 400)]
+
+
 def test_loser_tree_order_and_prefixes():
     rng = random.Random(11)
     keys = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 30))) for _ in range(300)]

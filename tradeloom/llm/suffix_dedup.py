@@ -12,7 +12,10 @@ What is sorted. The suffix ``text[m : m + LENGTH]``, then, backward, the bytes b
 as far as starts with this anchor reach. If a sorted neighbour shares ``LENGTH + b``
 bytes, the strings that start at m - b .. m all occur there too.
 
-How. Every task sorts its suffixes into runs and cuts them at splitters. A run travels
+How. Every task sorts its suffixes into runs, those of one key by document and place, and
+cuts them at splitters of that order, so that a key of many suffixes goes over as many
+buckets as it needs. Rows of one id and one text repeat each other as a whole; one of
+them stands for all in the sort. A run travels
 front-coded: for each suffix the length of the prefix that it shares with the one before
 it, and the rest. A loser tree merges the runs of a bucket. It holds for each waiting
 suffix the length of the prefix that it shares with the last winner; two suffixes whose
@@ -26,19 +29,21 @@ What is left. Starts whose match ends between their string's end and ``LENGTH``
 anchor are not decided by prefixes of ``LENGTH`` bytes. They are known from the common
 prefixes: the longest one with a suffix of another class is g, and offsets b from
 ``LENGTH - g`` on are open. Strings of open starts are counted by a 128-bit hash, in the
-bucket where all that could equal them are neighbours, else over all buckets.
+bucket where all that could equal them are neighbours, else over all buckets, to which a
+bucket gives one row of each string for every ``STRINGS`` counted.
 """
 
 from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import narrow, slices, stored
@@ -49,6 +54,7 @@ GRAM = 32
 RUN_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
 OVERSAMPLE = 24
+STRINGS = 200_000
 PLACE = np.uint64((1 << 31) - 1)
 
 
@@ -120,24 +126,22 @@ def unpacked(z: bytes) -> bytes:
 
 
 def repeated_anchors(texts: DataFrame, length: int, window: int) -> DataFrame:
-    """id0 and ``places``: anchors whose gram occurs more than once, of every text that has any.
-
-    Rows of one id share their places; a place that is none of a row's anchors is nothing to it.
-    """
+    """id0, code and ``places``: anchors whose gram occurs more than once, of every text that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found, id0 = anchors(bytes_of(batch), length, window), batch.column("id0").to_numpy()
+            found = anchors(bytes_of(batch), length, window)
+            own = [pa.array(batch.column(c).to_numpy()[found["text"]]) for c in ("id0", "code")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(id0[found["text"]]), pa.array(found["place"].astype(np.int32)), pa.array(found["gram"].view(np.int64))],
-                ["id0", "place", "gram"],
+                [*own, pa.array(found["place"].astype(np.int32)), pa.array(found["gram"].view(np.int64))],
+                ["id0", "code", "place", "gram"],
             )
 
-    rows = texts.where(F.octet_length("text") >= length).select("id0", "text").mapInArrow(run, "id0 bigint, place int, gram bigint")
+    rows = texts.mapInArrow(run, "id0 bigint, code bigint, place int, gram bigint")
     rows = stored(rows, "anchors")
     twice = stored(rows.groupBy("gram").count().where("count > 1").select("gram"), "grams")
     kept = rows.join(twice, "gram", "left_semi")
-    return stored(kept.groupBy("id0").agg(F.sort_array(F.collect_set("place")).alias("places")), "places")
+    return stored(kept.groupBy("id0", "code").agg(F.sort_array(F.collect_set("place")).alias("places")), "places")
 
 
 def common_prefix(a: bytes, b: bytes, start: int) -> int:
@@ -165,6 +169,9 @@ class Suffix:
     def __init__(self, key: bytes, back: bytes, id0: int, code: int, place: int, low: int, ghost: bool = False) -> None:
         self.key, self.back, self.id0, self.code, self.place, self.low, self.ghost = key, back, id0, code, place, low, ghost
 
+    def order(self) -> tuple[bytes, int, int, int]:
+        return self.key, self.id0, self.code, self.place
+
 
 def suffixes(id0: int, code: int, data: bytes, places: set, found: dict, rows: range, length: int) -> Iterator[Suffix]:
     for r in rows:
@@ -199,6 +206,21 @@ def front_coded(run: list[Suffix], first: int, last: int, length: int, beside: t
     return sink.getvalue().to_pybytes()
 
 
+def bucket_runs(held: list[Suffix], cuts: list[tuple], length: int) -> list[bytes]:
+    """The suffixes, sorted in place, as one packed run for each bucket between the cuts."""
+    held.sort(key=Suffix.order)
+
+    def at(*order) -> int:
+        return bisect_left(held, order, key=Suffix.order)
+
+    edges = [0, *(at(*c) for c in cuts), len(held)]
+    # a class that goes over a cut has its neighbours further away: the last key before
+    # the class of the lower cut, and the first after that of the upper one (no text holds 0xff)
+    before = [-1, *(at(c[0][:length]) - 1 for c in cuts)]
+    after = [*(at(c[0][:length] + b"\xff") for c in cuts), -1]
+    return [front_coded(held, a, b, length, (before[i], a - 1, b, after[i])) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+
+
 def decoded_run(blob: bytes, length: int) -> Iterator[tuple[int, Suffix]]:
     """Prefix shared with the suffix before, and the suffix, one after another."""
     batch = pa.ipc.open_stream(blob).read_next_batch()
@@ -244,7 +266,7 @@ class PrefixLoserTree:
                 wins = shared[i] > shared[j]  # shares more with the last winner, so it is smaller
             else:
                 n = common_prefix(a.key, b.key, shared[i])
-                wins = a.key[n : n + 1] <= b.key[n : n + 1]
+                wins = (a.key[n : n + 1], a.id0, a.code, a.place) <= (b.key[n : n + 1], b.id0, b.code, b.place)
                 shared[j if wins else i] = n
             if not wins:
                 waiting[node], i = i, j
@@ -268,7 +290,8 @@ def judged(order: list[tuple[int, Suffix]], length: int, window: int) -> Iterato
     Gives (None, id0, code, first, last, True) for starts that are repeated for sure, and
     (hash, id0, code, start, start, open) for strings to be counted over buckets; those
     that are not open are evidence for others. Only bundles, neighbours that share enough
-    for open strings, that reach beyond the bucket need that; others are counted here.
+    for open strings, that reach beyond the bucket or have over ``STRINGS`` strings need
+    that; others are counted here.
     """
     n = len(order)
     if not n:
@@ -285,9 +308,8 @@ def judged(order: list[tuple[int, Suffix]], length: int, window: int) -> Iterato
     outside = np.minimum(outside, length - 1)[number - 1]
     edges = np.append(np.flatnonzero(shared[:n] <= length - window), n)
     for a, b in zip(edges.tolist(), edges[1:].tolist()):
-        alone = not ghost[a:b].any()
-        strings: list[tuple] = []
-        count: dict[bytes, int] = {}
+        beyond = bool(ghost[a:b].any())
+        strings: list[tuple[bytes, Suffix, int, bool]] = []
         for i in range(a, b):
             before, s = order[i]
             if s.ghost:
@@ -300,31 +322,41 @@ def judged(order: list[tuple[int, Suffix]], length: int, window: int) -> Iterato
             told = before - length if i and not order[i - 1][1].ghost else -1  # the one before has given these
             for back in range(max(s.low, length - int(outside[i]), told + 1, 1), high + 1):
                 digest = xxhash.xxh3_128_digest(s.back[:back][::-1] + s.key[: length - back])
-                if not alone:
-                    yield digest, s.id0, s.code, s.place - back, s.place - back, back > sure
-                    continue
-                count[digest] = count.get(digest, 0) + 1
-                if back > sure:
-                    strings.append((digest, s, back))
-        # offsets of one suffix follow each other; runs of repeated ones are one range
-        held: tuple | None = None
-        for digest, s, back in strings:
-            if count[digest] < 2:
-                continue
-            if held and held[0] is s and held[2] + 1 == back:
-                held = (s, held[1], back)
-                continue
-            if held:
-                yield None, held[0].id0, held[0].code, held[0].place - held[2], held[0].place - held[1], True
-            held = (s, back, back)
+                strings.append((digest, s, back, back > sure))
+            if len(strings) >= STRINGS:
+                beyond = True
+                yield from counted(strings, beyond)
+                strings = []
+        yield from counted(strings, beyond)
+
+
+def counted(strings: list[tuple[bytes, Suffix, int, bool]], beyond: bool) -> Iterator[tuple]:
+    """What ``judged`` gives for these strings: hash, suffix, offset, open; one row of each hash if equal ones may be ``beyond``."""
+    count = Counter(x[0] for x in strings)
+    given: set[bytes] = set()
+    # offsets of one suffix follow each other; runs of repeated ones are one range
+    held: tuple[Suffix, int, int] | None = None
+    for digest, s, back, is_open in strings:
+        once = count[digest] < 2
+        if beyond and digest not in given:
+            given.add(digest)
+            yield digest, s.id0, s.code, s.place - back, s.place - back, once and is_open
+        if once or not is_open:
+            continue
+        if held and held[0] is s and held[2] + 1 == back:
+            held = (s, held[1], back)
+            continue
         if held:
             yield None, held[0].id0, held[0].code, held[0].place - held[2], held[0].place - held[1], True
+        held = (s, back, back)
+    if held:
+        yield None, held[0].id0, held[0].code, held[0].place - held[2], held[0].place - held[1], True
 
 
 def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
     """id0, code, first, last: starts of strings that also start elsewhere, as ranges of each text."""
     spark = documents.sparkSession
-    texts = texts_by_key(documents)
+    texts, copies = one_of_each(texts_by_key(documents).where(F.octet_length("text") >= length), length)
     places = repeated_anchors(texts, length, window)
     total = places.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
     buckets = max(1, int(total) * (length + window) // BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -336,20 +368,9 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WI
         size = 0
 
         def flush() -> pa.RecordBatch:
-            held.sort(key=lambda s: s.key)
-            keys = [s.key for s in held]
-            cuts = sent.value
-            edges = [0, *(bisect_left(keys, c) for c in cuts), len(held)]
-            # a class that goes over a cut has its neighbours further away: the last key before
-            # the class of the lower cut, and the first after that of the upper one (no text holds 0xff)
-            before = [-1, *(bisect_left(keys, c[:length]) - 1 for c in cuts)]
-            after = [*(bisect_left(keys, c[:length] + b"\xff") for c in cuts), -1]
-            parts = [
-                (i, front_coded(held, a, b, length, (before[i], a - 1, b, after[i])))
-                for i, (a, b) in enumerate(zip(edges, edges[1:]))
-            ]
+            parts = bucket_runs(held, sent.value, length)
             return pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], ["bucket", "run"]
+                [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["bucket", "run"]
             )
 
         for batch in slices(batches, "z", 1 << 20):
@@ -391,35 +412,43 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WI
         if blobs:
             yield from decide(blobs)
 
-    packed = compressed(texts.where(F.octet_length("text") >= length))
-    made = packed.join(places, "id0").mapInArrow(runs, "bucket int, run binary")
+    made = compressed(texts).join(places, ["id0", "code"]).mapInArrow(runs, "bucket int, run binary")
     dealt = made.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     found = stored(dealt.mapInArrow(merge, "hash binary, id0 bigint, code bigint, first bigint, last bigint, open boolean"), "starts")
-    # rows of one string: one for each bucket and class at most
-    times = F.count("*").over(Window.partitionBy("hash"))
-    counted = found.where("hash is not null").withColumn("n", times).where("n > 1 and open")
+    # a string may be in as many classes as there are texts: its rows are added up before they move
+    twice = stored(found.where("hash is not null").groupBy("hash").count().where("count > 1").select("hash"), "strings")
     columns = ["id0", "code", "first", "last"]
-    return found.where("hash is null").select(*columns).unionAll(counted.select(*columns))
+    again = found.where("hash is not null and open").join(twice, "hash", "left_semi")
+    return found.where("hash is null").select(*columns).unionAll(again.select(*columns)).unionAll(copies.select(*columns))
 
 
-def splitters(texts: DataFrame, places: DataFrame, total: int, buckets: int, length: int, window: int) -> list[bytes]:
-    """Keys that cut the order into about equal buckets, from ``OVERSAMPLE`` sampled suffixes a bucket."""
+def one_of_each(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """One row of each id0 and code, and the starts (id0, code, first, last) of those with several rows, which are all repeated."""
+    copies = texts.groupBy("id0", "code").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("size")).where("n > 1")
+    copies = stored(copies.select("id0", "code", F.lit(0).cast("bigint").alias("first"), (F.col("size") - length).cast("bigint").alias("last")), "copies")
+    return texts if copies.isEmpty() else stored(texts.dropDuplicates(["id0", "code"]), "distinct"), copies
+
+
+def splitters(texts: DataFrame, places: DataFrame, total: int, buckets: int, length: int, window: int) -> list[tuple]:
+    """Places in the order (``Suffix.order``) that cut it into about equal buckets, from ``OVERSAMPLE`` sampled suffixes a bucket."""
     every = max(1, total // (buckets * OVERSAMPLE))
-    picked = places.select("id0", F.explode("places").alias("place")).where(
-        F.pmod(F.xxhash64("id0", "place"), F.lit(every)) == 0
-    ).groupBy("id0").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    picked = places.select("id0", "code", F.explode("places").alias("place")).where(
+        F.pmod(F.xxhash64("id0", "code", "place"), F.lit(every)) == 0
+    ).groupBy("id0", "code").agg(F.sort_array(F.collect_set("place")).alias("places"))
+
+    names, kinds = ["key", "id0", "code", "place"], [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             for id0, code, text, list_ in zip(*[batch.column(c).to_pylist() for c in ("id0", "code", "text", "places")]):
                 data = text.encode()
                 found = anchors([data], length, window)
-                out = [s.key for s in suffixes(id0, code, data, set(list_), found, range(len(found["place"])), length)]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["key"])
+                out = [s.order() for s in suffixes(id0, code, data, set(list_), found, range(len(found["place"])), length)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names)
 
     # about OVERSAMPLE * buckets rows, whatever the table's size
-    sample = texts.join(F.broadcast(picked), "id0").mapInArrow(keys, "key binary").collect()
-    ordered = sorted(bytes(r["key"]) for r in sample)
+    sample = texts.join(F.broadcast(picked), ["id0", "code"]).mapInArrow(keys, "key binary, id0 bigint, code bigint, place bigint").collect()
+    ordered = sorted((bytes(r["key"]), r["id0"], r["code"], r["place"]) for r in sample)
     return sorted({ordered[len(ordered) * i // buckets] for i in range(1, buckets)}) if ordered else []
 
 
