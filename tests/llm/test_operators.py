@@ -193,6 +193,16 @@ def test_toxicity_learns(spark):
     assert toxicity.score(frame(spark, []), model).count() == 0
 
 
+def test_toxicity_learns_an_id_once(spark):
+    rng = random.Random(15)
+    texts = [words(rng, 30) + (" vile" if i % 3 == 0 else "") for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id bigint, toxic int")
+    hot = labels.orderBy(F.xxhash64(F.col("doc_id").cast("string"))).first()["doc_id"]
+    want = toxicity.train(frame(spark, texts), labels, rows=60)
+    again = frame(spark, [*texts, *[texts[hot]] * 100, *[texts[hot] + " zz"] * 100], [*range(90), *[hot] * 200])
+    assert want[0] and toxicity.train(again, labels, rows=60) == want
+
+
 # ---------------------------------------------------------------- simhash
 
 
@@ -484,6 +494,17 @@ def test_extraction(spark):
     assert not extract.train(df.where("false")).any()
 
 
+def test_extraction_learns_a_page_once(spark):
+    rng = random.Random(16)
+    pages = [(i, f"u{i}", plain_page(words(rng, 6), [words(rng, 30) + "." for _ in range(3)], i)) for i in range(12)]
+    kind = "page_id bigint, url string, html string"
+    df = spark.createDataFrame(pages, kind)
+    hot = df.orderBy(F.xxhash64(F.col("page_id").cast("string"))).first()["page_id"]
+    copies = spark.createDataFrame([*[pages[hot]] * 20, *[(hot, "u", pages[hot][2] + "<p>more")] * 20], kind)
+    want = extract.train(df, limit=8)
+    assert want.any() and (extract.train(df.unionAll(copies), limit=8) == want).all()
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(3)
     model = extract.Chain(rng.normal(size=(extract.WIDTH + 3, 2)))

@@ -169,14 +169,15 @@ def dressed(blocks: list[Block], labels: list[int], rng: random.Random) -> tuple
 
 
 def train(pages: DataFrame, limit: int = MAX_TRAIN_PAGES, passes: int = 4) -> np.ndarray:
-    """Weights from a bounded sample: the ``limit`` pages with the smallest hash of their id.
+    """Weights from a bounded sample: the ``limit`` ids with the smallest hash, each with the smallest html of its rows.
 
     The blocks of the sample go to one task, which learns page after page. Without any
     labelled page all weights are zero and nothing is main text.
     """
     chosen = narrow(pages, "page_id").dropna().distinct().withColumn("place", F.xxhash64(F.col("page_id").cast("string")))
     chosen = chosen.orderBy("place", "page_id").limit(limit)
-    rows = narrow(pages, "page_id", "html").join(F.broadcast(chosen), "page_id").select("place", "html")
+    rows = narrow(pages, "page_id", "html").join(F.broadcast(chosen), "page_id")
+    rows = rows.groupBy("page_id", "place").agg(F.min("html").alias("html")).select("place", "html")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sample = sorted((x["place"], x["html"] or "") for b in batches for x in b.to_pylist())[:limit]

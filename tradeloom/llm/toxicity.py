@@ -81,8 +81,9 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = MAX_TRAIN_ROWS, p
 
     ``labels`` has doc_id and toxic (0 or 1); rows with a null in either are left out, and
     the largest label of an id counts. The examples are a bounded sample: the ``rows``
-    labelled ids with the smallest hash. Their features are made where the texts are; only
-    they go to one task, which learns one example after another in the order of the hash.
+    labelled ids with the smallest hash, each an example with the smallest of its texts,
+    however many rows it has. Only their features go to one task, which learns one example
+    after another in the order of the hash.
     Coordinates of fewer than ``MIN_SEEN`` examples are left out.
     Without any example the model has no weight at all.
     """
@@ -124,6 +125,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = MAX_TRAIN_ROWS, p
         })
 
     texts = narrow(documents, "doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most ``rows`` ids
+    texts = texts.groupBy("doc_id", "place", "toxic").agg(F.min("text").alias("text"))
     made = texts.select("text", "place", "toxic").mapInArrow(features, "place bigint, toxic int, at binary")
     model = made.repartition(1).mapInArrow(learn, "at array<bigint>, weight array<double>").collect()
     return (model[0]["at"], model[0]["weight"]) if model else ([], [])
