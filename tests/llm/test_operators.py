@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -453,6 +454,20 @@ def test_archive(spark, tmp_path, monkeypatch):
     assert warc.archive(page_frame(spark, []), f"{tmp_path}/e").count() == 0
 
 
+def test_history_of_one_url_is_spread(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SPARSE", 4)
+    rest = {"type": "response", "digest": "d", "bytes": 1, "refers": None, "url": None, "file": "f", "length": 9}
+    # captures of one URL, then those that have nothing but their place to tell them apart
+    lines = sorted(
+        ("-", f"2020{i:010d}" if i < 200 else "19700101000000", i if i < 200 else -(2**63), json.dumps(rest | {"offset": i})) for i in range(400)
+    )
+    runs = [(f"{tmp_path}/run-{k}", warc.write_run(f"{tmp_path}/run-{k}", lines[k::3])) for k in range(3)]
+    rows = warc.history(spark, runs, 8).withColumn("part", F.spark_partition_id()).collect()
+    assert [(r["captured_at"], r["offset"]) for r in rows] == [(x[1], json.loads(x[3])["offset"]) for x in lines]
+    sizes = Counter(r["part"] for r in rows)
+    assert len(sizes) == 8 and max(sizes.values()) <= 100
+
+
 def test_url_keys():
     assert warc.url_key("HTTP://www.Example.ORG:80/A b?q=1#x") == "org,example)/A%20b?q=1"
     assert warc.url_key("https://a.b:8443") == "b,a:8443)/"

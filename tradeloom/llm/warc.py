@@ -3,10 +3,11 @@
 Every writing task makes one archive, each record a gzip member. Every archive is then
 read back record by record; its captures form locally sorted runs of lines
 ``key time page {rest}``. A loser tree merges the runs by URL key and time: first groups
-of ``FAN_IN`` runs into longer ones until one group is left, then, by ranges of the key,
-that group into the globally ordered history. A sparse index beside each run leads to the
-start of a range. Files are below the shared folder; the driver sees one small row a file
-and ``SPLITS`` keys a run.
+of ``FAN_IN`` runs into longer ones until one group is left, then, by ranges of whole
+lines, that group into the globally ordered history; a URL of many captures is in as many
+ranges as it needs. A sparse index beside each run leads to the start of a range. Files
+are below the shared folder; the driver sees one small row a file and ``SPLITS`` lines a
+run.
 """
 
 from __future__ import annotations
@@ -171,32 +172,33 @@ class LoserTree:
 
 
 def write_run(path: str, lines: Iterable[Line]) -> list[str]:
-    """Write sorted lines and their sparse index; a few keys at even distance come back."""
+    """Write sorted lines and their sparse index; a few lines at even distance come back."""
     sparse: list[tuple[str, int]] = []
 
     def write(out) -> None:
         at = 0
         for i, line in enumerate(lines):
+            text = " ".join(map(str, line))
             if i % SPARSE == 0:
-                sparse.append((line[0], at))
-            data = (" ".join(map(str, line)) + "\n").encode()
+                sparse.append((text, at))
+            data = (text + "\n").encode()
             out.write(data)
             at += len(data)
 
     write_whole(path, write)
     write_whole(f"{path}.sparse", lambda out: out.write(json.dumps(sparse).encode()))
     step = max(1, len(sparse) // SPLITS)
-    return [k for k, _ in sparse[::step]]
+    return [x for x, _ in sparse[::step]]
 
 
-def read_run(path: str, low: str | None = None, high: str | None = None) -> Iterator[Line]:
-    """Lines of a run whose key is from ``low`` on and below ``high``."""
+def read_run(path: str, low: Line | None = None, high: Line | None = None) -> Iterator[Line]:
+    """Lines of a run from ``low`` on and below ``high``."""
     fs, name = locate(path)
     start = 0
     if low is not None:
         with fs.open_input_stream(f"{name}.sparse") as f:
             sparse = json.loads(f.read())
-        at = bisect.bisect_left([k for k, _ in sparse], low)
+        at = bisect.bisect_left(sparse, low, key=lambda x: line_of(x[0]))
         start = sparse[at - 1][1] if at else 0
     with fs.open_input_file(name) as f:
         f.seek(start)
@@ -205,9 +207,9 @@ def read_run(path: str, low: str | None = None, high: str | None = None) -> Iter
             *whole, rest = (rest + data).split(b"\n")
             for raw in whole:
                 line = line_of(raw.decode())
-                if high is not None and line[0] >= high:
+                if high is not None and line >= high:
                     return
-                if low is None or line[0] >= low:
+                if low is None or line >= low:
                     yield line
 
 
@@ -277,7 +279,7 @@ def over_files(spark: SparkSession, groups: list[list[str]], work: Callable[[int
 
 
 def index_archives(spark: SparkSession, archives: list[str], folder: str) -> list[tuple[str, list[str]]]:
-    """Read every archive back and write its captures as sorted runs; gives path and split keys of each."""
+    """Read every archive back and write its captures as sorted runs; gives path and split lines of each."""
 
     def work(number: int, paths: list[str]) -> Iterator[tuple]:
         for path in paths:
@@ -325,9 +327,9 @@ HISTORY = (
 
 def history(spark: SparkSession, runs: list[tuple[str, list[str]]], ranges: int | None = None) -> DataFrame:
     """The captures of all runs, ordered by URL key, time and page over the partitions of the result."""
-    keys = sorted(k for _, splits in runs for k in splits)
-    ranges = ranges or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), len(keys) // 8))
-    cuts = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+    lines = sorted(line_of(x) for _, splits in runs for x in splits)
+    ranges = ranges or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), len(lines) // 8))
+    cuts = sorted({lines[len(lines) * i // ranges] for i in range(1, ranges)}) if lines else []
     bounds = list(zip([None, *cuts], [*cuts, None]))
     paths = [p for p, _ in runs]
 
