@@ -97,6 +97,16 @@ def test_segment_edges_and_round_trip(spark):
     assert segment.segment(frame(spark, []), 2).count() == 0
 
 
+def test_segment_query_searches_the_default_n(spark, tmp_path):
+    from tradeloom.llm.catalogue import QUERIES
+
+    frame(spark, EDGES).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {r["doc_id"]: r["candidates"] for r in segment.segment(frame(spark, EDGES), 4).collect()}
+    rows = QUERIES["op8_sentencepiece"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["score"], r["n_candidates"]) for r in rows} == {i: (c[0]["score"], len(c)) for i, c in want.items()}
+    assert max(r["n_candidates"] for r in rows) == 4
+
+
 # ---------------------------------------------------------------- token files
 
 

@@ -69,9 +69,9 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two best segmentations of every text, the best one decoded again."""
+    """The n best segmentations of every text by the operator's own n, the best one decoded again."""
     documents = load(spark, sf_dir, "documents").select("doc_id", "text")
-    found = segment.segment(documents, 2).select("doc_id", "candidates", F.col("candidates")[0]["ids"].alias("ids"))
+    found = segment.segment(documents).select("doc_id", "candidates", F.col("candidates")[0]["ids"].alias("ids"))
     back = segment.decoded(found)
     return back.select(
         "doc_id", F.col("candidates")[0]["score"].alias("score"), (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
