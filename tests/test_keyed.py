@@ -88,6 +88,14 @@ def test_upsert_is_idempotent_and_matches_dict(spark, old, new):
     assert pairs(keyed.append_new(a, b, ["k"], ["v"])) == new_keys
 
 
+def test_upsert_takes_one_row_per_key_by_the_given_order(spark):
+    old = spark.createDataFrame([(1, 0), (3, 9)], "k int, v int")
+    new = spark.createDataFrame([(1, 5), (1, 7), (None, 1), (2, 4)], "k int, v int")
+    for order, first in ((None, 5), ([F.col("v").desc()], 7)):
+        rows = keyed.upsert(keyed.upsert(old, new, ["k"], order), new, ["k"], order).collect()
+        assert sorted((r.k, r.v) for r in rows) == [(1, first), (2, 4), (3, 9)]
+
+
 def test_slices_and_runs(spark):
     table = spark.createDataFrame([("r1", 1), ("r1", 2), ("r2", 3)], "run_id string, v int")
     rebuilt = keyed.rebuild_versions(table, spark.createDataFrame([(9,)], "v int"), "r1")

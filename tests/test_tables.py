@@ -37,6 +37,14 @@ def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     assert state(spark, path) == {i: "a" for i in range(40)} | {3: "b", 100: "c"}
 
 
+@pytest.mark.parametrize("compare", [None, ["v"]])
+def test_upsert_keeps_one_row_per_key(spark, tmp_path, compare):
+    path = str(tmp_path / "t")
+    for _ in range(2):
+        tables.upsert_table(path, batch(spark, [(1, "b"), (1, "a"), (1, None), (2, "c"), (None, "x")]), ["k"], ROW, buckets=2, compare=compare)
+        assert sorted((r.k, r.v) for r in tables.read_table(spark, path, ROW).collect()) == [(1, "a"), (2, "c")]
+
+
 def test_versioned_upsert_survives_a_repeated_run(spark, tmp_path):
     current, log = str(tmp_path / "s"), str(tmp_path / "l")
 

@@ -86,8 +86,20 @@ def append_new(
     return first.join(known, list(keys), "left_anti").select(*incoming.columns)
 
 
-def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows replace current rows of the same key; keys absent from it stay."""
+def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
+    """First row of each filled key by ``order``, by default the values of all columns."""
+    return first_per_key(has_keys(df, keys), keys, order or [F.col(f"`{c}`").asc_nulls_last() for c in df.columns])
+
+
+def upsert(
+    current: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None
+) -> DataFrame:
+    """Incoming rows replace current rows of the same key; keys absent from it stay.
+
+    Rows without a key are left out, and of rows of one key the first by ``order`` counts
+    (see :func:`one_per_key`).
+    """
+    incoming = one_per_key(incoming, keys, order)
     kept = current.join(incoming.select(*keys), list(keys), "left_anti").select(*current.columns)
     return kept.unionByName(incoming, allowMissingColumns=True)
 

@@ -72,7 +72,7 @@ def _touched(
     """The batch with its buckets, kept in the checkpoint folder, and the state of those buckets."""
     spark = incoming.sparkSession
     ensure_checkpoint_dir(spark)
-    batch = incoming.select(*schema.fieldNames()).withColumn(BUCKET, bucket_of(keys, buckets)).checkpoint()
+    batch = keyed.one_per_key(incoming.select(*schema.fieldNames()), keys).withColumn(BUCKET, bucket_of(keys, buckets)).checkpoint()
     # at most ``buckets`` values
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
     stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
@@ -97,8 +97,10 @@ def upsert_table(
     buckets: int = 64,
     compare: Sequence[str] | None = None,
 ) -> None:
-    """Upsert unique-keyed rows into a bucketed table, rewriting touched buckets only.
+    """Upsert rows into a bucketed table, rewriting touched buckets only.
 
+    Rows without a key are left out, and of rows of one key the first by all columns
+    counts; a batch with a time is brought to its newest rows before (``dedupe_latest``).
     Repeating a batch gives the same table, so a failed write is simply run again. Choose
     ``buckets`` so that one bucket of the table stays a few hundred megabytes.
     """
