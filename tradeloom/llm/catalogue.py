@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.catalogue import Query
-from tradeloom.llm import decontaminate, extract, segment, simhash, suffix_dedup, token_counts, token_files, toxicity, warc, winnow
+from tradeloom.llm import conversations, decontaminate, extract, segment, simhash, suffix_dedup, token_counts, token_files, toxicity, warc, winnow
 from tradeloom.llm.common import load
 
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,16 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after a fixed damage; those left without rows have zeros."""
+    rows = load(spark, sf_dir, "conversations")
+    found = conversations.summaries(conversations.repair(conversations.damaged(rows)))
+    everyone = rows.select("conv_id").distinct()
+    both = everyone.join(found.withColumnRenamed("conv_id", "own_id"), F.col("conv_id").eqNullSafe(F.col("own_id")), "left")
+    return both.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in conversations.COUNTS],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
