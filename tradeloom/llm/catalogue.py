@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.catalogue import Query
-from tradeloom.llm import conversations, decontaminate, extract, segment, simhash, suffix_dedup, token_counts, token_files, toxicity, warc, winnow
+from tradeloom.llm import conversations, decontaminate, extract, host_rules, segment, simhash, suffix_dedup, token_counts, token_files, toxicity, warc, winnow
 from tradeloom.llm.common import load
 
 QUERIES: dict[str, Query] = {}
@@ -103,3 +103,66 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in conversations.COUNTS],
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against rules of their own and the verdict on their source."""
+    judged = host_rules.judge(load(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *host_rules.BASE, "base_failed", "kept")
+
+
+ORACLE["op13_quality_rules"] = r"""
+with doc as (select row_number() over () as r, doc_id, source, coalesce(text, '') as t from documents),
+word as (
+  select r, unnest(w) as w, generate_subscripts(w, 1) as p
+  from (select r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w from doc)
+),
+run as (
+  select r, p, count(*) over (partition by r, a, b, c) as n
+  from (
+    select r, p, w as a, lead(w) over (partition by r order by p) as b, lead(w, 2) over (partition by r order by p) as c
+    from word
+  ) where c is not null
+),
+covered as (select r, count(distinct q) as n_repeat_words from (select r, unnest([p, p + 1, p + 2]) as q from run where n > 1) group by r),
+words as (select r, count(*) as n_words, sum(length(w)) as word_chars from word group by r),
+line as (
+  select r, count(*) as n_lines, count(*) - count(distinct x) as n_dup_lines
+  from (select r, unnest(string_split(t, chr(10))) as x from doc) where regexp_matches(x, '[^\x20\x09-\x0D]') group by r
+),
+measure as (
+  select doc_id, source, coalesce(n_words, 0) as n_words, coalesce(word_chars, 0)::bigint as word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+    coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_lines, 0) as n_lines
+  from doc left join words using (r) left join covered using (r) left join line using (r)
+),
+flag as (
+  select source, rule, failed::int as failed from (
+    select *, n_words < 50 as short, 100 * n_repeat_words > 50 * n_words as repeats, 10 * n_symbols > n_words as symbols,
+      2 * n_dup_lines > n_lines as dup_lines
+    from measure
+  ) unpivot (failed for rule in (short, repeats, symbols, dup_lines))
+),
+host as (select source, rule, count(*)::double as n, sum(failed)::double as x from flag group by source, rule),
+total as (
+  select rule, sum(n) as docs, count(*) as hosts, sum(n * n) as squares, sum(x) / sum(n) as mean, sum(x * x / n) as spread
+  from host group by rule
+),
+prior as (
+  select rule, docs, mean, mean * (1 - mean) as chance, docs - squares / docs as room,
+    spread - mean * mean * docs - (hosts - 1) * mean * (1 - mean) as excess
+  from total
+),
+strength as (
+  select rule, mean, case when chance <= 0 or room <= 0 or excess <= 0 then docs
+    else least(greatest(chance * room / excess - 1, 1), docs) end as s
+  from prior
+),
+bad as (select distinct source from host join strength using (rule) where (x + mean * s) / (n + s) > 0.5)
+select m.doc_id, m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words,
+  (m.n_words < 50 or 100 * m.n_repeat_words > 50 * m.n_words) as base_failed,
+  not (m.n_words < 50 or 100 * m.n_repeat_words > 50 * m.n_words or 10 * m.n_symbols > m.n_words or 2 * m.n_dup_lines > m.n_lines)
+    and not exists (select 1 from bad where bad.source is not distinct from m.source) as kept
+from measure m
+"""
