@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.catalogue import Query
-from tradeloom.llm import conversations, decontaminate, extract, host_rules, segment, simhash, suffix_dedup, token_counts, token_files, toxicity, warc, winnow
+from tradeloom.llm import (
+    align, conversations, decontaminate, extract, host_rules, segment, simhash, suffix_dedup, token_counts, token_files, toxicity, warc, winnow,
+)
 from tradeloom.llm.common import load
 
 QUERIES: dict[str, Query] = {}
@@ -105,6 +107,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text by a byte-level and a SentencePiece tokenizer, aligned byte by byte."""
+    return align.align(load(spark, sf_dir, "documents"))
+
+
 @query
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against rules of their own and the verdict on their source."""
