@@ -35,8 +35,9 @@ from tradeloom.llm.pieces import MARK, default_model, piece_table
 from tradeloom.llm.token_files import default_tokenizer
 
 UNITS = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*")
-BLOCK_BYTES = 16 << 20
-CHUNK_BYTES = 1 << 20
+BLOCK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 18
+PART_CHARS = 20_000
 
 
 @dataclass(frozen=True)
@@ -162,6 +163,38 @@ class Aligner:
         b = self.pieces.processor.encode([u[1:] for u in units])
         return a, [ids if len(u) > 1 else self.mark_ids for u, ids in zip(units, b)]
 
+    def tokens(self, units: list[str]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """Places of the units that both give back byte by byte, their ids and their numbers of tokens.
+
+        Units that end in no white space are encoded end to end and cut by their bytes.
+        """
+        joined = [k for k, u in enumerate(units) if self.by_units and MARK not in u and not u[-1].isspace()]
+        apart = [k for k, u in enumerate(units) if MARK not in u and (not self.by_units or u[-1].isspace())]
+        own, ids, sizes = [], ([], []), ([], [])
+        parts = [joined[a:b] for a, b in blocks([len(units[k]) for k in joined], PART_CHARS)]
+        texts = ["".join([units[k] for k in part]) for part in parts]
+        encoded = zip(parts, texts, *self.encoded(texts)) if parts else ()
+        for part, text, a, b in encoded:
+            ends = np.cumsum(np.fromiter((len(units[k].encode()) for k in part), np.int64, len(part)))
+            found = [np.array(x, np.int64) for x in (a, b)]
+            reach = [np.cumsum(size[x]) for size, x in zip((self.a_sizes, self.b_sizes), found)]
+            stops = [np.searchsorted(r, ends) for r in reach]
+            if self.matches(text, a, b) and all((r[x] == ends).all() for r, x in zip(reach, stops)):
+                own.append(np.array(part, np.int64))
+                for k in range(2):
+                    ids[k].append(found[k])
+                    sizes[k].append(np.diff(stops[k] + 1, prepend=0))
+            else:
+                apart += part
+        for k, u, a, b in zip(apart, [units[k] for k in apart], *self.encoded([units[k] for k in apart])) if apart else ():
+            if self.matches(u, a, b):
+                own.append(np.array([k]))
+                for j, x in enumerate((a, b)):
+                    ids[j].append(np.array(x, np.int64))
+                    sizes[j].append(np.array([len(x)]))
+        none = [np.empty(0, np.int64)]
+        return np.concatenate(own or none), [np.concatenate(x or none) for x in ids], [np.concatenate(x or none) for x in sizes]
+
     def matches(self, unit: str, a: list[int], b: list[int]) -> bool:
         raw = unit.encode()
         return b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
@@ -169,7 +202,7 @@ class Aligner:
     def links(self, text: str) -> Links | None:
         """Links of one text; None if it is empty or a tokenizer does not give back its bytes."""
         units = self.units(text) if text else []
-        a, b = self.encoded(units)
+        a, b = self.encoded(units) if units else ([], [])
         if not units or not all(map(self.matches, units, a, b)):
             return None
         ids = [np.fromiter((i for x in lists for i in x), np.int64) for lists in (a, b)]
@@ -179,13 +212,10 @@ class Aligner:
         """Numbers, linked id pairs and group text of every unit."""
         out = Units(len(units))
         for lo, hi in blocks([len(u) for u in units], CHUNK_BYTES):
-            a, b = self.encoded(units[lo:hi])
-            fine = [k for k in range(hi - lo) if self.matches(units[lo + k], a[k], b[k])]
-            if not fine:
+            own, ids, sizes = self.tokens(units[lo:hi])
+            if not len(own):
                 continue
-            own = np.array(fine, np.int64) + lo
-            sizes = [np.fromiter((len(x[k]) for k in fine), np.int64, len(fine)) for x in (a, b)]
-            ids = [np.fromiter((i for k in fine for i in x[k]), np.int64, int(n.sum())) for x, n in zip((a, b), sizes)]
+            own += lo
             found = linked(ids[0], self.a_sizes[ids[0]], ids[1], self.b_sizes[ids[1]])
             unit_a, unit_b = (np.repeat(own, n) for n in sizes)
             per_a, per_b = (np.bincount(g, minlength=found.groups) for g in (found.group_a, found.group_b))
@@ -193,9 +223,10 @@ class Aligner:
             rows = found.overlap.rows()
             out.fine[own] = True
             out.n_a[own], out.n_b[own] = sizes
-            out.n_groups += np.bincount(unit_g, minlength=len(units))
-            out.n_links += np.bincount(unit_a[rows], minlength=len(units))
-            out.n_shared += np.bincount(unit_g, per_a * per_b, minlength=len(units)).astype(np.int64)
+            for sums, unit, weights in (
+                (out.n_groups, unit_g, None), (out.n_links, unit_a[rows], None), (out.n_shared, unit_g, per_a * per_b)
+            ):
+                sums[lo:hi] += np.bincount(unit - lo, weights, minlength=hi - lo).astype(np.int64)
             out.link_units.append(unit_a[rows])
             out.link_pairs.append((found.a[rows] << 32) | found.b[found.overlap.columns])
             self.name_groups(out, own, found, sizes, per_a, per_b)
