@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +36,7 @@ from tradeloom.llm.pieces import MARK, default_model, piece_table
 from tradeloom.llm.token_files import default_tokenizer
 
 UNITS = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*")
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 CHUNK_BYTES = 1 << 18
 PART_CHARS = 20_000
 
@@ -125,6 +126,7 @@ class Aligner:
     """A byte-level tokenizer (A) and a SentencePiece model (B) over the same text with a space before it."""
 
     def __init__(self, byte_path: str, piece_path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads hold memory of their own
         from tokenizers import Tokenizer
 
         self.byte, self.pieces = Tokenizer.from_file(byte_path), piece_table(piece_path)
