@@ -120,7 +120,7 @@ def test_newest_file_and_digest(spark, tmp_path):
 
 def test_landing(spark, tmp_path):
     (tmp_path / "r.jsonl").write_text('{"a":1}\n[1]\n\n {"a":2}\n')
-    assert [r.payload.strip() for r in landing.read_landing(spark, str(tmp_path / "r.jsonl")).orderBy("line").collect()] == ['{"a":1}', '{"a":2}']
+    assert [r.payload.strip() for r in landing.read_landing(spark, str(tmp_path / "r.jsonl")).orderBy("row_number").collect()] == ['{"a":1}', '{"a":2}']
     pages = spark.createDataFrame(
         [("r1", 1, "m", "", 200, "{}", "", 1, 1, None), ("r2", 1, "n", "", 200, "{}", "", 1, 1, None)], landing.PAGE_SCHEMA
     )

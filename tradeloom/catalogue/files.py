@@ -9,7 +9,8 @@ from tradeloom.catalogue import query
 from tradeloom.operators import merge, normalize
 from tradeloom.session import scratch_path
 from tradeloom.sources import sheets
-from tradeloom.sources.delimited import read_delimited
+from tradeloom.sources.delimited import as_latin1, read_delimited
+from tradeloom.sources.landing import read_landing
 
 # Words looked for as header names in the conversations.
 WORDS = ("user", "the", "a")
@@ -173,3 +174,46 @@ def delimited_text(spark, sf_dir):
     return rows.select(
         F.col("cells")[0].cast("bigint").alias("doc_id"), F.col("cells")[1].alias("label"), F.sha2(F.col("cells")[2], 256).alias("text_sha")
     )
+
+
+@query(
+    "delimited_quoted",
+    """
+    SELECT doc_id, lang, 3 AS width,
+           sha256(CASE WHEN lang = 'en' THEN regexp_replace(text, '[^\x00-\x7F]', 'я', 'g') ELSE text END
+                  || chr(9) || '"в кавычках"' || chr(13) || chr(10) || '";"' || chr(10) || lang) AS body_sha
+    FROM documents
+    """,
+)
+def delimited_quoted(spark, sf_dir):
+    """Documents as quoted cells with separators, line breaks and quotes inside, English ones in cp1251, and read back."""
+    documents = load(spark, sf_dir, "documents")
+    latin = F.regexp_replace("text", "[^\\x00-\\x7F]", "я")
+    body = F.concat(F.when(F.col("lang") == "en", latin).otherwise(F.col("text")), F.lit('\t"в кавычках"\r\n";"\n'), "lang")
+    rows = documents.select(text("doc_id").alias("id"), "lang", body.alias("body"))
+    path = scratch_path(spark, "quoted")
+    english = rows.where("lang = 'en'").withColumn("body", as_latin1(F.col("body")))  # cp1251 bytes
+    for folder, part, encoding in (("one", english, "iso-8859-1"), ("two", rows.where("lang <> 'en'"), "utf-8")):
+        part.write.option("sep", "\t").option("quoteAll", True).option("escape", '"').option("encoding", encoding).csv(f"{path}/{folder}")
+    read = read_delimited(spark, [f"{path}/one", f"{path}/two"])
+    return read.select(
+        F.col("cells")[0].cast("bigint").alias("doc_id"), F.col("cells")[1].alias("lang"), F.size("cells").alias("width"),
+        F.sha2(F.col("cells")[2], 256).alias("body_sha"),
+    )
+
+
+@query(
+    "landed_first_arrival",
+    "SELECT conv_id, MIN(turn) AS turn, ARG_MIN(role, turn) AS role, COUNT(*) AS records FROM conversations GROUP BY 1",
+)
+def landed_first_arrival(spark, sf_dir):
+    """Turns landed as JSON lines in turn order, between lines that are no objects; a conversation's first line is its first arrival."""
+    turns = load(spark, sf_dir, "conversations").repartition("conv_id").sortWithinPartitions("conv_id", "turn")
+    path = scratch_path(spark, "landed")
+    record = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    turns.select(F.explode(F.array(F.lit("[]"), record)).alias("value")).write.text(path)
+    rows = read_landing(spark, path).select("file", "row_number", F.from_json("payload", "conv_id bigint, turn bigint, role string").alias("r"))
+    at = F.struct("file", "row_number")
+    return rows.groupBy("r.conv_id").agg(
+        F.min_by("r.turn", at).alias("turn"), F.min_by("r.role", at).alias("role"), F.count("*").alias("records")
+    )

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeloom.sources.delimited import file_lines
+
 PAGE_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -37,17 +39,12 @@ def read_api_pages(
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """A list of records, one JSON object per line, as ``payload`` text with its origin.
+    """A list of records, one JSON object per line: (file, row_number, payload).
 
-    ``file`` and ``block`` with the order inside the block are stable across runs;
-    lines that are not objects are dropped.
+    ``row_number`` is the line's place in its file, however the file is split, so that the
+    first arrival of a key is the same in every run. Lines that are not objects are dropped.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        F.col("value").alias("payload"),
-    )
+    lines = file_lines(spark, path).withColumnRenamed("value", "payload")
     return lines.where(F.ltrim("payload").startswith("{"))
 
 
