@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeloom.bindings import FEED_ARRIVAL, FEED_KEYS, feed, load, money, text, whole
 from tradeloom.catalogue import query
 from tradeloom.functions.jsonpath import canonical_json, payload_sha, row_hash
 from tradeloom.operators import keyed
 from tradeloom.operators.ordered import id_chunks
+from tradeloom.session import scratch_path
+from tradeloom.sources import tables
 from tradeloom.sources.landing import union_sources
 
 # The feed before this day is the stored state, the feed from it on the next batch.
@@ -422,3 +425,41 @@ def last_seen_run(spark, sf_dir):
     state = keyed.seen_in_run(keyed.upsert(current, incoming, FEED_KEYS), incoming, FEED_KEYS, "run-2")
     run = F.coalesce("last_seen_run", F.lit("never")).alias("last_seen_run")
     return state.groupBy(run).agg(F.count(F.lit(1)).alias("n"))
+
+
+TABLE_ROW = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType())])
+
+
+@query(
+    "table_upserts",
+    """
+    WITH a AS (SELECT l_partkey AS k, MIN(l_suppkey) AS v FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1),
+    b AS (SELECT l_suppkey AS k, MIN(l_orderkey) AS v FROM lineitem GROUP BY 1),
+    c AS (SELECT o_custkey AS k, MIN(o_orderkey) AS v FROM orders GROUP BY 1)
+    SELECT k, COALESCE(c.v, b.v, a.v) AS v FROM a FULL JOIN b USING (k) FULL JOIN c USING (k)
+    """,
+)
+def table_upserts(spark, sf_dir):
+    """A bucketed table after three batches with repeated and missing keys; a write that died is in between."""
+    path, lines = scratch_path(spark, "upserts"), load(spark, sf_dir, "lineitem")
+    parts = lines.select(F.when(F.col("l_returnflag") != "R", F.col("l_partkey")).alias("k"), F.col("l_suppkey").alias("v"))
+    tables.upsert_table(path, parts, ["k"], TABLE_ROW, buckets=8)
+    dead = tables.next_generation(spark, path)
+    lost = parts.withColumn(tables.BUCKET, F.lit(0))
+    lost.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy(tables.BUCKET).parquet(
+        f"{path}/generation={dead:012d}"
+    )
+    tables.upsert_table(path, lines.select(F.col("l_suppkey").alias("k"), F.col("l_orderkey").alias("v")), ["k"], TABLE_ROW, buckets=8)
+    orders = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"))
+    tables.upsert_table(path, orders, ["k"], TABLE_ROW, buckets=8, compare=["v"])
+    tables.vacuum(spark, path)
+    return tables.read_table(spark, path, TABLE_ROW)
+
+
+@query("table_replaced", "SELECT p_partkey, p_size + 1 AS p_size FROM part")
+def table_replaced(spark, sf_dir):
+    """A whole table written anew from its own newest generation."""
+    path = scratch_path(spark, "replaced")
+    tables.replace_all(load(spark, sf_dir, "part").select("p_partkey", "p_size"), path, 1)
+    tables.replace_all(tables.read_newest(spark, path).withColumn("p_size", F.col("p_size") + 1), path, 1)
+    return tables.read_newest(spark, path)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from tradeloom.bindings import load
 from tradeloom.catalogue import query
 from tradeloom.session import scratch_path
-from tradeloom.sources.tables import read_table
+from tradeloom.sources.tables import read_runs, read_table
 from tradeloom.streaming import streams
 
 STATE = T.StructType(
@@ -52,7 +52,7 @@ def _upserted(spark, sf_dir):
         streams.upsert_stream(
             feed, state, log, checkpoint, ["user_id"], "at", ["event_id"], ["status"], STATE, buckets=4
         ).awaitTermination()
-    return read_table(spark, state, STATE), spark.read.parquet(log)
+    return read_table(spark, state, STATE), read_runs(spark, log, STATE)
 
 
 @query(

@@ -1,14 +1,18 @@
 """Keyed tables on plain parquet folders.
 
-A current-state table is partitioned by a hash bucket of its key; an upsert rewrites
-only the buckets it touches. A log is partitioned by run, so writing a run again
-replaces it. Nothing reads and overwrites one path in one plan: the new state is put
-into the checkpoint folder first.
+A current-state table is partitioned by a hash bucket of its key. An upsert writes the
+buckets it touches, one file each, as a new generation ``generation=N/key_bucket=B``; the
+``_SUCCESS`` file that Spark writes last commits it. Readers take of every bucket the newest
+committed generation, so a job that dies at any point leaves the state before it, and
+nothing is deleted while it can be read. ``vacuum`` removes what no reader needs.
+
+A log has a folder for each run, committed in the same way. There is one writer at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +26,9 @@ BUCKET = "key_bucket"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, or an empty frame of its schema when nothing was written yet."""
+    """A table of any layout, or an empty frame of its schema when nothing was written yet."""
+    if _listed(spark, f"{path}/generation=*"):
+        return read_generations(spark, path, schema)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -46,20 +52,119 @@ def append_rows(df: DataFrame, path: str, partition: str | None = None) -> None:
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
-def replace_all(df: DataFrame, path: str, generation: int) -> None:
-    """Write a whole table as a new generation; readers switch when it is complete."""
-    df.write.mode("overwrite").parquet(f"{path}/generation={generation:012d}")
+def _listed(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in whatever store the table is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(str(s.getPath()) for s in fs.globStatus(at) or [])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _generation(path: str) -> int:
+    return int(path.rsplit("generation=", 1)[1].split("/", 1)[0])
+
+
+def committed(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete generations of a table, ascending."""
+    return [_generation(p) for p in _listed(spark, f"{path}/generation=*/_SUCCESS")]
+
+
+def next_generation(spark: SparkSession, path: str) -> int:
+    """A number above those of all generations, complete or not."""
+    return max([_generation(p) for p in _listed(spark, f"{path}/generation=*")], default=0) + 1
+
+
+def _folder(path: str, generation: int) -> str:
+    return f"{path}/generation={generation:012d}"
+
+
+def write_generation(df: DataFrame, path: str, by: str) -> int:
+    """Write the partitions of ``by`` in ``df`` as a new generation, one file each; gives its number."""
+    number = next_generation(df.sparkSession, path)
+    df.repartition(by).write.mode("error").partitionBy(by).parquet(_folder(path, number))
+    return number
+
+
+def newest_folders(spark: SparkSession, path: str, by: str, as_of: int | None = None) -> dict[str, str]:
+    """Value of ``by`` to the folder of its newest complete generation (up to ``as_of``)."""
+    done = {n for n in committed(spark, path) if as_of is None or n <= as_of}
+    folders = [f for f in _listed(spark, f"{path}/generation=*/{by}=*") if _generation(f) in done]
+    return {f.rsplit("=", 1)[1]: f for f in sorted(folders, key=_generation)}
+
+
+def read_generations(
+    spark: SparkSession, path: str, schema: T.StructType, by: str = BUCKET, only: Sequence[object] | None = None, as_of: int | None = None
+) -> DataFrame:
+    """The table as its newest complete generations give it; empty when nothing was written yet.
+
+    ``only`` names the partitions to read, ``as_of`` a generation whose state is wanted.
+    """
+    folders = newest_folders(spark, path, by, as_of)
+    wanted = list(folders.values()) if only is None else [folders[str(v)] for v in only if str(v) in folders]
+    if not wanted:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*wanted).select(*schema.fieldNames())
+
+
+def vacuum(spark: SparkSession, path: str, by: str = BUCKET, keep: int = 2) -> int:
+    """Delete what the newest ``keep`` states do not use and what older dead writes left; gives the deleted folders."""
+    done = committed(spark, path)
+    if not done:
+        return 0
+    used = {f for n in done[-keep:] for f in newest_folders(spark, path, by, n).values()}
+    kept = {_generation(f) for f in used} | set(done[-keep:])
+    gone = [f for f in _listed(spark, f"{path}/generation=*") if _generation(f) not in kept and _generation(f) < done[-1]]
+    gone += [f for f in _listed(spark, f"{path}/generation=*/{by}=*") if f not in used and _generation(f) in kept and _generation(f) in done]
+    for folder in gone:
+        _delete(spark, folder)
+    return len(gone)
+
+
+def replace_all(df: DataFrame, path: str, generation: int | None = None) -> int:
+    """Write a whole table as a new generation; readers switch when it is complete.
+
+    A number that is already complete is not written again, as it may be what ``df`` reads;
+    the next free one is taken. Gives the number used.
+    """
+    spark = df.sparkSession
+    if generation is None or generation in committed(spark, path):
+        generation = next_generation(spark, path)
+    df.write.mode("overwrite").parquet(_folder(path, generation))
+    return generation
 
 
 def read_newest(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete generation of a replaced table."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = sorted(str(s.getPath().getParent()) for s in fs.globStatus(hadoop.Path(f"{path}/generation=*/_SUCCESS")))
+    done = committed(spark, path)
     if not done:
         raise FileNotFoundError(path)
-    return spark.read.parquet(done[-1])
+    return spark.read.parquet(_folder(path, done[-1]))
+
+
+def _run_folder(path: str, run_id: str) -> str:
+    return f"{path}/run_id={quote(run_id, safe=' -_.')}"
+
+
+def write_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Write the log of a run; what a dead attempt left of it is replaced."""
+    df.write.mode("overwrite").parquet(_run_folder(path, run_id))
+
+
+def has_run(spark: SparkSession, path: str, run_id: str) -> bool:
+    return bool(_listed(spark, f"{_run_folder(path, run_id)}/_SUCCESS"))
+
+
+def read_runs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The complete runs of a log, with ``run_id``; empty when nothing was written yet."""
+    logged = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
+    done = [p.rsplit("/", 1)[0] for p in _listed(spark, f"{path}/run_id=*/_SUCCESS")]
+    if not done:
+        return spark.createDataFrame([], logged)
+    return spark.read.schema(logged).option("basePath", path).parquet(*done)
 
 
 def bucket_of(keys: Sequence[str], buckets: int):
@@ -76,7 +181,7 @@ def _touched(
     # at most ``buckets`` values
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
     stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    return batch, read_table(spark, path, stored).where(F.col(BUCKET).isin(touched))
+    return batch, read_generations(spark, path, stored, BUCKET, touched)
 
 
 def _merge(
@@ -86,7 +191,7 @@ def _merge(
         merged = keyed.upsert(state, batch, keys)
     else:
         merged = keyed.upsert_changed(state, batch, keys, compare)
-    write_slice(merged.checkpoint(), path, BUCKET)
+    write_generation(merged, path, BUCKET)
 
 
 def upsert_table(
@@ -102,7 +207,8 @@ def upsert_table(
     Rows without a key are left out, and of rows of one key the first by all columns
     counts; a batch with a time is brought to its newest rows before (``dedupe_latest``).
     Repeating a batch gives the same table, so a failed write is simply run again. Choose
-    ``buckets`` so that one bucket of the table stays a few hundred megabytes.
+    ``buckets`` so that one bucket of the table stays a few hundred megabytes. Call ``vacuum``
+    from time to time.
     """
     batch, state = _touched(path, incoming, keys, schema, buckets)
     _merge(path, batch, state, keys, compare)
@@ -121,15 +227,11 @@ def versioned_upsert(
     """Append the run's versions, then upsert the current state.
 
     The log is written before the state. If the job dies in between, the repeated run
-    finds its log partition and keeps it, because part of the state may already hold
-    the new rows.
+    finds its complete log and keeps it, because the state may already hold the new rows.
     """
     batch, state = _touched(state_path, incoming, keys, schema, buckets)
-    logged = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
-    done = read_table(incoming.sparkSession, log_path, logged).where(F.col("run_id") == run_id)
-    if done.isEmpty():
-        versions = keyed.append_versions(state, batch, keys, compare).drop(BUCKET)
-        write_slice(versions.withColumn("run_id", F.lit(run_id)), log_path, "run_id")
+    if not has_run(incoming.sparkSession, log_path, run_id):
+        write_run(keyed.append_versions(state, batch, keys, compare).drop(BUCKET), log_path, run_id)
     _merge(state_path, batch, state, keys, compare)
 
 
