@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tradeloom.operators import keyed
 from tradeloom.operators.ordered import dense_ordinal, id_chunks, running_total, version_numbers
-from tradeloom.operators.skew import salted_join
-from tradeloom.plans.orders import change_history
+from tradeloom.operators.skew import heavy_keys, salted_join
+from tradeloom.plans.orders import change_history, newest_card
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 STATES = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3)), max_size=12)
@@ -49,13 +49,60 @@ def test_salted_join_matches_a_plain_join(spark):
     rows = spark.createDataFrame([("hot" if i % 3 else f"k{i % 5}", i) for i in range(300)] + [(None, 999)], "f string, n int")
     lookup = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3)], "f string, h int")
     for how in ("left", "inner"):
-        got = salted_join(rows, lookup, ["f"], F.col("n"), how, salts=7)
+        got = salted_join(rows, lookup, ["f"], F.col("n"), how)
         plain = rows.join(lookup, "f", how)
         assert sorted(map(tuple, got.select("n", "h").collect()), key=str) == sorted(map(tuple, plain.select("n", "h").collect()), key=str)
-    spread = salted_join(rows.where("f = 'hot'"), lookup, ["f"], F.col("n"), "left", salts=7)
+    spread = salted_join(rows.where("f = 'hot'"), lookup, ["f"], F.col("n"), "left")
     assert "__salt" not in spread.columns and spread.count() == 200
 
 
+def test_heavy_keys_are_named(spark):
+    rows = spark.range(0, 100_000, 1, 7).select(
+        F.when(F.col("id") % 5 < 2, "hot").when(F.col("id") % 5 == 2, F.lit(None)).when(F.col("id") % 5 == 3, F.concat(F.lit("w"), F.col("id") % 95))
+        .otherwise(F.col("id").cast("string")).alias("k")
+    )
+    named = {r["__heavy"]: r["heavy_rows"] for r in heavy_keys(rows, ["k"]).collect()}
+    counts = {r["h"]: r["n"] for r in rows.groupBy(F.xxhash64("k").alias("h")).agg(F.count("*").alias("n")).collect()}
+    assert set(named) == {h for h, n in counts.items() if n >= 100_000 / 1024} and len(named) == 2 + 19
+    assert all(abs(n - counts[h]) <= 100 for h, n in named.items())
+    assert heavy_keys(rows.where("k = 'none'"), ["k"]).count() == 0
+
+
+def test_a_hot_article_is_spread_and_the_rest_joins_plainly(spark):
+    lines = spark.range(0, 50_000, 1, 8).select(
+        F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("a"), "id")).alias("article"), F.col("id").alias("marketplace_sku")
+    )
+    cards = spark.range(0, 50_000, 7).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("a"), "id")).alias("article"), (F.col("id") * 3).alias("marketplace_sku"),
+        F.timestamp_seconds("id").alias("updated_at"), F.lit("i").alias("primary_image"), F.lit("[]").alias("images"), F.lit("n").alias("product_name"),
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(before, ("-1", "32", "false")):
+            spark.conf.set(k, v)
+        by_article = cards.groupBy("article").agg(F.max("updated_at").alias("at"))
+        spread = salted_join(lines, by_article, ["article"], F.col("marketplace_sku"))
+        sizes = [r["n"] for r in spread.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("at")).collect()]
+        plain = lines.join(by_article, ["article"], "left")
+        one = [r["n"] for r in plain.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("at")).collect()]
+        assert max(one) > 40_000 and max(sizes) < 4000 and sum(sizes) == 50_000
+        found = newest_card(lines, cards)
+        assert found.where("card is not null").count() == lines.join(by_article, "article").count() + found.where(
+            "article <> 'hot' and card is not null and card.id.marketplace_sku = marketplace_sku and not card.id.article = article"
+        ).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_only_one_exchange_moves_the_rows(spark):
+    rows, df = history(spark)
+    plan = running_total(df.repartition(3), ["k"], ["t", "n"], "q", "r", per_range=50)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(k" in line and "__range" in line]
+    assert len(moved) == 1
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_version_log_over_runs(spark):
     current = frame(spark, [])
     appended = []
@@ -154,10 +201,10 @@ def expected_history(rows):
 def test_versions_and_running_total_split_a_hot_key(spark):
     rows, df = history(spark)
     expected = expected_history(rows)
-    for largest in (10**9, 50):  # by calendar bucket, and by range when a bucket is too large
-        numbered = version_numbers(df, ["k"], ["t", "n"], F.date_trunc("day", "t"), {"p": "s"}, largest=largest).collect()
+    for per_range in (10**9, 50, 7, 1):
+        numbered = version_numbers(df, ["k"], ["t", "n"], {"p": "s"}, per_range=per_range).collect()
         assert {r.n: (r.version_no, r.p) for r in numbered} == {n: e[:2] for n, e in expected.items()}
-        total = running_total(df, ["k"], ["t", "n"], F.date_trunc("day", "t"), "q", "r", largest=largest).collect()
+        total = running_total(df, ["k"], ["t", "n"], "q", "r", per_range=per_range).collect()
         assert {r.n: r.r for r in total} == {n: e[2] for n, e in expected.items()}
 
 
@@ -188,8 +235,8 @@ def test_null_order_values_come_last_however_rows_are_cut(spark):
 
     times = [datetime(2026, 1, 1), datetime(2026, 1, 2), None, datetime(2026, 1, 25)]
     df = spark.createDataFrame([("a", t, i, 10**i) for i, t in enumerate(times)], "k string, t timestamp, n int, q bigint")
-    for largest in (20_000_000, 1):
-        numbered = version_numbers(df, ["k"], ["t", "n"], F.date_trunc("day", "t"), {"p": "n"}, largest=largest).collect()
+    for per_range in (20_000_000, 1):
+        numbered = version_numbers(df, ["k"], ["t", "n"], {"p": "n"}, per_range=per_range).collect()
         assert {r["n"]: (r["version_no"], r["p"]) for r in numbered} == {0: (1, None), 1: (2, 0), 3: (3, 1), 2: (4, 3)}
-        total = running_total(df, ["k"], ["t", "n"], F.date_trunc("day", "t"), "q", "r", largest=largest).collect()
+        total = running_total(df, ["k"], ["t", "n"], "q", "r", per_range=per_range).collect()
         assert {r["n"]: r["r"] for r in total} == {0: 1, 1: 11, 3: 1011, 2: 1111}

@@ -394,5 +394,5 @@ def running_free_qty(spark, sf_dir):
         whole("l_quantity").alias("qty"),
     )
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
-    total = running_total(rows, ["article"], order, F.date_trunc("month", "l_shipdate"), "qty", "expired_qty")
+    total = running_total(rows, ["article"], order, "qty", "expired_qty")
     return total.select("article", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "expired_qty")

@@ -14,6 +14,7 @@ from tradeloom.functions.labels import status_label
 from tradeloom.functions.text import article_or_sku
 from tradeloom.operators.keyed import first_per_key
 from tradeloom.operators.ordered import version_numbers
+from tradeloom.operators.skew import heavy_keys, salted_join
 
 # Names shown for rows without an order number or an article.
 NO_ORDER_NUMBER = "Без номера"
@@ -104,19 +105,10 @@ def monthly_orders(orders: DataFrame) -> DataFrame:
 
 
 def change_history(
-    versions: DataFrame, key: str, tracked: Sequence[str], arrival: Sequence[str] = ("run_id",), unit: str = "day"
+    versions: DataFrame, key: str, tracked: Sequence[str], arrival: Sequence[str] = ("run_id",)
 ) -> DataFrame:
-    """Version number, previous value and change flag of each tracked column.
-
-    ``unit`` is the calendar unit that bounds one task's share of a key.
-    """
-    numbered = version_numbers(
-        versions,
-        [key],
-        ["changed_at", *arrival],
-        F.date_trunc(unit, "changed_at"),
-        previous={f"previous_{c}": c for c in tracked},
-    )
+    """Version number, previous value and change flag of each tracked column."""
+    numbered = version_numbers(versions, [key], ["changed_at", *arrival], previous={f"previous_{c}": c for c in tracked})
     flags = {f"{c}_changed": ~F.col(f"previous_{c}").eqNullSafe(F.col(c)) for c in tracked}
     return numbered.withColumns(flags)
 
@@ -148,7 +140,8 @@ def newest_card(lines: DataFrame, cards: DataFrame, article: str = "article", sk
     """Add the newest card that has the line's article or the line's sku.
 
     Cards are reduced to the newest one per article and per sku, so the OR becomes two
-    equality joins of at most one match each and the newer of both wins.
+    equality joins of at most one match each and the newer of both wins. Articles and skus
+    of very many lines, null among them, are spread over several tasks.
     """
     columns = ["primary_image", "images", "product_name"]
     order = [F.col("updated_at").desc_nulls_last(), F.col("article").asc_nulls_last(), F.col("marketplace_sku").asc_nulls_last()]
@@ -158,19 +151,19 @@ def newest_card(lines: DataFrame, cards: DataFrame, article: str = "article", sk
     )
 
     by_article = first_per_key(kept.where(F.col("article").isNotNull()), ["article"], order).select(
-        F.col("article").alias("__article"), packed.alias("__a")
+        F.col("article").alias(article), packed.alias("__a")
     )
     by_sku = first_per_key(kept.where(F.col("marketplace_sku").isNotNull()), ["marketplace_sku"], order).select(
-        F.col("marketplace_sku").alias("__sku"), packed.alias("__s")
-    )
-    joined = lines.join(by_article, lines[article] == F.col("__article"), "left").join(
-        by_sku, lines[sku] == F.col("__sku"), "left"
+        F.col("marketplace_sku").alias(sku), packed.alias("__s")
     )
+    plain = F.struct(*[c for c, kind in lines.dtypes if "map<" not in kind and kind != "variant"])
+    joined = salted_join(lines, by_article, [article], plain, heavy=heavy_keys(lines, [article]))
+    joined = salted_join(joined, by_sku, [sku], plain, heavy=heavy_keys(lines, [sku]))
     newer = F.col("__s.updated_at") > F.col("__a.updated_at")
     same = F.col("__s.updated_at").eqNullSafe(F.col("__a.updated_at"))
     sku_wins = F.col("__a").isNull() | F.col("__a.updated_at").isNull() | newer | (same & (F.col("__s.id") < F.col("__a.id")))
     card = F.when(F.col("__s").isNotNull() & sku_wins, F.col("__s")).otherwise(F.col("__a"))
-    return joined.withColumn("card", card).drop("__article", "__sku", "__a", "__s")
+    return joined.withColumn("card", card).drop("__a", "__s")
 
 
 def feed_page(lines: DataFrame, limit: int = 50, offset: int = 0, ties: Sequence[str] = ("order_key",)) -> DataFrame:
