@@ -41,6 +41,26 @@ def test_order_change(spark):
     assert summary(spark, old, old, replace_on_order_change=True).mode == "upsert"
 
 
+def test_order_breaks_equal_a_comparison_of_lists(spark, monkeypatch):
+    import random
+
+    rng = random.Random(1)
+    monkeypatch.setattr(publish, "SPAN", 4)
+    for _ in range(12):
+        old = [rng.choice("abcdef ") for _ in range(rng.randint(0, 14))]
+        new = list(old) if rng.random() < 0.5 else [rng.choice("abcdef ") for _ in old]
+        if rng.random() < 0.4 and new:
+            new.insert(rng.randrange(len(new)), " ")  # rows without a key do not count
+        breaks = publish.order_breaks(block(spark, old, 1), block(spark, new, 1), ["c1"]).first().breaks
+        assert (breaks > 0) == ([x for x in old if x != " "] != [x for x in new if x != " "]), (old, new)
+
+
+def test_a_plan_has_one_join_and_few_exchanges(spark):
+    one = block(spark, [("a", "1"), ("b", "1")]).repartition(2)
+    plan = publish.classify_rows(one, one, ["c1", "c2"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("Exchange hashpartitioning(match") == 2
+
+
 def test_values_compare_as_numbers(spark):
     got = summary(spark, [("А1", "617,5"), ("2", "1 000")], [("А1", "617.50"), ("2.0", "1000")])
     assert (got.unchanged_rows, got.updated_cells) == (2, 0)

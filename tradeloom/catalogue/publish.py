@@ -99,6 +99,32 @@ def publish_order_check(spark, sf_dir):
     return moved.select("ordinal", F.col("old_key.c1").alias("old_key"), F.col("new_key.c1").alias("new_key"))
 
 
+@query(
+    "publish_replace_order",
+    """
+    WITH e AS (SELECT p_partkey, ROW_NUMBER() OVER (ORDER BY p_partkey) AS o FROM part),
+    t AS (SELECT p_partkey, ROW_NUMBER() OVER (ORDER BY p_size * 1000000 + p_partkey) AS o FROM part),
+    n AS (SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE e.p_partkey <> t.p_partkey) AS moved FROM e JOIN t USING (o))
+    SELECT 'by size' AS side, CASE WHEN moved > 0 THEN 'replace-order' ELSE 'upsert' END AS mode, rows AS prepared_rows, rows AS existing_rows,
+           CASE WHEN moved > 0 THEN 0 ELSE rows END AS unchanged_rows, moved > 0 AS cleared FROM n
+    UNION ALL SELECT 'twice', 'upsert', 2 * rows, 2 * rows, 2 * rows, FALSE FROM n
+    UNION ALL SELECT 'shorter', 'replace-order', rows, 2 * rows, 0, TRUE FROM n
+    """,
+)
+def publish_replace_order(spark, sf_dir):
+    """Parts published by key: the same rows by size, the whole list twice, and one of two lists gone."""
+    part = load(spark, sf_dir, "part")
+    key = text("p_partkey").alias("c1")
+    by_key = part.select((F.col("p_partkey") + 1).alias("position"), key)
+    by_size = part.select((F.col("p_size") * 1000000 + F.col("p_partkey")).alias("position"), key)
+    twice = part.select(F.explode(F.array(F.col("p_partkey"), F.col("p_partkey") + 10_000_000)).alias("position"), key)
+    out = None
+    for side, existing, target in (("by size", by_key, by_size), ("twice", twice, twice), ("shorter", twice, by_key)):
+        plan = publish.plan_summary(existing, target, ["c1"], replace_on_order_change=True).withColumn("side", F.lit(side))
+        out = plan if out is None else out.unionByName(plan)
+    return out.select("side", "mode", "prepared_rows", "existing_rows", "unchanged_rows", "cleared")
+
+
 @query(
     "publish_apply",
     f"""

@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.text import normalize_cell
 from tradeloom.operators.keyed import first_per_key
-from tradeloom.operators.ordered import dense_ordinal
+from tradeloom.operators.ordered import dense_ordinal, version_numbers
 from tradeloom.session import ensure_checkpoint_dir
 from tradeloom.sources.tables import replace_all
 
@@ -91,14 +91,20 @@ def shape_for_publish(df: DataFrame, columns: Sequence[str], block: BlockSpec) -
     return df.withColumns(cells).select(*rest, *cells)
 
 
-def _normal(df: DataFrame, cells: Sequence[str], key_columns: int) -> DataFrame:
+def _side(df: DataFrame, cells: Sequence[str], key_columns: int, alone: Column) -> DataFrame:
+    """Rows with normalized cells and what they match by: their key, or ``alone`` if a key part is empty."""
     normal = df.select("position", F.struct(*cells).alias("cells"), *[normalize_cell(F.col(c)).alias(c) for c in cells])
     valid = F.lit(True)
     for c in cells[:key_columns]:
         valid = valid & (F.col(c) != "")
-    return normal.select(
-        "position", "cells", F.struct(*cells[:key_columns]).alias("key"), F.struct(*cells).alias("normal"), valid.alias("valid")
-    )
+    own = F.when(valid, F.lit(0)).otherwise(alone).cast("bigint").alias("alone")
+    return normal.select("position", "cells", F.struct(*cells).alias("normal"), F.struct(*cells[:key_columns], own).alias("match"))
+
+
+def _sides(existing: DataFrame, target: DataFrame, cells: Sequence[str], key_columns: int) -> tuple[DataFrame, DataFrame]:
+    # rows without a key have numbers of their own on either side, so that they meet no row at all
+    own = F.abs("position") + 1
+    return _side(existing, cells, key_columns, -own), _side(target, cells, key_columns, own)
 
 
 def classify_rows(
@@ -107,28 +113,59 @@ def classify_rows(
     """Every target row as unchanged, changed or appended, and every stale existing key.
 
     Columns: action, position (of the target, null for stale), row_number (of the
-    existing row, null for appended), cells.
+    existing row, null for appended), cells. One full join of the existing rows, reduced to
+    the first of each key, with the target rows.
     """
-    old = _normal(existing, cells, key_columns).where("valid")
-    old = first_per_key(old, ["key"], [F.col("position")]).select(
-        "key", F.lit(0).cast("bigint").alias("alone"), F.col("position").alias("row_number"),
-        F.col("normal").alias("old_normal"), F.col("cells").alias("old_cells"),
-    )
-    new = _normal(target, cells, key_columns)
-    # a row with an empty key part stands alone: it meets no existing row and no other one
-    alone = F.when(F.col("valid"), F.lit(0)).otherwise(F.abs("position") + 1).cast("bigint")
-    joined = new.withColumn("alone", alone).join(old, ["key", "alone"], "left")
+    old, new = _sides(existing, target, cells, key_columns)
+    old = old.groupBy("match").agg(F.min_by(F.struct("position", "normal", "cells"), "position").alias("old"))
+    joined = new.join(old, "match", "full")
     action = (
-        F.when(F.col("row_number").isNull(), "appended")
-        .when(F.col("old_normal") == F.col("normal"), "unchanged")
+        F.when(F.col("position").isNull(), F.when(F.col("match.alone") == 0, "stale"))
+        .when(F.col("old").isNull(), "appended")
+        .when(F.col("old.normal") == F.col("normal"), "unchanged")
         .otherwise("changed")
     )
-    matched = joined.select(action.alias("action"), "position", "row_number", "cells")
-    stale = old.join(new.where("valid").select("key").distinct(), "key", "left_anti").select(
-        F.lit("stale").alias("action"), F.lit(None).cast("bigint").alias("position"), "row_number",
-        F.col("old_cells").alias("cells"),
+    rows = joined.select(
+        action.alias("action"), "position", F.col("old.position").alias("row_number"), F.coalesce("cells", "old.cells").alias("cells")
+    )
+    return rows.where(F.col("action").isNotNull())
+
+
+#: target positions that one group of the order test spans, so it has at most as many rows
+SPAN = 65_536
+
+
+def order_breaks(
+    existing: DataFrame, target: DataFrame, cells: Sequence[str], key_columns: int = 1
+) -> DataFrame:
+    """One row ``breaks``: 0 if both key sequences are the same.
+
+    The n-th row of a key on one side is that key's n-th row on the other. The sequences are
+    equal if every row has such a partner and existing positions rise along target
+    positions. That is tested inside spans of target positions, whose first and last
+    existing positions are then tested across their bounds, one small row a span.
+    """
+    pairs = []
+    for side, name in zip(_sides(existing, target, cells, key_columns), ("old", "new")):
+        keyed = side.where("match.alone = 0").select("match", "position")
+        numbered = version_numbers(keyed, ["match"], ["position"], number="nth")
+        pairs.append(numbered.select("match", "nth", F.col("position").alias(name)))
+    both = pairs[0].join(pairs[1], ["match", "nth"], "full")
+    span = both.groupBy(F.when(F.col("old").isNotNull(), F.floor(F.col("new") / SPAN)).alias("span")).agg(
+        F.count_if(F.col("old").isNull() | F.col("new").isNull()).alias("alone"),
+        F.array_sort(F.collect_list(F.when(F.col("old").isNotNull() & F.col("new").isNotNull(), F.struct("new", "old")))).alias("rows"),
+    )
+    falls = F.size(F.filter("rows", lambda x, i: (i > 0) & (x["old"] < F.get("rows", i - 1)["old"])))
+    span = span.select(
+        "span", (F.col("alone") + falls).alias("inside"), F.get("rows", F.lit(0))["old"].alias("first"),
+        F.try_element_at("rows", F.lit(-1))["old"].alias("last"),
     )
-    return matched.unionByName(stale)
+    along = Window.partitionBy(F.lit(0)).orderBy("span")
+    across = span.where("first is not null").select(
+        "inside", F.when(F.col("first") < F.lag("last").over(along), 1).otherwise(0).alias("across")
+    )
+    lonely = span.where("first is null").select("inside", F.lit(0).alias("across"))
+    return across.unionByName(lonely).agg(F.coalesce(F.sum(F.col("inside") + F.col("across")), F.lit(0)).cast("bigint").alias("breaks"))
 
 
 def order_mismatches(
@@ -136,7 +173,8 @@ def order_mismatches(
 ) -> DataFrame:
     """Ordinals at which the two key sequences differ."""
     def ranked(df: DataFrame, name: str) -> DataFrame:
-        keyed = _normal(df, cells, key_columns).where("valid").select("position", F.col("key").alias(name))
+        side = _side(df, cells, key_columns, F.lit(1)).where("match.alone = 0")
+        keyed = side.select("position", F.struct(*[F.col("match")[c].alias(c) for c in cells[:key_columns]]).alias(name))
         return dense_ordinal(keyed, ["position"]).select("ordinal", name)
 
     both = ranked(existing, "old_key").join(ranked(target, "new_key"), "ordinal", "full")
@@ -154,22 +192,21 @@ def plan_summary(
 ) -> DataFrame:
     """One row of counts and the mode the publish will take; nothing is written."""
     width = len(cells)
-    actions = classify_rows(existing, target, cells, key_columns).select("action")
-    actions = actions.unionByName(existing.select(F.lit("existing").alias("action")))
-    if replace_on_order_change:
-        moved = order_mismatches(existing, target, cells, key_columns)
-        actions = actions.unionByName(moved.select(F.lit("moved").alias("action")))
-    names = ("unchanged", "changed", "appended", "stale", "existing", "moved")
-    counts = actions.agg(*[F.count_if(F.col("action") == n).alias(n) for n in names])
-
-    prepared = F.col("unchanged") + F.col("changed") + F.col("appended")
+    names = ("unchanged", "changed", "appended", "stale")
+    rows = existing.agg(F.count(F.lit(1)).alias("n")).scalar()
     if mode == "replace":
+        counts = target.agg(F.count(F.lit(1)).alias("appended")).withColumns({n: F.lit(0).cast("bigint") for n in names if n != "appended"})
         chosen = F.lit("replace")
     else:
+        actions = classify_rows(existing, target, cells, key_columns)
+        counts = actions.agg(*[F.count_if(F.col("action") == n).alias(n) for n in names])
         chosen = F.when(F.col("stale") > 0, "replace-stale")
         if replace_on_order_change:
-            chosen = chosen.when(F.col("moved") > 0, "replace-order")
+            breaks = order_breaks(existing, target, cells, key_columns).scalar()
+            chosen = chosen.when(breaks > 0, "replace-order")
         chosen = chosen.otherwise("upsert")
+    counts = counts.withColumn("existing", rows)
+    prepared = F.col("unchanged") + F.col("changed") + F.col("appended")
     replaced = F.col("mode") != "upsert"
     header = F.lit(not header_matches)
     cells_upsert = (F.col("changed") + F.col("appended")) * width + F.when(header, F.lit(width)).otherwise(F.lit(0))
