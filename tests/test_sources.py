@@ -77,6 +77,25 @@ def test_inventory_text_file(spark):
     assert [(r.article, *[float(r[c]) for c in merge.INVENTORY_WAREHOUSES.values()]) for r in total] == [("ART", 4.0, 2.0, 3.0, 0.0, 4.0)]
 
 
+def test_named_tables(spark, monkeypatch):
+    monkeypatch.setattr(sheets, "BAND", 3)  # tables and sheets over several bands
+    rows = rows_of(spark, *[[f"r{i}c{j}" if i != 5 else None for j in range(1, 6)] for i in range(1, 12)], ["short"], sheet="S")
+    other = rows_of(spark, ["h", " \u00a0k "], ["1", ""], ["", ""], file="g", sheet="S")
+    boxes = [("f", "S", "all", 1, 12, 1, 5), ("f", "S", "mid", 4, 8, 2, 3), ("f", "S", "head", 2, 2, 1, 2), ("f", "T", "none", 1, 2, 1, 1), ("g", "S", "g", 1, 3, 1, 3)]
+    tables = spark.createDataFrame(boxes, "file string, sheet string, table string, min_row long, max_row long, min_column long, max_column long")
+    got = {(r.table, r.row_number): r.row for r in sheets.read_named_tables(rows.unionByName(other), tables).collect()}
+    names = [f"r1c{j}" for j in range(1, 6)]
+    expected = {("all", i): {n: f"r{i}c{j}" for j, n in enumerate(names, 1)} for i in range(2, 12) if i != 5}
+    expected |= {("all", 12): dict(zip(names, ["short"] + [None] * 4))}
+    expected |= {("mid", i): {"r4c2": f"r{i}c2", "r4c3": f"r{i}c3"} for i in (6, 7, 8)}
+    expected |= {("g", 2): {"h": "1", "k": "", "Column3": None}}
+    assert got == expected
+    only = sheets.read_named_tables(rows, tables, names=["mid"])
+    assert {r.table for r in only.collect()} == {"mid"}
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_two_level_cost_file(spark, tmp_path):
     top = [""] * 7 + ["основной", "", "", "ДЛЯ МАРКЕТПЛЕЙСОВ", "", ""]
     sub = [""] * 7 + ["Кол-во", "Себест. единицы", "Себестоимость"] * 2

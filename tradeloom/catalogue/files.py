@@ -91,6 +91,30 @@ def spec_sheets(spark, sf_dir):
     return located.join(specs.select("article", F.col("specification").alias("lot"), F.col("manager_name").alias("manager")), "article")
 
 
+@query(
+    "named_tables",
+    """
+    WITH r AS (SELECT conv_id::VARCHAR AS file, turn + 1 AS row_number, string_split(text, ' ') AS cells FROM conversations),
+    t AS (SELECT DISTINCT file, UNNEST([{'t': 'left', 'r0': 1, 'r1': 4, 'c0': 1, 'c1': 3}, {'t': 'right', 'r0': 2, 'r1': 8, 'c0': 3, 'c1': 9}]) AS b FROM r),
+    cell AS (SELECT t.file, b.t AS tab, b.r0 AS r0, r.row_number, UNNEST(range(b.c0, b.c1 + 1)) AS pos, UNNEST(range(1, b.c1 - b.c0 + 2)) AS n, r.cells
+             FROM t JOIN r ON r.file = t.file AND r.row_number BETWEEN b.r0 AND b.r1),
+    head AS (SELECT file, tab, n, COALESCE(trim(cells[pos]), 'Column' || n) AS name FROM cell WHERE row_number = r0),
+    last_n AS (SELECT file, tab, name, MAX(n) AS n FROM head GROUP BY 1, 2, 3),
+    vals AS (SELECT c.file, c.tab, c.row_number, l.name, c.cells[c.pos] AS value FROM cell c JOIN last_n l USING (file, tab, n) WHERE c.row_number > c.r0)
+    SELECT file, tab AS table_name, row_number, name, value FROM vals
+    WHERE (file, tab, row_number) IN (SELECT (file, tab, row_number) FROM vals WHERE value <> '')
+    """,
+)
+def named_tables(spark, sf_dir):
+    """Conversations as sheets with two overlapping named tables each."""
+    rows = _conversation_rows(spark, sf_dir).withColumn("sheet", F.lit("S"))
+    boxes = [("left", 1, 4, 1, 3), ("right", 2, 8, 3, 9)]
+    box = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("table", "min_row", "max_row", "min_column", "max_column"), b)]) for b in boxes])
+    tables = rows.select("file", "sheet").distinct().select("file", "sheet", F.explode(box).alias("b")).select("file", "sheet", "b.*")
+    read = sheets.read_named_tables(rows, tables)
+    return read.select("file", F.col("table").alias("table_name"), "row_number", F.explode("row").alias("name", "value"))
+
+
 def _cost_file(spark, sf_dir):
     """Line items as wide cost rows, one file per ship mode flag, with a two-level header."""
     blank = F.lit("")

@@ -273,7 +273,7 @@ def order_items(df: DataFrame) -> DataFrame:
     typed = {
         **{name: parse(F.col(f"__p.{path}")) for name, path, parse in ORDER_PRODUCT},
         **{name: parse(F.col(f"__f.{path}")) for name, path, parse in ORDER_FINANCE},
-        "product_offer_id": F.coalesce(F.trim("__p.offer_id"), F.lit("")),
+        "product_offer_id": F.coalesce(numbers.strip(F.col("__p.offer_id")), F.lit("")),
         "product_price_amount": price(F.col("__p.price")),
         "product_price_currency": numbers.price_currency("__p.price", "__p.currency_code"),
         "product_digital_codes": elements("digital_codes", "__p"),
@@ -402,7 +402,7 @@ def wb_cards(df: DataFrame) -> DataFrame:
 def ozon_cards(df: DataFrame) -> DataFrame:
     """Product details as product cards; the primary image leads the list when missing from it."""
     derived = _product_fields() | {
-        "__images": F.array_distinct(F.filter(elements("images"), lambda u: u.isNotNull() & (F.trim(u) != "")))
+        "__images": F.array_distinct(F.filter(elements("images"), lambda u: u.isNotNull() & (numbers.strip(u) != "")))
     }
     rows = apply_fields(df, PRODUCT_INFO_ITEM, ["product_id"], PRODUCT_ARRAYS, derived, PRODUCT_TEXTS)
     rows = rows.withColumn("primary_image", F.coalesce(trimmed(F.col("primary_image")), F.get("__images", F.lit(0))))
@@ -441,7 +441,7 @@ def file_orders(df: DataFrame, source_system: str) -> DataFrame:
         F.lit(source_system).alias("source_system"),
         text.clean_article(_cell("Артикул")).alias("article"),
         dates.parse_date_multi(_cell("Дата")).alias("fact_date"),
-        F.coalesce(F.trim(_cell("Статус")), F.lit("")).alias("status"),
+        F.coalesce(numbers.strip(_cell("Статус")), F.lit("")).alias("status"),
         numbers.parse_int_lenient(_cell("Кол-во")).alias("orders_qty"),
         money_or_0(_cell("Сумма")).alias("revenue"),
     ).where(F.col("fact_date").isNotNull() & (F.col("article") != ""))
@@ -496,11 +496,11 @@ def file_specs(df: DataFrame) -> DataFrame:
     lot = text.normalize_lot(either("LOT", "Спец-ия", "Спецификация"))
     others = F.map_filter("row", lambda k, _: k != "LOT")
     return df.select(
-        F.coalesce(F.trim(_cell("Лист")), F.lit("")).alias("source_sheet"),
+        F.coalesce(numbers.strip(_cell("Лист")), F.lit("")).alias("source_sheet"),
         numbers.parse_int_lenient(_cell("Номер строки")).alias("source_row_number"),
         text.clean_article(_cell("Артикул")).alias("article"),
         lot.alias("specification"),
-        F.coalesce(F.trim(_cell("Менеджер")), F.lit("")).alias("manager_name"),
+        F.coalesce(numbers.strip(_cell("Менеджер")), F.lit("")).alias("manager_name"),
         dates.parse_date_multi(either("Дата производства", "Дата производсвта")).alias("production_date"),
         F.map_concat(others, F.create_map(F.lit("LOT"), lot)).alias("row"),
     ).where(F.col("article") != "")
@@ -513,7 +513,7 @@ def file_costs(df: DataFrame) -> DataFrame:
     rows = df.withColumns(
         {
             "article": text.clean_article("article"),
-            "warehouse_name": F.coalesce(F.trim("warehouse_name"), F.lit("")),
+            "warehouse_name": F.coalesce(numbers.strip(F.col("warehouse_name")), F.lit("")),
             **{m: number(F.col(m)) for m in measures},
         }
     )
@@ -545,8 +545,8 @@ def placement_rows(df: DataFrame) -> DataFrame:
     return df.where(filled).withColumns(
         {
             "sku": numbers.parse_int_lenient_null(named(SKU_HEADERS)),
-            "offer_id": F.when(named(OFFER_HEADERS) != "", F.trim(named(OFFER_HEADERS))),
-            "product_name": F.when(named(NAME_HEADERS) != "", F.trim(named(NAME_HEADERS))),
+            "offer_id": F.when(named(OFFER_HEADERS) != "", numbers.strip(named(OFFER_HEADERS))),
+            "product_name": F.when(named(NAME_HEADERS) != "", numbers.strip(named(NAME_HEADERS))),
             "placement_cost": F.get(F.filter(costs, lambda c: c.isNotNull()), F.lit(0)),
         }
     )

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeloom.functions.numbers import strip
 from tradeloom.functions.text import norm_header
 from tradeloom.operators.skew import salted_join
 
@@ -62,7 +63,7 @@ def detect_header(
 def header_names(cells: Column) -> Column:
     """Trimmed names; a missing cell becomes ``ColumnN``."""
     return F.transform(
-        cells, lambda c, i: F.coalesce(F.trim(c), F.concat(F.lit("Column"), (i + 1).cast("string")))
+        cells, lambda c, i: F.coalesce(strip(c), F.concat(F.lit("Column"), (i + 1).cast("string")))
     )
 
 
@@ -103,14 +104,49 @@ def promote_fixed(
     return kept.where(F.col("row_number") < F.col("last_row")).drop("last_row")
 
 
-def select_sheet(cells: DataFrame, sheet: str) -> DataFrame:
-    return cells.where(F.col("sheet") == sheet)
+#: rows of a sheet that one group of the table join spans
+BAND = 10_000
+
+
+def table_rows(rows: DataFrame, tables: DataFrame) -> DataFrame:
+    """Rows of named tables: (file, sheet, table, row_number, min_row, cells), the header row first.
+
+    ``tables`` has one row for each rectangle: (file, sheet, table, min_row, max_row,
+    min_column, max_column), counted from 1. Rows and rectangles meet by equality on bands of
+    row numbers and then by range, so neither a long sheet nor a long table is one task's
+    work, and a rectangle is repeated once for each band that it touches. A cell beyond the
+    end of its row is null. Tables may overlap. A ``header`` that the rectangles carry is cut alike.
+    """
+    band = lambda c: F.floor((F.col(c) - 1) / BAND)
+    bands = tables.withColumn("band", F.explode(F.sequence(band("min_row"), band("max_row"))))
+    placed = rows.withColumn("band", band("row_number")).join(bands, ["file", "sheet", "band"])
+    inside = placed.where(F.col("row_number").between(F.col("min_row"), F.col("max_row")))
+    cut = lambda c: F.transform(F.sequence("min_column", "max_column"), lambda i: F.get(c, (i - 1).cast("int")))
+    arrays = [cut(c).alias(c) for c in ("cells", "header") if c in inside.columns]
+    return inside.select("file", "sheet", "table", "row_number", "min_row", *arrays)
+
+
+def read_named_tables(rows: DataFrame, tables: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Rows of named tables as maps from header to cell: (file, sheet, table, row_number, row).
+
+    The first row of a table holds its headers; rows whose cells are all empty are dropped.
+    ``names`` narrows to these tables.
+    """
+    tables = tables if names is None else tables.where(F.col("table").isin(*names))
+    tops = tables.withColumn("row_number", F.col("min_row"))
+    first = rows.join(tops, ["file", "sheet", "row_number"]).withColumn("header", F.col("cells"))
+    headed = first.select("file", "sheet", "table", "min_row", "max_row", "min_column", "max_column", "header")
+    inside = table_rows(rows, headed)
+    data = inside.where(F.col("row_number") > F.col("min_row")).withColumn("names", header_names(F.col("header")))
+    data = data.withColumn("row", row_map(F.col("names"), F.col("cells")))
+    filled = F.exists(F.map_values("row"), lambda v: v.isNotNull() & (v != ""))
+    return data.where(filled).select("file", "sheet", "table", "row_number", "row")
 
 
 def is_spec_sheet(sheet: Column) -> Column:
     """Sheet names of supply order specifications."""
     name = F.regexp_replace(norm_header(sheet, fold_yo=True), r"[_\-\s]+", " ")
-    return F.trim(name).contains(SPEC_SHEET_MARKER) | F.trim(name).isin(*SPEC_SHEETS)
+    return strip(name).contains(SPEC_SHEET_MARKER) | strip(name).isin(*SPEC_SHEETS)
 
 
 def read_spec_sheets(rows: DataFrame) -> DataFrame:
@@ -141,7 +177,7 @@ def two_level_columns(rows: DataFrame, header_row: int = 4, first_column: int =
     def cells_of(number: int, name: str) -> DataFrame:
         return rows.where(F.col("row_number") == number).select(
             "file", F.posexplode("cells").alias("at", "raw")
-        ).select("file", "at", F.trim(F.regexp_replace(F.coalesce("raw", F.lit("")), "\n", " ")).alias(name))
+        ).select("file", "at", strip(F.regexp_replace(F.coalesce("raw", F.lit("")), "\n", " ")).alias(name))
 
     along = Window.partitionBy("file").orderBy("at")
     upper = cells_of(header_row, "top").withColumn(
@@ -167,7 +203,7 @@ def unpivot_two_level(rows: DataFrame, header_row: int = 4) -> DataFrame:
     # bounded by the width of one header row
     per_file = triples.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("at", "warehouse_name"))).alias("triples"))
     data = rows.where(F.col("row_number") > header_row + 1)
-    cell = lambda at: F.trim(F.coalesce(F.get("cells", at), F.lit("")))
+    cell = lambda at: strip(F.coalesce(F.get("cells", at), F.lit("")))
     data = data.where(cell(F.lit(2)) != "")
     long = salted_join(data, per_file, ["file"], F.col("row_number"), how="inner").select(
         "file", "row_number", "cells", F.explode("triples").alias("t")
