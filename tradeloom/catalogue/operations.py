@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeloom.bindings import load, status_log, text
 from tradeloom.catalogue import query
-from tradeloom.operators import quality
+from tradeloom.operators import quality, runs
 from tradeloom.plans import ops as plans
+from tradeloom.session import scratch_path
+from tradeloom.sources.delimited import as_latin1
+from tradeloom.sources.tables import read_runs
 from tradeloom.streaming import incremental
 
 # Event types as names of jobs.
@@ -246,3 +252,64 @@ def source_snapshots(spark, sf_dir):
         F.col("source").alias("source_name"), F.col("lang").alias("table_name"), F.sha2("text", 256).alias("file_sha256")
     )
     return quality.source_snapshots(rows)
+
+
+RUN_STATE = T.StructType(
+    [T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType()), T.StructField("status", T.StringType()), T.StructField("at", T.TimestampType())]
+)
+
+
+@query(
+    "run_log_runs",
+    """
+    WITH p AS (SELECT * FROM (VALUES ('1', TIMESTAMP '2000-01-01', TIMESTAMP '2024-01-11'), ('2', TIMESTAMP '2024-01-11', TIMESTAMP '2024-01-21'),
+                                     ('3', TIMESTAMP '2024-01-21', TIMESTAMP '2100-01-01'), ('4', TIMESTAMP '2100-01-01', TIMESTAMP '2100-01-01')) v(run, since, until)),
+    c AS (SELECT run, MAX(until) AS until, MAX(ts) AS cursor_old FROM p LEFT JOIN events ON ts < since GROUP BY run),
+    w AS (SELECT c.run, e.* FROM c JOIN events e ON e.ts < c.until AND (c.cursor_old IS NULL OR e.ts >= c.cursor_old - INTERVAL 180 MINUTE)),
+    n AS (SELECT run, user_id, ARG_MAX(event_type, ts) AS status FROM w GROUP BY 1, 2),
+    o AS (SELECT p.run, e.user_id, ARG_MAX(e.event_type, e.ts) AS status FROM p JOIN events e ON e.ts < p.since GROUP BY 1, 2),
+    k AS (SELECT run, COUNT(*) AS deduped, COUNT(*) FILTER (WHERE o.status IS DISTINCT FROM n.status) AS raw_new FROM n LEFT JOIN o USING (run, user_id) GROUP BY 1),
+    a AS (SELECT run, COUNT(*) AS api_rows, MAX(ts) AS cursor_new FROM w GROUP BY 1)
+    SELECT 'events-' || run AS run_id, 'ok' AS status, api_rows::BIGINT AS api_rows, raw_new::BIGINT AS raw_new, deduped::BIGINT AS norm_upserted,
+           (deduped - raw_new)::BIGINT AS duplicates, ((deduped - raw_new) * 20000 + api_rows) // (api_rows * 2) / 100 AS dup_pct,
+           strftime(cursor_old, '%Y-%m-%d %H:%M:%S') AS cursor_old, strftime(cursor_old - INTERVAL 180 MINUTE, '%Y-%m-%d %H:%M:%S') AS cursor_used,
+           strftime(cursor_new, '%Y-%m-%d %H:%M:%S') AS cursor_new
+    FROM c JOIN k USING (run) JOIN a USING (run)
+    """,
+)
+def run_log_runs(spark, sf_dir):
+    """Four runs over the events landed so far, each reading 180 minutes again, with the log rows they leave."""
+    events = load(spark, sf_dir, "events").select("user_id", "event_id", F.col("event_type").alias("status"), F.col("ts").cast("timestamp").alias("at"))
+    paths = tuple(scratch_path(spark, name) for name in ("run-state", "run-versions", "run-log"))
+    for number, until in enumerate(("2024-01-11", "2024-01-21", "2100-01-01", "2100-01-01"), start=1):
+        landed = events.where(F.col("at") < F.lit(until).cast("timestamp"))
+        runs.logged_upsert(
+            spark, lambda since, landed=landed: landed if since is None else landed.where(F.col("at") >= F.lit(since)), paths, ["user_id"], "at",
+            ["event_id"], ["status"], RUN_STATE, "events", str(number), timedelta(minutes=incremental.FIXED_LOOKBACK_MINUTES), buckets=4,
+        )
+    found = read_runs(spark, paths[2], runs.RUN_ROW)
+    cursors = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("cursor_old", "cursor_used", "cursor_new")]
+    return found.select("run_id", "status", "api_rows", "raw_new", "norm_upserted", "duplicates", "dup_pct", *cursors)
+
+
+@query(
+    "file_profile_shapes",
+    """
+    WITH f AS (SELECT CASE lang WHEN 'en' THEN 'tab' WHEN 'de' THEN 'semicolon' ELSE 'comma' END AS folder, * FROM documents)
+    SELECT folder, CASE folder WHEN 'tab' THEN 'cp1251' ELSE 'utf-8-sig' END AS encoding,
+           CASE folder WHEN 'tab' THEN chr(9) WHEN 'semicolon' THEN ';' ELSE ',' END AS delimiter, COUNT(*)::BIGINT AS rows, 4 AS columns FROM f GROUP BY 1
+    """,
+)
+def file_profile_shapes(spark, sf_dir):
+    """Documents exported in three shapes, whose encoding, delimiter and size are found again."""
+    documents = load(spark, sf_dir, "documents")
+    body = F.concat(F.lit("слово "), F.regexp_replace("text", "[^\\x20-\\x7E]", " "))
+    rows = documents.select("lang", text("doc_id").alias("id"), "source", body.alias("body"), F.concat_ws(" ", "lang", "source").alias("place"))
+    path = scratch_path(spark, "shapes")
+    shapes = (("tab", rows.where("lang = 'en'").withColumn("body", as_latin1(F.col("body"))), "\t", "iso-8859-1"),
+              ("semicolon", rows.where("lang = 'de'"), ";", "utf-8"), ("comma", rows.where("lang not in ('en', 'de')"), ",", "utf-8"))
+    for folder, part, sep, encoding in shapes:
+        part.drop("lang").write.option("sep", sep).option("quoteAll", True).option("escape", '"').option("encoding", encoding).csv(f"{path}/{folder}")
+    found = quality.profile_files(spark, [f"{path}/{folder}" for folder, *_ in shapes])
+    folder = F.element_at(F.split("file", "/"), -2)
+    return found.groupBy(folder.alias("folder"), "encoding", "delimiter").agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"))

@@ -9,6 +9,7 @@ from tradeloom.catalogue import query
 from tradeloom.functions.labels import status_label, status_tone
 from tradeloom.operators.ordered import running_total
 from tradeloom.plans import orders as plans
+from tradeloom.session import scratch_path
 
 
 def _all_days():
@@ -177,6 +178,41 @@ def order_feed_page(spark, sf_dir):
     )
 
 
+SQL_GROUPS = """
+    lines AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, o_orderdate,
+                     COALESCE(CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey::VARCHAR END, l_orderkey::VARCHAR) AS order_group_key
+              FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey),
+    grouped AS (SELECT order_group_key, MAX(o_orderdate) AS group_date FROM lines GROUP BY 1)
+"""
+
+
+@query(
+    "order_feed_seek",
+    f"""
+    WITH {SQL_GROUPS},
+    page AS (SELECT * FROM grouped ORDER BY group_date DESC NULLS LAST, order_group_key LIMIT 60 OFFSET (SELECT (COUNT(*) * 3 // 4)::BIGINT FROM grouped)),
+    ends AS (SELECT * FROM page ORDER BY group_date, order_group_key DESC LIMIT 1),
+    next AS (SELECT g.* FROM grouped g, ends e WHERE g.group_date < e.group_date OR (g.group_date = e.group_date AND g.order_group_key > e.order_group_key)
+             ORDER BY g.group_date DESC NULLS LAST, g.order_group_key LIMIT 20)
+    SELECT 'offset' AS way, order_group_key, l_orderkey AS order_key, l_linenumber, l_partkey, l_extendedprice FROM lines JOIN page USING (order_group_key)
+    UNION ALL SELECT 'after', order_group_key, l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lines JOIN next USING (order_group_key)
+    """,
+)
+def order_feed_seek(spark, sf_dir):
+    """A page three quarters down the feed, found by day, and the page after its last group."""
+    lines = order_lines(spark, sf_dir).withColumns(
+        {"order_group_key": F.coalesce("order_number", "posting_number"), "sort_date": F.coalesce("in_process_at", "created_at")}
+    )
+    index = scratch_path(spark, "feed-index")
+    plans.write_feed_index(lines, index)
+    groups = spark.read.parquet(index).count()
+    page = plans.seek_groups(spark, index, limit=60, offset=groups * 3 // 4)
+    last = page.orderBy("group_date", F.col("order_group_key").desc()).first()
+    after = plans.groups_after(spark, index, F.lit(last.group_date).cast("timestamp_ntz"), last.order_group_key, limit=20)
+    both = [plans.page_lines(lines, p, ("order_key",)).withColumn("way", F.lit(way)) for way, p in (("offset", page), ("after", after))]
+    return both[0].unionByName(both[1]).select("way", "order_group_key", "order_key", "l_linenumber", "l_partkey", "l_extendedprice")
+
+
 def _cards(spark, sf_dir):
     return load(spark, sf_dir, "part").select(
         text("p_partkey").alias("article"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.audit import (
@@ -44,7 +45,13 @@ def run_log_row(
     counts: DataFrame, job_name: str, run_id: str, status: str, started_at: Column, finished_at: Column,
     error: str | None = None,
 ) -> DataFrame:
-    """The run-log row of one run from its one-row counters."""
+    """The run-log row of one run from its one-row counters.
+
+    Cursors that the counters lack are null.
+    """
+    cursors = [
+        (F.col(c) if c in counts.columns else F.lit(None)).cast("timestamp").alias(c) for c in ("cursor_old", "cursor_used", "cursor_new")
+    ]
     duplicates = F.col("deduped") - F.col("raw_new")
     share = F.when(
         F.col("api_rows") > 0,
@@ -54,7 +61,7 @@ def run_log_row(
         F.lit(job_name).alias("job_name"), F.lit(run_id).alias("run_id"),
         started_at.alias("started_at"), finished_at.alias("finished_at"), F.lit(status).alias("status"),
         "api_rows", "raw_new", "norm_upserted", duplicates.alias("duplicates"),
-        share.cast("double").alias("dup_pct"), F.lit(error).cast("string").alias("error"),
+        share.cast("double").alias("dup_pct"), *cursors, F.lit(error).cast("string").alias("error"),
     )
 
 
@@ -130,6 +137,65 @@ def file_profile(cells: DataFrame, sample_rows: int = 5) -> tuple[DataFrame, Dat
     return size, sample
 
 
+DELIMITERS = (",", ";", "\t")
+
+
+def file_shapes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, encoding, delimiter) of text exports.
+
+    A file is ``utf-8-sig`` (which reads plain UTF-8 too) if all its lines are valid UTF-8,
+    else ``cp1251``; no character goes over a line end, so lines are tested apart in any
+    number of tasks. The delimiter is the one whose number outside quotes is the same, and
+    not 0, in most lines; of equally steady ones the more frequent, then the first of
+    ``,``, ``;`` and tab. Null if none occurs.
+    """
+    raw = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("raw"))
+    latin = F.decode("raw", "ISO-8859-1")
+    outside = F.array_join(F.filter(F.split(latin, '"'), lambda _, i: i % 2 == 0), "")
+    signs = F.array(*[
+        F.struct(F.lit(i).alias("rank"), (F.length(outside) - F.length(F.translate(outside, d, ""))).alias("n")) for i, d in enumerate(DELIMITERS)
+    ])
+    lines = raw.select("file", F.is_valid_utf8(F.col("raw").cast("string")).alias("valid"), F.explode(signs).alias("s"))
+    counts = lines.groupBy("file", "s.rank", "s.n").agg(F.count(F.lit(1)).alias("lines"), F.bool_and("valid").alias("valid"))
+    usual = F.max(F.when(F.col("n") > 0, F.struct(F.col("lines"), F.col("n"), -F.col("rank")))).alias("usual")
+    found = counts.groupBy("file").agg(F.bool_and("valid").alias("valid"), usual)
+    names = F.array(*[F.lit(d) for d in DELIMITERS])
+    return found.select(
+        "file", F.when(F.col("valid"), "utf-8-sig").otherwise("cp1251").alias("encoding"), F.get(names, -F.col("usual.col3")).alias("delimiter")
+    )
+
+
+def profile_files(spark: SparkSession, path: str | list[str], sample_rows: int = 5) -> DataFrame:
+    """(file, encoding, delimiter, rows, columns, headers, sample_rows) of text exports, header and sample masked.
+
+    The delimiters, one row a file, are looked up first; files of one delimiter are read together.
+    """
+    from tradeloom.sources.delimited import read_delimited
+
+    shapes = file_shapes(spark, path).cache()
+    by_delimiter: dict[str, list[str]] = {}
+    for row in shapes.select("file", "delimiter").collect():
+        by_delimiter.setdefault(row.delimiter or DELIMITERS[0], []).append(unquote(row.file))
+    profiles = None
+    for delimiter, files in by_delimiter.items():
+        rows = read_delimited(spark, files, sep=delimiter)
+        masked = F.transform("cells", redact_cell)
+        head = F.when(F.col("row_number") <= sample_rows + 1, F.struct("row_number", masked.alias("cells")))
+        part = rows.groupBy("file").agg(
+            F.max("row_number").alias("rows"), F.max(F.when(F.col("row_number") == 1, F.size("cells"))).alias("columns"),
+            F.array_sort(F.collect_list(head)).alias("head"),  # at most sample_rows + 1
+        )
+        profiles = part if profiles is None else profiles.unionByName(part)
+    if profiles is None:
+        profiles = shapes.select("file", F.lit(0).cast("bigint").alias("rows"), F.lit(0).alias("columns")).withColumn(
+            "head", F.array().cast("array<struct<row_number:bigint,cells:array<string>>>")
+        )
+    return shapes.join(profiles, "file").select(
+        "file", "encoding", "delimiter", "rows", "columns", F.get("head", F.lit(0))["cells"].alias("headers"),
+        F.transform(F.slice("head", 2, sample_rows), lambda h: h["cells"]).alias("sample_rows"),
+    )
+
+
 def top_values(df: DataFrame, by: Sequence[str], value: str, k: int = 10) -> DataFrame:
     """The k most frequent values per group, ties by value."""
     from pyspark.sql import Window

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.dates import local_date, on_local_days
@@ -183,6 +183,55 @@ def feed_page(lines: DataFrame, limit: int = 50, offset: int = 0, ties: Sequence
     return on_page.orderBy(F.col("sort_date").desc_nulls_last(), "order_group_key", *ties)
 
 
+def write_feed_index(lines: DataFrame, path: str, unit: str = "yyyy-MM") -> None:
+    """Order groups with their newest date, a folder for each calendar unit, for :func:`seek_groups`.
+
+    ``unit`` is a date pattern whose text sorts like time; a finer one has smaller folders and more of them.
+    """
+    groups = lines.groupBy("order_group_key").agg(F.max("sort_date").alias("group_date"))
+    groups.withColumn("unit", _unit(F.col("group_date"), unit)).repartition("unit").write.partitionBy("unit").parquet(path)
+
+
+def _unit(date: Column, unit: str) -> Column:
+    return F.concat(F.lit("t"), F.coalesce(F.date_format(date, unit), F.lit("")))  # a group without a date comes last
+
+
+def _feed_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("order_group_key string, group_date timestamp_ntz, unit string").parquet(path)
+
+
+def seek_groups(spark: SparkSession, index: str, limit: int = 50, offset: int = 0) -> DataFrame:
+    """The groups of a page, however deep: only the units that hold the page are read and sorted.
+
+    Groups are counted by unit, one row a unit; a running sum names the units the page lies
+    in, at most as many as it has groups.
+    """
+    limit, offset = _clamp(limit, 1, 100), max(0, offset)
+    groups = _feed_index(spark, index)
+    down = Window.partitionBy(F.lit(0)).orderBy(F.col("unit").desc())
+    units = groups.groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
+    units = units.withColumn("upto", F.sum("n").over(down.rowsBetween(Window.unboundedPreceding, 0)))
+    held = units.where((F.col("upto") > offset) & (F.col("upto") - F.col("n") < offset + limit)).collect()
+    skip = offset - min((u.upto - u.n for u in held), default=0)
+    page = groups.where(F.col("unit").isin([u.unit for u in held]))
+    return page.orderBy(F.col("group_date").desc_nulls_last(), "order_group_key").offset(skip).limit(limit).drop("unit")
+
+
+def groups_after(
+    spark: SparkSession, index: str, group_date: Column, order_group_key: str, limit: int = 50, unit: str = "yyyy-MM"
+) -> DataFrame:
+    """The groups that follow the last one of a page, by its date and key instead of a number of groups."""
+    later = (F.col("group_date") < group_date) | ((F.col("group_date") == group_date) & (F.col("order_group_key") > order_group_key))
+    rest = _feed_index(spark, index).where((F.col("unit") <= _unit(group_date, unit)) & (later | F.col("group_date").isNull()))
+    return rest.orderBy(F.col("group_date").desc_nulls_last(), "order_group_key").limit(_clamp(limit, 1, 100)).drop("unit")
+
+
+def page_lines(lines: DataFrame, page: DataFrame, ties: Sequence[str] = ("order_key",)) -> DataFrame:
+    """All lines of the groups of a page (at most 100), in feed order."""
+    on_page = lines.join(F.broadcast(page), "order_group_key")
+    return on_page.orderBy(F.col("sort_date").desc_nulls_last(), "order_group_key", *ties)
+
+
 def decorate(lines: DataFrame, marketplace: str) -> DataFrame:
     """Status label and ordered images; one marketplace has derived image addresses."""
     images = ordered_image_urls("card.primary_image", F.col("card.images"))

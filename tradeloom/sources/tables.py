@@ -11,7 +11,7 @@ A log has a folder for each run, committed in the same way. There is one writer
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -223,15 +223,19 @@ def versioned_upsert(
     schema: T.StructType,
     run_id: str,
     buckets: int = 64,
+    mark: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Append the run's versions, then upsert the current state.
 
+    ``mark`` is given the versions before they are written, to observe them.
+
     The log is written before the state. If the job dies in between, the repeated run
     finds its complete log and keeps it, because the state may already hold the new rows.
     """
     batch, state = _touched(state_path, incoming, keys, schema, buckets)
     if not has_run(incoming.sparkSession, log_path, run_id):
-        write_run(keyed.append_versions(state, batch, keys, compare).drop(BUCKET), log_path, run_id)
+        versions = keyed.append_versions(state, batch, keys, compare).drop(BUCKET)
+        write_run(versions if mark is None else mark(versions), log_path, run_id)
     _merge(state_path, batch, state, keys, compare)
 
 
