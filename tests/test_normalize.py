@@ -40,6 +40,19 @@ def test_order_record(spark):
     assert row.discount_percent == 10 and row.cancel_date == date(2026, 7, 22) and row.t - row.s == 300 and row.warehouse_name is None
 
 
+def test_whole_numbers_and_flags_by_json_type(spark):
+    values = [12.0, 25.5, -3.99, "25.5", " 12\u00a0", True, "true", "", None, 10**30, [1], {"a": 1}, "1e3", 1e3]
+    rows = normalize.wb_orders(records(spark, *[{"srid": str(i), "nmId": v} for i, v in enumerate(values)])).collect()
+    assert {int(r.srid): r.nm_id for r in rows} == dict(enumerate([12, 25, -3, None, 12, 1, None, None, None, None, None, None, None, 1000]))
+    values = [2, 0, 0.0, 0.5, "2", "1", " Да ", True, False, None, "", [], [0], {}, {"a": 0}]
+    rows = normalize.product_list(records(spark, *[{"product_id": i + 1, "archived": v} for i, v in enumerate(values)])).collect()
+    assert {r.product_id - 1: r.archived for r in rows} == dict(enumerate(
+        [True, False, False, True, False, True, True, True, False, False, False, False, True, False, True]
+    ))
+    cards = normalize.wb_cards(records(spark, {"nmID": 0, "nmId": 7.5}, {"nm_id": "9"}, {"nmID": "", "nmId": None, "nm_id": 11.0}, {"nmID": 5, "nmId": 6}))
+    assert sorted(r.nm_id for r in cards.collect()) == [5, 7, 9, 11]
+
+
 def test_feed_record(spark):
     row = first(
         normalize.wb_feed_orders(

@@ -37,6 +37,48 @@ def seconds(column: str) -> Column:
     return F.unix_seconds(F.col(column)).alias(column)
 
 
+@query(
+    "normalize_json_types",
+    """
+    WITH l AS (SELECT l_orderkey || '-' || l_linenumber AS srid, * FROM lineitem)
+    SELECT 'order' AS kind, srid, trunc(l_extendedprice)::BIGINT AS a, NULL::BIGINT AS b, trunc(l_quantity)::BIGINT AS c, NULL::BOOLEAN AS x,
+           CASE WHEN l_returnflag = 'R' THEN 1 END::BIGINT AS d FROM l
+    UNION ALL SELECT 'posting', srid, NULL, NULL, (l_linenumber > 1)::BIGINT, FALSE, (l_returnflag = 'A')::BIGINT FROM l
+    UNION ALL SELECT 'product', srid, CASE WHEN l_linenumber > 1 THEN l_linenumber - 1 ELSE l_partkey END, NULL, NULL, l_linenumber % 3 = 1, NULL FROM l
+    """,
+)
+def normalize_json_types(spark, sf_dir):
+    """Whole numbers and flags as JSON numbers with a fraction, texts, booleans and containers."""
+    lines = load_spread(spark, sf_dir, "lineitem").withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    order = record(
+        srid=F.col("key"), nmId=F.col("l_extendedprice"), incomeID=F.concat("l_quantity", F.lit(".5")), discountPercent=F.col("l_quantity") + 0.25,
+        spp=F.when(F.col("l_returnflag") == "R", F.lit(True)),
+    )
+    posting = record(
+        posting_number=F.col("key"), analytics_data=F.struct((F.col("l_linenumber") - 1).alias("is_legal"), F.lit("2").alias("is_premium")),
+        external_order=F.struct(F.when(F.col("l_returnflag") == "A", F.array(F.lit(0))).otherwise(F.array().cast("array<int>")).alias("is_external")),
+    )
+    product = record(
+        id=F.col("l_linenumber") - 1, product_id=text("l_partkey"), offer_id=F.col("key"),
+        visibility_details=F.struct(F.when(F.col("l_linenumber") % 3 == 1, " ДА\u2003").when(F.col("l_linenumber") % 3 == 2, "0.0").alias("has_price")),
+    )
+    none = F.lit(None)
+    parts = [
+        normalize.wb_orders(lines.select(order.alias("payload"))).select(
+            F.lit("order").alias("kind"), "srid", F.col("nm_id").alias("a"), F.col("income_id").alias("b"), F.col("discount_percent").alias("c"),
+            none.cast("boolean").alias("x"), F.col("spp").alias("d"),
+        ),
+        normalize.postings(lines.select(posting.alias("payload"))).select(
+            F.lit("posting"), "posting_number", none.cast("bigint"), none.cast("bigint"), whole("analytics_is_legal"), "analytics_is_premium",
+            whole("external_order_is_external"),
+        ),
+        normalize.product_info(lines.select(product.alias("payload"))).select(
+            F.lit("product"), "offer_id", "product_id", none.cast("bigint"), none.cast("bigint"), "has_price", none.cast("bigint"),
+        ),
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @query(
     "normalize_wb_order",
     """

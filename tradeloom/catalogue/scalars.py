@@ -105,6 +105,29 @@ def dates_multi(spark, sf_dir):
     )
 
 
+@query(
+    "white_space_kinds",
+    """
+    SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_partkey::VARCHAR AS article, l_partkey AS number, l_returnflag = 'R' AS flag,
+           'x ' || l_partkey AS header, l_partkey::VARCHAR AS cell, 'x ' || l_partkey || ' y' AS trimmed FROM lineitem
+    """,
+)
+def white_space_kinds(spark, sf_dir):
+    """Line items as text with every kind of white space at both ends."""
+    kinds = F.array(*[F.lit(c) for c in numbers.WHITE_SPACE])
+    at = F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey")
+    first, last = (F.get(kinds, F.pmod(F.shiftright(at, n), F.lit(len(numbers.WHITE_SPACE))).cast("int")) for n in (0, 20))
+    around = lambda *parts: F.concat(first, *parts, last, first)
+    part = text("l_partkey")
+    return load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", texts.clean_article(around(F.lit("00"), part)).alias("article"),
+        numbers.parse_int_strict(around(part)).alias("number"),
+        texts.parse_bool_false(around(F.when(F.col("l_returnflag") == "R", "Yes").otherwise("no"))).alias("flag"),
+        texts.norm_header(around(F.lit("X\u00a0"), part), fold_yo=True).alias("header"), texts.normalize_cell(around(part, F.lit(".0"))).alias("cell"),
+        texts.blank_to_null(around(F.lit("x "), part, F.lit(" y"))).alias("trimmed"),
+    )
+
+
 @query(
     "cursor_times",
     """

@@ -35,6 +35,16 @@ def parse_int_strict(value: Column | str) -> Column:
     return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
 
 
+def json_integer(value: Column) -> Column:
+    """A JSON value (VARIANT) to BIGINT: numbers lose their fraction, text must be a whole number, true is 1."""
+    return F.coalesce(F.try_variant_get(value, "$", "bigint"), parse_int_strict(F.try_variant_get(value, "$", "string")))
+
+
+def json_number(value: Column) -> Column:
+    """The number of a JSON number, null for every other kind of JSON value."""
+    return F.when(F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(value, "$", "double"))
+
+
 def parse_int_lenient_null(value: Column | str) -> Column:
     """Number text truncated towards zero; bad text is null."""
     text = clean_number_text(value)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tradeloom.functions.numbers import NBSP, PLAIN_NUMBER_TEXT, as_column, strip
+from tradeloom.functions.numbers import NBSP, PLAIN_NUMBER_TEXT, as_column, json_number, strip
 
 # Cyrillic letters that look like Latin ones in lot codes.
 LOT_CYRILLIC = "АВЕКМНОРСТУХавекмнорстух"
@@ -32,6 +32,28 @@ def parse_bool_false(value: Column | str) -> Column:
     return F.coalesce(text.isin(*TRUE_WORDS, "да"), F.lit(False))
 
 
+def json_flag(value: Column) -> Column:
+    """A JSON value (VARIANT) as a flag: numbers but 0 and filled containers are true, text is read as words."""
+    raw = F.try_variant_get(value, "$", "string")
+    filled = F.schema_of_variant(value).rlike("^(ARRAY|OBJECT)") & ~raw.isin("[]", "{}")
+    return F.coalesce(json_number(value) != 0, filled | parse_bool_false(raw), F.lit(False))
+
+
+def counts_as_true(value: Column) -> Column:
+    """Whether a JSON value (VARIANT) is there and is neither empty text, 0 nor false."""
+    raw = F.try_variant_get(value, "$", "string")
+    no = F.when(F.schema_of_variant(value) == "BOOLEAN", raw == "false").otherwise((raw == "") | F.coalesce(json_number(value) == 0, F.lit(False)))
+    return raw.isNotNull() & ~no
+
+
+def first_true(*values: Column) -> Column:
+    """First JSON value (VARIANT) that counts as true; if there is none, the first that is not null."""
+    chosen = F.when(counts_as_true(values[0]), values[0])
+    for value in values[1:]:
+        chosen = chosen.when(counts_as_true(value), value)
+    return chosen.otherwise(F.coalesce(*values))
+
+
 def blank_to_null(value: Column | str) -> Column:
     text = strip(as_column(value).cast("string"))
     return F.when(text != "", text)

@@ -1,8 +1,9 @@
 """JSON records to typed rows.
 
-A record arrives as JSON text in ``payload``. It is read once with an all-text
-schema, because the sources mix text and numbers freely, and every field is then
-typed by its own parser.
+A record arrives as JSON text in ``payload``. It is read once, and every field is then
+typed by its own parser, because the sources mix text and numbers freely. Fields are read
+as text but for whole numbers and flags: what these mean depends on the JSON type (the
+number 25.5 is 25 and the number 2 is true, the texts are not), so they are read as VARIANT.
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ Parser = Callable[[Column], Column]
 Field = tuple[str, str, Parser]
 
 keep: Parser = lambda c: c
-integer = numbers.parse_int_strict
-integer_or_0: Parser = lambda c: F.coalesce(numbers.parse_int_strict(c), F.lit(0).cast("bigint"))
+integer = numbers.json_integer
+integer_or_0: Parser = lambda c: F.coalesce(numbers.json_integer(c), F.lit(0).cast("bigint"))
 money = partial(numbers.parse_number, precision=14, scale=2)
 money_or_0 = partial(numbers.parse_number, precision=14, scale=2, default="0")
 decimal4 = partial(numbers.parse_number, precision=14, scale=4)
 flag_or_null = text.parse_bool_null
-flag = text.parse_bool_false
+flag = text.json_flag
 when = dates.parse_ts
 when_moscow = partial(dates.parse_ts, naive_offset="+03:00")
 day = dates.parse_date_iso
@@ -35,17 +36,22 @@ trimmed = text.blank_to_null
 price = numbers.price_amount
 
 
-def _schema(paths: list[str], arrays: tuple[str, ...] = ()) -> T.StructType:
-    """Struct holding every dotted path as text, the ``arrays`` among them as arrays of JSON text."""
+#: parsers that need the JSON type
+TYPED = (integer, integer_or_0, flag)
+
+
+def _schema(fields: list[Field], texts: tuple[str, ...] = (), arrays: tuple[str, ...] = (), typed: tuple[str, ...] = ()) -> T.StructType:
+    """Struct holding the dotted path of every field, and ``texts``, ``arrays`` of JSON text and ``typed`` values."""
+    typed = (*typed, *[path for _, path, parse in fields if parse in TYPED])
     tree: dict = {}
-    for path in (*paths, *arrays):
+    for path in (*[path for _, path, _ in fields], *texts, *arrays, *typed):
         node = tree
         for part in path.split("."):
             node = node.setdefault(part, {})
 
     def build(node: dict, prefix: str) -> T.DataType:
         if not node:
-            return T.ArrayType(T.StringType()) if prefix in arrays else T.StringType()
+            return T.VariantType() if prefix in typed else T.ArrayType(T.StringType()) if prefix in arrays else T.StringType()
         return T.StructType(
             [T.StructField(name, build(child, f"{prefix}.{name}" if prefix else name)) for name, child in node.items()]
         )
@@ -74,13 +80,14 @@ def apply_fields(
     arrays: tuple[str, ...] = (),
     derived: dict[str, Column] | None = None,
     texts: tuple[str, ...] = (),
+    values: tuple[str, ...] = (),
 ) -> DataFrame:
     """Typed columns of a record, read in one pass; rows lacking a required column are dropped.
 
     ``derived`` columns are built on the record ``__r``, which also holds the paths in
-    ``arrays`` and ``texts``.
+    ``arrays``, ``texts`` and, as VARIANT, ``values``.
     """
-    schema = _schema([path for _, path, _ in fields] + list(texts), arrays)
+    schema = _schema(fields, texts, arrays, values)
     record = with_record(df, schema)
     typed = {name: parse(F.col(f"__r.{path}")) for name, path, parse in fields}
     typed |= derived or {}
@@ -265,8 +272,8 @@ def order_items(df: DataFrame) -> DataFrame:
             "financial_product_payload": F.when(paired.startswith("{"), paired).otherwise(empty),
         }
     ).drop("__products", "__finance", "__pos", "__product")
-    product = _schema([p for _, p, _ in ORDER_PRODUCT] + ["offer_id", "price", "currency_code"], ("digital_codes",))
-    finance = _schema([p for _, p, _ in ORDER_FINANCE], ("actions",))
+    product = _schema(ORDER_PRODUCT, ("offer_id", "price", "currency_code"), ("digital_codes",))
+    finance = _schema(ORDER_FINANCE, (), ("actions",))
     lines = lines.withColumns(
         {"__p": F.from_json("product_payload", product), "__f": F.from_json("financial_product_payload", finance)}
     )
@@ -305,7 +312,7 @@ def _product_fields() -> dict[str, Column]:
     raw_image = F.col("__r.primary_image")
     first_image = F.when(raw_image.startswith("["), F.get(F.from_json(raw_image, "array<string>"), F.lit(0)))
     return {
-        "product_id": integer(F.coalesce(some_text(F.col("__r.id")), F.col("__r.product_id"))),
+        "product_id": integer(text.first_true(F.col("__r.id"), F.col("__r.product_id"))),
         "primary_image": some_text(F.coalesce(first_image, F.when(~raw_image.startswith("["), raw_image))),
         "images_count": F.size(elements("images")),
         "barcodes_count": F.size(elements("barcodes")),
@@ -313,12 +320,12 @@ def _product_fields() -> dict[str, Column]:
     }
 
 
-PRODUCT_TEXTS = ("id", "product_id", "primary_image")
+PRODUCT_TEXTS, PRODUCT_VALUES = ("primary_image",), ("id", "product_id")
 
 
 def product_info(df: DataFrame) -> DataFrame:
     """Product details; the id is ``id``, else ``product_id``."""
-    return apply_fields(df, PRODUCT_INFO_ITEM, ["product_id"], PRODUCT_ARRAYS, _product_fields(), PRODUCT_TEXTS)
+    return apply_fields(df, PRODUCT_INFO_ITEM, ["product_id"], PRODUCT_ARRAYS, _product_fields(), PRODUCT_TEXTS, PRODUCT_VALUES)
 
 
 def cluster_stocks(df: DataFrame) -> DataFrame:
@@ -328,7 +335,7 @@ def cluster_stocks(df: DataFrame) -> DataFrame:
     return rows.withColumn("in_way_to_warehouse_count", in_way)
 
 
-AD_METRICS = "nmId string, sum string, views string, clicks string, atbs string, orders string, shks string, sum_price string"
+AD_METRICS = "nmId variant, sum string, views variant, clicks variant, atbs variant, orders variant, shks variant, sum_price string"
 AD_DAYS = (
     f"array<struct<date string, apps array<struct<nm array<struct<{AD_METRICS}>>, nms array<struct<{AD_METRICS}>>>>>>"
 )
@@ -336,7 +343,7 @@ AD_DAYS = (
 
 def ad_statistics(df: DataFrame) -> DataFrame:
     """Campaign statistics flattened to one row per (advert, day, app, item)."""
-    record = with_record(df, f"struct<advertId string, days {AD_DAYS}>")
+    record = with_record(df, f"struct<advertId variant, days {AD_DAYS}>")
     record = record.select(integer(F.col("__r.advertId")).alias("advert_id"), F.col("__r.days").alias("days"))
     record = record.where(F.col("advert_id").isNotNull() & (F.col("advert_id") != 0))
     day_rows = record.select("advert_id", F.explode("days").alias("d"))
@@ -357,8 +364,8 @@ def ad_statistics(df: DataFrame) -> DataFrame:
 
 
 CARD_SCHEMA = (
-    "struct<nmID string, nm_id string, vendorCode string, vendor_code string, title string, name string, "
-    "brand string, imtID string, subjectID string, subjectName string, "
+    "struct<nmID variant, nm_id variant, vendorCode string, vendor_code string, title string, name string, "
+    "brand string, imtID variant, subjectID variant, subjectName string, "
     "photos array<struct<big string, c516x688 string, c246x328 string, tm string, square string>>, sizes array<string>>"
 )
 
@@ -370,19 +377,24 @@ def wb_cards(df: DataFrame) -> DataFrame:
         return F.coalesce(*[some_text(F.col(f"__r.{n}")) for n in names])
 
     def other_case(name: str) -> Column:
-        return some_text(F.get_json_object("payload", f"$.{name}"))
+        return F.try_variant_get(F.try_parse_json("payload"), f"$.{name}", "variant")
+
+    def number(name: str, *more: Column) -> Column:
+        """The record is read anew, for a name that differs in case only, where the value is missing."""
+        own = F.col(f"__r.{name}")
+        return F.when(text.counts_as_true(own), integer(own)).otherwise(integer(text.first_true(*more, own)))
 
     photos = F.coalesce("__r.photos", F.array().cast("array<struct<big string, c516x688 string, c246x328 string, tm string, square string>>"))
     rows = with_record(df, CARD_SCHEMA).withColumns(
         {
-            "nm_id": integer(F.coalesce(either("nmID"), other_case("nmId"), either("nm_id"))),
+            "nm_id": number("nmID", other_case("nmId"), F.col("__r.nm_id")),
             "images": images.photo_urls(photos),
             "product_name": trimmed(either("title", "name")),
             "brand": trimmed(F.col("__r.brand")),
             "photos_count": F.size(photos),
             "sizes_count": F.size(elements("sizes")),
-            "imt_id": integer(F.coalesce(either("imtID"), other_case("imtId"))),
-            "subject_id": integer(F.coalesce(either("subjectID"), other_case("subjectId"))),
+            "imt_id": number("imtID", other_case("imtId")),
+            "subject_id": number("subjectID", other_case("subjectId")),
             "subject_name": trimmed(F.col("__r.subjectName")),
             "vendor_code": trimmed(either("vendorCode", "vendor_code")),
         }
@@ -404,7 +416,7 @@ def ozon_cards(df: DataFrame) -> DataFrame:
     derived = _product_fields() | {
         "__images": F.array_distinct(F.filter(elements("images"), lambda u: u.isNotNull() & (numbers.strip(u) != "")))
     }
-    rows = apply_fields(df, PRODUCT_INFO_ITEM, ["product_id"], PRODUCT_ARRAYS, derived, PRODUCT_TEXTS)
+    rows = apply_fields(df, PRODUCT_INFO_ITEM, ["product_id"], PRODUCT_ARRAYS, derived, PRODUCT_TEXTS, PRODUCT_VALUES)
     rows = rows.withColumn("primary_image", F.coalesce(trimmed(F.col("primary_image")), F.get("__images", F.lit(0))))
     primary = F.col("primary_image")
     listed = primary.isNull() | F.array_contains("__images", F.coalesce(primary, F.lit("")))
