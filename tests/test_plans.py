@@ -10,9 +10,9 @@ from tradeloom.plans import orders
 
 SF = "/root/testdata/sf0.001"
 # these run streams or write files while they are built
-EAGER = ("stream_", "delimited_", "landed_", "table_upserts", "table_replaced")
-# the page of at most 100 groups and the row per partition of a range exchange
-BOUNDED_BROADCAST = {"order_feed_page", "id_chunks", "publish_apply", "publish_update_ranges", "publish_order_check"}
+EAGER = ("stream_", "delimited_", "landed_", "table_upserts", "table_replaced", "run_log_runs", "file_", "api_pages", "order_feed_seek", "publish_generations")
+# the page of at most 100 groups, the row per partition of a range exchange, heavy keys and their ranges in a subquery
+BOUNDED_BROADCAST = {"order_feed_page", "id_chunks", "publish_apply", "publish_update_ranges", "publish_order_check", "publish_blocks", "publish_replace_order"}
 
 
 def plan_of(df):

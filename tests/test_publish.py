@@ -139,3 +139,31 @@ def test_warnings_and_quality(spark):
     rules = {"marketplace": F.col("m").isin(*quality.MARKETPLACES), "light": F.col("l").isin(*quality.STATUS_LIGHTS)}
     rows = spark.createDataFrame([(1, "wb", None), (2, "x", "blue")], "id int, m string, l string")
     assert sorted((r.id, r.rule) for r in quality.domain_violations(rows, rules, ["id"]).collect()) == [(2, "light"), (2, "marketplace")]
+
+
+def test_blocks_are_sorted_and_cut(spark):
+    rows = spark.createDataFrame(
+        [("2026-03-01", "b", 1, "1.50", 5), ("2026-03-02", "a", 2, "2", 1), ("2026-03-01", "a", 3, "0", 9), ("2026-03-01", "c", 4, None, 5)],
+        "d string, article string, quantity int, m string, newest int",
+    ).select(F.to_date("d").alias("order_date"), "article", "quantity", F.col("m").cast("decimal(14,2)").alias("amount"), "newest")
+    orders = publish.BLOCKS["orders"]
+    got = [tuple(r) for r in publish.block_rows(rows, orders).orderBy("position").collect()]
+    assert got == [(1, "02.03.2026", "a", "2", "2"), (2, "01.03.2026", "a", "3", "0"), (3, "01.03.2026", "b", "1", "1.5"), (4, "01.03.2026", "c", "4", "")]
+    assert [r.position for r in publish.block_rows(rows, orders, limit=2).orderBy("position").collect()] == [1, 2]
+    first, last = publish.default_period(orders, F.lit("2026-03-31").cast("date"))
+    assert str(spark.range(1).select(first).first()[0]) == "2026-01-01"
+    assert publish.default_period(publish.BLOCKS["placement"], F.lit("2026-03-31").cast("date")) is None
+    assert all(len(b.headers) == len(b.formats) == len(b.columns) and b.sort for b in publish.BLOCKS.values())
+
+
+def test_a_failed_job_named_like_its_action_counts(spark):
+    from datetime import datetime
+
+    from tradeloom.plans import ops
+
+    now = datetime(2026, 1, 2)
+    runs = spark.createDataFrame(
+        [(1, now, " Sheets_Orders ", "error"), (2, now, "sheets_orders_export", "x"), (3, now, "erp_tru_sales", None), (4, now, "other", "x"), (5, now, "wb_orders", "OK")],
+        "id long, started_at timestamp, job_name string, status string",
+    )
+    assert [(r.action_key, r.last_id, r.failures) for r in ops.failed_jobs(runs, F.lit(now)).collect()] == [("erp_tru_sales", 3, 1), ("sheets_orders", 2, 2)]

@@ -8,9 +8,9 @@ from tradeloom.bindings import load, load_spread, text
 from tradeloom.catalogue import query
 from tradeloom.operators import merge, normalize
 from tradeloom.session import scratch_path
-from tradeloom.sources import sheets
+from tradeloom.sources import files, sheets
 from tradeloom.sources.delimited import as_latin1, read_delimited
-from tradeloom.sources.landing import read_landing
+from tradeloom.sources.landing import explode_pages, in_period, read_api_pages, read_landing
 
 # Words looked for as header names in the conversations.
 WORDS = ("user", "the", "a")
@@ -241,3 +241,44 @@ def landed_first_arrival(spark, sf_dir):
     return rows.groupBy("r.conv_id").agg(
         F.min_by("r.turn", at).alias("turn"), F.min_by("r.role", at).alias("role"), F.count("*").alias("records")
     )
+
+
+
+@query(
+    "api_pages_read",
+    """
+    SELECT user_id, event_id, value FROM events WHERE event_type = 'click' AND ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+    """,
+)
+def api_pages_read(spark, sf_dir):
+    """Events landed as API pages of at most 100 rows; the pages of one method are read, exploded and cut to a period."""
+    events = load(spark, sf_dir, "events")
+    item = F.struct("user_id", "event_id", "value", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at"))
+    pages = events.groupBy(F.col("event_type").alias("method"), F.floor(F.col("event_id") / 100).alias("page_no")).agg(F.collect_list(item).alias("rows"))
+    landed = pages.select(F.lit("run-1").alias("run_id"), "page_no", "method", F.to_json(F.struct("rows")).alias("payload"))
+    path = scratch_path(spark, "pages")
+    landed.write.parquet(path)
+    read = explode_pages(read_api_pages(spark, path, method="click", run_id="run-1"), "$.rows")
+    rows = read.select(F.from_json("payload", "user_id bigint, event_id bigint, value double, at timestamp_ntz").alias("r")).select("r.*")
+    day = lambda d: F.lit(d).cast("date")
+    return in_period(rows, "at", day("2024-01-05"), day("2024-01-20")).select("user_id", "event_id", "value")
+
+
+@query(
+    "file_digests",
+    "SELECT lang AS folder, MAX(sha256(text)) AS newest_sha, SUM(strlen(text))::BIGINT AS bytes, TRUE AS kept FROM (SELECT lang, string_agg(doc_id::VARCHAR, chr(10) ORDER BY doc_id) || chr(10) AS text FROM documents GROUP BY 1) GROUP BY 1",
+)
+def file_digests(spark, sf_dir):
+    """Lists of document ids as one file for each language: digested, kept as originals and found as the newest of their folder."""
+    path, out = scratch_path(spark, "digests"), None
+    for row in load(spark, sf_dir, "documents").select("lang").distinct().orderBy("lang").collect():
+        ids = load(spark, sf_dir, "documents").where(F.col("lang") == row.lang).select("doc_id").repartitionByRange(1, "doc_id")
+        ids.sortWithinPartitions("doc_id").select(text("doc_id")).write.text(f"{path}/{row.lang}")
+        newest = files.latest_file(spark, f"{path}/{row.lang}", ("*.none", "*.txt"))
+        digest = files.file_digests(spark, f"{path}/{row.lang}/*.txt").join(newest.select("path"), "path")
+        kept = files.keep_originals(spark, f"{path}/{row.lang}/*.txt", row.lang)
+        one = digest.join(kept.select(F.col("file_sha256"), F.col("report_code").alias("folder")), "file_sha256").select(
+            "folder", F.col("file_sha256").alias("newest_sha"), F.col("length").alias("bytes"), F.lit(True).alias("kept")
+        )
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -8,6 +8,8 @@ from tradeloom.bindings import FEED_ARRIVAL, FEED_KEYS, feed, load, text
 from tradeloom.catalogue import query
 from tradeloom.operators import publish, quality
 from tradeloom.operators.keyed import dedupe_latest
+from tradeloom.session import scratch_path
+from tradeloom.sources.tables import read_newest
 
 CELLS = ["c1", "c2", "c3", "c4"]
 CUT = "2000-01-01"
@@ -164,3 +166,81 @@ def export_warnings(spark, sf_dir):
     newest = feed(spark, sf_dir).agg(F.to_date(F.max("l_shipdate"))).scalar()
     warned = quality.export_warnings(summary, newest, F.lit("2002-01-01").cast("date"))
     return warned.select("appended_rows", "rows_added", "rows_stale", "report_outdated")
+
+
+SQL_MONEY = "CASE WHEN ({0} * 100)::BIGINT % 100 = 0 THEN (({0} * 100)::BIGINT // 100)::VARCHAR ELSE rtrim(({0})::DECIMAL(14,2)::VARCHAR, '0') END"
+
+
+@query(
+    "publish_blocks",
+    f"""
+    WITH p AS (SELECT p_partkey, p_size, p_brand, p_name, p_retailprice::DECIMAL(14,2) AS price, DATE '2026-01-01' + p_size::INT AS day FROM part),
+    o AS (SELECT o_orderdate::DATE AS day, o_custkey::VARCHAR AS article, COUNT(*) AS n, SUM(o_totalprice::DECIMAL(14,2)) AS amount, MAX(o_orderkey) AS newest
+          FROM orders WHERE o_orderdate::DATE BETWEEN date_trunc('month', (SELECT MAX(o_orderdate)::DATE FROM orders)) - INTERVAL 2 MONTH
+                                               AND (SELECT MAX(o_orderdate)::DATE FROM orders) GROUP BY 1, 2),
+    b AS (
+    SELECT 'placement' AS block, ROW_NUMBER() OVER (ORDER BY p_partkey::VARCHAR) AS position, p_partkey::VARCHAR AS c1, p_size::VARCHAR AS c2,
+           {SQL_MONEY.format('price')} AS c3, {SQL_MONEY.format('price')} AS c4, CASE WHEN p_size % 2 = 0 THEN p_size::VARCHAR ELSE '' END AS c5, NULL AS c6 FROM p
+    UNION ALL SELECT 'erp-sales', ROW_NUMBER() OVER (ORDER BY p_partkey::VARCHAR), p_partkey::VARCHAR, p_size::VARCHAR, NULL, NULL, NULL, NULL FROM p
+    UNION ALL SELECT 'source-cost', ROW_NUMBER() OVER (ORDER BY p_partkey::VARCHAR), p_partkey::VARCHAR, {SQL_MONEY.format('price')}, NULL, NULL, NULL, NULL FROM p
+    UNION ALL SELECT 'production-inventory', ROW_NUMBER() OVER (ORDER BY p_partkey::VARCHAR), p_partkey::VARCHAR, p_size::VARCHAR, '', {SQL_MONEY.format('price')}, '', p_size::VARCHAR FROM p
+    UNION ALL SELECT 'supply-pipeline', ROW_NUMBER() OVER (ORDER BY p_partkey::VARCHAR), p_partkey::VARCHAR, p_size::VARCHAR, '0', '', p_size::VARCHAR, strftime(day, '%d.%m.%Y') FROM p
+    UNION ALL SELECT 'supply-order-specs', ROW_NUMBER() OVER (ORDER BY p_brand, p_partkey DESC), p_partkey::VARCHAR, p_name, strftime(day, '%d.%m.%Y'), NULL, NULL, NULL FROM p
+    UNION ALL SELECT 'orders', ROW_NUMBER() OVER (ORDER BY day DESC, newest DESC, article), strftime(day, '%d.%m.%Y'), article, n::VARCHAR, {SQL_MONEY.format('amount')}, NULL, NULL FROM o)
+    SELECT * FROM b WHERE block <> 'erp-sales' OR position <= 100
+    """,
+)
+def publish_blocks(spark, sf_dir):
+    """All seven blocks in their order, the orders of their default period, one block cut to its first 100 rows."""
+    part, size = load(spark, sf_dir, "part"), F.col("p_size")
+    price, day = F.col("p_retailprice").cast("decimal(14,2)"), F.date_add(F.lit("2026-01-01").cast("date"), size)
+    article = text("p_partkey").alias("article")
+    orders = load(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
+    first, last = publish.default_period(publish.BLOCKS["orders"], orders.agg(F.max("day")).scalar())
+    daily = orders.where(F.col("day").between(first, last)).groupBy(F.col("day").alias("order_date"), text("o_custkey").alias("article")).agg(
+        F.count("*").alias("quantity"), F.sum(F.col("o_totalprice").cast("decimal(14,2)")).alias("amount"), F.max("o_orderkey").alias("newest")
+    )
+    sources = {
+        "placement": part.select(
+            article, size.alias("paid_qty"), price.alias("paid_liters"), price.alias("daily_writeoff_rub"),
+            F.when(size % 2 == 0, size).alias("days_until_first_paid"),
+        ),
+        "erp-sales": part.select(article, size.alias("sales_count")),
+        "source-cost": part.select(article, price.alias("unit_cost_byn")),
+        "production-inventory": part.select(
+            article, size.alias("smp_qty"), F.lit(0).alias("osn_qty"), price.alias("soh_qty"), F.lit(None).cast("int").alias("svh_qty"), size.alias("ts_qty")
+        ),
+        "supply-pipeline": part.select(
+            article, size.alias("approved_order_qty"), F.lit(0).alias("in_production_qty"), F.lit(None).cast("int").alias("ready_qty"),
+            size.alias("in_way_qty"), day.alias("minsk_date"),
+        ),
+        "supply-order-specs": part.select(
+            article, F.col("p_name").alias("specification"), day.alias("production_date"), F.col("p_brand").alias("source_sheet"),
+            (-F.col("p_partkey")).alias("source_row_number"),
+        ),
+        "orders": daily,
+    }
+    out = None
+    for name, source in sources.items():
+        rows = publish.block_rows(source, publish.BLOCKS[name], 100 if name == "erp-sales" else None).withColumn("block", F.lit(name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out.select("block", "position", *[f"c{i}" for i in range(1, 7)])
+
+
+@query(
+    "publish_generations",
+    """
+    SELECT p_partkey::VARCHAR AS c1, CASE WHEN p_size % 3 = 0 THEN p_size + 1 ELSE p_size END::VARCHAR AS c2, ROW_NUMBER() OVER (ORDER BY p_partkey) AS position FROM part
+    """,
+)
+def publish_generations(spark, sf_dir):
+    """A block published three times: all parts, a third of them changed, and nothing new."""
+    part, path = load(spark, sf_dir, "part"), scratch_path(spark, "block")
+    block = publish.BlockSpec("parts", ("a", "b"), ("text", "int"), ("article", "size"), ("p_partkey",))
+    first = publish.block_rows(part.select("p_partkey", text("p_partkey").alias("article"), F.col("p_size").alias("size")), block)
+    changed = F.when(F.col("p_size") % 3 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))
+    second = publish.block_rows(part.select("p_partkey", text("p_partkey").alias("article"), changed.alias("size")), block)
+    publish.publish(first.limit(0), first, ["c1", "c2"], path, 1)
+    for target in (second, second):
+        publish.publish(read_newest(spark, path), target, ["c1", "c2"], path, 2)
+    return read_newest(spark, path).select("c1", "c2", "position")

@@ -49,7 +49,8 @@ def _ranged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _sort(order: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in order]
+    """Sort columns by name; a name after ``-`` falls. Nulls come last either way."""
+    return [F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc_nulls_last() for c in order]
 
 
 def _place(order: Sequence[str]) -> Column:
@@ -148,7 +149,7 @@ def running_total(
 
 
 def dense_ordinal(df: DataFrame, columns: Sequence[str], name: str = "ordinal") -> DataFrame:
-    """Number all rows 1..n by ``columns``, whatever their number and gaps."""
+    """Number all rows 1..n by ``columns``, whatever their number and gaps; ``-name`` sorts down."""
     ranged = _ranged(df, columns)
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     # one row per partition of the range exchange

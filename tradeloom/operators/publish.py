@@ -8,11 +8,12 @@ normalized text; rows with an empty key part never match.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeloom.functions.dates import month_start_back
 from tradeloom.functions.text import normalize_cell
 from tradeloom.operators.keyed import first_per_key
 from tradeloom.operators.ordered import dense_ordinal, version_numbers
@@ -22,40 +23,55 @@ from tradeloom.sources.tables import replace_all
 
 @dataclass(frozen=True)
 class BlockSpec:
-    """One published block: headers, formats and how its rows are matched."""
+    """One published block: headers, formats, source columns, order, and how its rows are matched.
+
+    ``sort`` names columns of the source, falling ones after ``-``; ``months`` is the default
+    period: so many months before the current one, up to today.
+    """
 
     name: str
     headers: tuple[str, ...]
     formats: tuple[str, ...]
+    columns: tuple[str, ...]
+    sort: tuple[str, ...]
     key_columns: int = 1
     mode: str = "upsert"
     replace_on_order_change: bool = False
-    sort: tuple[str, ...] = field(default=())
+    months: int | None = None
 
 
 # Headers and number formats of the published blocks.
 BLOCKS = {
     spec.name: spec
     for spec in (
-        BlockSpec("orders", ("Дата", "Артикул", "Кол-во", "Сумма"), ("date", "text", "int", "money"), 2),
+        BlockSpec(
+            "orders", ("Дата", "Артикул", "Кол-во", "Сумма"), ("date", "text", "int", "money"),
+            ("order_date", "article", "quantity", "amount"), ("-order_date", "-newest", "article"), 2, months=2,
+        ),
         BlockSpec(
             "placement",
             ("Артикул", "Платно, шт", "Платно, л", "Списано в день, RUB", "Дней до первой платности"),
             ("text", "int", "volume", "money", "int"),
+            ("article", "paid_qty", "paid_liters", "daily_writeoff_rub", "days_until_first_paid"), ("article",),
         ),
-        BlockSpec("erp-sales", ("Артикул", "Кол-во"), ("text", "int")),
-        BlockSpec("source-cost", ("Артикул", "С/с BYN"), ("text", "money")),
+        BlockSpec("erp-sales", ("Артикул", "Кол-во"), ("text", "int"), ("article", "sales_count"), ("article",)),
+        BlockSpec("source-cost", ("Артикул", "С/с BYN"), ("text", "money"), ("article", "unit_cost_byn"), ("article",)),
         BlockSpec(
             "production-inventory",
             ("Артикул", "СМП", "ОСН", "СОХ", "СВХ", "ТС"),
             ("text", "quantity", "quantity", "quantity", "quantity", "quantity"),
+            ("article", "smp_qty", "osn_qty", "soh_qty", "svh_qty", "ts_qty"), ("article",),
         ),
         BlockSpec(
             "supply-pipeline",
             ("Артикул", "СОГЛ Заказа", "В ПРОИЗВ", "ГОТОВ", "В ПУТИ", "МИНСК"),
             ("text", "int", "int", "int", "int", "date"),
+            ("article", "approved_order_qty", "in_production_qty", "ready_qty", "in_way_qty", "minsk_date"), ("article",),
+        ),
+        BlockSpec(
+            "supply-order-specs", ("Артикул", "LOT", "Дата производства"), ("text", "text", "date"),
+            ("article", "specification", "production_date"), ("source_sheet", "source_row_number", "article"), 3,
         ),
-        BlockSpec("supply-order-specs", ("Артикул", "LOT", "Дата производства"), ("text", "text", "date"), 3),
     )
 }
 
@@ -91,6 +107,18 @@ def shape_for_publish(df: DataFrame, columns: Sequence[str], block: BlockSpec) -
     return df.withColumns(cells).select(*rest, *cells)
 
 
+def default_period(block: BlockSpec, today: Column) -> tuple[Column, Column] | None:
+    """First and last day that a block shows when none are asked for."""
+    return None if block.months is None else (month_start_back(today, block.months), today)
+
+
+def block_rows(df: DataFrame, block: BlockSpec, limit: int | None = None) -> DataFrame:
+    """The target of a block: (position, c1..cn) in the block's order, the first ``limit`` rows of it if given."""
+    rows = dense_ordinal(df.select(*dict.fromkeys([*block.columns, *[c.removeprefix("-") for c in block.sort]])), block.sort, name="position")
+    rows = rows if limit is None else rows.where(F.col("position") <= limit)
+    return shape_for_publish(rows.select("position", *block.columns), block.columns, block)
+
+
 def _side(df: DataFrame, cells: Sequence[str], key_columns: int, alone: Column) -> DataFrame:
     """Rows with normalized cells and what they match by: their key, or ``alone`` if a key part is empty."""
     normal = df.select("position", F.struct(*cells).alias("cells"), *[normalize_cell(F.col(c)).alias(c) for c in cells])

@@ -31,10 +31,16 @@ def recent_runs(runs: DataFrame, limit: int = 20, as_of: Column | None = None, h
 
 
 def failed_jobs(runs: DataFrame, as_of: Column, names: dict[str, str] | None = None, limit: int = 200) -> DataFrame:
-    """Distinct actions of the failed runs of the last day, latest failure first."""
+    """Distinct actions of the failed runs of the last day, latest failure first.
+
+    A job without an alias that is named like an action stands for that action.
+    """
+    names = names or JOB_ACTIONS
     since = as_of - F.make_dt_interval(hours=F.lit(24))
     bad = runs.where((F.col("started_at") >= since) & is_bad()).orderBy(F.col("id").desc()).limit(limit)
-    known = bad.withColumn("action_key", lookup_key("job_name", names or JOB_ACTIONS)).where(F.col("action_key").isNotNull())
+    own = {key: key for key in names.values()}
+    action = F.coalesce(lookup_key("job_name", names), lookup_key("job_name", own))
+    known = bad.withColumn("action_key", action).where(F.col("action_key").isNotNull())
     return (
         known.groupBy("action_key")
         .agg(F.max("id").alias("last_id"), F.count(F.lit(1)).alias("failures"))
