@@ -94,6 +94,28 @@ def test_first_paid_sources(spark):
     assert (row.stock_qty, row.free_qty, row.days_until_first_paid, row.first_paid_period_end) == (None, 10, 4, date(2026, 2, 2))
 
 
+def test_payload_rows_give_what_their_cells_give(spark):
+    import json
+
+    names = ["SKU", "b", "c", "Остаток на складах на (1)", "Остаток на складах на (2)", "Номер поставки", "w", "Дней до конца периода", "Дата окончания периода по поставкам", "z"]
+    values = [
+        ["5", "", "", "7", "9", " ", "", "4", "2026-02-02", "10"], ["5", "", "", "", None, "S1", "W", "3", "2026-01-04 00:00:00", "4,5"],
+        ["6", "", "", "x", "1 0", "\u00a0", "", "-", "-", "3"], ["6", None, "", "", "", "S3", "W", "1", "soon", "2"], ["7", "", "", "1"],
+    ]
+    rows = spark.createDataFrame([("s", n, json.dumps(dict(zip(names, v)), ensure_ascii=False)) for n, v in enumerate(values, 1)], "report_code string, row_number int, payload string")
+    for by_name, with_text in ((False, False), (True, True)):
+        by_cells = placement.supply_rows_wide(placement.report_cells(rows), by_name, with_text)
+        by_payload = placement.supply_rows_wide(rows, by_name, with_text)
+        order = sorted(by_cells.columns)
+        assert sorted(map(tuple, by_cells.select(order).collect()), key=str) == sorted(map(tuple, by_payload.select(order).collect()), key=str)
+        plan = by_payload._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan.split("Subquery")[0]
+    product = spark.createDataFrame([("p", n, json.dumps({f"c{i}": v for i, v in enumerate(["x", s, a, "", "", "", "", "", q])})) for n, (s, a, q) in enumerate(
+        [("5", "A", "3"), ("5", "B", "4,5"), ("5", " ", "9"), ("n", "A", "1"), ("6", "C", "-")], 1)], "report_code string, row_number int, payload string")
+    totals = [{(r.sku, r.product_qty) for r in placement.product_totals(p).collect()} for p in (product, placement.report_cells(product))]
+    assert totals[0] == totals[1] and len(totals[0]) == 2
+
+
 def test_reports_and_cost(spark):
     reports = spark.createDataFrame(
         [("a", DAY, DAY, "success", 1), ("b", DAY, DAY, "success", 2), ("c", DAY, DAY + timedelta(days=1), "success", 1), ("d", DAY, DAY + timedelta(days=2), "error", 1)],

@@ -193,10 +193,112 @@ def _supply_payload(spark, sf_dir):
     """,
 )
 def first_paid_report(spark, sf_dir):
-    """Both reports as JSON rows, unpivoted to cells, pivoted by position, then the first paid day."""
-    product = plans.report_cells(_product_payload(spark, sf_dir))
-    supply = plans.report_cells(_supply_payload(spark, sf_dir))
-    return plans.first_paid_report(product, supply)
+    """Both reports as JSON rows whose columns are read by position, then the first paid day."""
+    return plans.first_paid_report(_product_payload(spark, sf_dir), _supply_payload(spark, sf_dir))
+
+
+def _named_supply(spark, sf_dir):
+    """The supplies report with the headers of its columns, and stock, days and period end in its summary rows."""
+    names = ["SKU", "b", "c", plans.STOCK_COLUMN_PREFIX + "01.01)", "e", "Номер поставки", "Склад", "Дней до конца периода",
+             "Дата окончания периода по поставкам", "Свободно"]
+
+    def row(*cells):
+        return F.to_json(F.struct(*[c.alias(n) for n, c in zip(names, cells)])).alias("payload")
+
+    x, part = F.lit("x"), load(spark, sf_dir, "part")
+    supplies = load_spread(spark, sf_dir, "lineitem").select(
+        F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice").alias("row_number"),
+        row(text("l_partkey"), x, x, F.lit(""), x, F.concat(F.lit("S"), text("l_orderkey")), x,
+            F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date")).cast("string"),
+            F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"), F.concat(text("l_linenumber"), F.lit(",0"))),
+    )
+    end = F.date_format(F.date_add(F.lit("2026-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd HH:mm:ss")
+    summary = part.select(
+        (-F.col("p_partkey") - 1).alias("row_number"),
+        row(text("p_partkey"), x, x, F.concat(text("p_size"), F.lit(",0")), x, F.lit("\u00a0"), x, text("p_size"), end,
+            (F.col("p_partkey") % 60 + 20).cast("string")),
+    )
+    return supplies.unionByName(summary).withColumn("report_code", F.lit("S"))
+
+
+@query(
+    "first_paid_report_column",
+    """
+    WITH sup AS (SELECT l_partkey AS sku, (l_shipdate::DATE - DATE '1995-01-01')::INT AS d, l_shipdate::DATE AS pe, l_linenumber AS qty,
+                        l_orderkey, l_linenumber, l_suppkey, l_extendedprice FROM lineitem),
+    run AS (SELECT *, SUM(qty) OVER (PARTITION BY sku ORDER BY d, pe, l_orderkey, l_linenumber, l_suppkey, l_extendedprice
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS expired FROM sup),
+    base AS (SELECT p_partkey AS sku, p_size AS stock_qty, p_partkey % 60 + 20 AS free_qty FROM part)
+    SELECT b.sku, b.stock_qty::INT AS stock_qty, b.free_qty::INT AS free_qty,
+           CASE WHEN stock_qty <= 0 THEN NULL WHEN stock_qty > free_qty THEN 0
+                ELSE MIN(d) FILTER (WHERE free_qty - expired < stock_qty) END::INT AS days_until_first_paid,
+           MIN(pe) FILTER (WHERE stock_qty > 0 AND free_qty - expired < stock_qty) AS first_paid_period_end
+    FROM base b LEFT JOIN run USING (sku) GROUP BY b.sku, b.stock_qty, b.free_qty
+    """,
+)
+def first_paid_report_column(spark, sf_dir):
+    """The stock stands in a named column of the supplies report itself."""
+    return plans.first_paid_report(None, _named_supply(spark, sf_dir), "report_column")
+
+
+@query(
+    "first_paid_summary",
+    """
+    SELECT p_partkey AS sku, NULL::INT AS stock_qty, (p_partkey % 60 + 20)::INT AS free_qty, p_size::INT AS days_until_first_paid,
+           DATE '2026-01-01' + p_size::INT AS first_paid_period_end FROM part
+    """,
+)
+def first_paid_summary(spark, sf_dir):
+    """The days printed in the summary rows."""
+    return plans.first_paid_report(None, plans.report_cells(_named_supply(spark, sf_dir)), "summary")
+
+
+@query(
+    "first_paid_chain",
+    """
+    WITH sup AS (SELECT l_partkey AS sku, (l_shipdate::DATE - DATE '1995-01-01')::INT AS d, l_shipdate::DATE AS pe, l_linenumber AS qty,
+                        l_orderkey, l_linenumber, l_suppkey, l_extendedprice FROM lineitem WHERE l_returnflag = 'N'),
+    run AS (SELECT *, SUM(qty) OVER (PARTITION BY sku ORDER BY d, pe, l_orderkey, l_linenumber, l_suppkey, l_extendedprice
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS expired FROM sup),
+    base AS (SELECT p_partkey AS sku, p_size + 2 AS stock_qty, p_partkey % 60 + 20 AS free_qty FROM part)
+    SELECT b.sku, b.stock_qty::INT AS stock_qty, b.free_qty::INT AS free_qty,
+           CASE WHEN stock_qty <= 0 THEN NULL WHEN stock_qty > free_qty THEN 0
+                ELSE MIN(d) FILTER (WHERE free_qty - expired < stock_qty) END::INT AS days_until_first_paid,
+           MIN(pe) FILTER (WHERE stock_qty > 0 AND free_qty - expired < stock_qty) AS first_paid_period_end
+    FROM base b LEFT JOIN run USING (sku) GROUP BY b.sku, b.stock_qty, b.free_qty
+    """,
+)
+def first_paid_chain(spark, sf_dir):
+    """A report a return flag: the newest product report that succeeded, the supplies report of its period, the first paid day."""
+    flags, part = {"A": 1, "N": 2, "R": 3}, load(spark, sf_dir, "part")
+    names = [f"c{i}" for i in range(1, 11)]
+
+    def row(*cells):
+        return F.to_json(F.struct(*[c.alias(n) for n, c in zip(names, cells)])).alias("payload")
+
+    x = F.lit("x")
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("flag"), F.lit(n).alias("n")) for f, n in flags.items()])).alias("r")
+    parts = part.select("p_partkey", "p_size", each)
+    product = parts.select(
+        F.concat(F.lit("P-"), "r.flag").alias("report_code"), F.col("p_partkey").alias("row_number"),
+        row(x, text("p_partkey"), text("p_partkey"), x, x, x, x, x, (F.col("p_size") + F.col("r.n")).cast("string")),
+    )
+    lines = load_spread(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("S-"), "l_returnflag").alias("report_code"), F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice").alias("row_number"),
+        row(text("l_partkey"), x, x, x, x, F.lit("S1"), x, F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date")).cast("string"),
+            F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"), text("l_linenumber")),
+    )
+    summary = parts.select(
+        F.concat(F.lit("S-"), "r.flag").alias("report_code"), (-F.col("p_partkey") - 1).alias("row_number"),
+        row(text("p_partkey"), x, x, x, x, F.lit(" "), x, F.lit("-"), F.lit("-"), (F.col("p_partkey") % 60 + 20).cast("string")),
+    )
+    day = F.date_add(F.lit("2026-01-01").cast("date"), F.col("r.n"))
+    reports = part.select(each).distinct().select(
+        F.col("r.flag").alias("flag"), day.alias("date_from"), day.alias("date_to"), F.col("r.n").alias("updated_at"),
+        F.when(F.col("r.flag") == "R", "error").otherwise("success").alias("status"),
+    )
+    coded = lambda prefix: reports.withColumn("code", F.concat(F.lit(prefix), "flag")).drop("flag")
+    return plans.first_paid_of_reports(product, lines.unionByName(summary), coded("P-"), coded("S-"))
 
 
 @query(
@@ -217,8 +319,8 @@ def first_paid_report(spark, sf_dir):
 )
 def first_paid_stock_layer(spark, sf_dir):
     supply = plans.report_cells(_supply_payload(spark, sf_dir))
-    stock = load(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "A").select(
-        F.col("l_partkey").alias("sku"), F.lit(1).alias("available_stock_count")
+    stock = load(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("sku"), F.when(F.col("l_returnflag") == "A", 1).alias("available_stock_count")
     )
     return plans.first_paid_report(None, supply, "stock_layer", stock)
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.dates import report_date
-from tradeloom.functions.numbers import half_up_int, report_number
+from tradeloom.functions.numbers import half_up_int, numeric_cell, report_number
 from tradeloom.functions.text import blank_to_null, empty_to_null
 from tradeloom.operators.merge import pivot_cells, unpivot_payload
 from tradeloom.operators.normalize import with_record
@@ -85,16 +87,38 @@ def _filled(condition: Column) -> Column:
     return F.when(condition, blank_to_null("value_text").isNotNull())
 
 
+def _members(rows: DataFrame) -> DataFrame:
+    """Report rows that are still one JSON object, with its members in document order as ``__m``, parsed once."""
+    return rows.select("*", F.explode(F.array(F.map_entries(F.from_json("payload", "map<string,string>")))).alias("__m"))
+
+
+def _member(position: int) -> Column:
+    return F.get("__m", F.lit(position - 1))["value"]
+
+
+def _named_member(test: Callable[[Column], Column]) -> Column:
+    return F.get(F.filter("__m", lambda m: test(m["key"])), F.lit(0))["value"]
+
+
 def product_totals(cells: DataFrame) -> DataFrame:
-    """Pieces per sku of the product report; rows need a sku and an article."""
-    wide = pivot_cells(
-        cells, ["report_code", "row_number"],
-        {
-            "sku": _at(PRODUCT_SKU),
-            "has_article": _filled(F.col("column_number") == PRODUCT_ARTICLE),
-            "product_qty": _at(PRODUCT_QTY),
-        },
-    )
+    """Pieces per sku of the product report; rows need a sku and an article.
+
+    Takes cells, or rows with their JSON ``payload``, whose columns are read in place.
+    """
+    if "payload" in cells.columns:
+        wide = _members(cells).select(
+            numeric_cell(_member(PRODUCT_SKU)).alias("sku"), blank_to_null(_member(PRODUCT_ARTICLE)).isNotNull().alias("has_article"),
+            numeric_cell(_member(PRODUCT_QTY)).alias("product_qty"),
+        )
+    else:
+        wide = pivot_cells(
+            cells, ["report_code", "row_number"],
+            {
+                "sku": _at(PRODUCT_SKU),
+                "has_article": _filled(F.col("column_number") == PRODUCT_ARTICLE),
+                "product_qty": _at(PRODUCT_QTY),
+            },
+        )
     return (
         wide.where(F.col("sku").isNotNull() & F.col("has_article"))
         .groupBy(F.round("sku").cast("bigint").alias("sku"))
@@ -107,8 +131,11 @@ def supply_rows_wide(cells: DataFrame, by_name: bool = False, with_text: bool =
 
     Texts are reduced to what is asked of them (is there a supply number, which date)
     before the aggregation, so that it hashes fixed-width values instead of sorting.
-    ``with_text`` keeps the period end as printed.
+    ``with_text`` keeps the period end as printed. Rows that are still one JSON object
+    (``payload``) are read in place, without a shuffle.
     """
+    if "payload" in cells.columns:
+        return _supply_rows_of_payload(cells, by_name, with_text)
     last = cells.agg(F.max("column_number")).scalar()
     marked = cells.withColumn("is_last", F.col("column_number") == last)
 
@@ -134,6 +161,27 @@ def supply_rows_wide(cells: DataFrame, by_name: bool = False, with_text: bool =
     )
 
 
+def _supply_rows_of_payload(rows: DataFrame, by_name: bool, with_text: bool) -> DataFrame:
+    last = rows.agg(F.max(F.size(F.json_object_keys("payload")))).scalar()
+
+    def place(name: str, position: int) -> Column:
+        return _named_member(lambda key: key == SUPPLY_COLUMN_NAMES[name]) if by_name else _member(position)
+
+    period_end = place("period_end", SUPPLY_PERIOD_END)
+    stock = F.filter("__m", lambda m: F.startswith(m["key"], F.lit(STOCK_COLUMN_PREFIX)))
+    columns = [
+        F.round(numeric_cell(place("sku", SUPPLY_SKU))).cast("bigint").alias("sku"),
+        blank_to_null(place("supply_number", SUPPLY_NUMBER)).isNotNull().alias("has_number"),
+        numeric_cell(place("days", SUPPLY_DAYS)).alias("days"),
+        report_date(period_end).alias("period_end"),
+        F.array_max(F.transform(stock, lambda m: numeric_cell(m["value"]))).alias("report_stock_qty"),
+        numeric_cell(F.get("__m", last - 1)["value"]).alias("free_qty"),
+    ]
+    if with_text:
+        columns.append(period_end.alias("period_end_text"))
+    return _members(rows).select("report_code", "row_number", *columns)
+
+
 def _paid_rows(wide: DataFrame) -> DataFrame:
     """Summary and supply rows of the supplies report in one frame, told apart by is_supply."""
     is_supply = F.col("has_number")
@@ -239,6 +287,13 @@ def first_paid_report(
     return result.withColumns({"stock_qty": half_up_int("stock_qty"), "free_qty": half_up_int("free_qty")})
 
 
+def first_paid_of_reports(product_rows: DataFrame, supply_rows: DataFrame, product_reports: DataFrame, supply_reports: DataFrame) -> DataFrame:
+    """First paid day from the newest successful product report with rows and the supplies report of its period."""
+    newest = latest_report(product_reports, product_rows)
+    supplies = same_period_report(supply_reports, newest)
+    return first_paid_report(of_report(product_rows, newest), of_report(supply_rows, supplies))
+
+
 def storage_cost(rows: DataFrame) -> DataFrame:
     """Paid pieces, litres and cost per sku and article from report text columns.
 
