@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, slices, stored, texts_of
+from tradeloom.llm.common import CACHES, blocks, slices, stored, texts_of, tidy
 from tradeloom.llm.pieces import MARK, default_model, piece_table
 from tradeloom.llm.token_files import default_tokenizer
 
@@ -263,6 +263,7 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
     return Aligner(byte_path, piece_path)
 
 
+CACHES["align"] = aligner.cache_clear
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
 BLOCK = "block bigint, pairs array<bigint>, docs array<bigint>, unit_starts binary, unit_pairs binary, unit_times binary, " \
     "doc_starts binary, doc_units binary, doc_times binary, doc_id array<bigint>, " \
@@ -339,7 +340,7 @@ def aligned_blocks(documents: DataFrame, byte_path: str, piece_path: str) -> Dat
             yield block_row(tool, number, ids, docs, list(known))
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, BLOCK)
+    return rows.mapInArrow(tidy(run, "align"), BLOCK)
 
 
 def pair_counts(blocks_of: DataFrame) -> DataFrame:
@@ -392,4 +393,4 @@ def align(documents: DataFrame, byte_path: str | None = None, piece_path: str |
                 )
 
     out = ", ".join(f"{c} bigint" for c in ("doc_id", *NUMBERS, "n_best", "count_sum"))
-    return both.mapInArrow(run, f"{out}, groups_sha256 string")
+    return both.mapInArrow(tidy(run, "align"), f"{out}, groups_sha256 string")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,6 +27,38 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BLOCK_BYTES))
 
 
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def begin(owner: str) -> None:
+    """Empty what the tasks of other operators have remembered in this worker."""
+    for name, clear in CACHES.items():
+        if name != owner:
+            clear()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that a reused worker starts its next task small."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str) -> Callable:
+    """The function of a task, which holds no memory of other operators' tasks and leaves none of its own."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(owner)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

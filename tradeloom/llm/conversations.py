@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.common import cut, narrow, stored
+from tradeloom.llm.common import cut, narrow, stored, tidy
 
 WHITE = " \t\n\x0b\x0c\r"
 FINE, BLANK, DUPLICATE, TRUNCATED = range(4)
@@ -393,7 +393,7 @@ def repair(rows: DataFrame) -> DataFrame:
 
         yield from batched(edit_rows(tapped()), names, types, lambda r: 100 + len(r[-1] or ""))
 
-    return known.mapInArrow(run, schema)
+    return known.mapInArrow(tidy(run, "conversations"), schema)
 
 
 COUNTS = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import narrow, slices, texts_of
+from tradeloom.llm.common import narrow, slices, texts_of, tidy
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 # one byte for each byte: A-Z to a-z, all other ASCII that is in no word to the space
@@ -161,4 +161,4 @@ def scanned(documents: DataFrame, patterns: dict[bytes, set], more: bool) -> Dat
             )
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [SCHEMA])
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(tidy(run, "decontaminate"), schema)

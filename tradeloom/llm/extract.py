@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import narrow, slices
+from tradeloom.llm.common import narrow, slices, tidy
 from tradeloom.llm.html_blocks import Block, leaf_blocks
 
 MAX_TRAIN_PAGES = 200
@@ -199,7 +199,7 @@ def train(pages: DataFrame, limit: int = MAX_TRAIN_PAGES, passes: int = 4) -> np
                 model.learn(feats, labels)
         yield pa.RecordBatch.from_pydict({"w": [model.w.astype("<f8").tobytes()]})
 
-    made = rows.repartition(1).mapInArrow(learn, "w binary").collect()
+    made = rows.repartition(1).mapInArrow(tidy(learn, "extract"), "w binary").collect()
     return np.frombuffer(made[0]["w"], "<f8").reshape(WIDTH + 3, 2) if made else np.zeros((WIDTH + 3, 2))
 
 
@@ -227,4 +227,4 @@ def extract(pages: DataFrame, weights: np.ndarray) -> DataFrame:
 
     rows = narrow(pages, "page_id", "url", "html")
     kind = rows.schema["page_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")
+    return rows.mapInArrow(tidy(run, "extract"), f"page_id {kind}, url string, text string, n_chars bigint")

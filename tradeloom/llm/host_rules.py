@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.common import slices, stored, texts_of
+from tradeloom.llm.common import slices, stored, texts_of, tidy
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -96,7 +96,7 @@ def measure(documents: DataFrame, host: str = "source", keep: tuple[str, ...] =
                 yield pa.RecordBatch.from_arrays(arrays, [*(f.name for f in fields), *MEASURES])
 
     schema = T.StructType(fields + [T.StructField(name, T.LongType()) for name in MEASURES])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run, "host_rules"), schema)
 
 
 def failures(rules: tuple[Rule, ...], base: bool | None = None) -> Column:

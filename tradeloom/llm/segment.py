@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import slices, texts_of
+from tradeloom.llm.common import CACHES, slices, texts_of, tidy
 from tradeloom.llm.pieces import CACHE_ENTRIES, MARK, PieceTable, code_points, default_model, piece_table
 
 Candidate = tuple[float, bytes]
@@ -194,6 +194,9 @@ def segmenter(path: str, n: int) -> Segmenter:
     return Segmenter(path, n)
 
 
+CACHES["segment"] = segmenter.cache_clear
+
+
 def segment(
     documents: DataFrame, n_best: int = 4, keep: tuple[str, ...] = ("doc_id",), model_path: str | None = None
 ) -> DataFrame:
@@ -215,7 +218,7 @@ def segment(
 
     rows = documents.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "text"))])
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"{kept}, candidates array<struct<score:double,ids:binary>>")
+    return rows.mapInArrow(tidy(run, "segment"), f"{kept}, candidates array<struct<score:double,ids:binary>>")
 
 
 class Decoder:
@@ -257,4 +260,4 @@ def decoded(frame: DataFrame, ids: str = "ids", text: str = "decoded", model_pat
             )
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{text}` string"])
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(tidy(run, "segment"), schema)

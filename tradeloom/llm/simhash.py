@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import narrow, slices, stored, texts_of
+from tradeloom.llm.common import narrow, slices, stored, texts_of, tidy
 
 BUCKET = 4096
 FAN = 8
@@ -59,12 +59,12 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """All columns and ``bits``, the fingerprint as a signed 64-bit integer, of every row.
+def fingerprints(documents: DataFrame, shingle: int = 3, keep_text: bool = True) -> DataFrame:
+    """All columns (``text`` only if asked) and ``bits``, the fingerprint as a signed 64-bit integer, of every row.
 
     Null texts are empty and have the fingerprint zero, like texts without words.
     """
-    kept = [f for f in documents.schema.fields if f.name != "bits"]
+    kept = [f for f in documents.schema.fields if f.name != "bits" and (keep_text or f.name != "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -74,7 +74,7 @@ def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
             )
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["bits bigint"])
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(tidy(run, "simhash"), schema)
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -204,7 +204,7 @@ def links(codes: DataFrame, distance: int) -> DataFrame:
             a, b = (held[back[np.searchsorted(turned, x, sorter=back)]].view(np.int64) for x in (a, b))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return work.repartition(partitions, "tab", "key", "low", "high").select("tab", "bits").mapInArrow(run, "a bigint, b bigint")
+    return work.repartition(partitions, "tab", "key", "low", "high").select("tab", "bits").mapInArrow(tidy(run, "simhash"), "a bigint, b bigint")
 
 
 def turn(codes: np.ndarray, parts: list[tuple[int, int]]) -> np.ndarray:
@@ -261,7 +261,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, distance: int = 3) -
     component of null ids only has a null id. Repeated rows each get their row. An empty
     table gives no row.
     """
-    prints = stored(fingerprints(narrow(documents, "doc_id", "text"), shingle).select("doc_id", "bits"), "prints")
+    prints = stored(fingerprints(narrow(documents, "doc_id", "text"), shingle, keep_text=False), "prints")
     out = prints.join(groups(prints, distance), "bits")
     text = F.lpad(F.lower(F.hex("bits")), 16, "0")
     return out.select("doc_id", text.alias("fingerprint"), "component_id")
@@ -287,10 +287,10 @@ def one_of_each(documents: DataFrame, shingle: int = 3, distance: int = 3) -> Da
     exchange that brings its candidates together.
     """
     columns = [c for c in documents.columns if c != "bits"]
-    prints = stored(fingerprints(narrow(documents, "doc_id", "text"), shingle).select("doc_id", "bits"), "prints")
-    named = groups(prints, distance).select(F.col("bits").alias("own_bits"), F.col("root").alias("group_root"))
-    wide = fingerprints(documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text"), shingle)
-    wide = wide.drop("text").join(named, F.col("bits") == F.col("own_bits"))
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
+    wide = stored(fingerprints(rows, shingle, keep_text=False), "prints")
+    named = groups(wide.select("row.doc_id", "bits"), distance).select(F.col("bits").alias("own_bits"), F.col("root").alias("group_root"))
+    wide = wide.join(named, F.col("bits") == F.col("own_bits"))
     order = Window.partitionBy("group_root").orderBy(F.col("row.doc_id").asc_nulls_last(), F.col("row.text").asc_nulls_last())
     first = wide.withColumn("place", F.row_number().over(order)).where("place = 1")
     return first.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])

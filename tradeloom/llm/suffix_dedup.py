@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import narrow, slices, stored
+from tradeloom.llm.common import narrow, slices, stored, tidy
 
 LENGTH = 400
 WINDOW = 256
@@ -114,7 +114,7 @@ def compressed(frame: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [pa.array(z, pa.binary())], [f.name for f in kept] + ["z"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["z binary"])
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(tidy(run, "suffix_dedup"), schema)
 
 
 def bytes_of(batch: pa.RecordBatch) -> list[bytes]:
@@ -137,7 +137,7 @@ def repeated_anchors(texts: DataFrame, length: int, window: int) -> DataFrame:
                 ["id0", "code", "place", "gram"],
             )
 
-    rows = texts.mapInArrow(run, "id0 bigint, code bigint, place int, gram bigint")
+    rows = texts.mapInArrow(tidy(run, "suffix_dedup"), "id0 bigint, code bigint, place int, gram bigint")
     rows = stored(rows, "anchors")
     twice = stored(rows.groupBy("gram").count().where("count > 1").select("gram"), "grams")
     kept = rows.join(twice, "gram", "left_semi")
@@ -412,9 +412,9 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH, window: int = WI
         if blobs:
             yield from decide(blobs)
 
-    made = compressed(texts).join(places, ["id0", "code"]).mapInArrow(runs, "bucket int, run binary")
+    made = compressed(texts).join(places, ["id0", "code"]).mapInArrow(tidy(runs, "suffix_dedup"), "bucket int, run binary")
     dealt = made.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    found = stored(dealt.mapInArrow(merge, "hash binary, id0 bigint, code bigint, first bigint, last bigint, open boolean"), "starts")
+    found = stored(dealt.mapInArrow(tidy(merge, "suffix_dedup"), "hash binary, id0 bigint, code bigint, first bigint, last bigint, open boolean"), "starts")
     # a string may be in as many classes as there are texts: its rows are added up before they move
     twice = stored(found.where("hash is not null").groupBy("hash").count().where("count > 1").select("hash"), "strings")
     columns = ["id0", "code", "first", "last"]
@@ -447,7 +447,7 @@ def splitters(texts: DataFrame, places: DataFrame, total: int, buckets: int, len
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names)
 
     # about OVERSAMPLE * buckets rows, whatever the table's size
-    sample = texts.join(F.broadcast(picked), ["id0", "code"]).mapInArrow(keys, "key binary, id0 bigint, code bigint, place bigint").collect()
+    sample = texts.join(F.broadcast(picked), ["id0", "code"]).mapInArrow(tidy(keys, "suffix_dedup"), "key binary, id0 bigint, code bigint, place bigint").collect()
     ordered = sorted((bytes(r["key"]), r["id0"], r["code"], r["place"]) for r in sample)
     return sorted({ordered[len(ordered) * i // buckets] for i in range(1, buckets)}) if ordered else []
 
@@ -506,5 +506,5 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, window: int = WI
                 ["row", "text", *names],
             )
 
-    made = joined.mapInArrow(run, f"row {kind}, text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_text string")
+    made = joined.mapInArrow(tidy(run, "suffix_dedup"), f"row {kind}, text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_text string")
     return made.select(*[F.col(f"row.`{c}`") if c != "text" else F.col("text") for c in plain.columns], *names)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, narrow, slices, texts_of
+from tradeloom.llm.common import CACHES, blocks, narrow, slices, texts_of, tidy
 from tradeloom.llm.pieces import CACHE_ENTRIES, PieceTable, code_points, default_model, piece_table
 
 NONE = np.iinfo(np.int32).max
@@ -115,6 +115,9 @@ def merge_table(path: str) -> tuple[MergeTable, dict[str, int]]:
     return MergeTable(piece_table(path)), {}
 
 
+CACHES["token_counts"] = merge_table.cache_clear
+
+
 def count_texts(texts: list[str], path: str) -> list[int]:
     """Tokens of each text; counts of the first units met are remembered for later texts."""
     merges, known = merge_table(path)
@@ -150,5 +153,5 @@ def token_counts(documents: DataFrame, model_path: str | None = None, limit: int
         "n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    counted = rows.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")
+    counted = rows.mapInArrow(tidy(run, "token_counts"), f"doc_id {kind}, n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -20,6 +20,7 @@ whole texts.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import blocks, narrow, slices, texts_of
+from tradeloom.llm.common import CACHES, blocks, narrow, slices, texts_of, tidy
 from tradeloom.llm.files import mapped, write_whole
 from tradeloom.session import scratch_path
 
@@ -60,6 +61,7 @@ class TokenFiles:
 
 class Encoder:
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -120,6 +122,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+CACHES["token_files"] = encoder.cache_clear
+
+
 def write_token_files(
     documents: DataFrame, folder: str | None = None, tokenizer_path: str | None = None, end_id: int = 0,
     ranges: int | None = None,
@@ -162,7 +167,7 @@ def write_token_files(
     dealt = rows.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), F.length("text").asc_nulls_first(), F.col("text").asc_nulls_first()
     )
-    written = sorted(dealt.mapInArrow(run, "number int, documents bigint, tokens bigint").collect())
+    written = sorted(dealt.mapInArrow(tidy(run, "token_files"), "number int, documents bigint, tokens bigint").collect())
     base, out = 0, []
     for r in written:
         out.append((r["number"], base, r["documents"]))
@@ -192,7 +197,7 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
 
     table = spark.createDataFrame(files.ranges, "number int, base bigint, documents bigint")
     spread = table.repartition(max(len(files.ranges), 1), "number")
-    return spread.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return spread.mapInArrow(tidy(run, "token_files"), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def document_ids(files: TokenFiles, place: int) -> np.ndarray:

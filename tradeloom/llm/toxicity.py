@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import narrow, slices, texts_of
+from tradeloom.llm.common import CACHES, narrow, slices, texts_of, tidy
 
 BITS = 20
 MAX_TRAIN_ROWS = 12_000
@@ -27,6 +27,7 @@ WORD = re.compile(r"\w+")
 GAPS = (1, 2, 3)
 KNOWN: dict[str, int] = {}
 KNOWN_ENTRIES = 100_000
+CACHES["toxicity"] = KNOWN.clear
 
 
 def word_hash(word: str) -> int:
@@ -126,8 +127,8 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = MAX_TRAIN_ROWS, p
 
     texts = narrow(documents, "doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most ``rows`` ids
     texts = texts.groupBy("doc_id", "place", "toxic").agg(F.min("text").alias("text"))
-    made = texts.select("text", "place", "toxic").mapInArrow(features, "place bigint, toxic int, at binary")
-    model = made.repartition(1).mapInArrow(learn, "at array<bigint>, weight array<double>").collect()
+    made = texts.select("text", "place", "toxic").mapInArrow(tidy(features, "toxicity"), "place bigint, toxic int, at binary")
+    model = made.repartition(1).mapInArrow(tidy(learn, "toxicity"), "at array<bigint>, weight array<double>").collect()
     return (model[0]["at"], model[0]["weight"]) if model else ([], [])
 
 
@@ -158,7 +159,7 @@ def score(documents: DataFrame, model: tuple[list[int], list[float]], threshold:
             )
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["score double"])
-    return documents.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return documents.mapInArrow(tidy(run, "toxicity"), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def held_out() -> Column:
