@@ -54,6 +54,21 @@ def test_counts_equal_library(spark):
     assert token_counts.token_counts(frame(spark, [])).count() == 0
 
 
+def test_counts_of_long_repeats_in_time():
+    import sentencepiece
+    import time
+
+    lib, rng = sentencepiece.SentencePieceProcessor(model_file=default_model()), random.Random(9)
+    texts = ["".join(rng.choice(bits) for _ in range(400)) for bits in (["a", "aa"], [" ", "  "], ["th", "e"], ["=", "-", "=="], ["1", "0"], ["in", "n", "i"]) for _ in range(20)]
+    texts += [bit * n for bit in (" ", "the", "a", "=", "ab", "\n", "é", "<a ", "ha ha") for n in (1, 2, 3, 7, 64, 1001)]
+    assert token_counts.count_texts(texts, default_model()) == [len(x) for x in lib.encode(texts)]
+    for bit in (" ", "the", "<a ", "=-"):
+        start = time.process_time()
+        long = bit * (1_000_000 // len(bit))
+        assert token_counts.count_texts([long], default_model()) == [len(lib.encode(long))]
+        assert time.process_time() - start < 8
+
+
 # ---------------------------------------------------------------- segmentation
 
 

@@ -110,11 +110,13 @@ class Encoder:
         if not self.by_words:
             return self.batch(texts)
         words = [WORDS.findall(t) for t in texts]
-        got = [list(map(self.known.get, w)) for w in words]
-        fresh = self.ids_of_words(list({w for w, g in zip(chain.from_iterable(words), chain.from_iterable(got)) if g is None}))
+        distinct = set(chain.from_iterable(words))
+        table = dict(zip(distinct, map(self.known.get, distinct)))
+        fresh = self.ids_of_words([w for w, ids in table.items() if ids is None])
+        table.update(fresh)
         if len(self.known) < CACHE_ENTRIES:  # only the first words met are remembered
             self.known.update(fresh)
-        return [b"".join([fresh[w] if g is None else g for w, g in zip(*pair)]) for pair in zip(words, got)]
+        return [b"".join(map(table.__getitem__, w)) for w in words]
 
 
 @lru_cache(maxsize=4)
@@ -148,7 +150,7 @@ def write_token_files(
         ends, docs, end = [0], [], np.array([end_id], width).tobytes()
 
         def write(out) -> None:
-            for batch in slices(batches, limit=1 << 20):
+            for batch in slices(batches):
                 docs.extend(NO_ID if d is None else d for d in batch.column("doc_id").to_pylist())
                 for ids in tool.encode(texts_of(batch)):
                     out.write(np.frombuffer(ids, "<u4").astype(width).tobytes() + end)
