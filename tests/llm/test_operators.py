@@ -69,6 +69,17 @@ def test_counts_of_long_repeats_in_time():
         assert time.process_time() - start < 8
 
 
+def test_broken_markup_is_read_in_time():
+    import time
+
+    from tradeloom.llm import html_blocks
+
+    for bit in ("<a ", "</", "<a \"", "<a '\"", "<!", "<a \">", "< ", "<p>", "&", "<!-- "):
+        start = time.process_time()
+        html_blocks.leaf_blocks(bit * (200_000 // len(bit)) + "<p>end</p>")
+        assert time.process_time() - start < 8, bit
+
+
 # ---------------------------------------------------------------- segmentation
 
 

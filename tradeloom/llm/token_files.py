@@ -39,6 +39,8 @@ from tradeloom.session import scratch_path
 
 NO_ID = -(2**63)
 CACHE_ENTRIES = 300_000
+#: bytes of text whose words are looked up together
+GATHERED = 4 << 20
 # Unicode's White_Space, which the pre-tokenizer's pattern uses; Python's \s has four more
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -149,12 +151,21 @@ def write_token_files(
         tool, number = encoder(path), TaskContext.get().partitionId()
         ends, docs, end = [0], [], np.array([end_id], width).tobytes()
 
+        def encoded(texts: list[str], out) -> None:
+            for ids in tool.encode(texts):
+                out.write(np.frombuffer(ids, "<u4").astype(width).tobytes() + end)
+                ends.append(ends[-1] + len(ids) // 4 + 1)
+
         def write(out) -> None:
+            held, size = [], 0
             for batch in slices(batches):
                 docs.extend(NO_ID if d is None else d for d in batch.column("doc_id").to_pylist())
-                for ids in tool.encode(texts_of(batch)):
-                    out.write(np.frombuffer(ids, "<u4").astype(width).tobytes() + end)
-                    ends.append(ends[-1] + len(ids) // 4 + 1)
+                held += texts_of(batch)
+                size += batch.nbytes
+                if size > GATHERED:
+                    encoded(held, out)
+                    held, size = [], 0
+            encoded(held, out)
 
         name = f"{folder}/{number:06d}"
         write_whole(f"{name}.ids", write)
