@@ -216,3 +216,11 @@ def test_pages_and_campaigns(spark):
                                     {"status": 7, "type": 8, "advert_list": None}]}, {"adverts": None})
     ).collect()
     assert [(r.advert_id, r.status, r.type) for r in campaigns] == [(1, 9, 8)]
+
+
+def test_placement_headers_are_normalized_once(spark):
+    rows = normalize.placement_rows(maps(spark, {" Ozon SKU ": "7", "Артикул": " a ", "Название": "", "Итого": "x", "Хранение": "1 2,5"}))
+    got = rows.first()
+    assert (got.sku, got.offer_id, got.product_name, str(got.placement_cost)) == (7, "a", None, "12.50")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1

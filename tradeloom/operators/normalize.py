@@ -544,24 +544,32 @@ COST_MARKERS = ("стоимость", "размещ", "хранен", "placement
 
 def placement_rows(df: DataFrame) -> DataFrame:
     """Placement rows from ``row``, a map of header to text, by header name sets."""
-    entries = F.map_entries("row")
+    headed = F.transform(
+        F.map_entries("row"), lambda e: F.struct(text.norm_header(e["key"]).alias("header"), e["value"].alias("value"))
+    )
 
     def named(names: tuple[str, ...]) -> Column:
-        return F.get(F.filter(entries, lambda e: text.norm_header(e["key"]).isin(*names)), F.lit(0))["value"]
+        return F.get(F.filter("__entries", lambda e: e["header"].isin(*names)), F.lit(0))["value"]
 
     costs = F.transform(
-        F.filter(entries, lambda e: text.contains_any(text.norm_header(e["key"]), COST_MARKERS)),
+        F.filter("__entries", lambda e: text.contains_any(e["header"], COST_MARKERS)),
         lambda e: numbers.parse_number(e["value"], 14, 2),
     )
-    filled = F.exists(entries, lambda e: e["value"].isNotNull() & (e["value"] != ""))
-    return df.where(filled).withColumns(
+    filled = F.exists(F.map_values("row"), lambda v: v.isNotNull() & (v != ""))
+    # headers are normalized once, cells found once, each in a step of its own
+    found = df.where(filled).withColumn("__entries", headed).withColumns(
         {
-            "sku": numbers.parse_int_lenient_null(named(SKU_HEADERS)),
-            "offer_id": F.when(named(OFFER_HEADERS) != "", numbers.strip(named(OFFER_HEADERS))),
-            "product_name": F.when(named(NAME_HEADERS) != "", numbers.strip(named(NAME_HEADERS))),
+            "__sku": named(SKU_HEADERS), "__offer": named(OFFER_HEADERS), "__name": named(NAME_HEADERS),
             "placement_cost": F.get(F.filter(costs, lambda c: c.isNotNull()), F.lit(0)),
         }
-    )
+    ).drop("__entries")
+    return found.withColumns(
+        {
+            "sku": numbers.parse_int_lenient_null("__sku"),
+            "offer_id": F.when(F.col("__offer") != "", numbers.strip(F.col("__offer"))),
+            "product_name": F.when(F.col("__name") != "", numbers.strip(F.col("__name"))),
+        }
+    ).drop("__sku", "__offer", "__name")
 
 
 def supply_columns(df: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
