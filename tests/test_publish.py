@@ -167,3 +167,11 @@ def test_a_failed_job_named_like_its_action_counts(spark):
         "id long, started_at timestamp, job_name string, status string",
     )
     assert [(r.action_key, r.last_id, r.failures) for r in ops.failed_jobs(runs, F.lit(now)).collect()] == [("erp_tru_sales", 3, 1), ("sheets_orders", 2, 2)]
+
+
+def test_update_ranges_compare_once(spark):
+    existing = spark.createDataFrame([(1, "a", "1"), (2, "b", "2")], "position int, c1 string, c2 string")
+    target = spark.createDataFrame([(1, "a", "9"), (2, "b", "2"), (3, "c", "3"), (4, "d", "4")], "position int, c1 string, c2 string")
+    out = publish.update_ranges(publish.classify_rows(existing, target, ["c1", "c2"]), existing_rows=2)
+    assert sorted((r.action, r.sheet_row) for r in out.collect()) == [("appended", 4), ("appended", 5), ("changed", 2)]
+    assert "Join FullOuter" not in out._jdf.queryExecution().optimizedPlan().toString()

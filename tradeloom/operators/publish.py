@@ -257,6 +257,9 @@ def plan_summary(
 
 def update_ranges(actions: DataFrame, existing_rows: int, header_row: int = 1) -> DataFrame:
     """Sheet row of every row to write: changed rows in place, appended ones below."""
+    ensure_checkpoint_dir(actions.sparkSession)
+    # read several times below, each of which would compare both tables again
+    actions = actions.where(F.col("action").isin("changed", "appended")).checkpoint()
     changed = actions.where(F.col("action") == "changed").select(
         "action", (F.col("row_number") + header_row).alias("sheet_row"), "cells"
     )
