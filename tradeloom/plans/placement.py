@@ -167,19 +167,26 @@ def _supply_rows_of_payload(rows: DataFrame, by_name: bool, with_text: bool) ->
     def place(name: str, position: int) -> Column:
         return _named_member(lambda key: key == SUPPLY_COLUMN_NAMES[name]) if by_name else _member(position)
 
-    period_end = place("period_end", SUPPLY_PERIOD_END)
     stock = F.filter("__m", lambda m: F.startswith(m["key"], F.lit(STOCK_COLUMN_PREFIX)))
-    columns = [
-        F.round(numeric_cell(place("sku", SUPPLY_SKU))).cast("bigint").alias("sku"),
-        blank_to_null(place("supply_number", SUPPLY_NUMBER)).isNotNull().alias("has_number"),
-        numeric_cell(place("days", SUPPLY_DAYS)).alias("days"),
-        report_date(period_end).alias("period_end"),
+    # members are found once, in a step of their own, and then parsed
+    found = _members(rows).select(
+        "report_code", "row_number",
+        place("sku", SUPPLY_SKU).alias("__sku"), place("supply_number", SUPPLY_NUMBER).alias("__number"),
+        place("days", SUPPLY_DAYS).alias("__days"), place("period_end", SUPPLY_PERIOD_END).alias("__end"),
         F.array_max(F.transform(stock, lambda m: numeric_cell(m["value"]))).alias("report_stock_qty"),
-        numeric_cell(F.get("__m", last - 1)["value"]).alias("free_qty"),
+        F.get("__m", last - 1)["value"].alias("__free"),
+    )
+    columns = [
+        F.round(numeric_cell("__sku")).cast("bigint").alias("sku"),
+        blank_to_null("__number").isNotNull().alias("has_number"),
+        numeric_cell("__days").alias("days"),
+        report_date("__end").alias("period_end"),
+        "report_stock_qty",
+        numeric_cell("__free").alias("free_qty"),
     ]
     if with_text:
-        columns.append(period_end.alias("period_end_text"))
-    return _members(rows).select("report_code", "row_number", *columns)
+        columns.append(F.col("__end").alias("period_end_text"))
+    return found.select("report_code", "row_number", *columns)
 
 
 def _paid_rows(wide: DataFrame) -> DataFrame:
