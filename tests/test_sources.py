@@ -149,3 +149,14 @@ def test_landing(spark, tmp_path):
     days = spark.sql("SELECT * FROM VALUES (TIMESTAMP '2026-01-31 23:59:59'), (TIMESTAMP '2026-02-01 00:00:00') AS t(at)")
     day = F.lit("2026-01-31").cast("date")
     assert landing.in_period(days, "at", day, day).count() == 1
+
+
+def test_spread_grows_with_the_table(spark, tmp_path, monkeypatch):
+    from tradeloom import bindings
+
+    spark.range(40_000).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    assert bindings.load_spread(spark, str(tmp_path), "t").rdd.getNumPartitions() == cores
+    monkeypatch.setattr(bindings, "SPREAD_BYTES", 4_000)
+    assert bindings.load_spread(spark, str(tmp_path), "t").rdd.getNumPartitions() > cores
+    assert bindings.load_spread(spark, str(tmp_path), "t").count() == 40_000

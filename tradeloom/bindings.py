@@ -9,20 +9,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.session import limit_methods
+
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: bytes of parquet files that one task of a spread table stands for
+SPREAD_BYTES = 8_000_000
+
+
 def load_spread(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table whose rows need much CPU each.
 
-    A table of fewer files than cores is read by too few tasks and is spread first; a
-    table of many files is taken as it comes, without an exchange.
+    A table of fewer files than cores is read by too few tasks and is spread first, over
+    at least a task for each ``SPREAD_BYTES`` of its files, so that no task grows with the
+    table; a table of many files is taken as it comes, without an exchange.
     """
+    limit_methods(spark)
     df = load(spark, sf_dir, table)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    if len(df.inputFiles()) >= cores:
+        return df
+    files = spark.read.format("binaryFile").load(f"{sf_dir}/{table}.parquet")
+    size = files.agg(F.sum("length")).first()[0] or 0
+    return df.repartition(max(cores, -(-size // SPREAD_BYTES)))
 
 
 def money(column: str) -> Column:

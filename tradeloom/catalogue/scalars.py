@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradeloom.bindings import load, text
+from tradeloom.bindings import load, load_spread, text
 from tradeloom.catalogue import query
 from tradeloom.functions import dates, images, jsonpath, numbers
 from tradeloom.functions import text as texts
@@ -43,7 +43,7 @@ def numbers_from_text(spark, sf_dir):
     price = F.format_string("%.2f", F.col("l_extendedprice"))
     spaced = F.regexp_replace(F.regexp_replace(price, r"\.", ","), "^([0-9])", "$1 ")
     as_object = F.concat(F.lit('{"amount":"'), price, F.lit('","currency":"BYN"}'))
-    return load(spark, sf_dir, "lineitem").select(
+    return load_spread(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey",
         numbers.parse_int_strict(F.concat(F.lit(" "), text("l_partkey"))).alias("strict_int"),
         numbers.parse_int_strict(price).alias("strict_bad"),
