@@ -134,3 +134,26 @@ def test_white_space_of_any_kind_is_stripped(values):
         d=text.parse_bool_null(F.lit(" Yes\r\n")), e=text.norm_header(F.lit("Артикул ")), f=text.normalize_cell(F.lit("\t1,50 ")),
     )
     assert got == {"a": "123", "b": None, "c": 12, "d": True, "e": "артикул", "f": "1.5"}
+
+
+def test_strip_by_both_ends(values):
+    kinds = {f"k{i}": numbers.strip(F.lit(f"{w}a b{w}")) for i, w in enumerate(numbers.WHITE_SPACE)}
+    assert set(values(**kinds).values()) == {"a b"}
+    assert values(a=numbers.strip(F.lit("x")), b=numbers.strip(F.lit("")), c=numbers.strip(F.lit("é ")), d=numbers.strip(F.lit(None).cast("string"))) == {
+        "a": "x", "b": "", "c": "é", "d": None,
+    }
+    assert "WHEN" in str(numbers.strip(F.col("x"))).upper()
+
+
+def test_json_integer_tells_text_by_type(values):
+    cases = {
+        "12": 12, "25.5": 25, "true": 1, "false": 0, "null": None, "[5]": None, '{"a":1}': None, "1e2": 100, "99999999999999999999": None,
+        '"12"': 12, '" +7\\t"': 7, '"\\u0001-8\\u007f"': -8, '"\\u20039\\u2003"': 9, '"1.5"': None, '"many"': None, '""': None,
+        '"99999999999999999999"': None,
+    }
+    got = values(**{f"c{i}": numbers.json_integer(F.parse_json(F.lit(j))) for i, j in enumerate(cases)})
+    assert list(got.values()) == list(cases.values())
+
+
+def test_json_integer_casts_no_bad_text():
+    assert "schema_of_variant" in str(numbers.json_integer(F.col("v")))

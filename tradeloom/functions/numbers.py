@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # A failed try_cast costs an exception per row, so text is tested by pattern first.
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
+#: a whole number between any white space or control characters of ASCII, as a cast takes it
+INTEGER_CAST_TEXT = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
 NUMBER_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 PLAIN_NUMBER_TEXT = r"^-?[0-9]+(\.[0-9]+)?$"
 NBSP = "\u00a0"
@@ -15,8 +17,21 @@ WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u
 
 
 def strip(text: Column) -> Column:
-    """Text without white space at its ends: the ASCII kinds, U+0085, U+00A0 and the wide spaces."""
-    return F.btrim(text, F.lit(WHITE_SPACE))
+    """Text without white space at its ends: the ASCII kinds, U+0085, U+00A0 and the wide spaces.
+
+    ``btrim`` searches the kinds once for each end; a text whose ends are visible ASCII is told
+    by four comparisons and stays as it is.
+    """
+    last = F.substring(text, -1, 1)
+    bare = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(bare, text).otherwise(F.btrim(text, F.lit(WHITE_SPACE)))
+
+
+def replaced(text: Column, pairs: dict[str, str]) -> Column:
+    """Text with every key replaced by its value; a text without them is only searched."""
+    for old, new in pairs.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def as_column(value: Column | str) -> Column:
@@ -25,8 +40,7 @@ def as_column(value: Column | str) -> Column:
 
 def clean_number_text(value: Column | str, nbsp: bool = False) -> Column:
     """Drop spaces (and U+00A0 when asked) and turn a decimal comma into a dot."""
-    dropped = f" {NBSP}" if nbsp else " "
-    return strip(F.translate(as_column(value).cast("string"), f",{dropped}", "."))
+    return strip(replaced(as_column(value).cast("string"), {" ": "", **({NBSP: ""} if nbsp else {}), ",": "."}))
 
 
 def parse_int_strict(value: Column | str) -> Column:
@@ -36,8 +50,13 @@ def parse_int_strict(value: Column | str) -> Column:
 
 
 def json_integer(value: Column) -> Column:
-    """A JSON value (VARIANT) to BIGINT: numbers lose their fraction, text must be a whole number, true is 1."""
-    return F.coalesce(F.try_variant_get(value, "$", "bigint"), parse_int_strict(F.try_variant_get(value, "$", "string")))
+    """A JSON value (VARIANT) to BIGINT: numbers lose their fraction, text must be a whole number, true is 1.
+
+    Text is told by its JSON type and tested by pattern, as ``try_variant_get`` would throw for each bad one.
+    """
+    text = F.try_variant_get(value, "$", "string")
+    of_text = F.when(text.rlike(INTEGER_CAST_TEXT), text.try_cast("bigint")).otherwise(parse_int_strict(text))
+    return F.when(F.schema_of_variant(value) == "STRING", of_text).otherwise(F.try_variant_get(value, "$", "bigint"))
 
 
 def json_number(value: Column) -> Column:

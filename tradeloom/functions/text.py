@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tradeloom.functions.numbers import NBSP, PLAIN_NUMBER_TEXT, as_column, json_number, strip
+from tradeloom.functions.numbers import NBSP, PLAIN_NUMBER_TEXT, as_column, json_number, replaced, strip
 
 # Cyrillic letters that look like Latin ones in lot codes.
 LOT_CYRILLIC = "АВЕКМНОРСТУХавекмнорстух"
@@ -102,13 +102,13 @@ def article_or_sku(article: Column | str, sku: Column | str) -> Column:
 def norm_header(value: Column | str, fold_yo: bool = False) -> Column:
     """Header text for comparison: trimmed, lower case, U+00A0 as space."""
     text = F.lower(strip(F.coalesce(as_column(value).cast("string"), F.lit(""))))
-    return F.translate(text, f"{NBSP}ё", " е") if fold_yo else F.translate(text, NBSP, " ")
+    return replaced(text, {NBSP: " ", **({"ё": "е"} if fold_yo else {})})
 
 
 def normalize_cell(value: Column | str) -> Column:
     """Cell text for comparison: numbers by value, everything else trimmed."""
     text = strip(F.coalesce(as_column(value).cast("string"), F.lit("")))
-    compact = F.translate(text, f", {NBSP}", ".")
+    compact = replaced(text, {" ": "", NBSP: "", ",": "."})
     plain = F.regexp_replace(compact, CELL_NUMBER_PARTS, "$1$2$3")
     return F.when(compact.rlike(PLAIN_NUMBER_TEXT), F.when(plain == "-0", "0").otherwise(plain)).otherwise(text)
 
