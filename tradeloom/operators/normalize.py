@@ -312,7 +312,8 @@ def _product_fields() -> dict[str, Column]:
     raw_image = F.col("__r.primary_image")
     first_image = F.when(raw_image.startswith("["), F.get(F.from_json(raw_image, "array<string>"), F.lit(0)))
     return {
-        "product_id": integer(text.first_true(F.col("__r.id"), F.col("__r.product_id"))),
+        # chosen once: spelled out in a filter, the choice would outgrow a generated method
+        "product_id": F.get(F.transform(F.array(text.first_true(F.col("__r.id"), F.col("__r.product_id"))), integer), F.lit(0)),
         "primary_image": some_text(F.coalesce(first_image, F.when(~raw_image.startswith("["), raw_image))),
         "images_count": F.size(elements("images")),
         "barcodes_count": F.size(elements("barcodes")),
