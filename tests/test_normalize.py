@@ -224,3 +224,12 @@ def test_placement_headers_are_normalized_once(spark):
     assert (got.sku, got.offer_id, got.product_name, str(got.placement_cost)) == (7, "a", None, "12.50")
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lower(") == 1
+
+
+def test_supply_cells_are_found_once_above_the_scan(spark):
+    lines = maps(spark, {"Ваш SKU": "007", "согласование заказа": "1 2", "готов": "x", "Дата Минск": "\u00a0 Март,\u00a01996. "}, {"Артикул": " "}, {"Ваш SKU": "a"})
+    stages = normalize.file_supply_stages(normalize.supply_columns(lines.repartition(2)))
+    assert [(r.article, r.approved_order_qty, r.ready_qty) for r in stages.collect()] == [("7", 12, 0), ("a", 0, 0)]
+    plan = stages._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("element_at(") < 30
+    assert "Filter" not in plan[plan.index("Repartition"):]

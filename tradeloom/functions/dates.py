@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tradeloom.functions.numbers import as_column, strip
+from tradeloom.functions.numbers import WHITE_SPACE, as_column, strip
 
 ISO_TEXT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
@@ -51,7 +51,8 @@ def parse_date_iso(value: Column | str) -> Column:
 
 def parse_ru_month_year(value: Column | str) -> Column:
     """Month name and four-digit year in any order to the first of that month."""
-    text = strip(F.regexp_replace(F.lower(as_column(value).cast("string")), r"[,\s]+", " "))
+    # what ``strip`` gives, with the text searched once
+    text = F.btrim(F.regexp_replace(F.lower(as_column(value).cast("string")), r"[,\s]+", " "), F.lit(WHITE_SPACE))
     words = F.transform(F.split(text, " "), lambda w: F.regexp_replace(w, r"^[.]+|[.]+$", ""))
     pairs: list[Column] = []
     for name, number in RU_MONTHS.items():
@@ -67,7 +68,7 @@ def parse_ru_month_year(value: Column | str) -> Column:
 def parse_date_multi(value: Column | str) -> Column:
     """yyyy-MM-dd, dd.MM.yyyy, dd/MM/yyyy on the first ten characters, then ISO, then month name."""
     text = strip(as_column(value).cast("string"))
-    head = strip(F.substring(text, 1, 10))
+    head = F.btrim(F.substring(text, 1, 10), F.lit(WHITE_SPACE))
     iso = F.when(head.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), head.try_cast("date"))
     turned = F.regexp_replace(head, r"^([0-9]{1,2})[./]([0-9]{1,2})[./]([0-9]{4})$", "$3-$2-$1")
     dotted = F.when(

@@ -445,6 +445,11 @@ def _cell(name: str) -> Column:
     return F.try_element_at("row", F.lit(name))
 
 
+def _bound(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """All columns and the struct ``__c`` of the values, made once a row: a generator keeps later filters above it."""
+    return df.select("*", F.explode(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))).alias("__c"))
+
+
 qty3 = partial(numbers.parse_number, precision=14, scale=3, default="0")
 
 
@@ -494,10 +499,12 @@ def file_supply_stages(df: DataFrame) -> DataFrame:
     counts = {
         "СОГЛ Заказа": "approved_order_qty", "В ПРОИЗВ": "in_production_qty", "ГОТОВ": "ready_qty", "В ПУТИ": "in_way_qty",
     }
-    return df.select(
-        text.clean_article(_cell("Артикул")).alias("article"),
-        *[numbers.parse_int_lenient(_cell(header)).alias(name) for header, name in counts.items()],
-        dates.parse_date_multi(_cell("МИНСК")).alias("minsk_date"),
+    # cells are found once, in a step of their own that the filter is not pushed below, and then parsed
+    cells = _bound(df.select("row"), {"article": _cell("Артикул"), **{name: _cell(header) for header, name in counts.items()}, "minsk_date": _cell("МИНСК")})
+    return cells.select(
+        text.clean_article("__c.article").alias("article"),
+        *[numbers.parse_int_lenient(f"__c.{name}").alias(name) for name in counts.values()],
+        dates.parse_date_multi("__c.minsk_date").alias("minsk_date"),
     ).where(F.col("article") != "")
 
 
@@ -582,13 +589,16 @@ def supply_columns(df: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
         "СОГЛ Заказа": "согласование заказа", "В ПРОИЗВ": "в производстве", "ГОТОВ": "готов",
         "В ПУТИ": "в пути", "МИНСК": "Дата Минск",
     }
-    pairs: list[Column] = [F.lit("Артикул"), article]
-    for target, source in names.items():
-        pairs += [F.lit(target), _cell(source)]
+    # plain values are sorted, without their headers
+    values = {"Артикул": article, **{target: _cell(source) for target, source in names.items()}}
+    places = {target: f"v{i}" for i, target in enumerate(values)}
+    pairs = [x for target, place in places.items() for x in (F.lit(target), F.col(f"__c.{place}"))]
     return (
-        df.withColumn("row", F.create_map(*pairs))
-        .where(F.coalesce(_cell("Артикул"), F.lit("")) != "")
-        .orderBy(_cell("Артикул"), *ties)
+        _bound(df, {places[target]: value for target, value in values.items()})
+        .drop("row")
+        .where(F.coalesce("__c.v0", F.lit("")) != "")
+        .orderBy("__c.v0", *ties)
+        .select(*[F.create_map(*pairs).alias("row") if c == "row" else F.col(f"`{c}`") for c in df.columns])
     )
 
 
