@@ -144,3 +144,20 @@ def test_unpivot_then_pivot(spark):
     ]
     wide = pivot_cells(long, ["id"], {n: F.when(F.col("column_name") == n, F.col("value_text")) for n in ("a", "b")})
     assert {r.id: (r.a, r.b) for r in wide.collect()} == {1: ("1,5", "x"), 2: (None, "y")}
+
+
+def test_cells_not_asked_for_are_left_out_before_numbers_are_read(spark):
+    import json
+
+    values = [["5", "1", "2", "3", "4", " ", "w", "-", "-", "10"], ["5", "9", "9", "9", "9", "S1", "w", "8", "2026-01-04", "6"], ["", "9"], ["x", "9", "", "", "", "", "", "", "", "7"]]
+    names = [f"c{i}" for i in range(1, 11)]
+    rows = spark.createDataFrame([("s", n, json.dumps(dict(zip(names, v)))) for n, v in enumerate(values, 1)], "report_code string, row_number int, payload string")
+    cells = placement.report_cells(rows)
+    every, some = (placement.supply_rows_wide(cells, all_rows=a).where("sku is not null") for a in (True, False))
+    assert sorted(map(tuple, every.collect()), key=str) == sorted(map(tuple, some.collect()), key=str)
+    stock = spark.createDataFrame([(5, 5)], "sku long, available_stock_count int")
+    paid = placement.first_paid_report(None, cells, "stock_layer", stock)
+    row = paid.first()
+    assert (row.sku, row.stock_qty, row.free_qty, row.days_until_first_paid) == (5, 5, 10, 8)
+    plan = paid._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Filter" in line and f"+ 1) = {placement.SUPPLY_DAYS})" in line for line in plan.splitlines())

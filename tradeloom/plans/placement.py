@@ -126,12 +126,14 @@ def product_totals(cells: DataFrame) -> DataFrame:
     )
 
 
-def supply_rows_wide(cells: DataFrame, by_name: bool = False, with_text: bool = False) -> DataFrame:
+def supply_rows_wide(cells: DataFrame, by_name: bool = False, with_text: bool = False, all_rows: bool = True) -> DataFrame:
     """Supplies report as rows; free pieces stand in its last column.
 
     Texts are reduced to what is asked of them (is there a supply number, which date)
     before the aggregation, so that it hashes fixed-width values instead of sorting.
-    ``with_text`` keeps the period end as printed. Rows that are still one JSON object
+    ``with_text`` keeps the period end as printed. Without ``all_rows`` cells that no column
+    is made of are left out before their numbers are read, and rows of such cells alone with
+    them; these have no sku. Rows that are still one JSON object
     (``payload``) are read in place, without a shuffle.
     """
     if "payload" in cells.columns:
@@ -145,6 +147,11 @@ def supply_rows_wide(cells: DataFrame, by_name: bool = False, with_text: bool =
         return F.col("column_number") == position
 
     period_end = place("period_end", SUPPLY_PERIOD_END)
+    if not all_rows:
+        asked = F.col("is_last") | F.col("column_name").startswith(STOCK_COLUMN_PREFIX) | period_end
+        for name, position in (("sku", SUPPLY_SKU), ("supply_number", SUPPLY_NUMBER), ("days", SUPPLY_DAYS)):
+            asked = asked | place(name, position)
+        marked = marked.where(asked)
     columns = {
         "sku": F.when(place("sku", SUPPLY_SKU), F.col("value_numeric")),
         "has_number": _filled(place("supply_number", SUPPLY_NUMBER)),
@@ -274,7 +281,7 @@ def first_paid_report(
     column of the supplies report (``report_column``), the stock layer (``stock``, one
     row per sku and cluster), or ``summary``, which takes the days printed in the report.
     """
-    wide = supply_rows_wide(supply_cells, stock_source == "report_column", stock_source == "summary")
+    wide = supply_rows_wide(supply_cells, stock_source == "report_column", stock_source == "summary", all_rows=False)
     if stock_source == "summary":
         days = wide.where(F.col("sku").isNotNull() & ~F.col("has_number") & F.col("days").isNotNull())
         return days.groupBy("sku").agg(
