@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -56,7 +57,6 @@ def test_counts_equal_library(spark):
 
 def test_counts_of_long_repeats_in_time():
     import sentencepiece
-    import time
 
     lib, rng = sentencepiece.SentencePieceProcessor(model_file=default_model()), random.Random(9)
     texts = ["".join(rng.choice(bits) for _ in range(400)) for bits in (["a", "aa"], [" ", "  "], ["th", "e"], ["=", "-", "=="], ["1", "0"], ["in", "n", "i"]) for _ in range(20)]
@@ -70,7 +70,6 @@ def test_counts_of_long_repeats_in_time():
 
 
 def test_broken_markup_is_read_in_time():
-    import time
 
     from tradeloom.llm import html_blocks
 
@@ -112,6 +111,36 @@ def test_nbest_equals_enumeration():
             assert (score, tuple(np.frombuffer(ids, "<u4").tolist())) in want
 
 
+def test_best_of_many_parts_equals_search_and_is_faster():
+    rng, tool = random.Random(4), segment.Segmenter(default_model(), 4)
+    letters = "etaoinshrdlu"
+    parts = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 14))) for _ in range(4000)}
+    parts |= {"▁", "▁▁▁▁▁", "\n\n\n", "aaaaaaaaaaaa", "anaanaana", "111111", "=" * 60, "the" * 40, "é", "中", "\U0001F600", "Ａ"}
+    parts = sorted(parts)
+    start = time.process_time()
+    want = [tool.lattice.search(p, 4) for p in parts]
+    alone = time.process_time() - start
+    start = time.process_time()
+    got = tool.entries(parts)
+    together = time.process_time() - start
+    for part, best, (score, ids, loss, own) in zip(parts, want, got, strict=True):
+        assert own == part and (score, np.frombuffer(ids, "<u4").tolist()) == best[0]
+        assert loss == (best[0][0] - best[1][0] if len(best) > 1 else float("inf"))
+    assert together < 0.6 * alone
+
+
+def test_nbest_takes_parts_that_lose_least():
+    tool = segment.Segmenter(default_model(), 4)
+    one = lambda p: tool.lattice.search(p, 4)
+    text = "the nation then\nother 12 aaaa \U0001F600 rest"
+    found = tool.encode([text])[0]
+    scores = [0.0]
+    for entry in tool.searched(tool.table.units(text)).values():
+        for _, _, _, part in entry:
+            scores = sorted((a + b for a in scores for b, _ in one(part)), reverse=True)[:4]
+    assert [s for s, _ in found] == scores and len({ids for _, ids in found}) == 4
+
+
 def test_segment_edges_and_round_trip(spark):
     found = segment.segment(edge_docs(spark), 3, keep=("doc_id", "text", "score"))
     back = segment.decoded(found.withColumn("ids", F.col("candidates")[0]["ids"])).collect()

@@ -4,8 +4,11 @@ The score of a segmentation is the sum of its pieces' scores in the model file;
 character that is no piece costs ten more than the lowest score and becomes byte pieces.
 Forward Viterbi gives the best score up to each place; it is the exact heuristic of an
 A-star search that runs backward from the end, so hypotheses leave the agenda in the
-order of their full scores. Units (see ``pieces``) are searched once each, and the
-n best of a text are the n best choices among the lists of its units.
+order of their full scores. Units (see ``pieces``) fall into parts, and the n best of a
+text are the n best choices among the lists of its parts. Only the n - 1 parts whose
+second best loses least can differ from their best, so the forward pass of all parts,
+side by side, also keeps the score of the second best path, and the A-star search lists
+the candidates of those few parts, and the best of parts with several of equal score.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ Candidate = tuple[float, bytes]
 SCORE, IDS, LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
 # above the rounding of sums of scores
 SLACK = 1e-6
+# parts that go forward side by side, and the most characters of one; longer ones go one by one
+ABREAST, LONG = 4096, 64
 
 
 class Lattice:
@@ -44,6 +49,15 @@ class Lattice:
             for cut in range(1, len(piece)):
                 self.arcs.setdefault(piece[:cut], ())
             self.arcs[piece] = (table.scores[piece], (number,))
+        # the same as a trie of arrays: node 0 is the empty prefix, a step is (node, character) -> node
+        node = {"": 0} | {prefix: i for i, prefix in enumerate(self.arcs, 1)}
+        steps = np.array([(node[x[:-1]] << 21) | ord(x[-1]) for x in self.arcs], np.int64)
+        order = np.argsort(steps)
+        self.steps, self.to = steps[order], order + 1
+        self.number = np.array([-1, *(arc[1][0] if arc else -1 for arc in self.arcs.values())], np.int64)
+        self.score = np.array([0.0, *(arc[0] if arc else 0.0 for arc in self.arcs.values())])
+        self.grows = np.zeros(len(node), bool)
+        self.grows[steps >> 21] = True
 
     def forward(self, unit: str) -> tuple[list[float], list[list]]:
         """Best score up to each place, and the arcs that end there: start, (score, ids)."""
@@ -66,6 +80,82 @@ class Lattice:
                 arc = arc_of(unit[i:j])
         return best, ends
 
+    def side_by_side(self, units: list[str]) -> tuple[np.ndarray, ...]:
+        """All arcs of the units: score, piece, start and end, by place in the unit and end, of one end by start.
+
+        Starts and ends are nodes, of which a unit has one more than characters. Also where in
+        the arcs each place begins, the first node of each unit, and whether all its characters are pieces.
+        """
+        codes, sizes = code_points(units)
+        codes = codes.astype(np.int64)
+        row = np.repeat(np.arange(len(units)), sizes)
+        begin = np.cumsum(sizes) - sizes
+        place = np.arange(len(codes)) - begin[row]
+        left = sizes[row] - place
+        at, state, length, found = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0, []
+        plain = np.ones(len(units), bool)
+        while len(at):
+            step = (state << 21) | codes[at + length]
+            k = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            hit = self.steps[k] == step
+            at, state = at[hit], self.to[k[hit]]
+            length += 1
+            is_piece = self.number[state] >= 0
+            if length == 1:
+                plain = np.bincount(row[at[is_piece]], minlength=len(units)) == sizes
+            found.append((at[is_piece], state[is_piece], np.full(int(is_piece.sum()), length)))
+            go = self.grows[state] & (left[at] > length)
+            at, state = at[go], state[go]
+        at, state, size = map(np.concatenate, zip(*found))
+        start, depth = at + row[at], place[at] + size
+        order = np.argsort((depth * (len(codes) + len(units)) + start + size) * (length + 1) - size)
+        bounds = np.searchsorted(depth[order], np.arange(1, int(sizes.max()) + 2))
+        score, piece, start, size = self.score[state[order]], self.number[state[order]], start[order], size[order]
+        return score, piece, start, start + size, bounds, begin + np.arange(len(units)), plain
+
+    def forward_all(self, units: list[str]) -> list[tuple[float, bytes, float, str] | None]:
+        """Best score of each unit, its packed ids, what the second best loses, and the unit; None where more than
+        one is best or a character is no piece."""
+        if not units:
+            return []
+        score, piece, start, end, bounds, first, plain = self.side_by_side(units)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        best, second = np.full((2, int(first[-1] + sizes[-1]) + 1), -np.inf)
+        best[first] = 0
+        via = np.zeros(len(best), np.int64)
+        for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+            if a == b:
+                continue
+            heads = np.flatnonzero(np.diff(end[a:b], prepend=-1))
+            ends, count = end[a:b][heads], np.diff(heads, append=b - a)
+            total, other = best[start[a:b]] + score[a:b], second[start[a:b]] + score[a:b]
+            most = np.maximum.reduceat(total, heads)
+            top = np.flatnonzero(total == np.repeat(most, count))
+            chosen = top[np.searchsorted(top, heads)]
+            total[chosen] = other[chosen]  # of the chosen arc only its second path is left
+            best[ends], second[ends], via[ends] = most, np.maximum.reduceat(total, heads), chosen + a
+        last = first + sizes
+        loss = np.where(plain, best[last], 0.0) - second[last]
+        sure = plain & (loss > SLACK)
+        unit, at = np.flatnonzero(sure), last[sure]
+        after, steps = np.zeros(len(units)), []
+        while len(unit):
+            arc = via[at]
+            after[unit] += score[arc]
+            steps.append((unit, piece[arc]))
+            at = start[arc]
+            go = at > first[unit]
+            unit, at = unit[go], at[go]
+        if not steps:
+            return [None] * len(units)
+        unit, ids = map(np.concatenate, zip(*reversed(steps)))
+        data = ids[np.argsort(unit, kind="stable")].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(unit, minlength=len(units)))).tolist()
+        return [
+            (s, data[a:b], lost, u) if known else None
+            for known, s, a, b, lost, u in zip(sure.tolist(), after.tolist(), [0, *ends], ends, loss.tolist(), units)
+        ]
+
     def search(self, unit: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a unit, best first; those of equal score in a fixed order.
 
@@ -105,13 +195,11 @@ class Lattice:
         return found
 
 
-def join_lists(entries: list[tuple], second: np.ndarray, n: int) -> list[tuple[float, dict[int, int]]]:
+def join_lists(chosen: list[tuple[int, list[float]]], n: int) -> list[tuple[float, dict[int, int]]]:
     """The n best choices of one candidate from each entry: lost score and the choices that are not the first.
 
-    ``second`` is what the second candidates lose; only the n - 1 entries that lose least can take part.
+    ``chosen`` has the entries that can take part, and what each of their candidates loses.
     """
-    near = np.argsort(second, kind="stable")[: n - 1] if len(second) < 4 * n else smallest(second, n - 1)
-    chosen = [(k, [entries[k][0] - s for s, _ in entries[k][3]]) for k in near.tolist()]
     agenda, out = [(0.0, (), 0)], []
     while agenda and len(out) < n:
         lost, picks, at = heappop(agenda)
@@ -125,6 +213,11 @@ def join_lists(entries: list[tuple], second: np.ndarray, n: int) -> list[tuple[f
     return out
 
 
+def nearest(second: np.ndarray, n: int) -> list[int]:
+    """Entries whose other candidates can take part in the n best: the n - 1 whose second one loses least."""
+    return (np.argsort(second, kind="stable")[: n - 1] if len(second) < 4 * n else smallest(second, n - 1)).tolist()
+
+
 def smallest(values: np.ndarray, n: int) -> np.ndarray:
     """Places of the n smallest values, of equal ones the first, in order."""
     limit = np.partition(values, n)[n]
@@ -138,33 +231,54 @@ class Segmenter:
         self.lattice = Lattice(self.table)
         self.known: dict[str, list[tuple]] = {}
         self.parts: dict[str, tuple] = {}
+        self.lists: dict[str, list[Candidate]] = {}
+
+    def candidates(self, part: str) -> list[Candidate]:
+        """The n best of a part by the A-star search."""
+        if (found := self.lists.get(part)) is None:
+            found = [(s, pack(f"<{len(ids)}I", *ids)) for s, ids in self.lattice.search(part, max(self.n, 2))]
+            if len(self.lists) < CACHE_ENTRIES // 12:  # only the first parts met are remembered
+                self.lists[part] = found
+        return found
 
-    def part(self, part: str) -> tuple:
-        """Best score of a part, its ids, what the second best loses, and the candidates."""
-        if (held := self.parts.get(part)) is None:
-            found = [(s, pack(f"<{len(ids)}I", *ids)) for s, ids in self.lattice.search(part, self.n)]
-            held = (*found[0], found[0][0] - found[1][0] if len(found) > 1 else float("inf"), found)
-            if len(self.parts) < CACHE_ENTRIES // 6:  # only the first parts met are remembered
-                self.parts[part] = held
-        return held
+    def entries(self, parts: list[str]) -> list[tuple]:
+        """Of each part its best score and ids, what the second best loses, and the part."""
+        out: list[tuple] = []
+        for a in range(0, len(parts), ABREAST):
+            some = parts[a : a + ABREAST]
+            found = iter(self.lattice.forward_all([p for p in some if len(p) <= LONG]))
+            for p in some:
+                if (entry := next(found) if len(p) <= LONG else None) is None:
+                    most = self.candidates(p)
+                    entry = *most[0], most[0][0] - most[1][0] if len(most) > 1 else float("inf"), p
+                out.append(entry)
+        return out
 
     def searched(self, units: list[str]) -> dict[str, list[tuple]]:
-        """The parts of each unit, cut between characters that no piece joins."""
+        """The entries of each distinct unit, cut between characters that no piece joins."""
         codes, sizes = code_points(units)
         ends = np.cumsum(sizes)
         breaks = self.table.breaks(codes)
         breaks[ends - sizes] = False
         cuts = np.flatnonzero(breaks)
-        counts = np.diff(np.searchsorted(cuts, ends), prepend=0).tolist()
+        counts = np.diff(np.searchsorted(cuts, ends), prepend=0)
         places = (cuts - np.repeat(ends - sizes, counts)).tolist()
-        out, at = {}, 0
-        for unit, count in zip(units, counts):
-            if count:
-                own = [0, *places[at : at + count], len(unit)]
-                at += count
-                out[unit] = [self.part(unit[a:b]) for a, b in zip(own, own[1:])]
-            else:
-                out[unit] = [self.part(unit)]
+        split, at = {}, 0
+        for k in np.flatnonzero(counts).tolist():
+            unit, count = units[k], int(counts[k])
+            own = [0, *places[at : at + count], len(unit)]
+            at += count
+            split[unit] = [unit[a:b] for a, b in zip(own, own[1:])]
+        pieces = set(chain.from_iterable(split.values()))
+        held = {p: entry for p in pieces if (entry := self.parts.get(p))}
+        fresh = [p for p in pieces if p not in held]
+        whole = [units[k] for k in np.flatnonzero(counts == 0).tolist()]
+        found = self.entries(whole + fresh)
+        held.update(zip(fresh, found[len(whole) :]))
+        room = max(0, CACHE_ENTRIES // 6 - len(self.parts))  # only the first parts met are remembered
+        self.parts.update(islice(((p, held[p]) for p in fresh), room))
+        out = {unit: [entry] for unit, entry in zip(whole, found)}
+        out.update((unit, [held[p] for p in parts]) for unit, parts in split.items())
         return out
 
     def joined(self, entries: list[tuple]) -> list[Candidate]:
@@ -172,20 +286,24 @@ class Segmenter:
         score, first = sum(map(SCORE, entries)), list(map(IDS, entries))
         losses = np.fromiter(map(LOSS, entries), float, len(entries))
         out = [(score, b"".join(first))]
-        for lost, picks in islice(join_lists(entries, losses, self.n), 1, None):
+        lists = {k: self.candidates(entries[k][3]) for k in nearest(losses, self.n) if losses[k] < float("inf")}
+        chosen = [(k, [entries[k][0] - s for s, _ in found]) for k, found in lists.items()]
+        for lost, picks in islice(join_lists(chosen, self.n), 1, None):
             ids = first.copy()
             for k, c in picks.items():
-                ids[k] = entries[k][3][c][1]
+                ids[k] = lists[k][c][1]
             out.append((score - lost, b"".join(ids)))
         return out
 
     def encode(self, texts: list[str]) -> list[list[Candidate]]:
         units = [self.table.units(t) for t in texts]
         known = self.known
-        fresh = self.searched(list({u: None for x in units for u in x if u not in known}))
-        rows = [list(chain.from_iterable([known.get(u) or fresh[u] for u in x])) for x in units]
-        if len(known) < CACHE_ENTRIES // 6:  # only the first units met are remembered
-            known.update(fresh)
+        held = {u: known.get(u) for u in set(chain.from_iterable(units))}
+        fresh = self.searched([u for u, entries in held.items() if entries is None])
+        held.update(fresh)
+        room = max(0, CACHE_ENTRIES // 2 - len(known))  # only the first units met are remembered
+        known.update(islice(fresh.items(), room))
+        rows = (list(chain.from_iterable(map(held.__getitem__, x))) for x in units)
         return [self.joined(x) if x else [(0.0, b"")] for x in rows]
 
 
@@ -212,7 +330,7 @@ def segment(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = segmenter(path, n_best)
         kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.binary())]))
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches):
             rows = [[{"score": s, "ids": ids} for s, ids in x] for x in tool.encode(texts_of(batch))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, kind)], [*keep, "candidates"])
 
