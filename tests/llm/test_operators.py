@@ -5,7 +5,6 @@ import hashlib
 import json
 import random
 import re
-import time
 import zlib
 from collections import Counter
 
@@ -57,6 +56,7 @@ def test_counts_equal_library(spark):
 
 def test_counts_of_long_repeats_in_time():
     import sentencepiece
+    import time
 
     lib, rng = sentencepiece.SentencePieceProcessor(model_file=default_model()), random.Random(9)
     texts = ["".join(rng.choice(bits) for _ in range(400)) for bits in (["a", "aa"], [" ", "  "], ["th", "e"], ["=", "-", "=="], ["1", "0"], ["in", "n", "i"]) for _ in range(20)]
@@ -70,6 +70,7 @@ def test_counts_of_long_repeats_in_time():
 
 
 def test_broken_markup_is_read_in_time():
+    import time
 
     from tradeloom.llm import html_blocks
 
@@ -112,6 +113,8 @@ def test_nbest_equals_enumeration():
 
 
 def test_best_of_many_parts_equals_search_and_is_faster():
+    import time
+
     rng, tool = random.Random(4), segment.Segmenter(default_model(), 4)
     letters = "etaoinshrdlu"
     parts = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 14))) for _ in range(4000)}
