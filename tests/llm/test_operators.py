@@ -165,6 +165,50 @@ def test_segment_query_searches_the_default_n(spark, tmp_path):
     assert max(r["n_candidates"] for r in rows) == 4
 
 
+def test_forgotten_units_change_nothing(monkeypatch):
+    rng, path = random.Random(12), default_model()
+    texts = [words(rng, rng.randint(0, 30), "aeinort1.É") for _ in range(60)]
+    want = [segment.Segmenter(path, 3).encode([t])[0] for t in texts]
+    monkeypatch.setattr(segment, "CACHE_ENTRIES", 1000)
+    tool = segment.Segmenter(path, 3)
+    for a in (0, 7, 20, 50, 0):
+        assert tool.encode(texts[a : a + 13]) == want[a : a + 13]
+    assert 0 < len(tool.units) <= 500 and len(tool.size) == len(tool.units) and len(tool.texts) == len(tool.parts)
+
+
+def test_remembered_units_are_small():
+    import tracemalloc
+
+    rng, tool = random.Random(13), segment.Segmenter(default_model(), 2)
+    texts = [words(rng, 1000, "etaoinshrdlu.") for _ in range(30)]
+    tracemalloc.start()
+    for t in texts:
+        tool.encode([t])
+    tool.lists.clear()  # the A-star search's
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 305 * len({u for t in texts for u in tool.table.units(t)})
+
+
+def test_rows_are_decoded_together():
+    rng, tool = random.Random(14), segment.Decoder(default_model())
+    rows = [None, b""] + [np.array([rng.choice((rng.randrange(32000), rng.randrange(300))) for _ in range(rng.randint(0, 9))], "<u4").tobytes() for _ in range(500)]
+    plain = tool.plain.to_pylist()
+    for row, text in zip(rows, tool.decode(rows), strict=True):
+        data = b"".join(plain[i] for i in np.frombuffer(row or b"", "<u4").tolist())
+        assert text == data.removeprefix(b" ").decode("utf-8", "replace")
+    assert tool.decode([]) == [] and tool.decode([None]) == [""]
+
+
+def test_only_the_best_ids_go_on_to_be_decoded(spark, tmp_path):
+    from tradeloom.llm.catalogue import QUERIES
+
+    frame(spark, EDGES).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = QUERIES["op8_sentencepiece"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    decoding = next(x for x in plan.splitlines() if "MapInArrow" in x)
+    assert "decoded" in decoding and "candidates" not in decoding.replace("n_candidates", "")
+
+
 # ---------------------------------------------------------------- token files
 
 

@@ -9,6 +9,8 @@ text are the n best choices among the lists of its parts. Only the n - 1 parts w
 second best loses least can differ from their best, so the forward pass of all parts,
 side by side, also keeps the score of the second best path, and the A-star search lists
 the candidates of those few parts, and the best of parts with several of equal score.
+What is known of a part or unit is a row of arrays, so that a text is put together by
+gathers over its units' numbers, and what a worker remembers takes little memory.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import chain, islice
-from operator import itemgetter
 from struct import pack
 
 import numpy as np
@@ -30,13 +31,47 @@ from tradeloom.llm.common import CACHES, slices, texts_of, tidy
 from tradeloom.llm.pieces import CACHE_ENTRIES, MARK, PieceTable, code_points, default_model, piece_table
 
 Candidate = tuple[float, bytes]
-SCORE, IDS, LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
+# bytes of text that are worked on at once
+SLICE_BYTES = 1 << 19
 # above the rounding of sums of scores
 SLACK = 1e-6
 # parts that go forward side by side, and the most characters of one; longer ones go one by one
 ABREAST, LONG = 4096, 64
 
 
+class NumberTable:
+    """Distinct keys of 0 or more with a number each, looked up for whole arrays at once."""
+
+    def __init__(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        bits = (4 * len(keys) + 4).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.numbers = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        slot = self.first(keys)
+        while len(keys):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[free]  # of several the last one stays
+            put = self.keys[slot] == keys
+            self.numbers[slot[put]] = numbers[put]
+            keys, numbers, slot = keys[~put], numbers[~put], (slot[~put] + 1) & self.mask
+
+    def first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of the keys, -1 for others."""
+        slot = self.first(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.numbers[slot], -1)
+        at = np.flatnonzero((there != keys) & (there >= 0))
+        while len(at):
+            slot[at] = (slot[at] + 1) & self.mask
+            there = self.keys[slot[at]]
+            hit = there == keys[at]
+            out[at[hit]] = self.numbers[slot[at[hit]]]
+            at = at[~hit & (there >= 0)]
+        return out
+
+
 class Lattice:
     """The pieces of a model by their text, with all their prefixes to stop at."""
 
@@ -52,8 +87,7 @@ class Lattice:
         # the same as a trie of arrays: node 0 is the empty prefix, a step is (node, character) -> node
         node = {"": 0} | {prefix: i for i, prefix in enumerate(self.arcs, 1)}
         steps = np.array([(node[x[:-1]] << 21) | ord(x[-1]) for x in self.arcs], np.int64)
-        order = np.argsort(steps)
-        self.steps, self.to = steps[order], order + 1
+        self.steps = NumberTable(steps, np.arange(1, len(node), dtype=np.int32))
         self.number = np.array([-1, *(arc[1][0] if arc else -1 for arc in self.arcs.values())], np.int64)
         self.score = np.array([0.0, *(arc[0] if arc else 0.0 for arc in self.arcs.values())])
         self.grows = np.zeros(len(node), bool)
@@ -95,10 +129,9 @@ class Lattice:
         at, state, length, found = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0, []
         plain = np.ones(len(units), bool)
         while len(at):
-            step = (state << 21) | codes[at + length]
-            k = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
-            hit = self.steps[k] == step
-            at, state = at[hit], self.to[k[hit]]
+            state = self.steps.find((state << 21) | codes[at + length]).astype(np.int64)
+            hit = state >= 0
+            at, state = at[hit], state[hit]
             length += 1
             is_piece = self.number[state] >= 0
             if length == 1:
@@ -113,11 +146,11 @@ class Lattice:
         score, piece, start, size = self.score[state[order]], self.number[state[order]], start[order], size[order]
         return score, piece, start, start + size, bounds, begin + np.arange(len(units)), plain
 
-    def forward_all(self, units: list[str]) -> list[tuple[float, bytes, float, str] | None]:
-        """Best score of each unit, its packed ids, what the second best loses, and the unit; None where more than
-        one is best or a character is no piece."""
-        if not units:
-            return []
+    def forward_all(self, units: list[str]) -> tuple[np.ndarray, ...]:
+        """Best score of each unit, what the second best loses, the number of its ids, and all ids in a row.
+
+        A unit has no ids here if more than one is best or a character is no piece.
+        """
         score, piece, start, end, bounds, first, plain = self.side_by_side(units)
         sizes = np.fromiter(map(len, units), np.int64, len(units))
         best, second = np.full((2, int(first[-1] + sizes[-1]) + 1), -np.inf)
@@ -147,14 +180,10 @@ class Lattice:
             go = at > first[unit]
             unit, at = unit[go], at[go]
         if not steps:
-            return [None] * len(units)
+            return after, loss, np.zeros(len(units), np.int64), np.zeros(0, np.uint32)
         unit, ids = map(np.concatenate, zip(*reversed(steps)))
-        data = ids[np.argsort(unit, kind="stable")].astype("<u4").tobytes()
-        ends = (4 * np.cumsum(np.bincount(unit, minlength=len(units)))).tolist()
-        return [
-            (s, data[a:b], lost, u) if known else None
-            for known, s, a, b, lost, u in zip(sure.tolist(), after.tolist(), [0, *ends], ends, loss.tolist(), units)
-        ]
+        ids = ids[np.argsort(unit, kind="stable")].astype(np.uint32)
+        return after, loss, np.bincount(unit, minlength=len(units)), ids
 
     def search(self, unit: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a unit, best first; those of equal score in a fixed order.
@@ -225,12 +254,39 @@ def smallest(values: np.ndarray, n: int) -> np.ndarray:
     return at[np.argsort(values[at], kind="stable")][:n]
 
 
+class Numbers(dict):
+    """Numbers strings as they are met; ``fresh`` are those since it was last emptied."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, x: str) -> int:
+        self[x] = number = len(self)
+        self.fresh.append(x)
+        return number
+
+    def forget(self) -> None:
+        for _ in self.fresh:
+            self.popitem()
+
+
+def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one range after another."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + count, count)
+
+
 class Segmenter:
     def __init__(self, path: str, n: int) -> None:
         self.table, self.n = piece_table(path), n
         self.lattice = Lattice(self.table)
-        self.known: dict[str, list[tuple]] = {}
-        self.parts: dict[str, tuple] = {}
+        self.units, self.parts = Numbers(), Numbers()
+        # of each part its text, best score, what the second best loses, and where its ids are
+        self.texts: list[str] = []
+        self.score, self.loss = np.zeros(0), np.zeros(0)
+        self.first, self.count, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        # of each unit where its parts are
+        self.begin, self.size, self.held = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.lists: dict[str, list[Candidate]] = {}
 
     def candidates(self, part: str) -> list[Candidate]:
@@ -241,70 +297,116 @@ class Segmenter:
                 self.lists[part] = found
         return found
 
+    def best(self, parts: list[str]) -> tuple[np.ndarray, ...]:
+        """Of each part its best score, what the second best loses, the place and number of its ids, and all ids."""
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        score, loss = np.zeros((2, len(parts)))
+        first, count = np.zeros((2, len(parts)), np.int64)
+        short, rows, end = np.flatnonzero(sizes <= LONG), [np.zeros(0, np.uint32)], 0
+        short = short[np.argsort(sizes[short], kind="stable")]  # those of one length go forward together
+        for a in range(0, len(short), ABREAST):
+            at = short[a : a + ABREAST]
+            score[at], loss[at], number, ids = self.lattice.forward_all([parts[k] for k in at.tolist()])
+            first[at], count[at] = end + np.cumsum(number) - number, number
+            rows.append(ids)
+            end += len(ids)
+        for k in np.flatnonzero(count == 0).tolist():
+            most = self.candidates(parts[k])
+            score[k], ids = most[0]
+            loss[k] = most[0][0] - most[1][0] if len(most) > 1 else float("inf")
+            first[k], count[k] = end, len(ids) // 4
+            rows.append(np.frombuffer(ids, "<u4"))
+            end += len(ids) // 4
+        return score, loss, first, count, np.concatenate(rows)
+
     def entries(self, parts: list[str]) -> list[tuple]:
         """Of each part its best score and ids, what the second best loses, and the part."""
-        out: list[tuple] = []
-        for a in range(0, len(parts), ABREAST):
-            some = parts[a : a + ABREAST]
-            found = iter(self.lattice.forward_all([p for p in some if len(p) <= LONG]))
-            for p in some:
-                if (entry := next(found) if len(p) <= LONG else None) is None:
-                    most = self.candidates(p)
-                    entry = *most[0], most[0][0] - most[1][0] if len(most) > 1 else float("inf"), p
-                out.append(entry)
-        return out
+        score, loss, first, count, ids = self.best(parts)
+        return [
+            (s, ids[a : a + c].astype("<u4").tobytes(), lost, p)
+            for s, lost, a, c, p in zip(score.tolist(), loss.tolist(), first.tolist(), count.tolist(), parts)
+        ]
 
-    def searched(self, units: list[str]) -> dict[str, list[tuple]]:
-        """The entries of each distinct unit, cut between characters that no piece joins."""
+    def cuts(self, units: list[str]) -> tuple[list[str], np.ndarray]:
+        """The parts of the units, cut between characters that no piece joins, and how many each has."""
         codes, sizes = code_points(units)
         ends = np.cumsum(sizes)
         breaks = self.table.breaks(codes)
-        breaks[ends - sizes] = False
-        cuts = np.flatnonzero(breaks)
-        counts = np.diff(np.searchsorted(cuts, ends), prepend=0)
-        places = (cuts - np.repeat(ends - sizes, counts)).tolist()
-        split, at = {}, 0
-        for k in np.flatnonzero(counts).tolist():
-            unit, count = units[k], int(counts[k])
-            own = [0, *places[at : at + count], len(unit)]
-            at += count
-            split[unit] = [unit[a:b] for a, b in zip(own, own[1:])]
-        pieces = set(chain.from_iterable(split.values()))
-        held = {p: entry for p in pieces if (entry := self.parts.get(p))}
-        fresh = [p for p in pieces if p not in held]
-        whole = [units[k] for k in np.flatnonzero(counts == 0).tolist()]
-        found = self.entries(whole + fresh)
-        held.update(zip(fresh, found[len(whole) :]))
-        room = max(0, CACHE_ENTRIES // 6 - len(self.parts))  # only the first parts met are remembered
-        self.parts.update(islice(((p, held[p]) for p in fresh), room))
-        out = {unit: [entry] for unit, entry in zip(whole, found)}
-        out.update((unit, [held[p] for p in parts]) for unit, parts in split.items())
-        return out
+        breaks[ends - sizes] = True
+        cuts = np.append(np.flatnonzero(breaks), len(codes))
+        row, places = "".join(units), cuts.tolist()
+        return [row[a:b] for a, b in zip(places, places[1:])], np.diff(np.searchsorted(cuts, ends), prepend=0)
 
-    def joined(self, entries: list[tuple]) -> list[Candidate]:
-        """The n best of a row of parts."""
-        score, first = sum(map(SCORE, entries)), list(map(IDS, entries))
-        losses = np.fromiter(map(LOSS, entries), float, len(entries))
-        out = [(score, b"".join(first))]
-        lists = {k: self.candidates(entries[k][3]) for k in nearest(losses, self.n) if losses[k] < float("inf")}
-        chosen = [(k, [entries[k][0] - s for s, _ in found]) for k, found in lists.items()]
+    def searched(self, units: list[str]) -> dict[str, list[tuple]]:
+        """The entries of each unit."""
+        parts, counts = self.cuts(units)
+        found = iter(self.entries(parts))
+        return {unit: list(islice(found, n)) for unit, n in zip(units, counts.tolist())}
+
+    def learn(self) -> None:
+        """Adds what the fresh units and parts need to the arrays."""
+        units, parts = self.units.fresh, self.parts
+        texts, counts = self.cuts(units)
+        held = np.fromiter(map(parts.__getitem__, texts), np.int32, len(texts))
+        self.begin = np.concatenate([self.begin, len(self.held) + np.cumsum(counts) - counts], dtype=np.int32, casting="unsafe")
+        self.size = np.concatenate([self.size, counts], dtype=np.int32, casting="unsafe")
+        self.held = np.concatenate([self.held, held])
+        score, loss, first, count, ids = self.best(parts.fresh)
+        self.texts += parts.fresh
+        self.score, self.loss = np.concatenate([self.score, score]), np.concatenate([self.loss, loss])
+        self.first = np.concatenate([self.first, len(self.ids) + first], dtype=np.int32, casting="unsafe")
+        self.count = np.concatenate([self.count, count], dtype=np.int32, casting="unsafe")
+        self.ids = np.concatenate([self.ids, ids])
+
+    def sizes(self) -> tuple[int, ...]:
+        return tuple(map(len, (self.texts, self.ids, self.size, self.held)))
+
+    def settle(self, before: tuple[int, ...]) -> None:
+        """Forgets what was learned since ``before``, unless there is room for it: only the first units met are remembered."""
+        if max(len(self.units), len(self.parts)) > CACHE_ENTRIES // 2:
+            self.units.forget()
+            self.parts.forget()
+            texts, ids, units, held = before
+            del self.texts[texts:]
+            self.score, self.loss, self.first, self.count = (x[:texts] for x in (self.score, self.loss, self.first, self.count))
+            self.ids, self.held = self.ids[:ids], self.held[:held]
+            self.begin, self.size = self.begin[:units], self.size[:units]
+        self.units.fresh, self.parts.fresh = [], []
+
+    def joined(self, score: list[float], loss: np.ndarray, parts: list[int], ends: list[int], data: bytes) -> list[Candidate]:
+        """The n best of a row of parts: their best scores, losses and numbers, and where the best ids of each begin and end."""
+        total = sum(score)
+        out = [(total, data[ends[0] : ends[-1]])]
+        lists = {k: self.candidates(self.texts[parts[k]]) for k in nearest(loss, self.n) if loss[k] < float("inf")}
+        chosen = [(k, [score[k] - s for s, _ in found]) for k, found in lists.items()]
         for lost, picks in islice(join_lists(chosen, self.n), 1, None):
-            ids = first.copy()
-            for k, c in picks.items():
-                ids[k] = lists[k][c][1]
-            out.append((score - lost, b"".join(ids)))
+            at, ids = ends[0], []
+            for k, c in sorted(picks.items()):
+                ids += data[at : ends[k]], lists[k][c][1]
+                at = ends[k + 1]
+            out.append((total - lost, b"".join([*ids, data[at : ends[-1]]])))
         return out
 
     def encode(self, texts: list[str]) -> list[list[Candidate]]:
-        units = [self.table.units(t) for t in texts]
-        known = self.known
-        held = {u: known.get(u) for u in set(chain.from_iterable(units))}
-        fresh = self.searched([u for u, entries in held.items() if entries is None])
-        held.update(fresh)
-        room = max(0, CACHE_ENTRIES // 2 - len(known))  # only the first units met are remembered
-        known.update(islice(fresh.items(), room))
-        rows = (list(chain.from_iterable(map(held.__getitem__, x))) for x in units)
-        return [self.joined(x) if x else [(0.0, b"")] for x in rows]
+        rows = [self.table.units(t) for t in texts]
+        ends = np.cumsum([0, *map(len, rows)])
+        before = self.sizes()
+        units = np.fromiter(map(self.units.__getitem__, chain.from_iterable(rows)), np.int64, int(ends[-1]))
+        del rows
+        if self.units.fresh:
+            self.learn()
+        size = self.size[units]
+        ends = np.concatenate([[0], np.cumsum(size)])[ends].tolist()
+        parts = self.held[ranges(self.begin[units], size)]
+        score, loss, count = self.score[parts], self.loss[parts], self.count[parts]
+        data = self.ids[ranges(self.first[parts], count)].astype("<u4").tobytes()
+        places = np.concatenate([[0], 4 * np.cumsum(count)])
+        out = [
+            self.joined(score[a:b].tolist(), loss[a:b], parts[a:b].tolist(), places[a : b + 1].tolist(), data) if b > a else [(0.0, b"")]
+            for a, b in zip(ends, ends[1:])
+        ]
+        self.settle(before)
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -329,10 +431,12 @@ def segment(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = segmenter(path, n_best)
-        kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.binary())]))
-        for batch in slices(batches):
-            rows = [[{"score": s, "ids": ids} for s, ids in x] for x in tool.encode(texts_of(batch))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, kind)], [*keep, "candidates"])
+        for batch in slices(batches, limit=SLICE_BYTES):
+            found = tool.encode(texts_of(batch))
+            scores, ids = zip(*chain.from_iterable(found)) if found else ((), ())
+            rows = pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(ids, pa.binary())], ["score", "ids"])
+            ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.ListArray.from_arrays(ends, rows)], [*keep, "candidates"])
 
     rows = documents.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "text"))])
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
@@ -348,11 +452,15 @@ class Decoder:
         for i in range(table.size):
             if table.processor.is_control(i):
                 plain[i] = b""
-        self.plain = plain
+        self.plain = pa.array(plain, pa.binary())
 
-    def decode(self, ids: bytes | None) -> str:
-        data = b"".join([self.plain[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
-        return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
+    def decode(self, rows: list[bytes | None]) -> list[str]:
+        """The texts of rows of ids, gathered at once."""
+        found = self.plain.take(pa.array(np.frombuffer(b"".join([x or b"" for x in rows]), "<u4")))
+        ends = np.frombuffer(found.buffers()[1], np.int32)[np.cumsum([0, *(len(x or b"") // 4 for x in rows)])].tolist()
+        data = found.buffers()[2].to_pybytes() if ends[-1] else b""
+        skip = [a + (data[a : a + 1] == b" " and a < b) for a, b in zip(ends, ends[1:])]
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(skip, ends[1:])]
 
 
 @lru_cache(maxsize=4)
@@ -371,8 +479,8 @@ def decoded(frame: DataFrame, ids: str = "ids", text: str = "decoded", model_pat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = decoder(path)
-        for batch in slices(batches, ids):
-            column = pa.array([tool.decode(x) for x in batch.column(ids).to_pylist()], pa.string())
+        for batch in slices(batches, ids, SLICE_BYTES):
+            column = pa.array(tool.decode(batch.column(ids).to_pylist()), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(f.name) for f in kept] + [column], [f.name for f in kept] + [text]
             )
