@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 
 from tradeloom.llm import align
+from tradeloom.llm.common import stored
 from tradeloom.llm.pieces import default_model
 from tradeloom.llm.token_files import default_tokenizer
 
@@ -110,6 +111,28 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     assert sorted(tuple(r) for r in align.align(frame(spark, texts)).collect()) == wanted
 
 
+def test_a_block_is_many_small_rows(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshrdlu中é") for _ in range(rng.randint(2, 9))) for _ in range(9000)]
+    texts = [" ".join(rng.choices(words, k=90)) for _ in range(900)]
+    texts[100:700:30] = (ODD * 2)[:20]
+    ids = [i if i % 13 else None for i in range(len(texts))]
+    rows = frame(spark, texts, ids, parts=1)
+    made = align.aligned_blocks(rows, default_tokenizer(), default_model())
+    sizes = [sum(len(v) for v in r if isinstance(v, (bytes, bytearray))) for r in made.collect()]
+    assert made.select("block").distinct().count() == 1 and len(sizes) > 3 and max(sizes) < 1 << 20
+    got = [tuple(r[c] for c in ("doc_id", *align.NUMBERS, "n_best", "count_sum", "groups_sha256")) for r in align.align(rows).collect()]
+    assert sorted(map(repr, got)) == sorted(repr((i, *want)) for i, want in zip(ids, expected(texts)))
+
+
+def test_stored_rows_are_in_small_row_groups(spark):
+    import pyarrow.parquet as pq
+
+    files = stored(spark.range(100, numPartitions=1), "rows", align.ROW_GROUP).inputFiles()
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in files]
+    assert sum(m.num_rows for m in groups) == 100 and max(m.row_group(k).num_rows for m in groups for k in range(m.num_row_groups)) <= 8
+
+
 def test_matrices_equal_dense_products():
     rng = np.random.default_rng(3)
     for _ in range(50):

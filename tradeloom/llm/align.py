@@ -10,6 +10,8 @@ arrays.
 Neither tokenizer joins a space that follows another character than white space with what
 stands before it. A text is therefore cut there into units, and the matrices are made of
 the distinct units of a block of documents; a document's numbers are sums over its units.
+Documents by units times units by pairs, row by row again, says how often a document holds
+a pair. A block hands this on in many small rows, so no task holds a large one.
 
 The corpus-wide count of a linked pair of ids is the number of documents that hold it. A
 block sends every distinct pair once, with its number of documents, and gets the summed
@@ -39,6 +41,10 @@ UNITS = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*")
 BLOCK_BYTES = 4 << 20
 CHUNK_BYTES = 1 << 18
 PART_CHARS = 20_000
+ROW_LINKS = 1 << 16
+DOC_SIZE = 64  # of a document besides its text or links
+#: a reader holds the rows of a row group at once
+ROW_GROUP = {"parquet.block.row.count.limit": "8"}
 
 
 @dataclass(frozen=True)
@@ -265,9 +271,8 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
 
 CACHES["align"] = aligner.cache_clear
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
-BLOCK = "block bigint, pairs array<bigint>, docs array<bigint>, unit_starts binary, unit_pairs binary, unit_times binary, " \
-    "doc_starts binary, doc_units binary, doc_times binary, doc_id array<bigint>, " \
-    + ", ".join(f"{c} array<bigint>" for c in NUMBERS) + ", groups_sha256 array<string>"
+ROWS = "block bigint, pairs array<bigint>, docs array<bigint>, starts binary, places binary, times binary, " \
+    "doc_id array<bigint>, " + ", ".join(f"{c} array<bigint>" for c in NUMBERS) + ", groups_sha256 array<string>"
 
 
 def summed(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -276,15 +281,19 @@ def summed(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
-def counted(keys: np.ndarray, of: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """From keys ``row * width + column``: starts of the rows, distinct columns of each and how often."""
+def counted(keys: np.ndarray, of: int, width: int) -> Csr:
+    """From keys ``row * width + column``: how often each column is in each row."""
     distinct, times = np.unique(keys, return_counts=True)
     starts = np.searchsorted(distinct, np.arange(of + 1) * max(width, 1))
-    return starts, distinct % max(width, 1), times
+    return Csr(starts, distinct % max(width, 1), times, max(width, 1))
 
 
-def block_row(tool: Aligner, number: int, doc_ids: list, docs: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    """Everything about a block but the corpus-wide counts. ``docs`` are the units of each document, in order."""
+def block_rows(tool: Aligner, number: int, doc_ids: list, docs: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Everything about a block but the corpus-wide counts. ``docs`` are the units of each document, in order.
+
+    The documents by pairs matrix is cut into rows of at most ``ROW_LINKS`` links (one document
+    at least), so that none is large; the first has the block's pairs and their numbers of documents.
+    """
     units = tool.aligned(names)
     lengths = np.fromiter(map(len, docs), np.int64, len(docs))
     owner, used = np.repeat(np.arange(len(docs)), lengths), np.concatenate([*docs, np.empty(0, np.int64)]).astype(np.int64)
@@ -293,34 +302,39 @@ def block_row(tool: Aligner, number: int, doc_ids: list, docs: list[np.ndarray],
         "" if v or not len(d) else hashlib.sha256(";".join([units.groups[u] for u in d.tolist()]).encode()).hexdigest()
         for d, v in zip(docs, void.tolist())
     ]
+    units.groups.clear()
     kept = ~void[owner]
     owner, used = owner[kept], used[kept]
     edges = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(docs)))])
     numbers = {c: summed(getattr(units, c)[used], edges) for c in NUMBERS}
-    pairs, place = np.unique(np.concatenate([*units.link_pairs, np.empty(0, np.int64)]), return_inverse=True)
     by_unit = np.concatenate([*units.link_units, np.empty(0, np.int64)]).astype(np.int64)
-    unit_starts, unit_pairs, unit_times = counted(by_unit * len(pairs) + place, len(names), len(pairs))
-    doc_starts, doc_units, doc_times = counted(owner * len(names) + used, len(docs), len(names))
-    per = np.diff(unit_starts)[doc_units]
-    at = np.repeat(unit_starts[doc_units] - (np.cumsum(per) - per), per) + np.arange(int(per.sum()))
-    holder = np.repeat(np.repeat(np.arange(len(docs)), np.diff(doc_starts)), per)
-    held = np.unique(holder * max(len(pairs), 1) + unit_pairs[at]) % max(len(pairs), 1)
-    often = np.bincount(held, minlength=len(pairs))
+    linked_pairs = np.concatenate([*units.link_pairs, np.empty(0, np.int64)])
     # a pair whose only documents are void has no count
-    raw = [x.astype("<u4").tobytes() for x in (unit_starts, unit_pairs, unit_times, doc_starts, doc_units, doc_times)]
+    held = np.zeros(len(names), bool)
+    held[used] = True
+    held = held[by_unit]
+    pairs, place = np.unique(linked_pairs[held], return_inverse=True)
+    of_units = counted(by_unit[held] * max(len(pairs), 1) + place, len(names), len(pairs))
+    often, parts = np.zeros(len(pairs), np.int64), []
+    for lo, hi in blocks((numbers["n_links"] + DOC_SIZE).tolist(), ROW_LINKS):
+        inner = slice(edges[lo], edges[hi])
+        found = product(counted((owner[inner] - lo) * len(names) + used[inner], hi - lo, len(names)), of_units)
+        often += np.bincount(found.columns, minlength=len(pairs))
+        parts.append((lo, hi, [x.astype("<u4").tobytes() for x in (found.starts, found.columns, found.values)]))
     big = pa.list_(pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([number], pa.int64()), pa.array([pairs], big), pa.array([often], big), *[pa.array([x], pa.binary()) for x in raw],
-            pa.array([doc_ids], big), *[pa.array([numbers[c]], big) for c in NUMBERS], pa.array([texts], pa.list_(pa.string())),
-        ],
-        ["block", "pairs", "docs", "unit_starts", "unit_pairs", "unit_times", "doc_starts", "doc_units", "doc_times", "doc_id",
-         *NUMBERS, "groups_sha256"],
-    )
+    for k, (lo, hi, raw) in enumerate(parts):
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([number], pa.int64()), *[pa.array([None if k else x], big) for x in (pairs, often)],
+                *[pa.array([x], pa.binary()) for x in raw], pa.array([doc_ids[lo:hi]], big),
+                *[pa.array([numbers[c][lo:hi]], big) for c in NUMBERS], pa.array([texts[lo:hi]], pa.list_(pa.string())),
+            ],
+            ["block", "pairs", "docs", "starts", "places", "times", "doc_id", *NUMBERS, "groups_sha256"],
+        )
 
 
 def aligned_blocks(documents: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
-    """One row for each block of at most ``BLOCK_BYTES`` of text (one document at least)."""
+    """The rows of each block of at most ``BLOCK_BYTES`` of text (one document at least)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -330,17 +344,17 @@ def aligned_blocks(documents: DataFrame, byte_path: str, piece_path: str) -> Dat
         for batch in slices(batches, limit=CHUNK_BYTES):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
                 if ids and size + len(text) > BLOCK_BYTES:
-                    yield block_row(tool, number, ids, docs, list(known))
+                    yield from block_rows(tool, number, ids, docs, list(known))
                     ids, docs, known, size, number = [], [], {}, 0, number + 1
                 words = tool.units(text) if text else []
                 ids.append(doc_id)
                 docs.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words)))
-                size += len(text)
+                size += len(text) + DOC_SIZE
         if ids:
-            yield block_row(tool, number, ids, docs, list(known))
+            yield from block_rows(tool, number, ids, docs, list(known))
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(tidy(run, "align"), BLOCK)
+    return rows.mapInArrow(tidy(run, "align"), ROWS)
 
 
 def pair_counts(blocks_of: DataFrame) -> DataFrame:
@@ -366,31 +380,24 @@ def align(documents: DataFrame, byte_path: str | None = None, piece_path: str |
     an empty hash and count nowhere. Every row is a document, repeated or not; null ids stay
     null; an empty table gives no row.
     """
-    made = stored(aligned_blocks(documents, byte_path or default_tokenizer(), piece_path or default_model()), "aligned")
+    made = stored(aligned_blocks(documents, byte_path or default_tokenizer(), piece_path or default_model()), "aligned", ROW_GROUP)
     asked = made.select("block", F.posexplode("pairs").alias("place", "pair"))
-    told = asked.join(pair_counts(made), "pair").groupBy("block").agg(F.collect_list(F.struct("place", "count", "best")).alias("told"))
+    answers = asked.join(pair_counts(made), "pair").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "count", "best"))).alias("told"))
+    told = answers.select("block", F.col("told.count").alias("count"), F.col("told.best").alias("best"))
     both = made.drop("pairs", "docs").join(told, "block", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c).slice(i, 1) for c in batch.schema.names}
-                starts, pairs, times, doc_starts, doc_units, doc_times = (
-                    np.frombuffer(row[c][0].as_buffer(), "<u4").astype(np.int64)
-                    for c in ("unit_starts", "unit_pairs", "unit_times", "doc_starts", "doc_units", "doc_times")
-                )
-                answer = row["told"].flatten()
-                place, count, best = (answer.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-                per_pair = np.zeros((2, int(pairs.max(initial=-1)) + 1), np.int64)
-                per_pair[0, place], per_pair[1, place] = best, count
-                sums = []
-                for values in per_pair:
-                    by_unit = summed(values[pairs] * times, starts)
-                    sums.append(pa.array(summed(by_unit[doc_units] * doc_times, doc_starts)))
+                starts, places, times = (np.frombuffer(row[c][0].as_buffer(), "<u4").astype(np.int64) for c in ("starts", "places", "times"))
+                told = (row[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("best", "count"))
+                sums = [pa.array(summed(values[places] * times, starts)) for values in told]
                 columns = [row[c].flatten() for c in ("doc_id", *NUMBERS)]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, *sums, row["groups_sha256"].flatten()], ["doc_id", *NUMBERS, "n_best", "count_sum", "groups_sha256"]
                 )
 
     out = ", ".join(f"{c} bigint" for c in ("doc_id", *NUMBERS, "n_best", "count_sum"))
-    return both.mapInArrow(tidy(run, "align"), f"{out}, groups_sha256 string")
+    # an owner of its own: these tasks need no tokenizers
+    return both.mapInArrow(tidy(run, "align_counts"), f"{out}, groups_sha256 string")
